@@ -48,8 +48,8 @@ def current_value(spark, d):
 @R.query(f"""WITH s AS (SELECT tag, epoch_us(ts) AS t, max(value) AS value FROM ({_S}) GROUP BY ALL),
  g AS (SELECT tag, unnest(generate_series(CAST(ceil(min(t) / 21600000000) AS BIGINT), CAST(floor(max(t) / 21600000000) AS BIGINT))) * 21600000000 AS t FROM s GROUP BY tag),
  b AS (SELECT g.tag, g.t, s.t AS bt, s.value AS bv FROM g ASOF JOIN s ON g.tag = s.tag AND g.t >= s.t),
- a AS (SELECT b.*, s.t AS at, s.value AS av FROM b ASOF LEFT JOIN s ON b.tag = s.tag AND b.t <= s.t)
- SELECT tag, make_timestamp(t) AS ts, round(CASE WHEN bt = t THEN bv ELSE bv + (av - bv) * (t - bt) / (at - bt) END, 6) AS value FROM a""")
+ a AS (SELECT b.*, s.t AS ta, s.value AS av FROM b ASOF LEFT JOIN s ON b.tag = s.tag AND b.t <= s.t)
+ SELECT tag, make_timestamp(t) AS ts, round(CASE WHEN bt = t THEN bv ELSE bv + (av - bv) * (t - bt) / (ta - bt) END, 6) AS value FROM a""")
 def interpolated_grid(spark, d):
     return t.interpolated(_series(spark, d), 21_600).withColumn("value", F.round("value", 6))
 
