@@ -26,7 +26,7 @@ KINDS = ("assign", "access", "hex", "random")
 SAMPLE_DOCS = 4_000
 SAMPLE_RANDOM = 4_000
 MIN_LENGTH = 20
-MIN_MEAN = 0.9
+MIN_MEAN = 1.5
 MIN_TOTAL = 24.0
 
 # Fixed patterns; letters of the keyword in either case, ASCII only.
