@@ -1,0 +1,62 @@
+"""State tables for streams: key-hash buckets in versioned Parquet folders and a manifest for each batch.
+
+A batch writes new files for the buckets it touches only, and then a manifest that names the folder of every bucket. A version
+counts once its manifest is complete (Spark's ``_SUCCESS``). A batch that fails half-way leaves folders that no manifest names; when it
+runs again it overwrites them. A batch whose manifest is there is skipped, so replays change nothing.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKETS = 16
+
+
+class StateTable:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = BUCKETS):
+        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+        self.schema = T.StructType([f for f in schema if f.name != "__bucket"])
+
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def _done(self, batch_id: int) -> bool:
+        return self._exists(f"{self.path}/manifest/{batch_id}/_SUCCESS")
+
+    def _manifest(self) -> dict[str, int]:
+        """Of each bucket, the batch that wrote it last."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        ids = sorted((int(s.getPath().getName()) for s in fs.listStatus(root) if s.isDirectory()), reverse=True)
+        for i in ids:
+            if self._done(i):
+                return json.loads(self.spark.read.text(f"{self.path}/manifest/{i}").first()[0])
+        return {}
+
+    def read(self, only: set[int] | None = None) -> DataFrame:
+        """The newest state, or that of some buckets."""
+        paths = [f"{self.path}/data/{batch}/__bucket={b}" for b, batch in self._manifest().items() if only is None or int(b) in only]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """State becomes ``merge(state, batch)`` in the buckets that the batch touches."""
+        if self._done(batch_id):
+            return
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        touched = {r[0] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` numbers
+        manifest = self._manifest()
+        if touched:
+            merged = merge(self.read(touched), batch.select(self.schema.names)).select(self.schema.names).withColumn("__bucket", bucket)
+            merged.repartition("__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/data/{batch_id}")
+            written = {b for b in touched if self._exists(f"{self.path}/data/{batch_id}/__bucket={b}")}
+            manifest = {k: v for k, v in manifest.items() if int(k) not in touched} | {str(b): batch_id for b in written}
+        text = self.spark.createDataFrame([(json.dumps(manifest),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest/{batch_id}")
