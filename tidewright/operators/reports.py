@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,25 +18,25 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-#: Metrics by name, over an events table; more may be registered.
-METRICS: dict[str, Column] = {
-    "eventCount": F.count("*"),
-    "activeUsers": F.countDistinct("user_id"),
-    "eventValue": F.sum("value"),
-    "averageValue": F.avg("value"),
-    "eventsPerUser": _ratio(F.count("*"), F.countDistinct("user_id")),
-    "purchases": F.count_if(F.col("event_type") == "purchase"),
-    "purchaseRate": _ratio(F.count_if(F.col("event_type") == "purchase"), F.count("*")),
-    "errors": F.count_if(F.col("event_type") == "error"),
+#: Metrics by name, over an events table; made when a report is built, as columns need a session.
+METRICS: dict[str, Callable[[], Column]] = {
+    "eventCount": lambda: F.count("*"),
+    "activeUsers": lambda: F.countDistinct("user_id"),
+    "eventValue": lambda: F.sum("value"),
+    "averageValue": lambda: F.avg("value"),
+    "eventsPerUser": lambda: _ratio(F.count("*"), F.countDistinct("user_id")),
+    "purchases": lambda: F.count_if(F.col("event_type") == "purchase"),
+    "purchaseRate": lambda: _ratio(F.count_if(F.col("event_type") == "purchase"), F.count("*")),
+    "errors": lambda: F.count_if(F.col("event_type") == "error"),
 }
 
 #: Dimensions by name.
-DIMENSIONS: dict[str, Column] = {
-    "date": F.to_date("ts"),
-    "hour": F.hour("ts"),
-    "eventName": F.col("event_type"),
-    "userGroup": F.col("user_id") % 10,
-    "newVsReturning": F.col("new_vs_returning"),
+DIMENSIONS: dict[str, Callable[[], Column]] = {
+    "date": lambda: F.to_date("ts"),
+    "hour": lambda: F.hour("ts"),
+    "eventName": lambda: F.col("event_type"),
+    "userGroup": lambda: F.col("user_id") % 10,
+    "newVsReturning": lambda: F.col("new_vs_returning"),
 }
 
 # Presets; those over columns that a table lacks fail by naming the column.
@@ -58,12 +59,12 @@ PRESETS: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
-def register_metric(name: str, column: Column) -> None:
-    METRICS[name] = column
+def register_metric(name: str, make: Callable[[], Column]) -> None:
+    METRICS[name] = make
 
 
-def register_dimension(name: str, column: Column) -> None:
-    DIMENSIONS[name] = column
+def register_dimension(name: str, make: Callable[[], Column]) -> None:
+    DIMENSIONS[name] = make
 
 
 def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range: tuple | None = None, where: Column | None = None, having: Column | None = None, ordered: bool = True) -> DataFrame:
@@ -73,7 +74,7 @@ def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range:
     """
     if len(dimensions) > MOST_DIMENSIONS or not 1 <= len(metrics) <= MOST_METRICS:
         raise ValueError(f"a report takes at most {MOST_DIMENSIONS} dimensions and 1 to {MOST_METRICS} metrics")
-    known = lambda d: DIMENSIONS.get(d) if d in DIMENSIONS else F.col(d) if d in df.columns else None
+    known = lambda d: DIMENSIONS[d]() if d in DIMENSIONS else F.col(d) if d in df.columns else None
     unknown = [d for d in dimensions if known(d) is None] + [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unknown names: {', '.join(unknown)}")
@@ -84,7 +85,7 @@ def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range:
         df = df.where(where)
     if "newVsReturning" in dimensions:
         df = with_new_vs_returning(df)
-    out = df.groupBy(*(known(d).alias(d) for d in dimensions)).agg(*(METRICS[m].alias(m) for m in metrics))
+    out = df.groupBy(*(known(d).alias(d) for d in dimensions)).agg(*(METRICS[m]().alias(m) for m in metrics))
     out = out if having is None else out.where(having)
     return out.orderBy("date") if ordered and "date" in dimensions else out
 
