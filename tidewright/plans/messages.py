@@ -103,77 +103,89 @@ def split_batches(files: DataFrame, text: str = "value") -> DataFrame:
     return files.select(*[c for c in files.columns if c != text], F.posexplode(kept).alias("message_index", "message"))
 
 
-def unescape(c: Column, seps: dict[str, Column]) -> Column:
-    r"""``\F\ \S\ \T\ \R\ \H\ \N\`` and then ``\E\``, with the message's own separators."""
-    e = seps["escape"]
-    for letter, to in (("F", seps["field"]), ("S", seps["component"]), ("T", seps["subcomponent"]), ("R", seps["repetition"]), ("H", F.lit("")), ("N", F.lit("")), ("E", e)):
-        c = F.replace(c, F.concat(e, F.lit(letter), e), to)
-    return c
+SEPARATORS = {"field": 4, "component": 5, "repetition": 6, "escape": 7, "subcomponent": 8}
+_LETTERS = {"field": "F", "component": "S", "repetition": "R", "escape": "E", "subcomponent": "T"}
+#: Each message's separators are rewritten to the first five characters, so that all splits have a constant pattern, and its
+#: escaped ones to the other five, which stand for the same separators as text.
+_SPLIT = dict(zip(SEPARATORS, "\x01\x02\x03\x04\x05", strict=True))
+_TEXT = dict(zip(SEPARATORS, "\x0e\x0f\x10\x11\x12", strict=True))
 
 
-SEPARATORS = {"field": 4, "component": 5, "repetition": 6, "escape": 7, "subcomponent": 8}
+def unescape(text: Column) -> Column:
+    r"""``\F\ \S\ \T\ \R\ \H\ \N\`` and then ``\E\`` of a message whose separators are rewritten."""
+    e, out = _SPLIT["escape"], text
+    for k in ("field", "component", "subcomponent", "repetition"):
+        out = F.replace(out, F.lit(f"{e}{_LETTERS[k]}{e}"), F.lit(_TEXT[k]))
+    out = F.replace(F.replace(out, F.lit(f"{e}H{e}")), F.lit(f"{e}N{e}"))
+    return F.when(text.contains(e), F.replace(out, F.lit(f"{e}E{e}"), F.lit(_TEXT["escape"]))).otherwise(text)
 
 
-def separators(prefix: str = "sep") -> dict[str, Column]:
-    return {k: F.col(f"{prefix}.{k}") for k in SEPARATORS}
+def plain(c: Column) -> Column:
+    """A value as text again, the message's own separators put back; empty is null."""
+    return F.call_function("translate", F.nullif(c, F.lit("")), F.lit("".join([*_SPLIT.values(), *_TEXT.values()])), F.concat(F.col("separators"), F.col("separators")))
 
 
 def segments(messages: DataFrame, message: str = "message") -> DataFrame:
-    """One row for each segment with its ordinal, ``segment`` name, raw ``fields`` and the metadata of its message.
+    """One row for each segment with its ordinal, ``segment`` name, ``fields`` and the metadata of its message.
 
     A message without MSH is dropped. MSH fields count from the separator, so they are shifted by one. Field zero is the name.
     """
     m = messages.where(F.col(message).startswith("MSH"))
-    default = {"component": "^", "repetition": "~", "escape": "\\", "subcomponent": "&", "field": "|"}
-    sep = F.struct(*(F.coalesce(F.nullif(F.substring(message, i, 1), F.lit("")), F.lit(default[k])).alias(k) for k, i in SEPARATORS.items()))
-    m = m.withColumn("sep", sep)
-    quoted = F.concat(F.lit("\\Q"), F.col("sep.field"), F.lit("\\E"))
-    rows = m.withColumn("__lines", F.filter(F.split(F.regexp_replace(message, "\r\n?", "\n"), "\n"), lambda x: x != ""))
-    head = F.split(F.get("__lines", F.lit(0)), quoted)
-    field = lambda n: F.nullif(F.get(head, F.lit(n - 1)), F.lit(""))
-    rows = rows.withColumns({"message_id": field(10), "message_timestamp": hl7_ts(field(7)), "hl7_version": F.nullif(F.split_part(field(12), F.col("sep.component"), F.lit(1)), F.lit(""))})
-    rows = rows.select(*[c for c in rows.columns if c not in (message, "__lines")], F.posexplode("__lines").alias("ordinal", "raw_segment"))
-    parts = F.split("raw_segment", quoted)
+    default = {"field": "|", "component": "^", "repetition": "~", "escape": "\\", "subcomponent": "&"}
+    own = F.concat(*(F.coalesce(F.nullif(F.substring(message, i, 1), F.lit("")), F.lit(default[k])) for k, i in SEPARATORS.items()))
+    text = F.regexp_replace(message, "\r\n?", "\n")
+    m = m.withColumns({"separators": own, "__raw": F.filter(F.split(text, "\n"), lambda x: x != "")})
+    inner = unescape(F.call_function("translate", text, F.col("separators"), F.lit("".join(_SPLIT.values()))))
+    m = m.withColumn("__lines", F.filter(F.split(inner, "\n"), lambda x: x != ""))
+    head = F.split(F.get("__lines", F.lit(0)), _SPLIT["field"])
+    first = lambda n: F.nullif(F.get(head, F.lit(n - 1)), F.lit(""))
+    m = m.withColumns({"message_id": plain(first(10)), "message_timestamp": hl7_ts(first(7)), "hl7_version": F.nullif(F.split_part(first(12), F.lit(_SPLIT["component"]), F.lit(1)), F.lit(""))})
+    rows = m.select(*[c for c in m.columns if c not in (message, "__lines", "__raw")], F.posexplode(F.arrays_zip("__raw", "__lines")).alias("ordinal", "__s"))
+    parts = F.split("__s.__lines", _SPLIT["field"])
     name = F.get(parts, F.lit(0))
-    shifted = F.concat(F.array(F.lit("MSH"), F.col("sep.field")), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
-    return rows.withColumns({"segment": name, "fields": F.when(name == "MSH", shifted).otherwise(parts)})
+    shifted = F.concat(F.array(F.lit("MSH"), F.lit(_SPLIT["field"])), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
+    return rows.withColumns({"raw_segment": F.col("__s.__raw"), "segment": name, "fields": F.when(name == "MSH", shifted).otherwise(parts)}).drop("__s")
 
 
 def field(n: int) -> Column:
-    """Field ``n`` of a segment row, from 1; empty is null."""
+    """Field ``n`` of a segment row, from 1, separators rewritten; empty is null."""
     return F.nullif(F.get("fields", F.lit(n)), F.lit(""))
 
 
-def _quoted(sep: Column) -> Column:
-    return F.concat(F.lit("\\Q"), sep, F.lit("\\E"))
+def repetitions(c: Column) -> Column:
+    return F.split(c, _SPLIT["repetition"])
 
 
-def repetitions(c: Column, seps: dict[str, Column]) -> Column:
-    return F.split(c, _quoted(seps["repetition"]))
+def component(c: Column, n: int) -> Column:
+    """Component ``n`` of a field value as text; empty is null."""
+    return plain(F.get(F.split(c, _SPLIT["component"]), F.lit(n - 1)))
 
 
-def component(c: Column, n: int, seps: dict[str, Column]) -> Column:
-    """Component ``n`` of a field value, unescaped; empty is null."""
-    return unescape(F.nullif(F.get(F.split(c, _quoted(seps["component"])), F.lit(n - 1)), F.lit("")), seps)
+def subcomponent(c: Column, n: int) -> Column:
+    """Subcomponent ``n`` of a component whose separators are rewritten."""
+    return plain(F.get(F.split(c, _SPLIT["subcomponent"]), F.lit(n - 1)))
 
 
-def subcomponent(c: Column, n: int, seps: dict[str, Column]) -> Column:
-    return unescape(F.nullif(F.get(F.split(c, _quoted(seps["subcomponent"])), F.lit(n - 1)), F.lit("")), seps)
+def typed_field(n: int, kind: str, repeating: bool) -> Column:
+    """Field ``n`` as its kind: a struct of components, an array of them, or a plain value.
 
-
-def typed_field(n: int, kind: str, repeating: bool, seps: dict[str, Column]) -> Column:
-    """Field ``n`` as its kind: a struct of components, an array of them, or a plain value."""
-    value = field(n)
+    Components are taken inside ``transform``, which splits a value once and keeps generated code small however many
+    fields a segment has.
+    """
+    value = f"nullif(get(fields, {n}), '')"
+    repeated = f"split({value}, '{_SPLIT['repetition']}')"
     if kind in COMPOSITES:
-        def one(c):
-            return F.struct(*(component(c, i, seps).alias(name) for i, name in enumerate(COMPOSITES[kind].split(), 1)))
-    else:
-        def one(c):
-            return _plain[kind](unescape(c, seps))
+        parts = ", ".join(f"'{name}', {_plain_sql(f'get(p, {i})')}" for i, name in enumerate(COMPOSITES[kind].split()))
+        made = f"transform(transform({repeated}, r -> split(r, '{_SPLIT['component']}')), p -> named_struct({parts}))"
+        return F.expr(made if repeating else f"get({made}, 0)")
     if repeating:
-        return F.when(value.isNotNull(), F.transform(repetitions(value, seps), lambda r: one(r)))
-    first = F.get(repetitions(value, seps), F.lit(0)) if kind in COMPOSITES else value
-    return F.when(value.isNotNull(), one(first))
+        return F.transform(F.expr(f"transform({repeated}, r -> {_plain_sql('r')})"), _plain[kind])
+    return _plain[kind](F.expr(_plain_sql(value)))
+
+
+def _plain_sql(c: str) -> str:
+    """``plain`` as SQL text: one expression instead of many calls for segments with hundreds of components."""
+    return f"translate(nullif({c}, ''), '{''.join([*_SPLIT.values(), *_TEXT.values()])}', concat(separators, separators))"
 
 
 METADATA = ("message_id", "message_timestamp", "hl7_version")
@@ -186,13 +198,12 @@ def segment_table(rows: DataFrame, segment: str, carry: tuple[str, ...] = ()) ->
     position among its message's segments of the name; zero is kept.
     """
     own = rows.where(F.col("segment") == segment)
-    seps = separators()
     if segment in SEGMENTS:
         count, kinds = SEGMENTS[segment]
         by = {int(p.strip("*")): (k, p.endswith("*")) for k, places in kinds.items() for p in places.split()}
-        columns = [typed_field(n, *by.get(n, ("ST", False)), seps).alias(f"{segment.lower()}_{n}") for n in range(1, count + 1)]
+        columns = [typed_field(n, *by.get(n, ("ST", False))).alias(f"{segment.lower()}_{n}") for n in range(1, count + 1)]
     else:
-        columns = [field(n).alias(f"field_{n}") for n in range(1, GENERIC_FIELDS + 1)]
+        columns = [F.expr(_plain_sql(f"get(fields, {n})")).alias(f"field_{n}") for n in range(1, GENERIC_FIELDS + 1)]
     w = Window.partitionBy("message_id").orderBy("ordinal")
     given = field(1).try_cast("int") if segment in REPEATING else F.lit(None).cast("int")
     own = own.withColumn("set_id", F.coalesce(given, F.row_number().over(w)))
