@@ -117,7 +117,7 @@ def unescape(text: Column) -> Column:
     for k in ("field", "component", "subcomponent", "repetition"):
         out = F.replace(out, F.lit(f"{e}{_LETTERS[k]}{e}"), F.lit(_TEXT[k]))
     out = F.replace(F.replace(out, F.lit(f"{e}H{e}")), F.lit(f"{e}N{e}"))
-    return F.when(text.contains(e), F.replace(out, F.lit(f"{e}E{e}"), F.lit(_TEXT["escape"]))).otherwise(text)
+    return F.when(text.rlike(f"{e}[A-Z.]"), F.replace(out, F.lit(f"{e}E{e}"), F.lit(_TEXT["escape"]))).otherwise(text)
 
 
 def plain(c: Column) -> Column:
