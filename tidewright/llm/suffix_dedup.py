@@ -78,8 +78,12 @@ _LONG, _INT = T.LongType(), T.IntegerType()
 
 
 def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``(anchor, context, k1, k2, first, windows)`` for each context of each row; ``context`` is a hash."""
-    schema = T.StructType([T.StructField(n, k) for n, k in (("anchor", _LONG), ("context", _LONG), ("k1", _LONG), ("k2", _LONG), ("first", _INT), ("windows", _INT))])
+    """``(anchor, context, k1, k2, firsts, windows)``: where each context of each row begins; ``context`` is a hash.
+
+    A context that a row repeats (a line said again and again) is one row here, with all its places.
+    """
+    kinds = (("anchor", _LONG), ("context", _LONG), ("k1", _LONG), ("k2", _LONG), ("firsts", T.ArrayType(_INT)), ("windows", _INT))
+    schema = T.StructType([T.StructField(n, k) for n, k in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -96,7 +100,13 @@ def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                     rows += [i] * len(first)
             if parts:
                 h, own, first, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (_signed(h), _signed(own), k1[rows], k2[rows], first.astype(np.int32), count.astype(np.int32))], names=schema.names)
+                row = np.array(rows)
+                order = np.lexsort((first, h, own, row))
+                h, own, first, count, row = h[order], own[order], first[order], count[order], row[order]
+                head = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (h[1:] != h[:-1]) | (row[1:] != row[:-1]))))
+                firsts = pa.ListArray.from_arrays(pa.array(np.concatenate((head, [len(h)])).astype(np.int32)), pa.array(first.astype(np.int32)))
+                plain = [pa.array(x) for x in (_signed(h)[head], _signed(own)[head], k1[row[head]], k2[row[head]], count[head].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*plain[:4], firsts, plain[4]], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -204,10 +214,12 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
 def covered_spans(slim: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
     """``(k1, k2, spans)`` for each row key with covered bytes, from ``(k1, k2, data)``."""
     occurrences = materialize(_occurrences(slim, length, anchor), "contexts")
-    again = occurrences.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    places = F.sum(F.size("firsts"))
+    # written first, so that both sides of the join are plain shuffles and a hot anchor can be split
+    again = materialize(occurrences.groupBy("anchor").agg(places.alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     occurrences = materialize(occurrences.join(again, "anchor", "left_semi"), "repeated-contexts")
-    where = F.struct("k1", "k2", "first", "windows")
-    distinct = materialize(occurrences.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(where).alias("at")), "distinct-contexts")
+    where = F.struct("k1", "k2", F.get("firsts", F.lit(0)).alias("first"), "windows")
+    distinct = materialize(occurrences.groupBy("anchor", "context").agg(places.alias("n"), F.min(where).alias("at")), "distinct-contexts")
     several = distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     wanted = distinct.join(several, "anchor").select("anchor", "context", "contexts", "at.*")
     place = F.struct("anchor", "context", "contexts", "first", "windows")
@@ -226,7 +238,9 @@ def covered_spans(slim: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
         spans = spans.union(_count_windows(found.where(F.col("contexts") > hot).drop("contexts"), length))
     once = distinct.where("n = 1").select("anchor", "context")
     spans = spans.join(once, ["anchor", "context"], "left_semi").union(distinct.where("n > 1").select("anchor", "context", F.lit(0), F.col("at.windows")))
-    placed = occurrences.join(spans, ["anchor", "context"])
+    spans = spans.groupBy("anchor", "context").agg(F.collect_list(F.struct("a", "e")).alias("s"))  # one context's windows at most
+    placed = occurrences.join(materialize(spans, "context-spans"), ["anchor", "context"])
+    placed = placed.select("k1", "k2", "s", F.explode("firsts").alias("first")).select("k1", "k2", "first", F.explode("s").alias("s")).select("k1", "k2", "first", "s.a", "s.e")
     span = F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("e") + F.lit(length - 1)).alias("e"))
     return placed.groupBy("k1", "k2").agg(F.collect_list(span).alias("spans"))
 
