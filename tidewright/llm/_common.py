@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows handled at once inside a task, so that memory follows the texts of a few rows.
@@ -46,6 +47,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, most: int, *columns: str, salt: str = "") -> DataFrame:
+    """At most ``most`` rows of ``df``, those with the smallest hashes of ``columns``; rows with equal hashes count once.
+
+    A threshold on the hash, set from the number of rows, leaves about twice the sample for the final order, so what meets
+    there is bounded whatever the number of tasks.
+    """
+    range_ = 1 << 30
+    n = df.count()
+    cut = range_ if n <= 2 * most else max(1, range_ * 2 * most // n)
+    h = F.pmod(F.xxhash64(F.lit(salt), *(F.col(c).cast("string") for c in columns)), F.lit(range_))
+    near = df.withColumn("__h", h).where(F.col("__h") < cut).dropDuplicates(["__h"])
+    return near.orderBy("__h").limit(most).drop("__h")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.llm import spans as S
-from tidewright.llm._common import map_texts
+from tidewright.llm._common import hash_sample, map_texts, materialize
 
 KINDS = ("assign", "access", "hex", "random")
 #: Labelled documents and random strings used for training, at most.
@@ -96,8 +96,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     hexadecimal and base64. Returns at most some 4,200 numbers. Without any text the ordinary model
     is flat.
     """
-    rows = docs.select(F.col(text).alias("text")).where("text is not null").select("text", F.xxhash64("text").alias("h"))
-    sample = rows.orderBy("h").limit(SAMPLE_DOCS)
+    rows = docs.select(F.col(text).alias("text")).where("text is not null")
+    sample = materialize(hash_sample(rows, SAMPLE_DOCS, "text").repartition(16), "secret-sample")
     secret = F.regexp_extract_all("text", F.lit(ASSIGN.pattern.replace("(?ai:", "(?i:")), F.lit(1))
     found = sample.select(F.explode(secret).alias("token")).where("length(token) >= 16")
     ordinary = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{3,}"), F.lit(0))).alias("token")).where("not token rlike '[0-9a-f]{16,}'")
