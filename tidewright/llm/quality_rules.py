@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm._common import materialize
+from tidewright.llm._common import hash_sample, materialize
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -37,6 +37,7 @@ FEATURES = {
     "symbol_share": "n_symbols / word_chars",
     "dup_line_share": "n_dup_lines / n_lines",
     "repeat_share": "n_repeat_words / n_words",
+    "distinct_share": "n_distinct / n_words",
     "upper_share": "n_upper / word_chars",
     "digit_share": "n_digits / word_chars",
     "mark_share": "n_marks / word_chars",
@@ -71,13 +72,13 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A null text counts as empty and has zeros. Other columns pass through except old ones of the same names.
     """
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_marks"]
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_marks", "n_distinct"]
     t = f"coalesce(`{text}`, '')"
     count = lambda keep: F.expr(f"char_length(regexp_replace({t}, '[^{keep}]+', ''))").cast("long")
     words = f"filter(split({t}, '{BLANK}'), x -> x <> '')"
     lines = f"filter(split({t}, '\\n'), x -> x RLIKE '[^\\\\x20\\\\x09-\\\\x0D]')"
     both = docs.drop(*made).withColumns({
-        "__words": F.expr(_let(words, "w", f"named_struct('n', size(w), 'repeated', {repeat_words_sql('w')})")),
+        "__words": F.expr(_let(words, "w", f"named_struct('n', size(w), 'own', size(array_distinct(w)), 'repeated', {repeat_words_sql('w')})")),
         "__lines": F.expr(_let(lines, "l", "named_struct('n', size(l), 'again', size(l) - size(array_distinct(l)))")),
         "word_chars": F.expr(f"char_length(regexp_replace({t}, '{BLANK}', ''))").cast("long"),
         "n_symbols": count("#*$%&|<>"),
@@ -88,6 +89,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     both = both.withColumns({
         "n_words": F.col("__words.n").cast("long"),
         "n_repeat_words": F.col("__words.repeated").cast("long"),
+        "n_distinct": F.col("__words.own").cast("long"),
         "n_lines": F.col("__lines.n").cast("long"),
         "n_dup_lines": F.col("__lines.again").cast("long"),
     })
@@ -182,8 +184,8 @@ def learn(labelled: DataFrame, most_rules: int = MOST_RULES) -> DecisionList:
     list is empty and keeps all.
     """
     h = F.xxhash64(F.col("doc_id").cast("string"), F.lit("rules"))
-    rows = with_features(labelled.where("bad is not null")).select("bad", h.alias("h"), *(f"f_{k}" for k in FEATURES))
-    rows = materialize(rows.orderBy("h", *(f"f_{k}" for k in FEATURES)).limit(SAMPLE_DOCS).coalesce(1), "rule-sample")
+    rows = with_features(labelled.where("bad is not null")).select("doc_id", "bad", h.alias("h"), *(f"f_{k}" for k in FEATURES))
+    rows = materialize(hash_sample(rows, SAMPLE_DOCS, "doc_id", salt="sample").drop("doc_id").coalesce(1), "rule-sample")
     at = [i / BINS for i in range(1, BINS)]
     quantiles = rows.agg(*(F.percentile_approx(f"f_{k}", at, 1000).alias(k) for k in FEATURES)).first()
     cuts = {k: sorted(set(quantiles[k] or ())) for k in FEATURES}
