@@ -23,8 +23,8 @@ from tidewright.llm._common import map_texts, vocabulary_path
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Stretches a worker remembers, and pairs of pieces; two generations of each are held.
-KEPT_STRETCHES = 300_000
-KEPT_PAIRS = 1_000_000
+KEPT_STRETCHES = 200_000
+KEPT_PAIRS = 500_000
 
 _tables: dict[str, PieceTable] = {}
 
