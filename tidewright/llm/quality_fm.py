@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm._common import slices
+from tidewright.llm._common import hash_sample, slices
 
 WORD_SLOTS = 1 << 16
 STAT_SLOTS = 1 << 10
@@ -143,7 +143,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = SA
     Null ids and labels teach nothing; of several labels of one document the greatest counts.
     """
     marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
-    sample = marks.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("machine")), "doc_id").limit(most)
+    sample = hash_sample(marks, most, "doc_id", salt="machine")
     rows = features(docs.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi"), text)  # ``most`` ids: bounded
     rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", F.slice(F.array_sort("words"), 1, SAMPLE_WORDS).alias("words"), "stats", "y")
     found = rows.toArrow().combine_chunks().sort_by([("doc_id", "ascending")]).combine_chunks()
