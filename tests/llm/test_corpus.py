@@ -54,6 +54,22 @@ def test_language(spark, docs, odd):
     assert language_id.keep_identified(odd, sample).columns == odd.columns
 
 
+def test_language_rejects_what_it_has_not_learned(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("length(text) >= 200")
+    rejected = lambda rows, sample: np.mean([r.rejected for r in language_id.identify(rows, sample).collect()])
+    learn = lambda rows: language_id.learn(rows.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    held = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    sample = learn(docs)
+    assert rejected(held, sample) <= 0.005
+    for lang in ("de", "es", "fr"):
+        assert rejected(docs.where(F.col("lang") == lang), learn(docs.where(F.col("lang") != lang))) >= 0.7
+    rng = random.Random(4)
+    letters = [("".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(300)),) for _ in range(200)]
+    assert rejected(spark.createDataFrame(letters, "text string"), sample) >= 0.9
+    others = [("日本語の文章をここに書きます。これは言語識別のための試験です。天気がよいので散歩に行きましょう。",), ("Это пример текста на русском языке, который не был выучен моделью. Погода сегодня хорошая, и мы пойдём гулять в парк.",)]
+    assert rejected(spark.createDataFrame(others, "text string"), sample) == 1
+
+
 # --- decontamination
 
 

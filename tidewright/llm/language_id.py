@@ -4,8 +4,12 @@ Each language has a raw-content zstandard dictionary made of labelled text in lo
 in blocks, every block is compressed with each dictionary, and the language whose dictionary gives the
 fewest bytes in all wins. Where the margin over the runner-up is below ``LOOK_AGAIN`` bytes (mostly very
 short texts, as sizes are whole bytes), the text is compressed once more behind several stretches of each
-dictionary and the mean growth decides. The score is the winner's share in a softmax over saved bytes; a
-text whose margin is then below ``MIN_MARGIN`` bytes is rejected.
+dictionary and the mean growth decides. The score is the winner's share in a softmax over saved bytes.
+
+A text is rejected where the margin is small for its size, below ``CLEAR_MARGIN`` of its compressed bytes, and
+the winner's dictionary hardly helps: it saves less than ``MIN_SAVED`` of the bytes that the text takes without
+any dictionary, or under ``MIN_SAVED_BYTES``. Texts under ``SHORT_BYTES`` bytes are too short for that, as most save
+nothing in their own language; they are rejected by a margin below ``MIN_MARGIN`` bytes, as any text is.
 
 Dictionaries come from a bounded sample: at most ``SAMPLE_DOCS`` texts a language, the first by a hash
 of the text. The set of languages is whatever the labels hold, ``MOST_LANGUAGES`` at most.
@@ -30,6 +34,10 @@ LEVEL = 9
 LOOK_AGAIN = 3.0
 STRETCHES, STRETCH_BYTES, STRETCH_LEVEL = 8, 2_000, 19
 MIN_MARGIN = 0.1
+#: Set on labelled rows against languages left out of the dictionaries and random letters.
+SHORT_BYTES = 50
+CLEAR_MARGIN = 0.1
+MIN_SAVED, MIN_SAVED_BYTES = 0.005, 2
 UNKNOWN = "und"
 
 Sample = dict[str, bytes]
@@ -77,26 +85,43 @@ class Model:
         return sum(len(self.hard.compress(s + b"\n" + b)) - n for s, n in self.stretches for b in blocks) / len(self.stretches)
 
 
-def decide(text: str | None, models: list[Model], letter) -> tuple[str, float, float]:
-    """Language, score from 0 to 1, margin in bytes. ``und`` without a letter or without a model."""
+def plain_compressor():
+    """The size of a block without a dictionary, at the level of the dictionaries."""
+    import zstandard as z
+
+    compress = z.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False).compress
+    return lambda block: len(compress(block))
+
+
+def decide(text: str | None, models: list[Model], letter, plain) -> tuple[str, float, float, bool]:
+    """Language, score from 0 to 1, margin in bytes, and whether the text is like that language. ``und`` without a letter or without a model."""
     if not text or not models or not letter(text):
-        return UNKNOWN, 0.0, 0.0
+        return UNKNOWN, 0.0, 0.0, False
     data = text.lower().encode("utf-8")
     blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
     found = sorted((m.size(blocks), m.lang) for m in models)
+    least = found[0][0]
+
+    def like(margin: float) -> bool:
+        if len(data) < SHORT_BYTES or margin >= CLEAR_MARGIN * least:
+            return True
+        without = sum(map(plain, blocks))
+        return without - least >= max(MIN_SAVED_BYTES, MIN_SAVED * without)
+
     if len(found) == 1:
-        return found[0][1], 1.0, float(len(data))
-    if found[1][0] - found[0][0] < LOOK_AGAIN:
+        return found[0][1], 1.0, float(len(data)), like(0.0)
+    if found[1][0] - least < LOOK_AGAIN:
         found = sorted((m.growth(blocks), m.lang) for m in models)
     best = found[0][0]
-    return found[0][1], 1.0 / sum(math.exp(max(-60.0, best - x)) for x, _ in found), found[1][0] - best
+    margin = found[1][0] - best
+    return found[0][1], 1.0 / sum(math.exp(max(-60.0, best - x)) for x, _ in found), margin, like(margin)
 
 
 def identify(docs: DataFrame, sample: Sample, text: str = "text", min_margin: float = MIN_MARGIN, keep_text: bool = False) -> DataFrame:
     """Adds ``lang_pred``, ``score``, ``margin`` and ``rejected``; drops ``text`` unless kept.
 
-    ``rejected`` is true for a margin below ``min_margin`` bytes, and for ``und``: a null text or
-    one without a letter. Equal sizes go to the language first in order. Only the text counts. Other columns pass through
+    ``rejected`` is true for a margin below ``min_margin`` bytes, for a text that is not like the language found (see
+    above), and for ``und``: a null text or one without a letter. Equal sizes go to the language first in order. Only the text counts. Other columns pass through
     except old ones of these names; repeated rows stay; an empty table gives an empty result.
     """
     added = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
@@ -104,11 +129,11 @@ def identify(docs: DataFrame, sample: Sample, text: str = "text", min_margin: fl
     def start():
         import regex
 
-        models, letter = [Model(k, v) for k, v in sorted(sample.items())], regex.compile(r"\p{L}").search
+        models, letter, plain = [Model(k, v) for k, v in sorted(sample.items())], regex.compile(r"\p{L}").search, plain_compressor()
 
         def work(texts):
-            out = [decide(x, models, letter) for x in texts]
-            return {"lang_pred": [o[0] for o in out], "score": [o[1] for o in out], "margin": [o[2] for o in out], "rejected": [o[0] == UNKNOWN or o[2] < min_margin for o in out]}
+            out = [decide(x, models, letter, plain) for x in texts]
+            return {"lang_pred": [o[0] for o in out], "score": [o[1] for o in out], "margin": [o[2] for o in out], "rejected": [o[0] == UNKNOWN or o[2] < min_margin or not o[3] for o in out]}
 
         return work
 
