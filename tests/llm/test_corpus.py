@@ -349,6 +349,19 @@ def test_disguises(text, want):
     assert personal.redact(text) == want
 
 
+@pytest.mark.parametrize(
+    "text,want,every",
+    [
+        ("to jоhn@example.com now", "to <email> now", "email:3:19,email:5:19"),
+        ("x@mail.exаmple.com", "<email>", "email:0:9,email:0:18"),
+        ("jo\u200bhn@mail.example.com, a@b.co", "<email>, <email>", "email:0:22,email:3:22,email:24:30"),
+        ("“a@b.co” и", "“<email>” и", "email:1:7"),
+    ],
+)
+def test_disguises_around_base_spans(text, want, every):
+    assert personal.redact(text) == want and spans.joined(personal.scan(text)[1]) == every
+
+
 # --- SimHash
 
 

@@ -3,8 +3,8 @@
 Transducers rewrite disguises one after the other: homoglyphs to their ASCII letters and digits, spelled
 digits to digits, bracketed ``at`` and ``dot`` to ``@`` and ``.``. Every character of the copy remembers
 the stretch of the source that it came from, so identifiers found in the copy map back to source
-characters. Spans of the fixed patterns on the source always stay; a span of the copy is added where it
-overlaps none of them.
+characters. Spans of the fixed patterns on the source always stay; a span of the copy is added unless one of
+them, or one added before it, equals or contains it.
 """
 
 from __future__ import annotations
@@ -154,7 +154,7 @@ def scan(text: str | None) -> tuple[list[S.Span], list[S.Span]]:
     extra: list[S.Span] = []
     for start, end, kind in detect(copy.text):
         a, b = copy.source(start, end)
-        if not S.overlaps(a, b, base) and not S.overlaps(a, b, extra):
+        if not S.within(a, b, base) and not S.within(a, b, extra):
             extra.append((a, b, kind))
     return base, sorted(base + extra, key=S.by_kind(KINDS))
 

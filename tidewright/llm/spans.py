@@ -36,3 +36,8 @@ def sha256(text: str) -> str:
 
 def overlaps(start: int, end: int, spans: Iterable[Span]) -> bool:
     return any(start < e and s < end for s, e, _ in spans)
+
+
+def within(start: int, end: int, spans: Iterable[Span]) -> bool:
+    """Whether one span equals or contains the stretch."""
+    return any(s <= start and end <= e for s, e, _ in spans)
