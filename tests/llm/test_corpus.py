@@ -362,6 +362,29 @@ def test_disguises_around_base_spans(text, want, every):
     assert personal.redact(text) == want and spans.joined(personal.scan(text)[1]) == every
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("jo\u00adhn@example.com", "<email>"),
+        ("call +1\u00a0415\u00a0555\u00a01212 now", "call <phone> now"),
+        ("call +1 415 555 121² now", "call <phone> now"),
+        ("call plus 1 four 1 five 5 five 0 one 9 two ok", "call <phone> ok"),
+        ("in 2019, 2020, 2021, 2038", "in 2019, 2020, 2021, 2038"),
+    ],
+)
+def test_disguises_alone_and_beside_other_characters(text, want):
+    for a, b in (("", ""), ("“", "” "), ("é ", " ñ")):
+        assert personal.redact(a + text + b) == a + want + b
+
+
+def test_gate_opens_exactly_where_the_copy_differs(docs):
+    rng = random.Random(8)
+    parts = ["one", "Two", "fünf", "plus", "1", "42", " ", " ", ", ", ".", "-", "at", "[at]", " dot ", "( DOT )", "dot", "[ dot", "a", "x", "\u00ad", "\u00a0", "²", "é", "о", "’", "@", "someone"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 14))) for _ in range(20000)]
+    for t in made + [x for _, x in texts(docs)]:
+        assert personal.disguised(t) == (personal.deobfuscate(t).text != t), t
+
+
 # --- SimHash
 
 

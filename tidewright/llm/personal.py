@@ -9,6 +9,7 @@ them, or one added before it, equals or contains it.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 
@@ -43,8 +44,9 @@ SPELLED_RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{_digit}|plus|[0-9]+)(?:[\x20.,-]+(
 SPELLED_ONE = re.compile(rf"(?i)(?:{_digit}|plus)(?!\w)")
 AT = re.compile(r"(?i)\x20*(?:\[\x20*at\x20*\]|\(\x20*at\x20*\)|\{\x20*at\x20*\}|<\x20*at\x20*>)\x20*|(?<=[A-Za-z0-9])\x20+at\x20+(?=[A-Za-z0-9-]+(?:\x20*[\[({]\x20*dot|\x20+dot\x20))")
 DOT = re.compile(r"(?i)\x20*(?:\[\x20*dot\x20*\]|\(\x20*dot\x20*\)|\{\x20*dot\x20*\}|<\x20*dot\x20*>)\x20*|(?<=[A-Za-z0-9])\x20+dot\x20+(?=[A-Za-z0-9])")
-#: A text without any of these needs no copy.
-DISGUISED = re.compile(rf"(?i)[^\x00-\xff]|[\[({{<]\x20*(?:at|dot)\x20*[\])}}>]|\x20dot\x20|(?:(?<!\w)(?:{_digit})[\x20.,-]+){{3}}")
+# Quick tests that hold wherever AT (without a dot) or a spelled run can match.
+AT_BRACKETS = re.compile(r"(?i)[\[({<]\x20*at\x20*[\])}>]")
+SPELLED_NEAR = re.compile(rf"(?i)(?<!\w)(?:{_digit}|plus)[\x20.,-]+(?:{_digit}|[0-9])|[0-9][\x20.,-]+(?:{_digit})(?!\w)")
 
 
 def luhn(digits: str) -> bool:
@@ -115,9 +117,9 @@ ODD = re.compile(r"[^\x00-\x7f]")
 HIDDEN = re.compile("[​-‍⁠﻿­]")
 
 
-def _plain(m) -> str:
+@functools.lru_cache(maxsize=1 << 16)
+def _ascii(c: str) -> str:
     """The ASCII form of a character of another script or width, or the character itself."""
-    c = m[0]
     if c in LOOKALIKES:
         return LOOKALIKES[c]
     if unicodedata.category(c) == "Nd":
@@ -126,11 +128,27 @@ def _plain(m) -> str:
     return folded if folded.isascii() and len(folded) == 1 else c
 
 
+def _plain(m) -> str:
+    return _ascii(m[0])
+
+
 def _spelled(m) -> str:
+    """The run in figures; one without a spelled digit or plus is no disguise and stays."""
+    if not SPELLED_ONE.search(m[0]):
+        return m[0]
     text = SPELLED_ONE.sub(lambda d: SPELLED.get(d[0].lower(), "+"), m[0])
     return re.sub(r"(?<=[0-9+])[\x20.,-]+(?=[0-9])", "", text)
 
 
+def disguised(text: str) -> bool:
+    """Whether ``deobfuscate`` changes the text: each of its patterns is tried, the slow ones after quick tests."""
+    if not text.isascii() and any(c > "\x7f" and (HIDDEN.match(c) or _ascii(c) != c) for c in set(text)):
+        return True
+    if AT_BRACKETS.search(text) or ("dot" in text.lower() and (DOT.search(text) or AT.search(text))):
+        return True
+    return bool(SPELLED_NEAR.search(text)) and any(_spelled(m) != m[0] for m in SPELLED_RUN.finditer(text))
+
+
 def deobfuscate(text: str) -> Tracked:
     """The rewritten copy, hidden characters dropped."""
     copy = Tracked(text)
@@ -146,11 +164,9 @@ def scan(text: str | None) -> tuple[list[S.Span], list[S.Span]]:
     """Spans of the fixed patterns, and those with the ones that disguises hid. A null text is empty."""
     text = text or ""
     base = detect(text)
-    if not DISGUISED.search(text):
+    if not disguised(text):
         return base, base
     copy = deobfuscate(text)
-    if copy.text == text:
-        return base, base
     extra: list[S.Span] = []
     for start, end, kind in detect(copy.text):
         a, b = copy.source(start, end)
