@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,13 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (single-machine tests) a temporary folder is used.
+    Where the session names none, a local session (one machine) gets a temporary folder that goes when Python ends; on a
+    cluster that raises, as no folder of the driver's machine would do.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="spark-tidewright-"))
+        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
     return _own_dir[0]
 
 
@@ -50,13 +56,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def hash_sample(df: DataFrame, most: int, *columns: str, salt: str = "") -> DataFrame:
     """At most ``most`` rows of ``df``, those with the smallest hashes of ``columns``; rows with equal hashes count once.
 
-    A threshold on the hash, set from the number of rows, leaves about twice the sample for the final order, so what meets
-    there is bounded whatever the number of tasks.
+    A threshold on the hash, set from the number of distinct hashes (copies do not shrink the sample), leaves about twice the
+    sample for the final order, so what meets there is bounded whatever the number of tasks.
     """
     range_ = 1 << 30
-    n = df.count()
-    cut = range_ if n <= 2 * most else max(1, range_ * 2 * most // n)
     h = F.pmod(F.xxhash64(F.lit(salt), *(F.col(c).cast("string") for c in columns)), F.lit(range_))
+    n = df.agg(F.approx_count_distinct(h)).first()[0]
+    cut = range_ if n <= 2 * most else max(1, range_ * 2 * most // n)
     near = df.withColumn("__h", h).where(F.col("__h") < cut).dropDuplicates(["__h"])
     return near.orderBy("__h").limit(most).drop("__h")
 
@@ -100,6 +106,14 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public tokenizer's file is on this machine."""
     import public_tokenizers
