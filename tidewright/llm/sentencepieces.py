@@ -22,27 +22,32 @@ from tidewright.llm._common import map_texts, vocabulary_path
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Stretches a worker remembers, and pairs of pieces; two generations of each are held.
-KEPT_STRETCHES = 200_000
+#: Bytes, about, of the stretches that a worker remembers (two generations are held), and how many pairs of pieces.
+KEPT_BYTES = 85_000_000
 KEPT_PAIRS = 500_000
 
 _tables: dict[str, PieceTable] = {}
 
 
 class Recent(dict):
-    """A dict whose entries move to an old generation, and are then forgotten, as it fills."""
+    """A dict of texts whose entries move to an old generation, and are then forgotten, as it fills.
 
-    def __init__(self, most: int):
-        self.most, self.old = most, {}
+    An entry counts as ``fixed`` bytes and ``each`` for a character of its key, so that a few very long texts fill it as many short ones do.
+    """
+
+    def __init__(self, most: int, fixed: int, each: int):
+        self.most, self.fixed, self.each, self.size, self.old = most, fixed, each, 0, {}
 
     def __missing__(self, key):
         value = self[key] = self.old[key]
         return value
 
     def __setitem__(self, key, value):
-        if len(self) >= self.most:
+        if self.size >= self.most:
             self.old = dict(self)
             self.clear()
+            self.size = 0
+        self.size += self.fixed + self.each * len(key)
         super().__setitem__(key, value)
 
 
@@ -74,7 +79,7 @@ class PieceTable:
             raise ValueError("a piece crosses a blank or a line break")
         self.stretch = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
         self.pair: dict[tuple[str, str], bool] = {}
-        self.known: Recent = Recent(KEPT_STRETCHES)
+        self.known: Recent = Recent(KEPT_BYTES, 390, 10)
         self.automaton = ahocorasick.Automaton()
         for p in joined:
             if self.merge(p) == [p]:  # others never come out of merging
@@ -225,9 +230,9 @@ FIELDS = T.StructType([
 def encode_texts(docs: DataFrame, text: str = "text", model_path: str | None = None) -> DataFrame:
     """Adds ``n_tokens``, ``ids`` (comma-joined decimals) and ``decoded``; drops ``text``.
 
-    Null and empty texts have no ids and decode to an empty text. Other columns pass through; repeated
-    rows stay repeated; an empty table gives an empty result. ``model_path`` must exist on every
-    executor; the default is the public file installed with the tokenizers.
+    Null and empty texts have no ids and decode to an empty text. Very long texts are encoded whole, in time linear in
+    them. Other columns pass through, except old ones of the three names; repeated rows stay repeated; an empty table gives an empty
+    result. ``model_path`` must exist on every executor; the default is the public file installed with the tokenizers.
     """
 
     def start():
