@@ -191,13 +191,7 @@ def _count_windows(found: DataFrame, length: int) -> DataFrame:
     return windows.join(again, ["w1", "w2"], "left_semi").select("anchor", "context", "a", (F.col("a") + 1).alias("e"))
 
 
-RESULT = T.StructType([
-    T.StructField("doc_id", _LONG),
-    T.StructField("n_bytes", _LONG),
-    T.StructField("n_removed", _LONG),
-    T.StructField("n_spans", _LONG),
-    T.StructField("kept_sha256", T.StringType()),
-])
+COUNTS = ("n_bytes", "n_removed", "n_spans")
 
 
 def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -227,11 +221,16 @@ def covered_spans(slim: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     schema = T.StructType([T.StructField("anchor", _LONG), T.StructField("context", _LONG), T.StructField("data", T.BinaryType()), T.StructField("windows", _INT), T.StructField("contexts", _LONG)])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for b in slices(batches, 64):
-            rows = [(p["anchor"], p["context"], data[p["first"] : p["first"] + p["windows"] + length - 1], p["windows"], p["contexts"]) for data, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for p in places]
+            rows = []
+            for k1, k2, data, places in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if (k1, k2) != before:  # repeated rows come one after the other, and one of them is enough
+                    rows += [(p["anchor"], p["context"], data[p["first"] : p["first"] + p["windows"] + length - 1], p["windows"], p["contexts"]) for p in places]
+                before = (k1, k2)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names=schema.names)
 
-    found = slim.join(by_row, ["k1", "k2"]).select("data", "places").mapInArrow(extract, schema)
+    found = slim.join(by_row, ["k1", "k2"]).select("k1", "k2", "data", "places").mapInArrow(extract, schema)
     found = materialize(found, "context-texts")
     spans = _sort_shards(found.where(F.col("contexts") <= hot).drop("contexts"), length, shard_bytes)
     if not found.where(F.col("contexts") > hot).isEmpty():
@@ -242,36 +241,35 @@ def covered_spans(slim: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     placed = occurrences.join(materialize(spans, "context-spans"), ["anchor", "context"])
     placed = placed.select("k1", "k2", "s", F.explode("firsts").alias("first")).select("k1", "k2", "first", F.explode("s").alias("s")).select("k1", "k2", "first", "s.a", "s.e")
     span = F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("e") + F.lit(length - 1)).alias("e"))
-    return placed.groupBy("k1", "k2").agg(F.collect_list(span).alias("spans"))
+    return placed.groupBy("k1", "k2").agg(F.collect_set(span).alias("spans"))  # a set: repeated rows give the same spans
 
 
 def _slim(docs: DataFrame, text: str) -> DataFrame:
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    # a null id is a key like any other; equal ids with unequal texts are told apart by the text's hash
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), data.alias("data")).select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("data").alias("k2"), "data"
-    )
+    # ids of any type; a null id is a key like any other, and equal ids with unequal texts are told apart by the text's hash
+    return docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("k1"), F.xxhash64(data).alias("k2"), data.alias("data"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, **limits) -> DataFrame:
     """``doc_id`` and ``kept`` (binary) with ``n_bytes``, ``n_removed`` and ``n_spans`` for each row.
 
     Texts are UTF-8 bytes; a null text is empty. Matches never cross documents, overlaps count, and strings are judged on
-    the input. Texts shorter than ``length`` stay whole. Repeated rows are documents of their own, so all of their
-    windows repeat. An empty table gives an empty result; other columns are ignored.
+    the input. Texts shorter than ``length`` stay whole, very long ones are read in overlapping stretches. Repeated rows are documents
+    of their own, so all of their windows repeat. Ids may be of any type, null and tied. An empty table gives an empty result; other
+    columns are ignored.
     """
     slim = _slim(docs, text)
     spans = covered_spans(slim.select("k1", "k2", "data"), length, anchor, **limits)
-    schema = T.StructType([*RESULT.fields[:4], T.StructField("kept", T.BinaryType())])
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *(T.StructField(n, _LONG) for n in COUNTS), T.StructField("kept", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
             rows = []
-            for i, data, found in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for data, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 kept, runs = cut(data, [(s["a"], s["e"]) for s in found or ()])
-                rows.append((i, len(data), len(data) - len(kept), runs, kept))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=schema.names)
+                rows.append((len(data), len(data) - len(kept), runs, kept))
+            made = [pa.array([r[k] for r in rows], pa.int64() if k < 3 else pa.binary()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *made], names=schema.names)
 
     return slim.join(spans, ["k1", "k2"], "left").select("doc_id", "data", "spans").mapInArrow(run, schema)
 
@@ -281,4 +279,4 @@ def removal_digests(docs: DataFrame, **how) -> DataFrame:
     return remove_repeats(docs, **how).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-__all__ = ["RESULT", "covered_spans", "cut", "remove_repeats", "removal_digests"]
+__all__ = ["covered_spans", "cut", "remove_repeats", "removal_digests"]
