@@ -4,7 +4,7 @@ Transducers rewrite disguises one after the other: homoglyphs to their ASCII let
 digits to digits, bracketed ``at`` and ``dot`` to ``@`` and ``.``. Every character of the copy remembers
 the stretch of the source that it came from, so identifiers found in the copy map back to source
 characters. Spans of the fixed patterns on the source always stay; a span of the copy is added unless one of
-them, or one added before it, equals or contains it.
+them, or another of the copy, equals or contains it (of equal ones the first kind stays).
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ import functools
 import re
 import unicodedata
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.llm import spans as S
-from tidewright.llm._common import map_texts
+from tidewright.llm._common import free_name, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -88,29 +89,37 @@ def detect(text: str) -> list[S.Span]:
 
 
 class Tracked:
-    """A rewritten text; character i stands for ``source[starts[i]:ends[i]]``."""
+    """A rewritten text; character i stands for ``source[starts[i]:ends[i]]``. Eight bytes a character."""
 
     def __init__(self, text: str):
-        self.text, self.starts, self.ends = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.text, self.starts = text, np.arange(len(text), dtype=np.int32)
+        self.ends = self.starts + np.int32(1)
 
     def rewrite(self, pattern, new) -> None:
         """Replace each match by ``new(match)``; the replacement stands for all of the match."""
-        parts, starts, ends, at = [], [], [], 0
+        parts, kept, at = [], [], 0  # kept: stretches of places that stay, or a match's place repeated
         for m in pattern.finditer(self.text):
             a, b = m.span()
             to = new(m)
             if a == b or to == m[0]:
                 continue
             parts += [self.text[at:a], to]
-            starts += self.starts[at:a] + [self.starts[a]] * len(to)
-            ends += self.ends[at:a] + [self.ends[b - 1]] * len(to)
+            kept.append((at, a, b, len(to)))
             at = b
-        if parts:
-            self.text = "".join([*parts, self.text[at:]])
-            self.starts, self.ends = starts + self.starts[at:], ends + self.ends[at:]
+        if not parts:
+            return
+        self.text = "".join([*parts, self.text[at:]])
+        at_, a, b, n = np.array(kept, np.int64).T
+        # old places in the order of the new text: those before a match, then the match's first (or last) one for each new character
+        counts = np.append(np.stack([a - at_, n], axis=1).reshape(-1), len(self.starts) - b[-1])
+        steps = np.append(np.tile([1, 0], len(a)), 1)
+        for name, of_match in (("starts", a), ("ends", b - 1)):
+            begin = np.append(np.stack([at_, of_match], axis=1).reshape(-1), b[-1])
+            within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            setattr(self, name, getattr(self, name)[np.repeat(begin, counts) + within * np.repeat(steps, counts)])
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        return self.starts[start], self.ends[end - 1]
+        return int(self.starts[start]), int(self.ends[end - 1])
 
 
 ODD = re.compile(r"[^\x00-\x7f]")
@@ -167,11 +176,13 @@ def scan(text: str | None) -> tuple[list[S.Span], list[S.Span]]:
     if not disguised(text):
         return base, base
     copy = deobfuscate(text)
-    extra: list[S.Span] = []
-    for start, end, kind in detect(copy.text):
-        a, b = copy.source(start, end)
-        if not S.within(a, b, base) and not S.within(a, b, extra):
+    found = [(*copy.source(start, end), kind) for start, end, kind in detect(copy.text)]
+    rank = {k: i for i, k in enumerate(KINDS)}
+    known, extra, reach = S.Cover(base), [], -1
+    for a, b, kind in sorted(found, key=lambda s: (s[0], -s[1], rank[s[2]])):
+        if b > reach and not known.contains(a, b):  # those before it begin no later, so none contains it that ends before
             extra.append((a, b, kind))
+            reach = b
     return base, sorted(base + extra, key=S.by_kind(KINDS))
 
 
@@ -182,7 +193,8 @@ def scan_personal(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (fixed patterns), ``base_sha256`` and ``spans``; drops ``text``.
 
     ``spans`` lists all spans as ``kind:start:end`` by kind and start; ``base_sha256`` digests
-    those of the fixed patterns. Null and empty texts have none. Other columns pass through except old ones of
+    those of the fixed patterns. Null and empty texts have none. Very long texts are scanned whole, in time linear in them but for a
+    sort of the spans. Of equal spans found in disguise the first kind counts. Other columns pass through except old ones of
     these names; repeated rows stay; an empty table gives an empty result.
     """
 
@@ -215,11 +227,14 @@ def redact(text: str | None) -> str | None:
 
 
 def redact_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; null texts stay null. Columns keep their order."""
-    name = "__redacted"
+    """``docs`` with personal data in ``text`` replaced; null texts stay null and empty ones empty.
+
+    Other columns, whatever their names, and the order of columns stay; so do repeated rows, and an empty table gives an empty result.
+    """
+    name = free_name(docs, "__redacted")
 
     def start():
         return lambda texts: {name: [redact(x) for x in texts]}
 
     made = map_texts(docs, start, T.StructType([T.StructField(name, T.StringType())]), text)
-    return made.select(*(F.col(name).alias(c) if c == text else F.col(c) for c in docs.columns))
+    return made.select(*(F.col(name).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))

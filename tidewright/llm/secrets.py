@@ -2,38 +2,44 @@
 
 Two models of order one over character classes of a token alphabet, one of random strings and one of
 ordinary identifiers, give a token's log-likelihood ratio for each character. A token at least
-``MIN_LENGTH`` long whose mean ratio and whose total are high enough is a secret of kind ``random``.
+``MIN_LENGTH`` long whose mean ratio and whose total are high enough is a secret of kind ``random``; a token of letters in one case
+needs more, as joined words look much like it.
 
-Training samples are labelled: the values that the fixed patterns find in the corpus, with random strings
-that Spark derives from row hashes, are random; the other long tokens and the words of the corpus
-are ordinary. Both counts are aggregated over character pairs, so the corpus never leaves Spark.
+Training samples are labelled: values that the fixed patterns find in the corpus, with random strings
+that Spark derives from row hashes, are random; all other tokens of the corpus, as they are and in upper case, are ordinary. Tasks
+count character pairs in whole texts and Spark adds the counts up, so every document counts and none leaves Spark.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.llm import spans as S
-from tidewright.llm._common import hash_sample, map_texts, materialize
+from tidewright.llm._common import map_texts, slices
 
 KINDS = ("assign", "access", "hex", "random")
-#: Labelled documents and random strings used for training, at most.
-SAMPLE_DOCS = 4_000
-SAMPLE_RANDOM = 4_000
-MIN_LENGTH = 20
-MIN_MEAN = 1.5
-MIN_TOTAL = 24.0
+#: Random strings that the random model is made of, besides the values that the fixed patterns find.
+RANDOM_STRINGS = 4_000
+MIN_LENGTH = 16
+MIN_MEAN = 1.0
+MIN_TOTAL = 20.0
+#: The same for tokens of letters in one case.
+MIN_MEAN_LETTERS = 1.3
+MIN_TOTAL_LETTERS = 28.0
 
 # Fixed patterns; letters of the keyword in either case, ASCII only.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # longest runs, so short ones may be left out at once
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}")
 
 Model = dict[str, float]
 
@@ -63,14 +69,16 @@ def ratio(token: str, model: Model) -> float:
 
 def extra_spans(text: str, model: Model, base: list[S.Span]) -> list[S.Span]:
     """Tokens that look random and touch no span of the fixed patterns."""
-    out = []
+    out, known = [], None
     for m in TOKEN.finditer(text):
         token = m[0]
-        if token.isalpha() and (token.islower() or token.isupper() or token.istitle()):
-            continue  # joined words; random strings of this length mix cases or hold digits
+        letters = token.isalpha() and (token.islower() or token.isupper() or token.istitle())
+        mean, least = (MIN_MEAN_LETTERS, MIN_TOTAL_LETTERS) if letters else (MIN_MEAN, MIN_TOTAL)
         total = ratio(token, model)
-        if total >= MIN_TOTAL and total >= MIN_MEAN * len(token) and not S.overlaps(*m.span(), base):
-            out.append((*m.span(), "random"))
+        if total >= least and total >= mean * len(token):
+            known = known or S.Cover(base)
+            if not known.overlaps(*m.span()):
+                out.append((*m.span(), "random"))
     return out
 
 
@@ -81,38 +89,88 @@ def scan(text: str | None, model: Model) -> tuple[list[S.Span], list[S.Span]]:
     return base, sorted(base + extra_spans(text, model, base), key=S.by_start(KINDS))
 
 
-def _pairs(tokens: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters, ``^`` standing before the first one."""
-    c = F.regexp_replace(F.regexp_replace("token", "[_-]", "_"), "[^A-Za-z0-9_]", "+")
-    c = F.concat(F.lit("^"), c)
-    pairs = F.transform(F.sequence(F.lit(1), F.length("c") - 1), lambda i: F.substring("c", i, F.lit(2)))
-    return tokens.select(c.alias("c")).where("length(c) > 1").select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+#: The alphabet of tokens by class; place 0 stands for what is before a token.
+_CLASSES = "^" + "".join(c for c in map(chr, range(128)) if c.isalnum()) + "_+"
+_SIZE = len(_CLASSES)
+_CLASS_OF = np.zeros(256, np.uint16)
+for _c in map(chr, range(128)):
+    if _c.isalnum() or _c in "+/_=-":
+        _CLASS_OF[ord(_c)] = _CLASSES.index(_class(_c))
+_UPPER_OF = np.array([_CLASSES.index(c.upper()) for c in _CLASSES])
+
+
+def _count(text: str) -> np.ndarray:
+    """How often each class follows each in the tokens of a text, ``^`` standing before a token's first character."""
+    c = _CLASS_OF[np.frombuffer(text.encode("utf-8"), np.uint8)]
+    before = np.concatenate((np.zeros(1, np.uint16), c[:-1]))
+    return np.bincount(before * np.uint16(_SIZE) + c, minlength=_SIZE * _SIZE)
+
+
+def count_pairs(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pair counts of the values of fixed patterns (16 characters or more), and of all else."""
+    text = text or ""
+    spans = base_spans(text)
+    values = [text[a:e] for a, e, k in spans if k != "assign"] + [m[1] for m in ASSIGN.finditer(text)]
+    secret = _count(" ".join(v for v in values if len(v) >= 16))
+    out, at = [], 0
+    for a, e, _ in spans:
+        out.append(text[at : max(a, at)])
+        at = max(at, e)
+    return secret, _count(" ".join([*out, text[at:]]))
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """The log ratio of each character pair, from a bounded sample of ``docs``.
+    """The log ratio of each character pair, from every text of ``docs``.
 
-    At most ``SAMPLE_DOCS`` rows, the first by a hash of the text, and ``SAMPLE_RANDOM`` random strings in
-    hexadecimal and base64. Returns at most some 4,200 numbers. Without any text the ordinary model
-    is flat.
+    A task adds up its texts and gives at most ``2 * 65 * 65`` counts, so some 8,500 sums come to the driver whatever
+    the size. ``RANDOM_STRINGS`` strings in hexadecimal and base64 are added to the random model. Null texts count as empty; without any
+    text the ordinary model is flat.
     """
-    rows = docs.select(F.col(text).alias("text")).where("text is not null")
-    sample = materialize(hash_sample(rows, SAMPLE_DOCS, "text").repartition(16), "secret-sample")
-    secret = F.regexp_extract_all("text", F.lit(ASSIGN.pattern.replace("(?ai:", "(?i:")), F.lit(1))
-    found = sample.select(F.explode(secret).alias("token")).where("length(token) >= 16")
-    ordinary = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{3,}"), F.lit(0))).alias("token")).where("not token rlike '[0-9a-f]{16,}'")
-    ordinary = ordinary.withColumn("t2", F.upper("token")).select(F.explode(F.array("token", "t2")).alias("token"))
+    schema = T.StructType([T.StructField("pair", T.IntegerType()), T.StructField("random", T.LongType()), T.StructField("ordinary", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, _SIZE * _SIZE), np.int64)
+        for b in slices(batches):
+            for x in b.column(0).to_pylist():
+                sums += count_pairs(x)
+        at = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[0][at]), pa.array(sums[1][at])], names=schema.names)
+
     digest = F.sha2(F.concat(F.lit("random "), F.col("id").cast("string")), 256)
-    random = docs.sparkSession.range(SAMPLE_RANDOM).select(F.explode(F.array(F.base64(F.unhex(digest)), F.substring(digest, 1, 40))).alias("token"))
-    counted = (
-        _pairs(found.union(random)).withColumn("random", F.lit(True)).union(_pairs(ordinary).withColumn("random", F.lit(False))).collect()
-    )  # pairs of 64 classes: bounded by the alphabet
-    return log_ratios([(r["pair"], r["n"]) for r in counted if r["random"]], [(r["pair"], r["n"]) for r in counted if not r["random"]])
+    random = docs.sparkSession.range(RANDOM_STRINGS).select(F.concat_ws(" ", F.base64(F.unhex(digest)), F.substring(digest, 1, 40)).alias("t"))
+    made = np.zeros(_SIZE * _SIZE, np.int64)
+    for r in random.collect():  # a fixed number of short strings
+        made += _count(r["t"])
+    counted = docs.select(F.col(text)).mapInArrow(run, schema).groupBy("pair").agg(F.sum("random").alias("random"), F.sum("ordinary").alias("ordinary")).collect()
+    secret, ordinary = made, np.zeros(_SIZE * _SIZE, np.int64)
+    for r in counted:
+        secret[r["pair"]] += r["random"]
+        ordinary[r["pair"]] = r["ordinary"]
+    return model_of(secret, ordinary)
+
+
+def model_of(secret: np.ndarray, ordinary: np.ndarray) -> Model:
+    """Log ratios from pair counts.
+
+    Ordinary words also count in upper case, and as joined into identifiers, a third with a capital and a third with ``_`` between.
+    """
+    square = ordinary.reshape(_SIZE, _SIZE).astype(float)
+    np.add.at(square, (_UPPER_OF[:, None], _UPPER_OF[None, :]), square.copy())
+    ends, starts = square[1:, 0], square[0, 1:]
+    joined = np.outer(ends, starts) / (3 * max(1.0, starts.sum()))
+    mark = _CLASSES.index("_")
+    inner = square.copy()
+    np.add.at(inner, (np.arange(1, _SIZE)[:, None], _UPPER_OF[None, 1:]), joined)
+    inner[1:, mark] += ends / 3
+    inner[mark, 1:] += starts / 3
+    name = lambda i: _CLASSES[i // _SIZE] + _CLASSES[i % _SIZE]
+    pairs = lambda x: [(name(i), int(n)) for i, n in enumerate(x.tolist()) if n >= 1 and i % _SIZE]
+    return log_ratios(pairs(secret), pairs(inner.reshape(-1)))
 
 
 def log_ratios(random: list[tuple[str, int]], ordinary: list[tuple[str, int]]) -> Model:
     """Smoothed transition probabilities of two Markov models as log ratios."""
-    letters = sorted({c for p, _ in random + ordinary for c in p} - {"^"})
+    letters = _CLASSES[1:]
 
     def logs(counted):
         n = dict(counted)
@@ -132,7 +190,8 @@ def scan_secrets(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
     """Adds ``n_assign``, ``n_access``, ``n_hex``, ``n_random``, ``base_sha256`` and ``spans``; drops ``text``.
 
     ``spans`` lists all spans as ``kind:start:end`` by start; ``base_sha256`` digests those of
-    the fixed patterns. Null and empty texts have none. Other columns pass through except old ones of these
+    the fixed patterns. Null and empty texts have none. Very long texts are scanned whole, in time linear in them but for a sort of
+    the spans. Spans of one start are ordered by kind, then end. Other columns pass through except old ones of these
     names; repeated rows stay; an empty table gives an empty result.
     """
 

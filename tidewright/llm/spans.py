@@ -5,6 +5,7 @@ A span is ``(start, end, kind)`` in code points, end exclusive.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Callable, Iterable
 
@@ -34,10 +35,22 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def overlaps(start: int, end: int, spans: Iterable[Span]) -> bool:
-    return any(start < e and s < end for s, e, _ in spans)
+class Cover:
+    """Spans by start, for quick questions about a stretch."""
 
+    def __init__(self, spans: Iterable[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []  # the greatest end of all spans up to this one
+        for start, end, _ in sorted(spans):
+            self.starts.append(start)
+            self.ends.append(max(end, self.ends[-1]) if self.ends else end)
 
-def within(start: int, end: int, spans: Iterable[Span]) -> bool:
-    """Whether one span equals or contains the stretch."""
-    return any(s <= start and end <= e for s, e, _ in spans)
+    def overlaps(self, start: int, end: int) -> bool:
+        """Whether a span shares a character with the stretch."""
+        k = bisect.bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+    def contains(self, start: int, end: int) -> bool:
+        """Whether one span equals or contains the stretch."""
+        k = bisect.bisect_right(self.starts, start)
+        return k > 0 and self.ends[k - 1] >= end
