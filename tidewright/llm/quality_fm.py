@@ -6,7 +6,7 @@ as half of ``|sum v_i x_i|^2 - sum |v_i x_i|^2``. A text's features are its dist
 ``n_chars``, all hashed into one table of weights.
 
 Spark computes the features in SQL; NumPy scores Arrow batches of them. The machine is fitted on a bounded sample of
-labelled rows, the first by a hash of their id.
+labelled rows, the first by a hash of their id, each whole.
 """
 
 from __future__ import annotations
@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm._common import hash_sample, slices
+from tidewright.llm._common import hash_sample, materialize, slices
 
 WORD_SLOTS = 1 << 16
 STAT_SLOTS = 1 << 10
 RANK = 8
 SAMPLE_DOCS = 6_000
-#: Distinct words that one sample row may give to fitting, chosen by hash; scoring takes all.
-SAMPLE_WORDS = 1_000
+#: Distinct words of all sample rows together, about: rows are taken in the order of a hash, each whole, until there are so many.
+SAMPLE_WORDS = 4_000_000
 EPOCHS = 12
 RATE = 0.02
 DECAY = 2e-4
@@ -138,15 +138,21 @@ def fit(slots: np.ndarray, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, seed
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = SAMPLE_DOCS) -> Machine:
-    """Fit on at most ``most`` rows of ``labels`` (``doc_id``, ``quality``) and their texts.
+    """Fit on at most ``most`` rows of ``labels`` (``doc_id``, ``quality``) and their whole texts, and on ``SAMPLE_WORDS`` words in all.
 
     Null ids and labels teach nothing; of several labels of one document the greatest counts.
     """
     marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
     sample = hash_sample(marks, most, "doc_id", salt="machine")
     rows = features(docs.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi"), text)  # ``most`` ids: bounded
-    rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", F.slice(F.array_sort("words"), 1, SAMPLE_WORDS).alias("words"), "stats", "y")
-    found = rows.toArrow().combine_chunks().sort_by([("doc_id", "ascending")]).combine_chunks()
+    rows = materialize(rows.join(F.broadcast(sample), "doc_id").select("doc_id", "words", "stats", "y", F.xxhash64(F.col("doc_id").cast("string"), "words", "stats").alias("h")).dropDuplicates(["h"]), "machine-sample")
+    sizes = rows.select("h", F.size("words").alias("n")).orderBy("h").limit(2 * most)  # numbers only
+    seen, last = 0, None
+    for r in sizes.collect():
+        if seen >= SAMPLE_WORDS:
+            break
+        seen, last = seen + r["n"], r["h"]
+    found = rows.where(F.col("h") <= F.lit(last)).drop("h").toArrow().combine_chunks().sort_by([("doc_id", "ascending")]).combine_chunks()
     if not found.num_rows:
         none = np.zeros(0, np.int64)
         return fit(none, none.astype(np.float32), none, none.astype(np.float32))
