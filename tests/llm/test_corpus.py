@@ -3,12 +3,15 @@
 import hashlib
 import random
 import re
+import string
+import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import decontamination, language_id, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, spans, suffix_dedup, suffixes, token_counts
+from tidewright.llm import decontamination, language_id, near_copies, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, spans, suffix_dedup, suffixes, token_counts
 from tidewright.llm._common import table
 from tidewright.llm.components import connected_components
 from tidewright.llm.queries import QUERIES
@@ -51,7 +54,15 @@ def test_language(spark, docs, odd):
     assert {(1, "und"), (2, "und"), (3, "und")} <= by
     assert language_id.identify(odd, {}).where("lang_pred <> 'und'").count() == 0
     assert language_id.identify(odd.limit(0), sample).count() == 0 and language_id.learn(odd.limit(0)) == {}
-    assert language_id.keep_identified(odd, sample).columns == odd.columns
+    kept = language_id.keep_identified(odd.withColumn("lang_pred", F.lit("mine")).withColumn("margin", F.lit("mine")), sample)
+    assert kept.columns == [*odd.columns, "lang_pred", "margin"]
+    assert {(r.score, r.rejected, r.lang_pred, r.margin) for r in kept.collect()} == {("clash", "clash", "mine", "mine")}
+
+
+def test_every_language_and_any_part_of_a_text_is_learned(spark):
+    rows = [(f"l{i}", f"w{i} " * 50) for i in range(230)] + [("late", "x" * 30_000 + " ending words of this text")]
+    sample = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(sample) == 231 and b"ending words" in sample["late"]
 
 
 def test_language_rejects_what_it_has_not_learned(spark):
@@ -74,33 +85,52 @@ def test_language_rejects_what_it_has_not_learned(spark):
 
 
 def plain_tiles(doc, item, least):
-    fd, fi, out = [x >= 0 for x in doc], [x >= 0 for x in item], 0
+    fd, fi, out = [x >= 0 for x in doc], [x >= 0 for x in item], []
     while True:
-        best = None
-        for d in range(len(doc)):
-            for p in range(len(item)):
-                n = 0
-                while d + n < len(doc) and p + n < len(item) and fd[d + n] and fi[p + n] and doc[d + n] == item[p + n]:
-                    n += 1
-                if n >= least and (best is None or (-n, d, p) < best):
-                    best = (-n, d, p)
+        best, runs = None, [0] * (len(item) + 1)
+        for d in reversed(range(len(doc))):
+            runs = [runs[p + 1] + 1 if fd[d] and fi[p] and doc[d] == item[p] else 0 for p in range(len(item))] + [0]
+            n = max(runs)
+            if n >= least and (best is None or (-n, d) <= best[:2]):
+                best = (-n, d, runs.index(n))
         if best is None:
             return out
         n, d, p = -best[0], best[1], best[2]
         for k in range(n):
             fd[d + k] = fi[p + k] = False
-        out += n
+        out.append((d, p, n))
 
 
 def test_tiles():
     rng = random.Random(5)
-    for _ in range(300):
-        top = rng.choice([2, 4, 20])
+    for _ in range(400):
+        top = rng.choice([1, 2, 4, 20])
         item = [rng.randint(0, top) for _ in range(rng.randint(1, 30))]
         doc = [rng.randint(-1, top) for _ in range(rng.randint(0, 60))]
         cut = rng.randint(0, len(item))
         doc[5:5] = item[cut:] + [-1] + item[:cut]
-        assert sum(n for *_, n in decontamination.tiles(np.array(doc), np.array(item), 3)) == plain_tiles(doc, item, 3)
+        assert decontamination.tiles(np.array(doc), np.array(item), 3) == plain_tiles(doc, item, 3)
+
+
+def test_decontamination_query_against_plain_tiling(spark, docs, sf_dir):
+    items = {r.item_id: decontamination.words(r.text) for r in table(spark, sf_dir, "benchmark").collect()}
+    seeds = {}
+    for k, w in items.items():
+        for i in range(max(1, len(w) - 4)):
+            seeds.setdefault(tuple(w[i : i + 5]), set()).add(k)
+    want = []
+    for i, t in texts(docs):
+        w = decontamination.words(t)
+        hits = [j for j in range(len(w) - 4) if tuple(w[j : j + 5]) in seeds]
+        near = sorted({j + k for j in hits for k in range(5)})  # tiles lie within seeds
+        part = [x for a, j in zip([-9, *near], near, strict=False) for x in ([None] if j - a > 1 else []) + [w[j]]]
+        for k in sorted(set().union(*(seeds[tuple(w[j : j + 5])] for j in hits))) if hits else ():
+            names = {x: n for n, x in enumerate(dict.fromkeys(items[k]))}
+            made = plain_tiles([names.get(x, -1) for x in part], [names[x] for x in items[k]], 5)
+            covered = sum(n for *_, n in made)
+            if 2 * covered >= len(items[k]):
+                want.append((i, k, len(items[k]), covered, len(made), max(n for *_, n in made), covered / len(items[k])))
+    assert want and sorted(map(tuple, QUERIES["op2_decontamination"](spark, sf_dir).collect())) == sorted(want)
 
 
 def test_decontamination(spark, docs, sf_dir, odd):
@@ -117,6 +147,7 @@ def test_decontamination(spark, docs, sf_dir, odd):
     assert {r.doc_id for r in decontamination.without_leaks(few, bench).collect()} == {2, 3, 4}
     small = decontamination.matches(few, bench, most_items=7)
     assert {r.doc_id for r in small.collect()} == {1}
+    assert {r.doc_id for r in decontamination.without_leaks(few, bench, most_items=7).collect()} == {2, 3, 4}
     nothing = spark.createDataFrame([(1, None), (2, "")], "item_id long, text string")
     assert decontamination.matches(few, nothing).count() == 0 and decontamination.matches(odd.limit(0), bench).count() == 0
     short = spark.createDataFrame([(1, "two words"), (2, "same row")], "item_id long, text string")
@@ -157,6 +188,31 @@ def test_rules(spark, sf_dir, docs, odd):
     assert quality_rules.judge(odd.limit(0), labels.limit(0))[0].count() == 0
 
 
+BLANK = r"[\x20\x09-\x0D]"
+
+
+def test_base_counts_equal_duckdb(sf_dir, spark):
+    """Counts of the fixed patterns and word statistics of operators 3, 7 and 8 by another engine."""
+    key = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    found = lambda pattern, keep, group=0: f"len(list_filter(regexp_extract_all(t, '{pattern}', {group}), lambda x: {keep}))"
+    digits = "length(regexp_replace(x, '[^0-9]', '', 'g'))"
+    luhn = "list_sum(list_transform(range(length(g)), lambda k: CASE WHEN k % 2 = 0 THEN substr(g, length(g) - k, 1)::INT ELSE (2 * substr(g, length(g) - k, 1)::INT) // 10 + (2 * substr(g, length(g) - k, 1)::INT) % 10 END)) % 10 = 0"
+    sql = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM '{sf_dir}/documents.parquet'),
+     k AS (SELECT doc_id, count(*) FILTER ({luhn}) AS n_card FROM (SELECT doc_id, regexp_replace(unnest(regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+')), '[^0-9]', '', 'g') AS g FROM d) WHERE length(g) BETWEEN 16 AND 19 GROUP BY 1)
+     SELECT doc_id, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n_words, length(regexp_replace(t, '{BLANK}', '', 'g')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+     {found(key + "[''\"]?\\x20*[:=]\\x20*[''\"]?([A-Za-z0-9+/_.=-]+)", "length(x) >= 8", 1)} AS n_assign, {found("AKIA[A-Z0-9]+", "length(x) >= 16")} AS n_access, {found("[0-9a-f]+", "length(x) >= 32")} AS n_hex,
+     {found("[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+", "true")} AS n_email, {found("[0-9]+(?:\\.[0-9]+)(?:\\.[0-9]+)(?:\\.[0-9]+)", "list_max(list_transform(string_split(x, '.'), lambda p: p::HUGEINT)) <= 255")} AS n_ip,
+     coalesce(n_card, 0) AS n_card, {found("\\+[0-9][\\x20().0-9-]+[0-9]", f"{digits} BETWEEN 8 AND 15")} AS n_phone FROM d LEFT JOIN k USING (doc_id)"""
+    want = duckdb.sql(sql.replace("\\\\", "\\"))
+    names = [c for c in want.columns if c != "doc_id"]
+    rows = {r[0]: dict(zip(names, r[1:], strict=True)) for r in want.fetchall()}
+    for query in ("op3_quality_rules", "op7_secrets", "op8_personal_data"):
+        for r in QUERIES[query](spark, sf_dir).collect():
+            for n in set(names) & set(r.asDict()):
+                assert rows[r.doc_id][n] == r[n], (r.doc_id, n)
+    assert any(r["n_email"] + r["n_ip"] + r["n_assign"] for r in rows.values())
+
+
 def test_rules_learn_from_labels(spark):
     got, rules = quality_rules.judge(table(spark, "/root/testdata/sf0.01", "documents"), labels := table(spark, "/root/testdata/sf0.01", "labels"))
     r = got.where("NOT base_failed").join(labels, "doc_id").agg(F.count_if(F.expr("kept AND quality = 1")).alias("good"), F.count_if(F.expr("NOT kept AND quality = 0")).alias("bad"), F.count("*").alias("n")).first()
@@ -268,6 +324,14 @@ def test_repeats_query(spark, sf_dir, docs, odd):
     assert suffix_dedup.removal_digests(odd.limit(0)).count() == 0
 
 
+def test_repeats_of_one_row_and_text_ids(spark):
+    text = " ".join(f"word{i} and more of it" for i in range(200))
+    df = spark.range(10_000).select(F.lit("same").alias("doc_id"), F.lit(text).alias("text")).union(spark.createDataFrame([("other", "x" * 150), ("part", "zz " + text[300:900])], "doc_id string, text string"))
+    began = time.time()
+    got = suffix_dedup.removal_digests(df).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, got)) == [("other", 150, 0, 0, 1), ("part", 603, 600, 1, 1), ("same", len(text), len(text), 1, 10_000)] and time.time() - began < 90
+
+
 # --- secrets and personal data
 
 
@@ -301,6 +365,66 @@ def test_secrets(spark, sf_dir, docs, odd):
     assert secrets.redact("a token=abcdefgh12 b", secrets.scan("a token=abcdefgh12 b", model)[1]) == "a <secret> b"
 
 
+ALPHABETS = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base62": string.ascii_letters + string.digits, "lower": string.ascii_lowercase + string.digits, "upper": string.ascii_uppercase + string.digits, "base64": string.ascii_letters + string.digits + "-_"}
+
+
+def test_random_tokens_are_found_and_ordinary_ones_are_not(spark):
+    d = table(spark, "/root/testdata/sf0.01", "documents")
+    model, rng = secrets.train(d), random.Random(11)
+    for name, letters in ALPHABETS.items():
+        for n in (16, 20, 24, 31):
+            made = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(300)]
+            found = np.mean([secrets.scan(f"see {x} there", model)[1] == [(4, 4 + n, "random")] for x in made])
+            assert found >= (0.9 if n >= 20 else 0.8), (name, n, found)
+    letters = ["".join(rng.choice(string.ascii_lowercase) for _ in range(32)) for _ in range(300)]
+    assert np.mean([bool(secrets.scan(x, model)[1]) for x in letters]) >= 0.9
+    plain = ["ABSTRACT_BASE_CLASS_FACTORY_IMPL", "application/x-www-form-urlencoded", "2024-01-02T03-04-05", "node_modules/left-pad/index", "1234567890123456", "0" * 40, "=" * 60, "donaudampfschifffahrtsgesellschaft", "internationalization"]
+    assert not [x for x in plain if secrets.scan(x, model)[1]]
+    clean = [t for _, t in texts(d) if not secrets.base_spans(t)]
+    assert sum(bool(secrets.scan(t, model)[1]) for t in clean) <= 0.001 * len(clean)
+
+
+def test_disguised_data_is_found_and_other_text_is_not():
+    """Recall of the added spans on planted disguises; none in sentences with the same words."""
+    rng, words = random.Random(12), "one two three four five six seven eight nine zero".split()
+    look = str.maketrans("aeopcx", "аеорсх")
+    found = total = 0
+    for _ in range(400):
+        name, host = "".join(rng.choice("abcdefgh") for _ in range(6)), "".join(rng.choice("mnopqrst") for _ in range(5))
+        number = "".join(rng.choice("0123456789") for _ in range(11))
+        spelled = " ".join(words[int(x) - 1] if x != "0" else "zero" for x in number)
+        shown = [f"{name} [at] {host} [dot] com", f"{name} at {host} dot org", f"{name}@{host}.com".translate(look), f"{name}\u200b.x@{host}.com", f"plus {spelled}", "+" + "".join(chr(ord("０") + int(x)) for x in number)]
+        for x in shown:
+            every = personal.scan(f"Write to {x} today")[1]
+            total += 1
+            found += any(a <= 9 and e >= 9 + len(x) for a, e, _ in every)
+    assert found >= 0.95 * total
+    plain = ["We met at noon near the dot com shop.", "One or two, three at most; four came.", "Look at the café, naïve or not.", "Он пришёл домой в 2019 году.", "at 10 dot 5", "Chapter one two three ends."]
+    assert [personal.scan(t)[1] for t in plain] == [[]] * len(plain)
+
+
+@pytest.mark.parametrize("unit", ["aB3dE5gH7jK9mN1pQ2rS%d ", "token=abcdefgh%d aB3dE5gH7jK9mN1pQ2rS ", "a%d@b.co jоhn%d@example.com "])
+def test_many_spans_take_time_in_proportion(docs, spark, unit):
+    model = secrets.train(docs.limit(50))
+    text = "".join(unit.replace("%d", str(i)) for i in range(40_000))
+    began = time.time()
+    base, every = secrets.scan(text, model)
+    personal.redact(text)
+    assert len(text) > 800_000 and time.time() - began < 30 and (every or "@" in unit)
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    rng = random.Random(13)
+    blankless = "".join(rng.choice("abcdethiner") for _ in range(1_000_000))
+    began = time.time()
+    df = spark.createDataFrame([(1, blankless), (2, "spam " * 200_000)], "doc_id long, text string")
+    assert [r.n_tokens > 0 for r in token_counts.token_counts(df).collect()] == [True, True]
+    assert [r.n_tokens > 0 for r in sentencepieces.encode_texts(df).collect()] == [True, True]
+    bench = spark.createDataFrame([(1, "spam " * 2000), (2, "ham eggs " * 1000)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.n_tiles) for r in decontamination.matches(df, bench).collect()] == [(2, 1, 1)]
+    assert time.time() - began < 60
+
+
 def plain_personal(text):
     digits = lambda m: re.sub("[^0-9]", "", m[0])
 
@@ -457,6 +581,70 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def plain_near_copies(rows, least=0.8):
+    def shingles(t):
+        w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set())
+
+    sets, root = {i: shingles(t) for i, t in rows}, {}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i, s in sets.items():
+        root[i] = i
+        for j in root:
+            t = sets[j]
+            if i != j and (len(s & t) >= least * len(s | t) - 1e-9):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in root}
+
+
+def test_near_copies(spark, sf_dir, docs, odd):
+    want = plain_near_copies(texts(docs))
+    assert {r.doc_id: r.component_id for r in near_copies.near_copy_groups(docs).collect()} == want
+    assert want[177] == want[1]  # similarity 0.83, fingerprints nine bits apart
+    rows = sorted((r.doc_id, r.component_id) for r in near_copies.near_copy_groups(odd).collect())
+    assert rows == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 6), (6, 6), (7, 7), (8, 8)]
+    kept = near_copies.keep_one_per_group(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 5, 6, 7, 8]
+    assert near_copies.near_copy_groups(odd.limit(0)).count() == 0
+    both = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (2, "u v w x y z"), (3, "u v w x y z"), (4, "k")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.near_copy_groups(both).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_near_copies_in_large_groups(spark):
+    """Edits of one text, more than an entry gives all pairs of, and recall at the threshold."""
+    rng = random.Random(14)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(120)]
+    rows = [(i, " ".join([*base[:k], f"x{i}", *base[k + 1 :]])) for i in range(3000) for k in [rng.randint(0, 119)]]
+    for i in range(3000, 3400):  # pairs at about 0.8 to 0.9
+        words = [f"v{rng.randint(0, 10**9)}" for _ in range(100)]
+        other = list(words)
+        for k in rng.sample(range(100), 2):
+            other[k] = f"y{i}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    got = {r.doc_id: r.component_id for r in near_copies.near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {got[i] for i in range(3000)} == {0}
+    want = plain_near_copies([x for x in rows if x[0] >= 6000][:400])
+    linked = [i for i in want if want[i] != i]
+    assert all(got[i] in (i, want[i]) for i in want) and sum(got[i] == want[i] for i in linked) >= 0.95 * len(linked) > 0
+
+
+def test_forests_span():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, (40, 2), dtype=np.uint64)
+    x = np.concatenate([base, *(base ^ (np.uint64(1) << rng.integers(0, 63, (40, 2)).astype(np.uint64)) for _ in range(60))])
+    for many in (near_copies.MANY, 100):
+        near_copies.MANY, was = many, near_copies.MANY
+        edges = near_copies.candidates(x)
+        near_copies.MANY = was
+        assert len(edges) == len(x) - 40 and all(np.bitwise_count(x[a] ^ x[b]).sum() <= near_copies.RADIUS for a, b in edges)
+
+
 # --- factorisation machine
 
 
@@ -492,7 +680,7 @@ def test_pipeline(spark, sf_dir, docs, library):
     sample = language_id.learn(docs)
     left = {r.doc_id for r in language_id.identify(docs, sample).collect() if not r.rejected}
     by = {i: t for i, t in texts(docs) if i in left}
-    groups = plain_components({i: plain_fingerprint(t) for i, t in by.items()})
+    groups = plain_near_copies(by.items())
     block = decontamination.Block([(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()])
     want = {i: personal.redact(by[i]) for i in by if groups[i] == i and not any(m[2] >= 0.5 * m[1] for m in block.found(by[i]))}
     assert set(got) == set(want)
