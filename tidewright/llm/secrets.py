@@ -29,6 +29,8 @@ KINDS = ("assign", "access", "hex", "random")
 #: Random strings that the random model is made of, besides the values that the fixed patterns find.
 RANDOM_STRINGS = 4_000
 MIN_LENGTH = 16
+#: Different characters that a token must have; rulers such as ``=====`` have fewer.
+MIN_DISTINCT = 6
 MIN_MEAN = 1.0
 MIN_TOTAL = 20.0
 #: The same for tokens of letters in one case.
@@ -75,7 +77,7 @@ def extra_spans(text: str, model: Model, base: list[S.Span]) -> list[S.Span]:
         letters = token.isalpha() and (token.islower() or token.isupper() or token.istitle())
         mean, least = (MIN_MEAN_LETTERS, MIN_TOTAL_LETTERS) if letters else (MIN_MEAN, MIN_TOTAL)
         total = ratio(token, model)
-        if total >= least and total >= mean * len(token):
+        if total >= least and total >= mean * len(token) and len(set(token)) >= MIN_DISTINCT:
             known = known or S.Cover(base)
             if not known.overlaps(*m.span()):
                 out.append((*m.span(), "random"))
