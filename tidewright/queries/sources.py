@@ -7,7 +7,6 @@ from tidewright.queries._tables import Registry, load
 from tidewright.queries.cdc import _SCD2
 from tidewright.sources import files as f
 from tidewright.streaming import merges as m
-from tidewright.streaming.state import StateTable
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -111,13 +110,12 @@ _LATEST = "SELECT event_id, user_id, ts, event_type, value FROM events QUALIFY r
 
 @R.query(_LATEST)
 def stream_scd1(spark, d):
-    return m.current_rows(m.stream_scd1(_stream(spark, d), f.scratch(spark, "scd1"), ["user_id"], "ts"))
+    return m.stream_scd1(_stream(spark, d), f.scratch(spark, "scd1"), ["user_id"], "ts")
 
 
 @R.query(f"SELECT user_id, ts, event_type, value, valid_from, valid_to, is_current FROM ({_SCD2})")
 def stream_scd2(spark, d):
-    state = m.stream_scd2(_stream(spark, d).drop("event_id"), f.scratch(spark, "scd2"), ["user_id"], "ts")
-    return cdc.scd2(state.read(), ["user_id"], "ts")
+    return m.stream_scd2(_stream(spark, d).drop("event_id"), f.scratch(spark, "scd2"), ["user_id"], "ts")
 
 
 @R.query("SELECT event_id, user_id, ts, event_type, value FROM events")
@@ -129,7 +127,7 @@ def stream_append(spark, d):
 def stream_deletes(spark, d):
     s = _stream(spark, d)
     up, gone = s.where("event_type <> 'error'").select("user_id", "ts", "value"), _stream(spark, d).where("event_type = 'error'").select("user_id", "ts")
-    return m.current_rows(m.stream_deletes(up, gone, f.scratch(spark, "deletes"), ["user_id"], "ts"), "is_delete").drop("is_delete")
+    return m.stream_deletes(up, gone, f.scratch(spark, "deletes"), ["user_id"], "ts").drop("is_delete")
 
 
 @R.query("SELECT event_id, user_id, ts FROM events")
@@ -147,6 +145,13 @@ def stream_windows(spark, d):
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "n", F.round("total", 4).alias("total"), F.round("average", 6).alias("average"))
 
 
+@R.query("""SELECT start, start + INTERVAL 1 DAY AS "end", count(*) AS n FROM (SELECT ts, unnest([time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 6 HOUR * k FOR k IN range(4)]) AS start FROM events) GROUP BY 1, 2""")
+def stream_sliding_windows(spark, d):
+    w = m.window_counts(_stream(spark, d, event_time="ts"), "ts", "1 day", "6 hours")
+    out = m.collect_complete(w, f.scratch(spark, "sliding"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
 @R.query("""WITH x AS (SELECT user_id, ts, coalesce((epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 1800000000)::INT, 1) AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
  k AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM x), s AS (SELECT user_id, min(ts) AS start, max(ts) AS last, count(*) AS events FROM k GROUP BY user_id, session)
  SELECT user_id, start, last, events FROM s WHERE last + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""")
@@ -160,9 +165,8 @@ def stream_sessions(spark, d):
 @R.query(_LATEST)
 def replay_history(spark, d):
     e = load(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    state = StateTable(spark, f.scratch(spark, "replay"), e.schema, ["user_id"])
-    m.replay_windows(e, "ts", ["2023-12-31", "2024-01-10", "2024-01-20", "2024-02-28"], state, lambda s, b: cdc.scd1_merge(s, b, ["user_id"], "ts"))
-    return state.read()
+    rows = m.replay_windows(e, "ts", ["2023-12-31", "2024-01-10", "2024-01-20", "2024-02-28"], f.scratch(spark, "replay"))
+    return cdc.scd1(rows, ["user_id"], "ts")
 
 
 @R.query("""SELECT 'events' AS name, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'versions', count(*) FROM events UNION ALL SELECT 'rows', count(*) FROM events
@@ -177,3 +181,22 @@ def ingest(spark, d):
     ]
     made = m.ingest(spark, tables[:3], f.scratch(spark, "ingest")) | m.ingest(spark, tables[3:], f.scratch(spark, "ingest"))
     return table_row_counts(made).withColumnRenamed("table_name", "name")
+
+
+@R.query("""WITH a AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 7 <> 0), b AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 3 <> 0)
+ SELECT a.c_custkey, a.c_acctbal, 1 AS valid_from, CASE WHEN b.c_custkey IS NULL OR a.c_custkey % 5 = 0 THEN 2 END AS valid_to, b.c_custkey IS NOT NULL AND a.c_custkey % 5 <> 0 AS is_current FROM a LEFT JOIN b ON a.c_custkey = b.c_custkey
+ UNION ALL SELECT b.c_custkey, b.c_acctbal, 2, NULL, true FROM b LEFT JOIN a ON a.c_custkey = b.c_custkey WHERE a.c_custkey IS NULL OR b.c_custkey % 5 = 0""")
+def ingest_snapshot_history(spark, d):
+    path, target, c = f.scratch(spark, "snapshots"), f.scratch(spark, "history"), load(spark, d, "customer").select("c_custkey", "c_acctbal")
+    t = m.Table("customer", path, ["c_custkey"], ingestion_type="snapshot", scd_type="SCD_TYPE_2")
+    c.where("c_custkey % 7 <> 0").write.parquet(path)
+    m.ingest(spark, [t], target)
+    later = c.where("c_custkey % 3 <> 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 5 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    later.write.mode("overwrite").parquet(path)
+    return m.ingest(spark, [t], target)["customer"]
+
+
+@R.query(_LATEST)
+def ingest_scd1_rows(spark, d):
+    path, _ = _landed(spark, d)
+    return m.ingest(spark, [m.Table("events", path, ["user_id"], "ts", cluster_by=["ts"])], f.scratch(spark, "ingest"))["events"]

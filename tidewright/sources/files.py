@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,15 +17,28 @@ _own_dir: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``), or a temporary one where none is named."""
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Where none is named, a local session (one machine) gets a temporary folder that goes when Python ends; on a cluster that raises.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="spark-tidewright-"))
+            atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
         base = _own_dir[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back, so that it is computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_table(spark: SparkSession, path: str, columns: list[str] | None = None, predicate: Column | None = None) -> DataFrame:
     """A Parquet table; columns and predicate reach the scan."""
     df = spark.read.parquet(path)

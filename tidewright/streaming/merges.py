@@ -1,7 +1,8 @@
 """Streams of changes into tables: type 1, type 2, append, deletes, windows, sessions, and a job over many tables.
 
 Sources are file streams with a checkpoint; a run takes what is there when it starts and stops (``availableNow``). Batch size is
-set by files, not by rows.
+set by files, not by rows. A table's changes are kept in one folder for each batch, which a replayed batch overwrites, and merged when they are
+read, so late and repeated batches change nothing and Spark deals the merge to as many tasks as the changes need.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import types as T
 
 from tidewright.operators import cdc
 from tidewright.sources.files import write_clustered
-from tidewright.streaming.state import StateTable
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000, event_time: str | None = None) -> DataFrame:
@@ -29,32 +29,29 @@ def run_to_completion(stream: DataFrame, checkpoint: str, each) -> None:
     query.awaitTermination()
 
 
-def stream_scd1(stream: DataFrame, target: str, keys: list[str], sequence_by: str, is_delete: str | None = None) -> StateTable:
-    """Latest row of each key; state keeps tombstones, readers use ``current_rows``."""
-    state = StateTable(stream.sparkSession, f"{target}/state", stream.schema, keys)
-    run_to_completion(stream, f"{target}/checkpoint", lambda batch, i: state.apply(batch, i, lambda s, b: cdc.scd1_merge(s, b, keys, sequence_by, is_delete)))
-    return state
+def _batches(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """Rows of all batches that were written, none where there were none; ``__batch`` is the batch's number."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/data/__batch=-1")  # so that the folder is there
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("__batch", T.LongType())])).parquet(f"{target}/data")
 
 
-def current_rows(state: StateTable, is_delete: str | None = None) -> DataFrame:
-    df = state.read()
-    return df.where(~F.coalesce(F.col(is_delete), F.lit(False))) if is_delete else df
+def stream_append(stream: DataFrame, target: str) -> DataFrame:
+    """Rows appended once: a batch owns a folder by its number, and a replay overwrites it. A run without new files adds nothing."""
+    run_to_completion(stream, f"{target}/checkpoint", lambda batch, i: batch.write.mode("overwrite").parquet(f"{target}/data/__batch={i}"))
+    return _batches(stream.sparkSession, target, stream.schema).drop("__batch")
 
 
-def stream_scd2(stream: DataFrame, target: str, keys: list[str], sequence_by: str) -> StateTable:
-    """All changes of each key, each once; versions are derived by ``cdc.scd2``, so late rows split versions rightly."""
-    state = StateTable(stream.sparkSession, f"{target}/state", stream.schema, keys)
-    run_to_completion(stream, f"{target}/checkpoint", lambda batch, i: state.apply(batch, i, lambda s, b: s.unionByName(b).distinct()))
-    return state
+def stream_scd1(stream: DataFrame, target: str, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
+    """Latest row of each key over all batches; deletes are kept among the changes, so a late upsert brings no deleted row back."""
+    return cdc.scd1(stream_append(stream, target), keys, sequence_by, is_delete)
 
 
-def stream_append(stream: DataFrame, target: str) -> DataFrame:
-    """Rows appended once: a batch owns a folder by its number, and a replay overwrites it."""
-    run_to_completion(stream, f"{target}/checkpoint", lambda batch, i: batch.write.mode("overwrite").parquet(f"{target}/data/batch={i}"))
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/data/*")
+def stream_scd2(stream: DataFrame, target: str, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
+    """Versions of each key over all batches; late rows split versions rightly, as all changes are there."""
+    return cdc.scd2(stream_append(stream, target), keys, sequence_by, is_delete)
 
 
-def stream_deletes(upserts: DataFrame, deletes: DataFrame, target: str, keys: list[str], sequence_by: str, flag: str = "is_delete") -> StateTable:
+def stream_deletes(upserts: DataFrame, deletes: DataFrame, target: str, keys: list[str], sequence_by: str, flag: str = "is_delete") -> DataFrame:
     """Upserts and tombstones of two streams into one type 1 table; they are joined before the merge, so their order does not matter."""
     both = upserts.withColumn(flag, F.lit(False)).unionByName(deletes.withColumn(flag, F.lit(True)), allowMissingColumns=True)
     return stream_scd1(both, target, keys, sequence_by, flag)
@@ -81,24 +78,38 @@ def session_counts(stream: DataFrame, user: str, event_time: str, gap: str, late
 
 
 def collect_complete(result: DataFrame, target: str) -> DataFrame:
-    """The final result of a stream that gives its whole result each time; each batch has a folder, the last one counts."""
-    last: list[int] = []
-
-    def each(batch: DataFrame, i: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/data/{i}")
-        last[:] = [i]
+    """The final result of a stream that gives its whole result each time; each batch has a folder, the last one counts.
 
+    A run without new files gives the result of the run before, or none.
+    """
+    each = lambda batch, i: batch.write.mode("overwrite").parquet(f"{target}/data/__batch={i}")
     query = result.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return result.sparkSession.read.schema(result.schema).parquet(f"{target}/data/{last[0]}")
+    found = _batches(result.sparkSession, target, result.schema)
+    last = found.agg(F.max("__batch").alias("m")).first()["m"]
+    return found.where(F.col("__batch") == F.lit(last)).drop("__batch")
+
 
+def replay_windows(df: DataFrame, cursor: str, bounds: list[str], target: str) -> DataFrame:
+    """History window by window: ``(bounds[i], bounds[i+1]]``, each one a batch with the window's number; a window run again replaces itself.
 
-def replay_windows(df: DataFrame, cursor: str, bounds: list[str], state: StateTable, merge) -> StateTable:
-    """History window by window: ``(bounds[i], bounds[i+1]]``, each one merge with the window's number as batch id."""
+    Gives the rows of all windows so far, to be merged by ``cdc.scd1`` or ``cdc.scd2``.
+    """
     kind = df.schema[cursor].dataType
     for i, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        state.apply(df.where((F.col(cursor) > F.lit(low).cast(kind)) & (F.col(cursor) <= F.lit(high).cast(kind))), i, merge)
-    return state
+        df.where((F.col(cursor) > F.lit(low).cast(kind)) & (F.col(cursor) <= F.lit(high).cast(kind))).write.mode("overwrite").parquet(f"{target}/data/__batch={i}")
+    return _batches(df.sparkSession, target, df.schema).drop("__batch")
+
+
+def snapshot_history(current: DataFrame, target: str, keys: list[str]) -> DataFrame:
+    """Versions of a table that comes as full snapshots: run ``n`` (from 1) closes and opens versions at ``n``. Each run writes the history anew."""
+    versions = T.StructType([*(T.StructField(f.name, f.dataType) for f in current.schema), T.StructField("valid_from", T.IntegerType()), T.StructField("valid_to", T.IntegerType()), T.StructField("is_current", T.BooleanType())])
+    spark = current.sparkSession
+    runs = _batches(spark, target, versions)
+    before = runs.agg(F.max("__batch").alias("m")).first()["m"] or 0
+    made = cdc.snapshot_scd2(runs.where(F.col("__batch") == F.lit(before)).drop("__batch"), current, keys, before + 1)
+    made.select(F.col("valid_from").cast("int").alias("valid_from"), F.col("valid_to").cast("int").alias("valid_to"), "is_current", *current.columns).select(versions.names).write.mode("overwrite").parquet(f"{target}/data/__batch={before + 1}")
+    return spark.read.schema(versions).parquet(f"{target}/data/__batch={before + 1}")
 
 
 @dataclass
@@ -144,13 +155,11 @@ def _ingest_one(spark: SparkSession, t: Table, target: str) -> DataFrame:
     elif t.ingestion_type == "snapshot":
         out = spark.read.parquet(t.source)
         if t.scd_type == "SCD_TYPE_2":
-            out = out.withColumns({"valid_from": F.lit(1), "valid_to": F.lit(None).cast("int"), "is_current": F.lit(True)})
+            out = snapshot_history(out, target, t.keys)
     else:
         flag = t.is_delete if t.ingestion_type == "cdc_with_deletes" else None
-        if t.scd_type == "SCD_TYPE_2":
-            out = cdc.scd2(stream_scd2(stream, target, t.keys, t.sequence_by).read(), t.keys, t.sequence_by, flag)
-        else:
-            out = current_rows(stream_scd1(stream, target, t.keys, t.sequence_by, flag), flag)
+        merged = stream_scd2 if t.scd_type == "SCD_TYPE_2" else stream_scd1
+        out = merged(stream, target, t.keys, t.sequence_by, flag)
     if t.cluster_by:
         write_clustered(out, f"{target}/clustered", t.cluster_by)
         out = spark.read.parquet(f"{target}/clustered")
