@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidewright.functions.scalars import hl7_ts
 
@@ -125,26 +124,37 @@ def plain(c: Column) -> Column:
     return F.call_function("translate", F.nullif(c, F.lit("")), F.lit("".join([*_SPLIT.values(), *_TEXT.values()])), F.concat(F.col("separators"), F.col("separators")))
 
 
-def segments(messages: DataFrame, message: str = "message") -> DataFrame:
-    """One row for each segment with its ordinal, ``segment`` name, ``fields`` and the metadata of its message.
-
-    A message without MSH is dropped. MSH fields count from the separator, so they are shifted by one. Field zero is the name.
-    """
+def _lines(messages: DataFrame, message: str) -> DataFrame:
+    """Each message with its metadata, its separators and ``__lines``: its segments as they came (``raw``) and with separators rewritten (``text``)."""
     m = messages.where(F.col(message).startswith("MSH"))
     default = {"field": "|", "component": "^", "repetition": "~", "escape": "\\", "subcomponent": "&"}
     own = F.concat(*(F.coalesce(F.nullif(F.substring(message, i, 1), F.lit("")), F.lit(default[k])) for k, i in SEPARATORS.items()))
     text = F.regexp_replace(message, "\r\n?", "\n")
-    m = m.withColumns({"separators": own, "__raw": F.filter(F.split(text, "\n"), lambda x: x != "")})
+    m = m.withColumn("separators", own)
+    filled = lambda c: F.filter(F.split(c, "\n"), lambda x: x != "")
     inner = unescape(F.call_function("translate", text, F.col("separators"), F.lit("".join(_SPLIT.values()))))
-    m = m.withColumn("__lines", F.filter(F.split(inner, "\n"), lambda x: x != ""))
-    head = F.split(F.get("__lines", F.lit(0)), _SPLIT["field"])
+    m = m.withColumn("__lines", F.arrays_zip(filled(text).alias("raw"), filled(inner).alias("text")))
+    head = F.split(F.get("__lines", F.lit(0))["text"], _SPLIT["field"])
     first = lambda n: F.nullif(F.get(head, F.lit(n - 1)), F.lit(""))
     m = m.withColumns({"message_id": plain(first(10)), "message_timestamp": hl7_ts(first(7)), "hl7_version": F.nullif(F.split_part(first(12), F.lit(_SPLIT["component"]), F.lit(1)), F.lit(""))})
-    rows = m.select(*[c for c in m.columns if c not in (message, "__lines", "__raw")], F.posexplode(F.arrays_zip("__raw", "__lines")).alias("ordinal", "__s"))
-    parts = F.split("__s.__lines", _SPLIT["field"])
+    return m.drop(message)
+
+
+def _fields(rows: DataFrame) -> DataFrame:
+    """``segment``, ``fields`` and ``raw_segment`` from ``__s``; MSH fields count from the separator, so they are shifted by one."""
+    parts = F.split("__s.text", _SPLIT["field"])
     name = F.get(parts, F.lit(0))
     shifted = F.concat(F.array(F.lit("MSH"), F.lit(_SPLIT["field"])), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
-    return rows.withColumns({"raw_segment": F.col("__s.__raw"), "segment": name, "fields": F.when(name == "MSH", shifted).otherwise(parts)}).drop("__s")
+    return rows.withColumns({"raw_segment": F.col("__s.raw"), "segment": name, "fields": F.when(name == "MSH", shifted).otherwise(parts)}).drop("__s")
+
+
+def segments(messages: DataFrame, message: str = "message") -> DataFrame:
+    """One row for each segment with its ordinal, ``segment`` name, ``fields`` and the metadata of its message.
+
+    A message without MSH is dropped. MSH fields count from the separator, so they are shifted by one. Field zero is the name.
+    """
+    m = _lines(messages, message)
+    return _fields(m.select(*[c for c in m.columns if c != "__lines"], F.posexplode("__lines").alias("ordinal", "__s")))
 
 
 def field(n: int) -> Column:
@@ -191,20 +201,21 @@ def _plain_sql(c: str) -> str:
 METADATA = ("message_id", "message_timestamp", "hl7_version")
 
 
-def segment_table(rows: DataFrame, segment: str, carry: tuple[str, ...] = ()) -> DataFrame:
+def segment_table(messages: DataFrame, segment: str, carry: tuple[str, ...] = (), message: str = "message") -> DataFrame:
     """The typed table of one segment: message metadata, ``set_id``, columns ``<segment>_<position>``, ``raw_segment``.
 
     Unknown segments, those starting with Z among them, have ``field_1`` to ``field_25`` as text. ``set_id`` is the segment's own or else its
-    position among its message's segments of the name; zero is kept.
+    position among its message's segments of the name; zero is kept. A message's segments of the name are picked and numbered in its own
+    array before rows are made, so messages are told apart whatever their ids, and nothing is shuffled.
     """
-    own = rows.where(F.col("segment") == segment)
+    m = _lines(messages, message)
+    mine = F.filter("__lines", lambda x: F.substring_index(x["text"], _SPLIT["field"], 1) == segment)
+    own = _fields(m.select(*carry, *METADATA, "separators", F.posexplode(mine).alias("__n", "__s")))
     if segment in SEGMENTS:
         count, kinds = SEGMENTS[segment]
         by = {int(p.strip("*")): (k, p.endswith("*")) for k, places in kinds.items() for p in places.split()}
         columns = [typed_field(n, *by.get(n, ("ST", False))).alias(f"{segment.lower()}_{n}") for n in range(1, count + 1)]
     else:
         columns = [F.expr(_plain_sql(f"get(fields, {n})")).alias(f"field_{n}") for n in range(1, GENERIC_FIELDS + 1)]
-    w = Window.partitionBy("message_id").orderBy("ordinal")
     given = field(1).try_cast("int") if segment in REPEATING else F.lit(None).cast("int")
-    own = own.withColumn("set_id", F.coalesce(given, F.row_number().over(w)))
-    return own.select(*carry, *METADATA, "set_id", *columns, "raw_segment")
+    return own.select(*carry, *METADATA, F.coalesce(given, F.col("__n") + 1).alias("set_id"), *columns, "raw_segment")

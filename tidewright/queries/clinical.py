@@ -31,36 +31,43 @@ def _segments(spark, d):
 
 @R.query("SELECT 'M' || c_custkey AS message_id, 'app' AS app, '1.2' AS app_id, '2024-01-02T03:04:05Z' AS message_timestamp, '2.5' AS hl7_version FROM customer")
 def hl7_msh(spark, d):
-    t = messages.segment_table(_segments(spark, d), "MSH")
+    t = messages.segment_table(_messages(spark, d), "MSH")
     return t.select("message_id", F.col("msh_3.namespace").alias("app"), F.col("msh_3.universal_id").alias("app_id"), "message_timestamp", "hl7_version")
 
 
 @R.query("SELECT 'M' || c_custkey AS message_id, 1::INTEGER AS set_id, c_custkey::VARCHAR AS first_id, 'X' || c_custkey AS second_id, 'Customer' AS family, CASE WHEN c_custkey % 2 = 0 THEN '%' ELSE '&' END || split_part(c_name, '#', 2) AS given, '1970-03-04T00:00:00Z' AS born, 'M' AS sex FROM customer")
 def hl7_pid(spark, d):
-    t = messages.segment_table(_segments(spark, d), "PID")
+    t = messages.segment_table(_messages(spark, d), "PID")
     return t.select("message_id", "set_id", F.col("pid_3")[0]["id"].alias("first_id"), F.col("pid_3")[1]["id"].alias("second_id"), F.col("pid_5")[0]["family"].alias("family"), F.col("pid_5")[0]["given"].alias("given"), F.col("pid_7").alias("born"), F.col("pid_8.code").alias("sex"))
 
 
 @R.query("SELECT 'M' || o_custkey AS message_id, o_orderkey::INTEGER AS set_id, o_orderkey::VARCHAR AS placer, 'lab' AS system, 'C' || o_orderstatus AS code, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS at FROM orders")
 def hl7_obr(spark, d):
-    t = messages.segment_table(_segments(spark, d), "OBR")
+    t = messages.segment_table(_messages(spark, d), "OBR")
     return t.select("message_id", "set_id", F.col("obr_2.id").alias("placer"), F.col("obr_2.namespace").alias("system"), F.col("obr_4.code").alias("code"), F.col("obr_7").alias("at"))
 
 
 @R.query("SELECT 'M' || o_custkey AS message_id, 'quantity' AS what, l_quantity AS quantity, l_returnflag AS flag, strftime(l_shipdate, '%Y-%m-%dT00:00:00Z') AS at FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def hl7_obx(spark, d):
-    t = messages.segment_table(_segments(spark, d), "OBX")
+    t = messages.segment_table(_messages(spark, d), "OBX")
     return t.select("message_id", F.col("obx_3.text").alias("what"), F.col("obx_5").cast("double").alias("quantity"), F.col("obx_6.text").alias("flag"), F.col("obx_14").alias("at"))
 
 
 @R.query("SELECT 'M' || o_custkey AS message_id, count(*)::INTEGER AS last, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
 def hl7_set_ids(spark, d):
-    return messages.segment_table(_segments(spark, d), "OBX").groupBy("message_id").agg(F.max("set_id").alias("last"), F.count("*").alias("n"))
+    return messages.segment_table(_messages(spark, d), "OBX").groupBy("message_id").agg(F.max("set_id").alias("last"), F.count("*").alias("n"))
+
+
+@R.query("SELECT set_id, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY o_orderkey)::INTEGER AS set_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1")
+def hl7_set_ids_without_message_ids(spark, d):
+    li, o = load(spark, d, "lineitem", "orders")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat(F.lit("OBX||NM|||"), F.col("l_quantity").cast("string"))), "\r").alias("t"))
+    return messages.segment_table(lines.select(F.concat(F.lit("MSH|^~\\&|app\r"), "t").alias("message")), "OBX").groupBy("set_id").agg(F.count("*").alias("n"))
 
 
 @R.query("SELECT 'M' || c_custkey AS message_id, c_mktsegment AS field_1 FROM customer")
 def hl7_z_segment(spark, d):
-    return messages.segment_table(_segments(spark, d), "ZZ1").select("message_id", "field_1")
+    return messages.segment_table(_messages(spark, d), "ZZ1").select("message_id", "field_1")
 
 
 @R.query("SELECT c_custkey // 10 AS file, count(*) AS messages FROM customer GROUP BY 1")
