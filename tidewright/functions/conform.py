@@ -111,6 +111,8 @@ def conform_column(c: Column, kind: T.DataType, to: T.DataType, strict_booleans:
         return _date(c, kind)
     if isinstance(to, T.TimestampType):
         return _timestamp(c, kind)
+    if isinstance(to, T.TimestampNTZType):
+        return c.try_cast(to) if isinstance(kind, T.TimestampNTZType | T.DateType) else _timestamp(c, kind).cast(to)
     if isinstance(to, T.BinaryType):
         return _binary(c) if isinstance(kind, T.StringType) else c.try_cast("binary")
     raise ValueError(f"{to.simpleString()} is not supported")
@@ -122,20 +124,51 @@ def conform(df: DataFrame, schema: T.StructType, strict_booleans: bool = False)
     return df.select(*((conform_column(F.col(f"`{f.name}`"), have[f.name], f.dataType, strict_booleans) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema))
 
 
+def _reasons(c: Column, kind: T.DataType, to: T.DataType, path: str, nullable: bool = True) -> Column:
+    """Array of texts: what in ``c`` does not fit ``to``, each with its path; elements of arrays and maps count by their container."""
+    none = F.array().cast("array<string>")
+    missing = [] if nullable else [F.when(c.isNull(), F.array(F.lit(f"{path}: missing"))).otherwise(none)]
+    misfit = F.array(F.lit(f"{path}: not a {to.simpleString()}"))
+    if isinstance(to, T.StructType) and isinstance(kind, T.StructType):
+        have = {f.name: f.dataType for f in kind}
+        inner = [_reasons(c[f.name], have[f.name], f.dataType, f"{path}.{f.name}", f.nullable) for f in to if f.name in have]
+        inner += [F.array(F.lit(f"{path}.{f.name}: missing")) for f in to if f.name not in have and not f.nullable]
+        found = F.when(c.isNotNull(), F.concat(none, *inner)).otherwise(none)
+    elif isinstance(to, T.ArrayType) and isinstance(kind, T.ArrayType):
+        found = F.when(c.isNotNull(), F.array_distinct(F.flatten(F.transform(c, lambda x: _reasons(x, kind.elementType, to.elementType, f"{path}[]", to.containsNull))))).otherwise(none)
+    elif isinstance(to, T.MapType) and isinstance(kind, T.MapType):
+        keys = F.transform(F.map_keys(c), lambda x: _reasons(x, kind.keyType, to.keyType, f"{path}.key"))
+        values = F.transform(F.map_values(c), lambda x: _reasons(x, kind.valueType, to.valueType, f"{path}[]", to.valueContainsNull))
+        found = F.when(c.isNotNull(), F.array_distinct(F.flatten(F.concat(keys, values)))).otherwise(none)
+    elif isinstance(kind, T.StringType) and isinstance(to, T.StructType | T.ArrayType | T.MapType):
+        parsed = F.try_parse_json(c)
+        alone = _reasons(c, kind, to.elementType, f"{path}[]") if isinstance(to, T.ArrayType) else misfit
+        shape = r"^\s*\[" if isinstance(to, T.ArrayType) else r"^\s*\{"
+        loose = _loose(to)
+        inner = _reasons(F.from_json(c, loose), loose, to, path)
+        found = F.when(c.isNull(), none).when(~c.rlike(shape), alone).when(parsed.isNull(), misfit).otherwise(inner)
+    else:
+        found = F.when(c.isNotNull() & conform_column(c, kind, to, strict_booleans=True).isNull(), misfit).otherwise(none)
+    return F.concat(found, *missing)
+
+
+def _loose(to: T.DataType) -> T.DataType:
+    """The shape of ``to`` with every scalar as text, so that JSON text can be read whole and its values tested."""
+    if isinstance(to, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in to])
+    if isinstance(to, T.ArrayType):
+        return T.ArrayType(_loose(to.elementType))
+    return T.MapType(T.StringType(), _loose(to.valueType)) if isinstance(to, T.MapType) else T.StringType()
+
+
 def conform_strict(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad rows as they came with ``reasons``: columns whose value did not fit or that must not be null."""
+    """Good rows, and bad rows as they came with ``reasons``: values that did not fit or that must not be null, at any depth.
+
+    A reason names the path of the value, ``s.x`` for a struct's field and ``a[]`` for the elements of an array or map.
+    """
     have = {f.name: f.dataType for f in df.schema}
-    reasons = []
-    for f in schema:
-        if f.name in have:
-            c = F.col(f"`{f.name}`")
-            made = conform_column(c, have[f.name], f.dataType, strict_booleans=True)
-            reasons.append(F.when(c.isNotNull() & made.isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
-            if not f.nullable:
-                reasons.append(F.when(c.isNull(), F.lit(f"{f.name}: missing")))
-        elif not f.nullable:
-            reasons.append(F.lit(f"{f.name}: missing"))
-    marked = df.withColumn("reasons", F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>"))
+    reasons = [_reasons(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name, f.nullable) if f.name in have else F.array(F.lit(f"{f.name}: missing")) for f in schema if f.name in have or not f.nullable]
+    marked = df.withColumn("reasons", F.concat(*reasons) if reasons else F.array().cast("array<string>"))
     good = marked.where(F.size("reasons") == 0).drop("reasons")
     return conform(good, schema, strict_booleans=True), marked.where(F.size("reasons") > 0)
 
