@@ -11,8 +11,8 @@ from tidewright.functions.conform import conform, conform_strict
 from tidewright.operators import cdc, cursors, quality, relational, reports, timeseries
 from tidewright.plans import messages, resources
 from tidewright.sources import files
+from tidewright.streaming import merges
 from tidewright.streaming.merges import Table, ingest
-from tidewright.streaming.state import StateTable
 
 CHANGE = "k string, seq int, v string, gone boolean"
 
@@ -136,8 +136,8 @@ def test_names_and_times(spark):
 
 def test_message_parsing(spark):
     text = "FHS|x\r\nMSH|^~\\&|a|||||||id1||2.4\rPID|||1^^^A~2\rOBX||NM|c||5\r\nOBX|7|NM|c||a\\T\\b\\S\\c\\.br\\\nMSH|no"
-    rows = messages.segments(messages.split_batches(spark.createDataFrame([(text,), ("PID|only",), (None,), ("",)], "value string")))
-    assert rows.groupBy("segment").count().count() == 3
+    rows = messages.split_batches(spark.createDataFrame([(text,), ("PID|only",), (None,), ("",)], "value string"))
+    assert messages.segments(rows).groupBy("segment").count().count() == 3
     obx = messages.segment_table(rows, "OBX").orderBy("set_id").collect()
     assert [r.set_id for r in obx] == [1, 7] and obx[1].obx_5 == "a&b^c\\.br\\"
     pid = messages.segment_table(rows, "PID").first()
@@ -146,7 +146,7 @@ def test_message_parsing(spark):
 
 
 def test_every_declared_segment_builds(spark):
-    rows = messages.segments(spark.createDataFrame([("MSH|^~\\&|a",)], "message string"))
+    rows = spark.createDataFrame([("MSH|^~\\&|a",)], "message string")
     for name in messages.SEGMENTS:
         assert len(messages.segment_table(rows, name).columns) == messages.SEGMENTS[name][0] + 5
 
@@ -191,16 +191,50 @@ def test_projection_and_padding_keep_keys(spark):
         quality.primary_key_check(df, ["zz"])
 
 
-def test_state_replay_and_restart(spark):
-    df = spark.createDataFrame([(1, 1), (2, 1)], "k int, seq int")
-    state = StateTable(spark, files.scratch(spark, "state"), df.schema, ["k"])
-    merge = lambda a, b: cdc.scd1_merge(a, b, ["k"], "seq")
-    state.apply(df, 0, merge)
-    state.apply(df.withColumn("seq", F.lit(9)), 0, merge)  # the same batch again changes nothing
-    assert values(state.read(), "k", "seq") == [(1, 1), (2, 1)]
-    state.apply(df.where("k = 2").withColumn("seq", F.lit(9)), 1, merge)
-    other = StateTable(spark, state.path, df.schema, ["k"])
-    assert values(other.read(), "k", "seq") == [(1, 1), (2, 9)]
+def test_streams_run_again_without_new_files_and_with_late_ones(spark):
+    source, target = files.scratch(spark, "source"), files.scratch(spark, "target")
+    df = spark.createDataFrame([(1, 5, False), (2, 1, False)], "k int, seq int, gone boolean")
+    df.limit(0).write.parquet(source)
+    run = lambda: merges.stream_scd1(merges.stream_table(spark, source, df.schema), target, ["k"], "seq", "gone")
+    assert run().count() == 0
+    df.write.mode("append").parquet(source)
+    assert values(run(), "k", "seq") == [(1, 5), (2, 1)] == values(run(), "k", "seq")
+    df.selectExpr("k", "seq + 5 AS seq", "true AS gone").where("k = 2").write.mode("append").parquet(source)
+    df.selectExpr("k", "2 AS seq", "gone").write.mode("append").parquet(source)  # late
+    assert values(run(), "k", "seq") == [(1, 5)]
+    counts = lambda: merges.collect_complete(merges.stream_table(spark, source, df.schema).groupBy("k").count(), f"{target}-counts")
+    assert values(counts(), "k", "count") == [(1, 2), (2, 3)] == values(counts(), "k", "count")
+    rows = merges.replay_windows(df, "seq", ["0", "3", "9"], f"{target}-replay")
+    assert values(rows, "k") == [(1,), (2,)] == values(merges.replay_windows(df, "seq", ["0", "3", "9"], f"{target}-replay"), "k")
+
+
+def test_strict_conforming_looks_inside(spark):
+    want = T.StructType([T.StructField("s", T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType(), False)])), T.StructField("a", T.ArrayType(T.IntegerType())), T.StructField("m", T.MapType(T.StringType(), T.DoubleType()))])
+    df = spark.createDataFrame([(("1", "y"), ["1", None], {"k": "1.5"}), (("abc", None), ["1", "zz"], {"k": "x"}), (None, None, None)], "s struct<x:string,y:string>, a array<string>, m map<string,string>")
+    good, bad = conform_strict(df, want)
+    assert good.count() == 2 and good.where("s is not null").first().a == [1, None]
+    assert bad.first().reasons == ["s.x: not a int", "s.y: missing", "a[]: not a int", "m[]: not a double"]
+    texts = spark.createDataFrame([("{\"x\": 1, \"y\": \"z\"}", "[1, 2]", None), ("{\"x\": \"b\", \"y\": \"z\"}", "[1, \"b\"]", None), ("{broken", "7", None)], "s string, a string, m string")
+    good, bad = conform_strict(texts, want)
+    assert good.first().a == [1, 2] and sorted(r.reasons for r in bad.collect()) == [["s.x: not a int", "a[]: not a int"], ["s: not a struct<x:int,y:string>"]]
+    ntz = T.StructType([T.StructField("t", T.TimestampNTZType())])
+    assert conform(spark.createDataFrame([("2024-02-03T04:05:06Z",)], "t string"), ntz).first().t == datetime(2024, 2, 3, 4, 5, 6)
+
+
+def test_bins_take_the_least_loaded(spark):
+    rows = [(i, w) for i, w in enumerate([9, 7, 7, 3, 3, 3, 1, 1, 0, None])]
+    got = relational.balanced_bins(spark.createDataFrame(rows, "k int, w int"), "k", "w", 3)
+    loads = {r.bin: r.load for r in got.groupBy("bin").agg(F.sum("w").alias("load")).collect()}
+    assert got.count() == 10 and sorted(loads.values()) == [11, 11, 12] and sorted(r.k for r in got.collect()) == list(range(10))
+    assert relational.balanced_bins(spark.createDataFrame([], "k int, w int"), "k", "w", 3).count() == 0
+
+
+def test_caps_over_many_values(spark):
+    df = spark.range(20_000).selectExpr("id", "id div 3 AS c", "cast(id div 3 AS string) AS t")
+    for n in (1, 2, 3, 7000, 7001, 19_999, 20_000, 30_000):
+        assert cursors.soft_cap(df, "c", n).count() == min(20_000, -(-n // 3) * 3)
+        assert cursors.trim_ties(df, "c", n).count() == (20_000 if n >= 20_000 else n // 3 * 3)
+    assert cursors.soft_cap(df, "t", 4).count() == 6  # text has no ranges
 
 
 def test_ingest_rejects_unknown_types(spark):

@@ -1,8 +1,8 @@
 """Incremental batches over a cursor column: bounds, watermarks, tie-safe caps, overlaps.
 
 Bounds compare the stored column itself, so they reach the Parquet scan. Caps never sort the whole table: rows are
-counted for each cursor value first, the running sum is taken over that small table, and the big one is cut
-by a plain comparison.
+counted for ranges of the cursor, then for the values of the one range that holds the cut, and the table is cut by a plain
+comparison.
 """
 
 from __future__ import annotations
@@ -45,22 +45,44 @@ def overlap_dedup(batch: DataFrame, delivered: DataFrame, keys: list[str]) -> Da
     return batch.withColumn("__h", content_hash(batch)).join(seen, [*keys, "__h"], "left_anti").select(cols)
 
 
-def _counts(df: DataFrame, cursor: str) -> DataFrame:
-    """``(cursor, n, total)``: rows of each cursor value and of all values up to it."""
-    counts = df.where(F.col(cursor).isNotNull()).groupBy(cursor).agg(F.count("*").alias("n"))
-    return counts.withColumn("total", F.sum("n").over(Window.orderBy(cursor).rowsBetween(Window.unboundedPreceding, 0)))
+RANGES = 1000
+
+
+def _cut(df: DataFrame, cursor: str, n: int, whole: bool) -> DataFrame:
+    """One row ``__cut``: the last cursor value that a cap of ``n`` rows takes in (null: none).
+
+    ``whole`` takes a value only with all its rows inside the cap; else a value counts that has a first row inside. Rows are counted for
+    ranges of the cursor first; the running sum over those says which range holds the cut, and only that one's values are counted and
+    summed one by one, so no task sees more than a thousandth of the values, about.
+    """
+    there = df.where(F.col(cursor).isNotNull())
+    kind = df.schema[cursor].dataType
+    plain = isinstance(kind, T.NumericType | T.DateType | T.TimestampType | T.TimestampNTZType)
+    bounds = there.agg(F.percentile_approx(cursor, [i / RANGES for i in range(1, RANGES)], 10_000).alias("q")).first()["q"] if plain else None
+    cuts = sorted(set(bounds or ()))
+    at = F.size(F.filter(F.array(*(F.lit(c).cast(kind) for c in cuts)), lambda c: c < F.col(cursor))) if cuts else F.lit(0)
+    before = 0
+    for r in there.groupBy(at.alias("r")).agg(F.count("*").alias("n"), F.max(cursor).alias("last")).orderBy("r").collect():  # RANGES rows at most
+        if before + r["n"] > n or (not whole and before + r["n"] == n):
+            low = F.lit(True) if r["r"] == 0 else F.col(cursor) > F.lit(cuts[r["r"] - 1]).cast(kind)
+            here = there.where(low & (F.col(cursor) <= F.lit(r["last"]).cast(kind))).groupBy(cursor).agg(F.count("*").alias("n"))
+            total = F.sum("n").over(Window.orderBy(cursor).rowsBetween(Window.unboundedPreceding, 0)) + F.lit(before)
+            inside = F.col("total") <= n if whole else F.col("total") - F.col("n") < n
+            own = here.withColumn("total", total).where(inside).agg(F.max(cursor).alias("__cut"))
+            earlier = there.where(~low).agg(F.max(cursor).alias("__before")) if r["r"] else df.sparkSession.range(1).select(F.lit(None).cast(kind).alias("__before"))
+            return own.crossJoin(earlier).select(F.coalesce("__cut", "__before").alias("__cut"))  # one row each
+        before += r["n"]
+    return there.agg(F.max(cursor).alias("__cut"))
 
 
 def soft_cap(df: DataFrame, cursor: str, n: int) -> DataFrame:
-    """The first ``n`` rows by cursor and all ties of the last one."""
-    last = _counts(df, cursor).where(F.col("total") - F.col("n") < n).agg(F.max(cursor).alias("__cut"))
-    return df.join(F.broadcast(last), F.col(cursor) <= F.col("__cut")).drop("__cut")  # one row
+    """The first ``n`` rows by cursor and all ties of the last one; rows without a cursor are left out."""
+    return df.join(F.broadcast(_cut(df, cursor, n, False)), F.col(cursor) <= F.col("__cut")).drop("__cut")  # one row
 
 
 def trim_ties(df: DataFrame, cursor: str, n: int) -> DataFrame:
     """The first ``n`` rows without a tie group that the cap cuts; none if the first group is too large."""
-    last = _counts(df, cursor).where(F.col("total") <= n).agg(F.max(cursor).alias("__cut"))
-    return df.join(F.broadcast(last), F.col(cursor) <= F.col("__cut")).drop("__cut")  # one row
+    return df.join(F.broadcast(_cut(df, cursor, n, True)), F.col(cursor) <= F.col("__cut")).drop("__cut")  # one row
 
 
 def keyset_after(df: DataFrame, cursor: str, tiebreak: str, last) -> DataFrame:
@@ -103,8 +125,7 @@ def cap_at_group(df: DataFrame, group: str, n: int) -> DataFrame:
 
 def redrain_on_stuck_cap(df: DataFrame, cursor: str, n: int) -> DataFrame:
     """``trim_ties``, or all rows where the cap would end on the first cursor value and make no progress."""
-    first = _counts(df, cursor).where(F.col("total") <= n).agg(F.max(cursor).alias("__cut"))
-    return df.join(F.broadcast(first), F.coalesce(F.col(cursor) <= F.col("__cut"), F.lit(True))).drop("__cut")  # one row
+    return df.join(F.broadcast(_cut(df, cursor, n, True)), F.coalesce(F.col(cursor) <= F.col("__cut"), F.lit(True))).drop("__cut")  # one row
 
 
 def null_cursor(df: DataFrame, cursor: str, mode: str = "floor", floor_year: int = 1900) -> DataFrame:
@@ -200,5 +221,15 @@ def time_windows(spark, start: str, end: str, width: str) -> DataFrame:
 
 
 def rows_by_window(df: DataFrame, cursor: str, windows: DataFrame) -> DataFrame:
-    """Rows with the window that holds their cursor; ``windows`` is a planned list and small."""
-    return df.join(windows, (F.col(cursor) > F.col("low")) & (F.col(cursor) <= F.col("high")))
+    """Rows with the window ``(low, high]`` that holds their cursor; ``windows`` is a planned list of disjoint windows, in the driver's hands.
+
+    The window is found by counting the window starts below the cursor, in one expression, so rows meet windows by an equal number and
+    not by a range.
+    """
+    ordered = windows.orderBy("low").collect()  # a planned list
+    kind = df.schema[cursor].dataType
+    if not ordered:
+        return df.crossJoin(windows)
+    at = F.size(F.filter(F.array(*(F.lit(w["low"]).cast(kind) for w in ordered)), lambda x: x < F.col(cursor)))
+    numbered = df.sparkSession.createDataFrame([(i, *w) for i, w in enumerate(ordered, 1)], T.StructType([T.StructField("__at", T.IntegerType()), *windows.schema.fields]))
+    return df.withColumn("__at", at).join(numbered, "__at").where(F.col(cursor) <= F.col("high")).drop("__at")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidewright.operators.cdc import content_hash
+from tidewright.sources.files import kept
 
 # --- projection and predicates
 
@@ -157,15 +158,15 @@ def expand_path(df: DataFrame, path: list[tuple[str, list[str]]], leaf: list[str
 
 
 def hierarchy(nodes: DataFrame, node: str, parent: str, most_depth: int = 50) -> DataFrame:
-    """``(node, parent, depth)`` from the roots (null parent) down; stops when a level is empty."""
+    """``(node, parent, depth)`` from the roots (null parent) down; stops when a level is empty. Each level is written once and read again, never computed anew."""
     nodes = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
-    level = nodes.where("parent is null").withColumn("depth", F.lit(0))
-    out = level
+    level = kept(nodes.where("parent is null").withColumn("depth", F.lit(0)), "level")
+    out = [level]
     for depth in range(1, most_depth):
-        level = nodes.join(level.select(F.col("node").alias("parent")), "parent").select("node", "parent", F.lit(depth).alias("depth"))
+        level = kept(nodes.join(level.select(F.col("node").alias("parent")), "parent").select("node", "parent", F.lit(depth).alias("depth")), "level")
         if level.isEmpty():
-            return out
-        out = out.unionByName(level)
+            return reduce(DataFrame.unionByName, out)
+        out.append(level)
     raise ValueError(f"deeper than {most_depth}: a cycle?")
 
 
@@ -258,32 +259,75 @@ def union_sources(tables: dict[str, DataFrame], tag: str = "source") -> DataFram
 
 
 def balanced_bins(weights: DataFrame, key: str, weight: str, n: int) -> DataFrame:
-    """``(key, weight, bin)``: keys dealt by falling weight in snake order, so that heavy ones spread and totals even out.
+    """``(key, weight, bin)``: keys by falling weight, each to the bin with the least load (of equal loads the first).
 
-    The order is taken inside hash groups of keys, not over the table, so no task sorts everything: with far more keys than groups each
-    group is a fair sample, and groups start at different bins.
+    Keys of one weight are alike, so they are dealt together: weights are counted first (a small table: distinct weights), and every bin is told
+    how many keys of a weight it takes. Inside a weight keys are numbered by key and hash range, so that a weight that most
+    keys have is no single task's. Null weights count as zero.
     """
-    groups = 64
-    g = F.pmod(F.xxhash64(key), F.lit(groups))
-    k = F.row_number().over(Window.partitionBy("__g").orderBy(F.desc(weight), key)) - 1
-    ranked = weights.withColumn("__g", g).withColumn("__k", k)
-    turn, place = F.floor(F.col("__k") / n), F.pmod(F.col("__k"), F.lit(n))
-    snake = F.when(turn % 2 == 0, place).otherwise(n - 1 - place)
-    return ranked.withColumn("bin", F.pmod(snake + F.col("__g"), F.lit(n)).cast("int")).drop("__g", "__k")
+    parts = 256
+    w = F.coalesce(F.col(weight), F.lit(0).cast(weights.schema[weight].dataType))
+    marked = weights.withColumns({"__w": w, "__p": F.pmod(F.xxhash64(key), F.lit(parts))})
+    sizes = marked.groupBy("__w", "__p").agg(F.count("*").alias("n"))
+    shifts = sizes.withColumn("__s", F.sum("n").over(Window.partitionBy("__w").orderBy("__p")) - F.col("n")).drop("n")
+    loads, dealt = [0] * n, []
+    for r in sizes.groupBy("__w").agg(F.sum("n").alias("n")).orderBy(F.desc("__w")).toLocalIterator():  # a row for each distinct weight
+        before = 0
+        for b, k in enumerate(_fill(loads, r["__w"], r["n"])):
+            if k:
+                dealt.append((r["__w"], before, before + k, b))
+                before += k
+    schema = T.StructType([T.StructField("__w", marked.schema["__w"].dataType), T.StructField("__low", T.LongType()), T.StructField("__high", T.LongType()), T.StructField("bin", T.IntegerType())])
+    plan = weights.sparkSession.createDataFrame(dealt, schema)
+    at = F.row_number().over(Window.partitionBy("__w", "__p").orderBy(key)) - 1
+    ranked = marked.withColumn("__k", at).join(shifts, ["__w", "__p"]).withColumn("__k", F.col("__k") + F.col("__s"))
+    runs = plan.groupBy("__w").agg(F.sort_array(F.collect_list(F.struct("__low", "__high", "bin"))).alias("__runs"))  # ``n`` bins at most
+    return ranked.join(runs, "__w").withColumn("bin", F.filter("__runs", lambda r: r["__high"] > F.col("__k"))[0]["bin"]).select(*weights.columns, "bin")
+
+
+def _fill(loads: list, weight, count: int) -> list[int]:
+    """How many of ``count`` keys of one weight each bin takes, always the least loaded one next; ``loads`` grows.
+
+    Whole rounds are given at once: the level is found that ``count`` keys reach, and the last few go one by one.
+    """
+    n = len(loads)
+    taken = [0] * n
+    if weight <= 0:
+        return [count // n + (b < count % n) for b in range(n)]
+    low, high = min(loads), max(loads) + weight * (count // n + 1)
+    under = lambda level: [max(0, -(-(level - x) // weight)) for x in loads]  # keys until a bin reaches the level
+    for _ in range(200):
+        middle = (low + high) / 2 if isinstance(weight, float) else (low + high) // 2
+        if sum(under(middle)) <= count:
+            if middle == low:
+                break
+            low = middle
+        else:
+            high = middle
+    for b, k in enumerate(under(low)):
+        taken[b] = int(k)
+        loads[b] += weight * int(k)
+    for _ in range(count - sum(taken)):
+        b = min(range(n), key=lambda i: (loads[i], i))
+        taken[b] += 1
+        loads[b] += weight
+    return taken
 
 
 def contiguous_bins(df: DataFrame, order: str, n: int, name: str = "bin") -> DataFrame:
     """Equal contiguous slices in the order of a column with distinct values; the first ``rows % n`` have one more.
 
-    Positions come from counts: ranges of the order column are counted, each range is numbered on its own and shifted
-    by the rows before it.
+    Positions come from counts: ranges of the order column, as many as keep one under some two million rows, are counted, each range is
+    numbered on its own and shifted by the rows before it.
     """
     spark = df.sparkSession
-    bounds = df.where(F.col(order).isNotNull()).agg(F.percentile_approx(order, [i / 32 for i in range(1, 32)], 1000).alias("q")).first()["q"] or []
+    ranges = max(32, min(10_000, df.count() // 2_000_000))
+    bounds = df.where(F.col(order).isNotNull()).agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("q")).first()["q"] or []
     cuts = sorted(set(bounds))
-    part = sum(((F.col(order) > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    # how many cuts lie below: a sorted array is searched in one expression however many ranges there are
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
     df = df.withColumn("__p", F.coalesce(part, F.lit(0)))
-    sizes = [(r["__p"], r["n"]) for r in df.groupBy("__p").agg(F.count("*").alias("n")).orderBy("__p").collect()]  # 32 at most
+    sizes = [(r["__p"], r["n"]) for r in df.groupBy("__p").agg(F.count("*").alias("n")).orderBy("__p").collect()]  # a row for each range
     before, shifts = 0, []
     for p, k in sizes:
         shifts.append((p, before))
@@ -292,7 +336,7 @@ def contiguous_bins(df: DataFrame, order: str, n: int, name: str = "bin") -> Dat
     extra = total - small * n
     table = spark.createDataFrame(shifts or [(0, 0)], "__p int, __s long")
     at = F.row_number().over(Window.partitionBy("__p").orderBy(F.col(order).asc_nulls_first())) - 1 + F.col("__s")
-    out = df.join(F.broadcast(table), "__p").withColumn("__i", at)  # 32 rows at most
+    out = df.join(F.broadcast(table), "__p").withColumn("__i", at)  # a row for each range
     large = (small + 1) * extra
     bin_ = F.when(F.col("__i") < large, F.floor(F.col("__i") / (small + 1))).otherwise(extra + F.floor((F.col("__i") - large) / max(small, 1)))
     return out.withColumn(name, (bin_ + 1).cast("int")).drop("__p", "__s", "__i")

@@ -78,13 +78,13 @@ def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range:
     unknown = [d for d in dimensions if known(d) is None] + [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unknown names: {', '.join(unknown)}")
+    if "newVsReturning" in dimensions:
+        df = with_new_vs_returning(df)  # before any filter: the first day is that of the whole table
     if date_range:
         low, high = (F.lit(x).cast("date") for x in date_range)
         df = df.where((F.col("ts") >= low.cast("timestamp_ntz")) & (F.col("ts") < F.date_add(high, 1).cast("timestamp_ntz")))
     if where is not None:
         df = df.where(where)
-    if "newVsReturning" in dimensions:
-        df = with_new_vs_returning(df)
     out = df.groupBy(*(known(d).alias(d) for d in dimensions)).agg(*(METRICS[m]().alias(m) for m in metrics))
     out = out if having is None else out.where(having)
     return out.orderBy("date") if ordered and "date" in dimensions else out

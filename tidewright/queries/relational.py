@@ -269,8 +269,10 @@ def contiguous_bins(spark, d):
     return r.contiguous_bins(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", 7)
 
 
-@R.query("SELECT 8::BIGINT AS bins, (SELECT count(*) FROM orders) AS total, true AS even")
+@R.query("""WITH RECURSIVE k AS (SELECT row_number() OVER (ORDER BY w DESC) AS i, w FROM (SELECT count(*) AS w FROM orders GROUP BY o_custkey)),
+ g AS (SELECT 0::BIGINT AS i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS loads, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS ns UNION ALL
+ SELECT i, list_transform(loads, lambda x, j: CASE WHEN j = p THEN x + w ELSE x END), list_transform(ns, lambda x, j: CASE WHEN j = p THEN x + 1 ELSE x END) FROM (SELECT k.i, w, loads, ns, list_position(loads, list_min(loads)) AS p FROM g JOIN k ON k.i = g.i + 1))
+ SELECT unnest(range(8))::INTEGER AS bin, unnest(loads) AS load, unnest(ns) AS keys, unnest(ns) AS own FROM (SELECT * FROM g ORDER BY i DESC LIMIT 1)""")
 def balanced_bins(spark, d):
     w = load(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("w"))
-    b = r.balanced_bins(w, "o_custkey", "w", 8).groupBy("bin").agg(F.sum("w").alias("w"))
-    return b.agg(F.count("*").alias("bins"), F.sum("w").alias("total"), (F.max("w") <= 1.15 * F.avg("w")).alias("even"))
+    return r.balanced_bins(w, "o_custkey", "w", 8).groupBy("bin").agg(F.sum("w").alias("load"), F.count("*").alias("keys"), F.countDistinct("o_custkey").alias("own"))

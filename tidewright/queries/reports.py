@@ -38,6 +38,12 @@ def report_user_retention(spark, d):
     return r.preset(load(spark, d, "events"), "user_retention")
 
 
+@R.query("""WITH f AS (SELECT user_id, min(ts)::DATE AS first FROM events GROUP BY 1) SELECT ts::DATE AS date, CASE WHEN ts::DATE = first THEN 'new' ELSE 'returning' END AS "newVsReturning", count(DISTINCT e.user_id) AS "activeUsers" FROM events e JOIN f ON e.user_id = f.user_id
+ WHERE ts >= '2024-01-05' AND ts < '2024-01-12' AND event_type <> 'error' GROUP BY 1, 2""")
+def report_new_users_in_a_range(spark, d):
+    return r.report(load(spark, d, "events"), ["date", "newVsReturning"], ["activeUsers"], ("2024-01-05", "2024-01-11"), F.col("event_type") != "error", ordered=False)
+
+
 @R.query("""SELECT ts::DATE AS date, n_name AS country, count(DISTINCT user_id) AS "activeUsers", count(*) AS "eventCount" FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")
 def report_traffic_by_country(spark, d):
     e, c, n = load(spark, d, "events", "customer", "nation")
