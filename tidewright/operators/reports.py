@@ -28,8 +28,28 @@ METRICS: dict[str, Callable[[], Column]] = {
     "purchases": lambda: F.count_if(F.col("event_type") == "purchase"),
     "purchaseRate": lambda: _ratio(F.count_if(F.col("event_type") == "purchase"), F.count("*")),
     "errors": lambda: F.count_if(F.col("event_type") == "error"),
+    "newUsers": lambda: F.countDistinct(F.when(F.col("new_vs_returning") == "new", F.col("user_id"))),
+    "sessions": lambda: F.countDistinct("session_id"),
+    "engagedSessions": lambda: F.countDistinct(F.when(F.col("session_engaged"), F.col("session_id"))),
+    "engagementRate": lambda: _ratio(METRICS["engagedSessions"](), METRICS["sessions"]()),
+    "bounceRate": lambda: 1 - METRICS["engagementRate"](),
+    "averageSessionDuration": lambda: F.avg(F.when(F.col("session_first"), F.col("session_seconds"))),
+    "screenPageViews": lambda: F.count_if(F.col("event_type").isin("view", "page_view", "screen_view")),
+    "keyEvents": lambda: F.count_if(F.col("event_type") == "purchase"),
+    "totalRevenue": lambda: F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))),
+    "itemsViewed": lambda: F.count_if(F.col("event_type").isin("view", "view_item")),
+    "itemsAddedToCart": lambda: F.count_if(F.col("event_type") == "add_to_cart"),
+    "itemsPurchased": lambda: F.count_if(F.col("event_type") == "purchase"),
+    "itemRevenue": lambda: F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))),
+    "itemsViewedInPromotion": lambda: F.count_if(F.col("event_type") == "view_promotion"),
+    "itemsClickedInPromotion": lambda: F.count_if(F.col("event_type") == "select_promotion"),
+    "advertiserAdCost": lambda: F.sum("ad_cost"),
 }
 
+#: Metrics that need the columns of ``with_sessions`` or of ``with_new_vs_returning``, which a report adds by itself.
+SESSION_METRICS = {"sessions", "engagedSessions", "engagementRate", "bounceRate", "averageSessionDuration"}
+NEWNESS = {"newUsers", "newVsReturning"}
+
 #: Dimensions by name.
 DIMENSIONS: dict[str, Callable[[], Column]] = {
     "date": lambda: F.to_date("ts"),
@@ -39,23 +59,23 @@ DIMENSIONS: dict[str, Callable[[], Column]] = {
     "newVsReturning": lambda: F.col("new_vs_returning"),
 }
 
-# Presets; those over columns that a table lacks fail by naming the column.
+# Names, dimensions and metrics of the ready reports. Those over columns that a table lacks fail by naming the column.
 PRESETS: dict[str, tuple[list[str], list[str]]] = {
-    "events_summary": (["date", "eventName"], ["eventCount", "activeUsers", "eventValue"]),
-    "traffic_by_country": (["date", "country"], ["activeUsers", "eventCount"]),
-    "user_acquisition": (["date", "firstUserSource"], ["activeUsers", "eventCount"]),
-    "page_performance": (["date", "pagePath"], ["eventCount", "activeUsers"]),
-    "device_breakdown": (["date", "deviceCategory"], ["activeUsers", "eventCount"]),
-    "landing_page_performance": (["date", "landingPage"], ["activeUsers", "eventCount"]),
-    "ecommerce_purchases": (["date", "itemName"], ["purchases", "eventValue"]),
-    "purchase_journey": (["date", "eventName"], ["activeUsers", "purchases"]),
-    "checkout_journey": (["date", "hour"], ["activeUsers", "purchases", "purchaseRate"]),
-    "promotions_performance": (["date", "promotionName"], ["eventCount", "purchases"]),
-    "user_retention": (["date", "newVsReturning"], ["activeUsers", "eventCount"]),
-    "demographic_details": (["date", "userAgeBracket"], ["activeUsers"]),
-    "audience_performance": (["date", "audienceName"], ["activeUsers"]),
-    "tech_details": (["date", "browser"], ["activeUsers"]),
-    "advertising_channels": (["date", "channelGroup"], ["activeUsers", "eventValue"]),
+    "traffic_by_country": (["date", "country"], ["activeUsers", "sessions", "screenPageViews"]),
+    "user_acquisition": (["date", "sessionSource", "sessionMedium"], ["sessions", "activeUsers", "newUsers", "engagementRate"]),
+    "events_summary": (["date", "eventName"], ["eventCount", "activeUsers"]),
+    "page_performance": (["date", "pagePath", "pageTitle"], ["screenPageViews", "averageSessionDuration", "bounceRate"]),
+    "device_breakdown": (["date", "deviceCategory", "browser"], ["activeUsers", "sessions", "engagementRate"]),
+    "landing_page_performance": (["date", "landingPage"], ["sessions", "activeUsers", "newUsers", "keyEvents", "totalRevenue"]),
+    "ecommerce_purchases": (["date", "itemName", "itemId"], ["itemsViewed", "itemsAddedToCart", "itemsPurchased", "itemRevenue"]),
+    "purchase_journey": (["date", "eventName"], ["activeUsers", "eventCount"]),
+    "checkout_journey": (["date", "eventName"], ["activeUsers", "eventCount"]),
+    "promotions_performance": (["date", "itemPromotionName"], ["itemsViewedInPromotion", "itemsClickedInPromotion", "itemRevenue"]),
+    "user_retention": (["date", "newVsReturning"], ["activeUsers", "sessions", "engagementRate"]),
+    "demographic_details": (["date", "language", "country"], ["activeUsers", "newUsers", "engagedSessions"]),
+    "audience_performance": (["date", "audienceName"], ["activeUsers", "sessions", "keyEvents"]),
+    "tech_details": (["date", "browser", "operatingSystem"], ["activeUsers", "sessions", "engagementRate"]),
+    "advertising_channels": (["date", "defaultChannelGroup"], ["keyEvents", "advertiserAdCost", "totalRevenue"]),
 }
 
 
@@ -78,8 +98,11 @@ def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range:
     unknown = [d for d in dimensions if known(d) is None] + [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unknown names: {', '.join(unknown)}")
-    if "newVsReturning" in dimensions:
-        df = with_new_vs_returning(df)  # before any filter: the first day is that of the whole table
+    # before any filter: first days and sessions are those of the whole table
+    if NEWNESS & {*dimensions, *metrics}:
+        df = with_new_vs_returning(df)
+    if SESSION_METRICS & set(metrics) and "session_id" not in df.columns:
+        df = with_sessions(df)
     if date_range:
         low, high = (F.lit(x).cast("date") for x in date_range)
         df = df.where((F.col("ts") >= low.cast("timestamp_ntz")) & (F.col("ts") < F.date_add(high, 1).cast("timestamp_ntz")))
@@ -102,6 +125,20 @@ def with_new_vs_returning(events: DataFrame) -> DataFrame:
     return events.join(first, "user_id").withColumn("new_vs_returning", mark).drop("__first")
 
 
+def with_sessions(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """Adds ``session_id``, ``session_first`` (its first event), ``session_seconds`` and ``session_engaged`` (10 seconds or two events at least).
+
+    A gap above ``gap_seconds`` starts a session. One shuffle and sort by user.
+    """
+    w = Window.partitionBy("user_id").orderBy("ts", *[c for c in ("event_id",) if c in events.columns])
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    marked = events.withColumn("session_first", F.coalesce(at - F.lag(at).over(w) > gap_seconds * 1_000_000, F.lit(True)))
+    numbered = marked.withColumn("__n", F.sum(F.col("session_first").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s = Window.partitionBy("user_id", "__n")
+    timed = numbered.withColumn("session_seconds", (F.max(at).over(s) - F.min(at).over(s)) / 1e6).withColumn("session_engaged", (F.col("session_seconds") >= 10) | (F.count("*").over(s) >= 2))
+    return timed.withColumn("session_id", F.concat_ws("-", "user_id", "__n")).drop("__n")
+
+
 def active_users(events: DataFrame, segment: str | None = None, mode: str = "active") -> DataFrame:
     """``(date, segment, count)`` of distinct active or new users a day, by segment or as ``Totals``."""
     if mode not in ("active", "new"):

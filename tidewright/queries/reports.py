@@ -18,37 +18,52 @@ def report(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("averageValue", "eventsPerUser")})
 
 
-@R.query("""SELECT ts::DATE AS date, event_type AS "eventName", count(*) AS "eventCount", count(DISTINCT user_id) AS "activeUsers", round(sum(value), 4) AS "eventValue" FROM events GROUP BY 1, 2""")
-def report_events_summary(spark, d):
-    return r.preset(load(spark, d, "events"), "events_summary").withColumn("eventValue", F.round("eventValue", 4))
+@R.query("""WITH f AS (SELECT user_id, min(ts)::DATE AS first FROM events GROUP BY 1) SELECT ts::DATE AS date, CASE WHEN ts::DATE = first THEN 'new' ELSE 'returning' END AS "newVsReturning", count(DISTINCT e.user_id) AS "activeUsers" FROM events e JOIN f ON e.user_id = f.user_id
+ WHERE ts >= '2024-01-05' AND ts < '2024-01-12' AND event_type <> 'error' GROUP BY 1, 2""")
+def report_new_users_in_a_range(spark, d):
+    return r.report(load(spark, d, "events"), ["date", "newVsReturning"], ["activeUsers"], ("2024-01-05", "2024-01-11"), F.col("event_type") != "error", ordered=False)
 
 
-@R.query("""SELECT ts::DATE AS date, event_type AS "eventName", count(DISTINCT user_id) AS "activeUsers", count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY 1, 2""")
-def report_purchase_journey(spark, d):
-    return r.preset(load(spark, d, "events"), "purchase_journey")
+# Events with their users' first day, sessions, customers, nations and a part each, under the names that the ready reports use.
+_BASE = """WITH m AS (SELECT *, coalesce((epoch_us(ts) - epoch_us(lag(ts) OVER w) > 1800000000)::INT, 1) AS first, min(ts) OVER (PARTITION BY user_id)::DATE AS day FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+ k AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM m),
+ x AS (SELECT *, user_id || '-' || s AS session, (max(epoch_us(ts)) OVER z - min(epoch_us(ts)) OVER z) / 1e6 AS seconds, count(*) OVER z AS events FROM k WINDOW z AS (PARTITION BY user_id, s)),
+ e AS (SELECT ts::DATE AS date, event_type AS "eventName", CASE WHEN ts::DATE = day THEN 'new' ELSE 'returning' END AS "newVsReturning", user_id, value, session, CASE WHEN seconds >= 10 OR events >= 2 THEN session END AS engaged, CASE WHEN first = 1 THEN seconds END AS length,
+  n_name AS country, c_mktsegment AS segment, p_name, p_partkey, p_brand, p_type FROM x JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON event_id % 200 + 1 = p_partkey) """
+_METRICS = {
+    "eventCount": "count(*)", "activeUsers": "count(DISTINCT user_id)", "sessions": "count(DISTINCT session)", "engagedSessions": "count(DISTINCT engaged)", "engagementRate": "round(count(DISTINCT engaged) / count(DISTINCT session), 6)",
+    "bounceRate": "round(1 - count(DISTINCT engaged) / count(DISTINCT session), 6)", "averageSessionDuration": "round(avg(length), 3)", "newUsers": "count(DISTINCT user_id) FILTER (\"newVsReturning\" = 'new')", "screenPageViews": "count(*) FILTER (\"eventName\" = 'view')",
+    "keyEvents": "count(*) FILTER (\"eventName\" = 'purchase')", "totalRevenue": "round(sum(value) FILTER (\"eventName\" = 'purchase'), 4)", "itemRevenue": "round(sum(value) FILTER (\"eventName\" = 'purchase'), 4)", "itemsViewed": "count(*) FILTER (\"eventName\" = 'view')",
+    "itemsAddedToCart": "0::BIGINT", "itemsPurchased": "count(*) FILTER (\"eventName\" = 'purchase')", "itemsViewedInPromotion": "0::BIGINT", "itemsClickedInPromotion": "0::BIGINT", "advertiserAdCost": "round(sum(value / 10), 4)",
+}
+#: What stands for a dimension that the tables do not have.
+_AS = {"country": "country", "sessionSource": "segment", "sessionMedium": "p_brand", "pagePath": "p_type", "pageTitle": "p_brand", "deviceCategory": "segment", "browser": "p_brand", "landingPage": "p_type", "itemName": "p_name", "itemId": "p_partkey", "itemPromotionName": "p_brand",
+       "language": "segment", "audienceName": "segment", "operatingSystem": "p_brand", "defaultChannelGroup": "segment"}
+_ROUND = {"engagementRate": 6, "bounceRate": 6, "averageSessionDuration": 3, "totalRevenue": 4, "itemRevenue": 4, "advertiserAdCost": 4}
 
 
-@R.query("""SELECT ts::DATE AS date, hour(ts)::INTEGER AS hour, count(DISTINCT user_id) AS "activeUsers", count(*) FILTER (event_type = 'purchase') AS purchases, round(count(*) FILTER (event_type = 'purchase') / count(*), 6) AS "purchaseRate" FROM events GROUP BY 1, 2""")
-def report_checkout_journey(spark, d):
-    return r.preset(load(spark, d, "events"), "checkout_journey").withColumn("purchaseRate", F.round("purchaseRate", 6))
+def _named(spark, d):
+    e, c, n, p = load(spark, d, "events", "customer", "nation", "part")
+    all_ = r.with_sessions(r.with_new_vs_returning(e)).drop("new_vs_returning")
+    all_ = all_.join(c, F.col("user_id") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(p, F.col("event_id") % 200 + 1 == F.col("p_partkey"))
+    own = {"country": "n_name", "segment": "c_mktsegment"}
+    return all_.withColumns({**{k: F.col(own.get(v, v)) for k, v in _AS.items()}, "ad_cost": F.col("value") / 10})
 
 
-@R.query("""WITH f AS (SELECT user_id, min(ts)::DATE AS first FROM events GROUP BY 1) SELECT ts::DATE AS date, CASE WHEN ts::DATE = first THEN 'new' ELSE 'returning' END AS "newVsReturning", count(DISTINCT e.user_id) AS "activeUsers", count(*) AS "eventCount" FROM events e JOIN f ON e.user_id = f.user_id GROUP BY 1, 2""")
-def report_user_retention(spark, d):
-    return r.preset(load(spark, d, "events"), "user_retention")
+def _ready(name):
+    dimensions, metrics = r.PRESETS[name]
+    columns = [f'{_AS.get(x, chr(34) + x + chr(34))} AS "{x}"' for x in dimensions] + [f'{_METRICS[m]} AS "{m}"' for m in metrics]
 
+    def query(spark, d):
+        out = r.preset(_named(spark, d), name)
+        return out.withColumns({m: F.round(m, _ROUND[m]) for m in metrics if m in _ROUND})
 
-@R.query("""WITH f AS (SELECT user_id, min(ts)::DATE AS first FROM events GROUP BY 1) SELECT ts::DATE AS date, CASE WHEN ts::DATE = first THEN 'new' ELSE 'returning' END AS "newVsReturning", count(DISTINCT e.user_id) AS "activeUsers" FROM events e JOIN f ON e.user_id = f.user_id
- WHERE ts >= '2024-01-05' AND ts < '2024-01-12' AND event_type <> 'error' GROUP BY 1, 2""")
-def report_new_users_in_a_range(spark, d):
-    return r.report(load(spark, d, "events"), ["date", "newVsReturning"], ["activeUsers"], ("2024-01-05", "2024-01-11"), F.col("event_type") != "error", ordered=False)
+    query.__name__ = f"report_{name}"
+    R.query(f"{_BASE} SELECT {', '.join(columns)} FROM e GROUP BY {', '.join(str(i + 1) for i in range(len(dimensions)))}")(query)
 
 
-@R.query("""SELECT ts::DATE AS date, n_name AS country, count(DISTINCT user_id) AS "activeUsers", count(*) AS "eventCount" FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")
-def report_traffic_by_country(spark, d):
-    e, c, n = load(spark, d, "events", "customer", "nation")
-    named = e.join(c, e.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).withColumn("country", F.col("n_name"))
-    return r.preset(named, "traffic_by_country")
+for _name in r.PRESETS:
+    _ready(_name)
 
 
 @R.query("SELECT ts::DATE AS date, event_type AS segment, count(DISTINCT user_id) AS count FROM events GROUP BY 1, 2")
