@@ -145,6 +145,15 @@ def test_message_parsing(spark):
     assert messages.segment_table(rows, "ZZZ").count() == 0
 
 
+def test_names_of_people_keep_all_components(spark):
+    text = "MSH|^~\\&|a\rPV1|1|I|||||77^Fam^Given^M^S^Dr^MD^T^AUTH&1.2&ISO^L^9^M10^NPI^FAC&3.4&DNS^I^^^F^20240101^20250101^Prof\rPID|1||||A^B^C^D^E^F^G^H^I^^K^20240101^20250101^N^O"
+    df = spark.createDataFrame([(text,)], "message string")
+    d = messages.segment_table(df, "PV1").first().pv1_7[0]
+    assert (d.id, d.assigning_authority, d.assigning_authority_universal_id, d.assigning_authority_universal_id_type, d.identifier_type_code, d.assigning_facility_universal_id_type, d.professional_suffix) == ("77", "AUTH", "1.2", "ISO", "NPI", "DNS", "Prof")
+    n = messages.segment_table(df, "PID").first().pid_5[0]
+    assert (n.family_name, n.name_context, n.name_assembly_order, n.called_by) == ("A", "I", "K", "O")
+
+
 def test_every_declared_segment_builds(spark):
     rows = spark.createDataFrame([("MSH|^~\\&|a",)], "message string")
     for name in messages.SEGMENTS:

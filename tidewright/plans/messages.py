@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import hl7_ts
 
-# Components of the composite data types of the HL7 v2 standard, in order.
+# Components of the composite data types of the HL7 v2 standard, in order; ``/`` parts the names of subcomponents.
 COMPOSITES: dict[str, str] = {
     "AUI": "authorization_number date source",
     "CP": "price price_type from_value to_value range_units range_type",
@@ -39,9 +39,9 @@ COMPOSITES: dict[str, str] = {
     "TQ": "quantity interval duration start end priority condition text conjunction sequencing",
     "VID": "version internationalization_code internal_version",
     "XAD": "street other city state postal_code country type other_geographic county census_tract",
-    "XCN": "id family given middle suffix prefix degree source_table assigning_authority name_type",
+    "XCN": "id family_name given_name middle_name suffix prefix degree source_table assigning_authority/assigning_authority_universal_id/assigning_authority_universal_id_type name_type_code check_digit check_digit_scheme identifier_type_code assigning_facility/assigning_facility_universal_id/assigning_facility_universal_id_type name_representation_code name_context name_validity_range name_assembly_order effective_date expiration_date professional_suffix",
     "XON": "name type_code id check_digit check_digit_scheme assigning_authority id_type assigning_facility name_representation organization_id",
-    "XPN": "family given middle suffix prefix degree type representation",
+    "XPN": "family_name given_name middle_name suffix prefix degree name_type_code name_representation_code name_context name_validity_range name_assembly_order name_effective_date name_expiration_date professional_suffix called_by",
     "XTN": "number use equipment email country area local extension text",
 }
 
@@ -185,7 +185,7 @@ def typed_field(n: int, kind: str, repeating: bool) -> Column:
     value = f"nullif(get(fields, {n}), '')"
     repeated = f"split({value}, '{_SPLIT['repetition']}')"
     if kind in COMPOSITES:
-        parts = ", ".join(f"'{name}', {_plain_sql(f'get(p, {i})')}" for i, name in enumerate(COMPOSITES[kind].split()))
+        parts = ", ".join(f"'{name}', {_plain_sql(value)}" for name, value in _components(kind))
         made = f"transform(transform({repeated}, r -> split(r, '{_SPLIT['component']}')), p -> named_struct({parts}))"
         return F.expr(made if repeating else f"get({made}, 0)")
     if repeating:
@@ -193,6 +193,15 @@ def typed_field(n: int, kind: str, repeating: bool) -> Column:
     return _plain[kind](F.expr(_plain_sql(value)))
 
 
+def _components(kind: str) -> list[tuple[str, str]]:
+    """Names of a composite's components and subcomponents, each with its place in the split value ``p``."""
+    out = []
+    for i, name in enumerate(COMPOSITES[kind].split()):
+        names = name.split("/")
+        out += [(name, f"get(p, {i})")] if len(names) == 1 else [(n, f"get(split(get(p, {i}), '{_SPLIT['subcomponent']}'), {k})") for k, n in enumerate(names)]
+    return out
+
+
 def _plain_sql(c: str) -> str:
     """``plain`` as SQL text: one expression instead of many calls for segments with hundreds of components."""
     return f"translate(nullif({c}, ''), '{''.join([*_SPLIT.values(), *_TEXT.values()])}', concat(separators, separators))"

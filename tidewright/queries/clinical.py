@@ -38,7 +38,7 @@ def hl7_msh(spark, d):
 @R.query("SELECT 'M' || c_custkey AS message_id, 1::INTEGER AS set_id, c_custkey::VARCHAR AS first_id, 'X' || c_custkey AS second_id, 'Customer' AS family, CASE WHEN c_custkey % 2 = 0 THEN '%' ELSE '&' END || split_part(c_name, '#', 2) AS given, '1970-03-04T00:00:00Z' AS born, 'M' AS sex FROM customer")
 def hl7_pid(spark, d):
     t = messages.segment_table(_messages(spark, d), "PID")
-    return t.select("message_id", "set_id", F.col("pid_3")[0]["id"].alias("first_id"), F.col("pid_3")[1]["id"].alias("second_id"), F.col("pid_5")[0]["family"].alias("family"), F.col("pid_5")[0]["given"].alias("given"), F.col("pid_7").alias("born"), F.col("pid_8.code").alias("sex"))
+    return t.select("message_id", "set_id", F.col("pid_3")[0]["id"].alias("first_id"), F.col("pid_3")[1]["id"].alias("second_id"), F.col("pid_5")[0]["family_name"].alias("family"), F.col("pid_5")[0]["given_name"].alias("given"), F.col("pid_7").alias("born"), F.col("pid_8.code").alias("sex"))
 
 
 @R.query("SELECT 'M' || o_custkey AS message_id, o_orderkey::INTEGER AS set_id, o_orderkey::VARCHAR AS placer, 'lab' AS system, 'C' || o_orderstatus AS code, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS at FROM orders")
