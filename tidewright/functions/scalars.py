@@ -214,3 +214,12 @@ def left_text(c: Column, n: int) -> Column:
 def row_key(*columns: str) -> Column:
     """Composite key as text; parts are JSON, so ``("a", "b|c")`` and ``("a|b", "c")`` differ."""
     return F.to_json(F.array(*(F.col(c).cast("string") for c in columns)))
+
+
+def cuts_below(c: Column, cuts: list, kind) -> Column:
+    """How many of the sorted ``cuts`` lie below the value, by halving: some fourteen steps for ten thousand cuts. Null gives zero."""
+    if not cuts:
+        return F.lit(0)
+    all_ = F.array(*(F.lit(x).cast(kind) for x in cuts))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda low, s: F.when(F.get(all_, low + s - 1) < c, low + s).otherwise(low))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewright.functions.scalars import cuts_below
 from tidewright.operators.cdc import content_hash
 from tidewright.sources.files import kept
 
@@ -324,8 +325,7 @@ def contiguous_bins(df: DataFrame, order: str, n: int, name: str = "bin") -> Dat
     ranges = max(32, min(10_000, df.count() // 2_000_000))
     bounds = df.where(F.col(order).isNotNull()).agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("q")).first()["q"] or []
     cuts = sorted(set(bounds))
-    # how many cuts lie below: a sorted array is searched in one expression however many ranges there are
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    part = cuts_below(F.col(order), cuts, df.schema[order].dataType)
     df = df.withColumn("__p", F.coalesce(part, F.lit(0)))
     sizes = [(r["__p"], r["n"]) for r in df.groupBy("__p").agg(F.count("*").alias("n")).orderBy("__p").collect()]  # a row for each range
     before, shifts = 0, []
