@@ -1,7 +1,7 @@
 """Change-data merges: type 1, type 2, snapshots, deletes and tombstones.
 
 Changes of a key are ordered by ``(sequence, deletes after upserts, hash of all columns)`` and the greatest wins. Rows
-with a null key or sequence are left out of merges; ``rejected_changes`` returns them.
+with a null key or sequence are left out of merges; ``rejected_changes`` returns them. Snapshots are compared by key, null keys being equal.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 VERSION = ("valid_from", "valid_to", "is_current")
@@ -25,8 +26,16 @@ def _present(keys: list[str], sequence_by: str) -> Column:
 
 
 def change_order(df: DataFrame, sequence_by: str, is_delete: str | None = None) -> Column:
+    """Sequence, deletes after upserts, then 128 bits of hash, so that changes with one sequence have the same order in every run.
+
+    A hash alone skips nulls, so each column tells whether it is null; nested ones are hashed as JSON.
+    """
     flag = F.coalesce(F.col(is_delete), F.lit(False)) if is_delete else F.lit(False)
-    return F.struct(F.col(sequence_by), flag, F.xxhash64(*df.columns), content_hash(df))
+    told: list[Column] = []
+    for f in df.schema:
+        c, nested = F.col(f"`{f.name}`"), isinstance(f.dataType, T.StructType | T.ArrayType | T.MapType | T.VariantType)
+        told += [c.isNull(), F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if nested else c]
+    return F.struct(F.col(sequence_by), flag, F.xxhash64(*told), F.xxhash64(F.lit(1), *told))
 
 
 def rejected_changes(changes: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
@@ -83,32 +92,44 @@ def scd2_merge(versions: DataFrame, history: DataFrame, batch: DataFrame, keys:
     return versions.join(touched, keys, "left_anti").select(again.columns).unionByName(again)
 
 
-def snapshot_changes(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of either snapshot that differ, tagged ``insert``, ``update`` or ``delete`` (which has the old row)."""
+def _paired(previous: DataFrame, current: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """``old`` and ``new`` row of each key with their hashes, null in the snapshot that lacks it; ``old`` has the columns ``carry`` too.
+
+    One shuffle and no join: null keys are equal, and of rows that repeat a key the one with the greatest hash stands.
+    """
     cols = current.columns
-    a = previous.select(*keys, F.struct(*cols).alias("old"), content_hash(previous.select(cols)).alias("old_hash"))
-    b = current.select(*keys, F.struct(*cols).alias("new"), content_hash(current).alias("new_hash"))
+    old = previous.select(*keys, F.struct(*cols, *carry).alias("old"), content_hash(previous, cols).alias("old_hash"))
+    new = current.select(*keys, F.struct(*cols).alias("new"), content_hash(current).alias("new_hash"))
+    both = old.unionByName(new, allowMissingColumns=True).groupBy(*keys)
+    return both.agg(F.max_by("old", "old_hash").alias("old"), F.max("old_hash").alias("old_hash"), F.max_by("new", "new_hash").alias("new"), F.max("new_hash").alias("new_hash"))
+
+
+def snapshot_changes(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of either snapshot that differ, tagged ``insert``, ``update`` or ``delete`` (which has the old row).
+
+    Null keys are equal, and of rows that repeat a key one stands; an empty snapshot deletes or inserts all.
+    """
     change = F.when(F.col("old_hash").isNull(), "insert").when(F.col("new_hash").isNull(), "delete").when(F.col("old_hash") != F.col("new_hash"), "update")
-    both = a.join(b, keys, "full_outer").withColumn("change", change).where("change is not null")
-    return both.select("change", F.coalesce("new", "old").alias("row")).select("change", "row.*")
+    pairs = _paired(previous, current, keys).withColumn("change", change).where("change is not null")
+    return pairs.select("change", F.coalesce("new", "old").alias("row")).select("change", "row.*")
 
 
 def snapshot_scd1(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
     """State after a full snapshot: inserts, updates and removals leave just the snapshot, each key once."""
-    changed = snapshot_changes(previous, current, keys)
-    untouched = previous.join(changed.select(*keys), keys, "left_anti").select(current.columns)
-    return untouched.unionByName(changed.where("change <> 'delete'").drop("change"))
+    return _paired(previous, current, keys).where("new_hash is not null").select("new.*")
 
 
 def snapshot_scd2(history: DataFrame, current: DataFrame, keys: list[str], version) -> DataFrame:
-    """History after a snapshot with number or date ``version``; a missing key closes there."""
+    """History after a snapshot with number or date ``version``; a missing key closes there. Closed versions are not touched; open ones are compared in one shuffle."""
     cols, v = current.columns, F.lit(version)
-    open_ = history.where("valid_to is null").select(cols)
-    changed = snapshot_changes(open_, current, keys)
-    closed = changed.where("change <> 'insert'").select(*keys).withColumn("__closed", F.lit(True))
-    kept = history.join(closed, keys, "left").withColumn("valid_to", F.when(F.col("valid_to").isNull() & F.col("__closed"), v).otherwise(F.col("valid_to")))
-    new = changed.where("change <> 'delete'").select(cols).withColumns({"valid_from": v, "valid_to": F.lit(None).cast(history.schema["valid_to"].dataType)})
-    return kept.select(*cols, "valid_from", "valid_to").unionByName(new.select(*cols, "valid_from", "valid_to")).withColumn("is_current", F.col("valid_to").isNull())
+    pairs = _paired(history.where("valid_to is null"), current, keys, ("valid_from",))
+    same = F.coalesce(F.col("old_hash") == F.col("new_hash"), F.lit(False))
+    ends = history.schema["valid_to"].dataType
+    row = lambda side, start, end: F.struct(*(F.col(f"{side}.`{c}`").alias(c) for c in cols), start.alias("valid_from"), end.cast(ends).alias("valid_to"))
+    before = F.when(F.col("old_hash").isNotNull(), row("old", F.col("old.valid_from"), F.when(~same, v)))
+    after = F.when(F.col("new_hash").isNotNull() & ~same, row("new", v.cast(history.schema["valid_from"].dataType), F.lit(None)))
+    open_ = pairs.select(F.explode(F.filter(F.array(before, after), lambda x: x.isNotNull())).alias("r")).select("r.*")
+    return history.where("valid_to is not null").select(*cols, "valid_from", "valid_to").unionByName(open_).withColumn("is_current", F.col("valid_to").isNull())
 
 
 def tombstone_feed(df: DataFrame, removed: Column, order_by: str, keep: list[str], control: str = "@") -> DataFrame:
