@@ -210,12 +210,30 @@ def _plain_sql(c: str) -> str:
 METADATA = ("message_id", "message_timestamp", "hl7_version")
 
 
-def segment_table(messages: DataFrame, segment: str, carry: tuple[str, ...] = (), message: str = "message") -> DataFrame:
+def segment_table(messages: DataFrame, segment: str, carry: tuple[str, ...] = (), message: str = "message", names: dict[str, str] | None = None) -> DataFrame:
     """The typed table of one segment: message metadata, ``set_id``, columns ``<segment>_<position>``, ``raw_segment``.
 
     Unknown segments, those starting with Z among them, have ``field_1`` to ``field_25`` as text. ``set_id`` is the segment's own or else its
     position among its message's segments of the name; zero is kept. A message's segments of the name are picked and numbered in its own
     array before rows are made, so messages are told apart whatever their ids, and nothing is shuffled.
+
+    ``names`` gives columns names of the user's own by place: ``{"pid_7": "date_of_birth", "pid_3": "patient_id"}`` for fields, and
+    ``{"msh_3.namespace": "sending_application"}`` for a component as a column, right after the field's own.
+    """
+    made = _segment_table(messages, segment, carry, message)
+    names = names or {}
+    unknown = [p for p in names if p.split(".")[0] not in made.columns]
+    if unknown:
+        raise ValueError(f"{segment} has no {', '.join(unknown)}")
+    out = []
+    for c in made.columns:
+        out.append(F.col(f"`{c}`").alias(names.get(c, c)))
+        out += [F.col(p).alias(n) for p, n in names.items() if p.startswith(f"{c}.")]
+    return made.select(*out)
+
+
+def _segment_table(messages: DataFrame, segment: str, carry: tuple[str, ...], message: str) -> DataFrame:
+    """``segment_table`` with columns named by position.
     """
     m = _lines(messages, message)
     mine = F.filter("__lines", lambda x: F.substring_index(x["text"], _SPLIT["field"], 1) == segment)
