@@ -55,6 +55,26 @@ def test_snapshots_with_null_cells(spark):
     assert values(cdc.snapshot_scd1(a, b, ["k"]), "k", "v") == [(1, None), (2, None), (4, "d")]
 
 
+def test_snapshots_with_null_and_repeated_keys(spark):
+    a = spark.createDataFrame([(None, "n"), (1, "x"), (1, "x"), (2, "old")], "k int, v string")
+    b = spark.createDataFrame([(None, "n"), (1, "x"), (2, "new"), (2, "new")], "k int, v string")
+    assert values(cdc.snapshot_changes(a, b, ["k"]), "change", "k", "v") == [("update", 2, "new")]
+    assert values(cdc.snapshot_scd1(a, b, ["k"]), "k", "v") == [(1, "x"), (2, "new"), (None, "n")]
+    assert values(cdc.snapshot_changes(a, b.limit(0), ["k"]), "change", "k") == [("delete", 1), ("delete", 2), ("delete", None)]
+    history = a.distinct().selectExpr("k", "v", "1 AS valid_from", "cast(null AS int) AS valid_to")
+    second = cdc.snapshot_scd2(history, b, ["k"], 2)
+    assert values(second, "k", "v", "valid_from", "valid_to") == [(1, "x", 1, None), (2, "new", 2, None), (2, "old", 1, 2), (None, "n", 1, None)]
+    third = cdc.snapshot_scd2(second, b.where("k = 1"), ["k"], 3)
+    assert values(third, "k", "v", "valid_from", "valid_to") == [(1, "x", 1, None), (2, "new", 2, 3), (2, "old", 1, 2), (None, "n", 1, 3)]
+
+
+def test_equal_sequences_have_one_order(spark):
+    schema = "k int, seq int, a string, b string, m map<string,int>, s struct<x:int,y:int>"
+    rows = [(1, 1, "v", None, {"p": 1}, (1, None)), (1, 1, None, "v", {"p": 1}, (1, None)), (1, 1, "v", None, {"p": 1}, (None, 1)), (1, 1, None, None, None, None)]
+    found = {repr(cdc.scd1(spark.createDataFrame(order, schema).repartition(n), ["k"], "seq").collect()) for order in (rows, rows[::-1], rows[2:] + rows[:2]) for n in (1, 3)}
+    assert len(found) == 1
+
+
 def test_tombstone_keys(spark):
     df = spark.createDataFrame([("Orders(1)",), ("Orders(OrderID=2)",), ("Other(1)",), ("Orders(x=1)",), (None,)], "ref string")
     out = cdc.tombstone_keys_from_ref(df, "ref", "Orders", {"OrderID": "int"})
@@ -154,6 +174,32 @@ def test_names_of_people_keep_all_components(spark):
     assert (n.family_name, n.name_context, n.name_assembly_order, n.called_by) == ("A", "I", "K", "O")
 
 
+def test_names_for_columns_and_registered_kinds(spark):
+    df = spark.createDataFrame([("MSH|^~\\&|app^1.2|||||||m1\rZQ1|1|7^left|aB|x~y",)], "message string")
+    msh = messages.segment_table(df, "MSH", names={"msh_3.namespace": "sending_application", "msh_10": "control_id"}).first()
+    assert (msh.sending_application, msh.control_id, msh.msh_3.universal_id) == ("app", "m1", "1.2")
+    with pytest.raises(ValueError, match="MSH has no msh_99"):
+        messages.segment_table(df, "MSH", names={"msh_99": "x"})
+    messages.register_kind("ZPOS", "number side")
+    messages.register_kind("ZUP", convert=F.upper)
+    messages.register_segment("ZQ1", 4, {"SI": "1", "ZPOS": "2", "ZUP": "3 4*"})
+    try:
+        row = messages.segment_table(df, "ZQ1").first()
+        assert (row.zq1_2.number, row.zq1_2.side, row.zq1_3, row.zq1_4) == ("7", "left", "AB", ["X", "Y"])
+    finally:
+        del messages.SEGMENTS["ZQ1"], messages.COMPOSITES["ZPOS"], messages._plain["ZUP"]
+
+
+def test_registered_metrics_and_dimensions(spark):
+    e = spark.createDataFrame([(datetime(2024, 1, d), d % 2, "view", float(d)) for d in (1, 2, 3)], "ts timestamp_ntz, user_id int, event_type string, value double")
+    reports.register_metric("largest", lambda: F.max("value"))
+    reports.register_dimension("odd", lambda: F.col("user_id") == 1)
+    try:
+        assert values(reports.report(e, ["odd"], ["largest"]), "odd", "largest") == [(False, 2.0), (True, 3.0)]
+    finally:
+        del reports.METRICS["largest"], reports.DIMENSIONS["odd"]
+
+
 def test_every_declared_segment_builds(spark):
     rows = spark.createDataFrame([("MSH|^~\\&|a",)], "message string")
     for name in messages.SEGMENTS:

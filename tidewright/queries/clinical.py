@@ -70,15 +70,22 @@ def hl7_z_segment(spark, d):
     return messages.segment_table(_messages(spark, d), "ZZ1").select("message_id", "field_1")
 
 
-@R.query("SELECT c_custkey // 10 AS file, count(*) AS messages FROM customer GROUP BY 1")
+@R.query("SELECT c_custkey // 10 AS file, 'M' || c_custkey AS message_id, 'fac' AS facility FROM customer")
 def hl7_split_batches(spark, d):
     m = _messages(spark, d).withColumn("file", F.floor(F.col("c_custkey") / 10)).groupBy("file").agg(F.concat(F.lit("FHS|x\r\nBHS|y\r\n"), F.array_join(F.collect_list("message"), "\r\n"), F.lit("\r\nBTS|1\rFTS|1")).alias("value"))
-    return messages.split_batches(m).groupBy("file").agg(F.count("*").alias("messages"))
+    return messages.segment_table(messages.split_batches(m), "MSH", ("file",), names={"msh_4.namespace": "facility"}).select("file", "message_id", "facility")
 
 
-@R.query("SELECT segment, count(*) AS n FROM (SELECT unnest(['MSH', 'PID', 'ZZ1']) AS segment FROM customer UNION ALL SELECT 'OBR' FROM orders UNION ALL SELECT 'OBX' FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1")
+@R.query("""SELECT 'M' || c_custkey AS message_id, unnest(['MSH', 'PID', 'ZZ1']) AS segment, 1 AS n FROM customer UNION ALL SELECT 'M' || o_custkey, 'OBR', count(*) FROM orders GROUP BY 1
+ UNION ALL SELECT 'M' || o_custkey, 'OBX', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def hl7_segments(spark, d):
-    return _segments(spark, d).groupBy("segment").agg(F.count("*").alias("n"))
+    return _segments(spark, d).groupBy("message_id", "segment").agg(F.count("*").alias("n"))
+
+
+@R.query("SELECT 'M' || c_custkey AS message_id, c_custkey::VARCHAR AS patient_id, '1970-03-04T00:00:00Z' AS date_of_birth FROM customer")
+def hl7_named_columns(spark, d):
+    t = messages.segment_table(_messages(spark, d), "PID", names={"pid_7": "date_of_birth", "pid_3": "patient_ids"})
+    return t.select("message_id", F.col("patient_ids")[0]["id"].alias("patient_id"), "date_of_birth")
 
 
 def _bundles(spark, d):

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.operators import cdc
-from tidewright.operators.relational import table_row_counts
+from tidewright.operators.relational import union_sources
 from tidewright.queries._tables import Registry, load
 from tidewright.queries.cdc import _SCD2
 from tidewright.sources import files as f
@@ -49,7 +49,8 @@ def read_ndjson_permissive(spark, d):
 @R.query(_E)
 def read_json_array(spark, d):
     path = f.scratch(spark, "arrays")
-    rows = load(spark, d, "events").groupBy((F.col("event_id") % 20).alias("g")).agg(F.collect_list(F.struct(*_EVENT.names)).alias("events"))
+    e = load(spark, d, "events")
+    rows = e.groupBy((F.col("event_id") % max(20, e.count() // 20_000)).alias("g")).agg(F.collect_list(F.struct(*_EVENT.names)).alias("events"))
     rows.select("g", F.to_json(F.struct("events")).alias("value")).repartition("g").write.partitionBy("g").text(path)
     return f.read_json_array(spark, f"{path}/*", _EVENT, "events")
 
@@ -62,11 +63,11 @@ def read_csv_report(spark, d):
     return f.read_csv_report(spark, path, ["﻿Supp Key", "Supplier Name"])
 
 
-@R.query("SELECT count(*) AS files, count(*) AS with_text FROM nation")
+@R.query("SELECT 'MSH|^~\\&|' || n_name AS value FROM nation")
 def read_message_files(spark, d):
     path = f.scratch(spark, "messages")
     load(spark, d, "nation").select("n_nationkey", F.concat(F.lit("MSH|^~\\&|"), "n_name").alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
-    return f.read_message_files(spark, path, "part-*", recursive=True, since="2000-01-01").agg(F.count("*").alias("files"), F.count_if(F.col("value").startswith("MSH")).alias("with_text"))
+    return f.read_message_files(spark, path, "part-*", recursive=True, since="2000-01-01").select(F.regexp_replace("value", "\\n$", "").alias("value"))
 
 
 @R.query("SELECT n_nationkey, n_name FROM nation")
@@ -169,8 +170,8 @@ def replay_history(spark, d):
     return cdc.scd1(rows, ["user_id"], "ts")
 
 
-@R.query("""SELECT 'events' AS name, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'versions', count(*) FROM events UNION ALL SELECT 'rows', count(*) FROM events
- UNION ALL SELECT 'nation', count(*) FROM nation""")
+@R.query("""SELECT 'events' AS name, user_id AS k, max(ts) AS at, NULL::TIMESTAMP AS until FROM events GROUP BY user_id UNION ALL SELECT 'versions', user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) FROM events
+ UNION ALL SELECT 'rows', event_id, ts, NULL FROM events UNION ALL SELECT 'nation', n_nationkey, NULL, NULL FROM nation""")
 def ingest(spark, d):
     path, _ = _landed(spark, d)
     tables = [
@@ -179,8 +180,10 @@ def ingest(spark, d):
         m.Table("rows", path, scd_type="APPEND_ONLY"),
         m.Table("nation", f"{d}/nation.parquet", ["n_nationkey"], ingestion_type="snapshot"),
     ]
-    made = m.ingest(spark, tables[:3], f.scratch(spark, "ingest")) | m.ingest(spark, tables[3:], f.scratch(spark, "ingest"))
-    return table_row_counts(made).withColumnRenamed("table_name", "name")
+    made = m.ingest(spark, tables, f.scratch(spark, "ingest"))
+    none = F.lit(None).cast("timestamp_ntz")
+    columns = {"events": ("user_id", F.col("ts"), none), "versions": ("user_id", F.col("ts"), F.col("valid_to")), "rows": ("event_id", F.col("ts"), none), "nation": ("n_nationkey", none, none)}
+    return union_sources({n: made[n].select(F.col(k).cast("long").alias("k"), at.alias("at"), until.alias("until")) for n, (k, at, until) in columns.items()}, "name")
 
 
 @R.query("""WITH a AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 7 <> 0), b AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 3 <> 0)
