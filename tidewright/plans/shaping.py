@@ -14,6 +14,11 @@ def flatten_paths(df: DataFrame, raw: str, columns: dict[str, tuple[str, str]],
     return df.select(*keep, *(s.nested_path(F.col(raw), path).try_cast(kind).alias(name) for name, (path, kind) in columns.items()))
 
 
+def by_path(*paths: str, kind: str = "string") -> dict[str, tuple[str, str]]:
+    """Columns for ``flatten_paths`` named by their paths: ``commit.author.name`` becomes ``commit_author_name``."""
+    return {p.replace(".", "_"): (p, kind) for p in paths}
+
+
 def osdu_flatten(df: DataFrame, raw: str, by_kind: dict[str, dict[str, tuple[str, str]]]) -> DataFrame:
     """Envelope columns, columns of a record's own kind (null for other kinds), and the ``data`` block as JSON.
 

@@ -17,6 +17,17 @@ def flatten_paths(spark, d):
     return h.flatten_paths(c, "r", {"id": ("id", "string"), "title": ("snippet.title", "string"), "balance": ("snippet.s.b", "double"), "missing": ("a.b.c", "string")})
 
 
+@R.query("""SELECT o_orderkey::VARCHAR AS sha, o_orderpriority AS commit_message, 'a' || o_custkey AS commit_author_name, NULL::VARCHAR AS commit_author_email, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS commit_author_date,
+ CASE WHEN o_orderstatus = 'F' THEN 'web' END AS commit_committer_name, CASE WHEN o_orderstatus = 'F' THEN 'c' || o_custkey || '@x.org' END AS commit_committer_email, NULL::VARCHAR AS commit_committer_date, '{"login":"u' || o_custkey || '"}' AS author FROM orders""")
+def commits_flatten(spark, d):
+    author = F.struct(F.concat(F.lit("a"), "o_custkey").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"))
+    committer = F.when(F.col("o_orderstatus") == "F", F.struct(F.lit("web").alias("name"), F.concat(F.lit("c"), "o_custkey", F.lit("@x.org")).alias("email")))
+    commit = F.struct(F.col("o_orderpriority").alias("message"), author.alias("author"), committer.alias("committer"))
+    raw = load(spark, d, "orders").select(_json(F.col("o_orderkey").cast("string").alias("sha"), commit.alias("commit"), F.struct(F.concat(F.lit("u"), "o_custkey").alias("login")).alias("author")).alias("r"))
+    people = [f"commit.{who}.{f}" for who in ("author", "committer") for f in ("name", "email", "date")]
+    return h.flatten_paths(raw, "r", h.by_path("sha", "commit.message", *people, "author"))
+
+
 @R.query("SELECT 'k:' || o_orderkey AS id, o_custkey AS version, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS depth, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS rock FROM orders")
 def osdu_flatten(spark, d):
     kind = F.when(F.col("o_orderstatus") == "F", "osdu:wks:master-data--Wellbore:1.0.0").otherwise("osdu:wks:Sample:1.0.0")
