@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import decontamination, language_id, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
+from tidewright.llm import decontamination, filter_audit, language_id, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
 from tidewright.llm._common import table
 
 
@@ -62,13 +62,17 @@ def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(docs, machine).withColumn("held_out", held).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, op11_filter_audit, pipeline)}
 
-#: None of these operators has a DuckDB form for its full result; tests/llm holds them against plain code.
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators have no DuckDB form for their full result; tests/llm holds them against plain code.
+ORACLE_SQL: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL}
