@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import decontamination, filter_audit, language_id, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
+from tidewright.llm import decontamination, filter_audit, language_id, periodic_runs, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
 from tidewright.llm._common import table
 
 
@@ -66,13 +68,29 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def words_with_runs(doc_id: int | None, text: str | None) -> list[bytes]:
+    """The words of a text; in one of ten ids, by its checksum, those from some place on repeat with some period."""
+    words = periodic_runs.words_of(doc_id, text)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"), words=words_with_runs)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, op11_filter_audit, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, op11_filter_audit, op13_periodic_runs, pipeline)}
 
 #: The other operators have no DuckDB form for their full result; tests/llm holds them against plain code.
 ORACLE_SQL: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL}
