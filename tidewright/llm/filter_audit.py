@@ -15,7 +15,6 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -23,12 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.llm._common import materialize
-from tidewright.llm.sketches import counters_for, merged_counts
+from tidewright.llm.sketches import counted_bits, may_count
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in itertools.permutations(FILTERS)]
 WORDS = 200
-HASHES, PER_ROW = 3, 16
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -42,25 +40,6 @@ def text_failures(text: Column) -> Column:
     return sum((f.cast("int") * (1 << i) for i, f in enumerate(failed)), F.lit(0))
 
 
-def _places(h: np.ndarray, counters: int) -> np.ndarray:
-    """``HASHES`` counters of each 64-bit hash, one row each."""
-    h = h.astype(np.int64).view(np.uint64)
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    return ((h[None, :] + np.arange(HASHES, dtype=np.uint64)[:, None] * step) & np.uint64(counters - 1)).astype(np.int64)
-
-
-def repeat_bits(hashes: DataFrame, rows: int, most: int = 1 << 27) -> np.ndarray:
-    """One bit for each counter: whether it counts two or more of the hashes in the only column of ``hashes``."""
-    counters = counters_for(rows, PER_ROW, most=most)
-    return merged_counts(hashes, lambda b: _places(b.column(0).to_numpy(zero_copy_only=False), counters).reshape(-1), counters, lambda n: np.packbits(n >= 2, bitorder="little"))
-
-
-def may_repeat(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """False for hashes that surely came once."""
-    at = _places(h, 8 * len(bits))
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0)
-
-
 def failures(docs: DataFrame, text: str = "text", most: int = 1 << 27) -> DataFrame:
     """``(doc_id, part, failed)`` for each row: bit ``i`` of ``failed`` says that it fails filter ``FILTERS[i]``.
 
@@ -70,13 +49,13 @@ def failures(docs: DataFrame, text: str = "text", most: int = 1 << 27) -> DataFr
     """
     spark = docs.sparkSession
     slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bits = spark.sparkContext.broadcast(repeat_bits(slim.select(F.xxhash64("text")), docs.count(), most))  # 16 MB at most
+    bits = spark.sparkContext.broadcast(counted_bits(slim.select(F.xxhash64("text")), docs.count(), 2, most=most))  # 16 MB at most
     flagged = slim.select("doc_id", "part", text_failures(F.col("text")).alias("failed"), F.xxhash64("text").alias("h"), "text")
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in flagged.schema), T.StructField("maybe", T.BooleanType())])
 
     def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            maybe = pa.array(may_repeat(b.column(3).to_numpy(zero_copy_only=False), bits.value))
+            maybe = pa.array(may_count(b.column(3).to_numpy(zero_copy_only=False), bits.value))
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pc.if_else(maybe, b.column(4), pa.scalar(None, b.column(4).type)), maybe], names=schema.names)
 
     kept = materialize(flagged.mapInArrow(clear, schema), "filter-flags")

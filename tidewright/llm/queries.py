@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import decontamination, filter_audit, language_id, periodic_runs, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
+from tidewright.llm import decontamination, filter_audit, language_id, ngram_join, periodic_runs, personal, quality_fm, quality_rules, secrets, sentencepieces, simhash, suffix_dedup, token_counts
 from tidewright.llm._common import table
 
 
@@ -68,6 +68,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"))
+
+
 def words_with_runs(doc_id: int | None, text: str | None) -> list[bytes]:
     """The words of a text; in one of ten ids, by its checksum, those from some place on repeat with some period."""
     words = periodic_runs.words_of(doc_id, text)
@@ -90,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, op11_filter_audit, op13_periodic_runs, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_quality_rules, op4_token_counts, op5_sentencepiece, op6_suffix_dedup, op7_secrets, op8_personal_data, op9_simhash, op10_quality_fm, op11_filter_audit, op12_ngram_join, op13_periodic_runs, pipeline)}
 
 #: The other operators have no DuckDB form for their full result; tests/llm holds them against plain code.
-ORACLE_SQL: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL, "op12_ngram_join": ngram_join.ORACLE_SQL}
