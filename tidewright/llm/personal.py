@@ -43,10 +43,12 @@ _digit = "|".join(sorted(SPELLED, key=len, reverse=True))
 #: At least four spelled digits in a row, so that a number word in a sentence stays a word.
 SPELLED_RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{_digit}|plus|[0-9]+)(?:[\x20.,-]+(?={_digit}|[0-9])|(?!\w))){{4,}}")
 SPELLED_ONE = re.compile(rf"(?i)(?:{_digit}|plus)(?!\w)")
-AT = re.compile(r"(?i)\x20*(?:\[\x20*at\x20*\]|\(\x20*at\x20*\)|\{\x20*at\x20*\}|<\x20*at\x20*>)\x20*|(?<=[A-Za-z0-9])\x20+at\x20+(?=[A-Za-z0-9-]+(?:\x20*[\[({]\x20*dot|\x20+dot\x20))")
-DOT = re.compile(r"(?i)\x20*(?:\[\x20*dot\x20*\]|\(\x20*dot\x20*\)|\{\x20*dot\x20*\}|<\x20*dot\x20*>)\x20*|(?<=[A-Za-z0-9])\x20+dot\x20+(?=[A-Za-z0-9])")
+# Blanks before a sign count from the first of their row on and are never given back, so a long row of blanks is read once.
+_blanks = r"(?:(?<!\x20)\x20++|)"
+AT = re.compile(rf"(?i){_blanks}(?:\[\x20*+at\x20*+\]|\(\x20*+at\x20*+\)|\{{\x20*+at\x20*+\}}|<\x20*+at\x20*+>)\x20*+|(?<=[A-Za-z0-9])\x20++at\x20++(?=[A-Za-z0-9-]++(?:\x20*+[\[({{]\x20*+dot|\x20++dot\x20))")
+DOT = re.compile(rf"(?i){_blanks}(?:\[\x20*+dot\x20*+\]|\(\x20*+dot\x20*+\)|\{{\x20*+dot\x20*+\}}|<\x20*+dot\x20*+>)\x20*+|(?<=[A-Za-z0-9])\x20++dot\x20++(?=[A-Za-z0-9])")
 # Quick tests that hold wherever AT (without a dot) or a spelled run can match.
-AT_BRACKETS = re.compile(r"(?i)[\[({<]\x20*at\x20*[\])}>]")
+AT_BRACKETS = re.compile(r"(?i)[\[({<]\x20*+at\x20*+[\])}>]")
 SPELLED_NEAR = re.compile(rf"(?i)(?<!\w)(?:{_digit}|plus)[\x20.,-]+(?:{_digit}|[0-9])|[0-9][\x20.,-]+(?:{_digit})(?!\w)")
 
 
