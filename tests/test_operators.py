@@ -263,6 +263,63 @@ def test_streams_run_again_without_new_files_and_with_late_ones(spark):
     assert values(rows, "k") == [(1,), (2,)] == values(merges.replay_windows(df, "seq", ["0", "3", "9"], f"{target}-replay"), "k")
 
 
+def _bytes(spark, df):
+    place = lambda f: spark._jvm.org.apache.hadoop.fs.Path(f)
+    return sum(place(f).getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place(f)).getLen() for f in df.inputFiles())
+
+
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_logs_fold_and_reads_stay_small(spark, monkeypatch, kind):
+    monkeypatch.setattr(merges, "FANOUT", 3)
+    source, target = files.scratch(spark, "source"), files.scratch(spark, "target")
+    schema = "k int, seq int, v string, gone boolean"
+    merge = {"scd1": merges.stream_scd1, "scd2": merges.stream_scd2}[kind]
+    plain = {"scd1": cdc.scd1, "scd2": cdc.scd2}[kind]
+    everything, reads = [], []
+    for n in range(12):
+        rows = [(n % 4, 10 * n, f"v{n}", False), (9, 200 - 7 * n, f"late{n}", n % 3 == 0), (100 + n, 1, "own", False), (None, 1, "no key", False)]
+        everything += rows
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        got = merge(merges.stream_table(spark, source, spark.createDataFrame([], schema).schema), target, ["k"], "seq", "gone")
+        reads.append(len(merges.Log(spark, f"{target}/data", None).ranges()))
+        if n in (4, 11):
+            assert values(got, *got.columns) == values(plain(spark.createDataFrame(everything, schema), ["k"], "seq", "gone"), *got.columns)
+    log = merges.Log(spark, f"{target}/data", got.schema)
+    assert (0, 9) in log.ranges() and merges._widest(log.ranges()) == [(0, 9), (9, 12)] and max(reads) <= 9
+    again = merges.Log(spark, f"{target}/data", spark.createDataFrame([], schema).schema)
+    again.write(spark.createDataFrame(everything[:4], schema), 0)  # a batch that comes again after its fold
+    got = merge(merges.stream_table(spark, source, again.schema), target, ["k"], "seq", "gone")
+    assert values(got, *got.columns) == values(plain(spark.createDataFrame(everything, schema), ["k"], "seq", "gone"), *got.columns) and (0, 1) not in again.ranges()
+
+
+def test_snapshot_runs_count_empty_ones_and_write_open_versions_only(spark):
+    source, target = files.scratch(spark, "source"), files.scratch(spark, "target")
+    schema = "k int, open string, run int"
+    run = lambda rows: merges.snapshot_history(spark.createDataFrame(rows, schema), target, ["k"])
+    assert run([]).count() == 0
+    assert values(run([(1, "a", 0), (None, "n", 0)]), "k", "open", "valid_from", "valid_to", "is_current") == [(1, "a", 2, None, True), (None, "n", 2, None, True)]
+    assert values(run([(1, "b", 0)]), "k", "open", "valid_from", "valid_to") == [(1, "a", 2, 3), (1, "b", 3, None), (None, "n", 2, 3)]
+    assert values(run([]), "k", "valid_to") == [(1, 3), (1, 4), (None, 3)]
+    wrote = []
+    for n in range(5):
+        got = run([(i, f"{n}-{i}", n) for i in range(200)])
+        wrote.append(_bytes(spark, spark.read.parquet(f"{target}/runs/__run={5 + n}")))
+    assert got.count() == 3 + 5 * 200 and got.where("is_current").count() == 200 and max(wrote[1:]) < 1.2 * min(wrote[1:])
+    spark.createDataFrame([(1, "a", 0), (1, "a", 0), (2, "b", 0), (None, "n", 0)], schema).write.parquet(source)
+    job = lambda: ingest(spark, [Table("t", source, ["k"], ingestion_type="snapshot")], f"{target}-job")["t"]
+    first = job()
+    assert values(first, "k") == [(1,), (2,), (None,)]
+    spark.createDataFrame([(2, "c", 0)], schema).write.mode("overwrite").parquet(source)
+    assert values(first, "k") == [(1,), (2,), (None,)]  # stored, not read from the source again
+    assert values(job(), "k", "open") == [(2, "c")]
+
+
+def test_a_full_refresh_takes_null_keys_as_equal(spark):
+    a = spark.createDataFrame([(None, 1, "old"), (1, None, "old"), (2, 2, "old")], "a int, b int, v string")
+    b = spark.createDataFrame([(None, 1, "new"), (1, None, "new"), (None, None, "new")], "a int, b int, v string")
+    assert values(cdc.full_refresh_upsert(a, b, ["a", "b"]), "a", "b", "v") == [(1, None, "new"), (2, 2, "old"), (None, 1, "new"), (None, None, "new")]
+
+
 def test_strict_conforming_looks_inside(spark):
     want = T.StructType([T.StructField("s", T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType(), False)])), T.StructField("a", T.ArrayType(T.IntegerType())), T.StructField("m", T.MapType(T.StringType(), T.DoubleType()))])
     df = spark.createDataFrame([(("1", "y"), ["1", None], {"k": "1.5"}), (("abc", None), ["1", "zz"], {"k": "x"}), (None, None, None)], "s struct<x:string,y:string>, a array<string>, m map<string,string>")

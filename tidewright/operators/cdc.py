@@ -26,15 +26,9 @@ def _present(keys: list[str], sequence_by: str) -> Column:
 
 
 def change_order(df: DataFrame, sequence_by: str, is_delete: str | None = None) -> Column:
-    """Sequence, deletes after upserts, then 128 bits of hash, so that changes with one sequence have the same order in every run.
-
-    A hash alone skips nulls, so each column tells whether it is null; nested ones are hashed as JSON.
-    """
+    """Sequence, deletes after upserts, then 128 bits of hash, so that changes with one sequence have the same order in every run."""
     flag = F.coalesce(F.col(is_delete), F.lit(False)) if is_delete else F.lit(False)
-    told: list[Column] = []
-    for f in df.schema:
-        c, nested = F.col(f"`{f.name}`"), isinstance(f.dataType, T.StructType | T.ArrayType | T.MapType | T.VariantType)
-        told += [c.isNull(), F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if nested else c]
+    told = _told(df, df.columns)
     return F.struct(F.col(sequence_by), flag, F.xxhash64(*told), F.xxhash64(F.lit(1), *told))
 
 
@@ -65,18 +59,22 @@ def scd1_merge(state: DataFrame, changes: DataFrame, keys: list[str], sequence_b
     return scd1(state.unionByName(changes), keys, sequence_by, is_delete, keep_tombstones=True)
 
 
+def distinct_changes(changes: DataFrame, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
+    """One change for each key and sequence, the greatest; those without a key or a sequence go."""
+    at = [*keys, sequence_by]
+    rest = [c for c in changes.columns if c not in at]
+    clean = changes.where(_present(keys, sequence_by))
+    if not rest:
+        return clean.distinct()
+    return clean.groupBy(*at).agg(F.max_by(F.struct(*rest), change_order(changes, sequence_by, is_delete)).alias("row")).select(*at, "row.*").select(changes.columns)
+
+
 def scd2(changes: DataFrame, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
     """One version per change with half-open ``[valid_from, valid_to)``; a delete closes and adds none.
 
     Of several changes of a key with one sequence the greatest stands.
     """
-    at = [*keys, sequence_by]
-    rest = [c for c in changes.columns if c not in at]
-    clean = changes.where(_present(keys, sequence_by))
-    if rest:
-        clean = clean.groupBy(*at).agg(F.max_by(F.struct(*rest), change_order(changes, sequence_by, is_delete)).alias("row")).select(*at, "row.*").select(changes.columns)
-    else:
-        clean = clean.distinct()
+    clean = distinct_changes(changes, keys, sequence_by, is_delete)
     following = F.lead(sequence_by).over(Window.partitionBy(*keys).orderBy(sequence_by))
     out = clean.withColumns({"valid_from": F.col(sequence_by), "valid_to": following}).withColumn("is_current", F.col("valid_to").isNull())
     return out.where(~F.coalesce(F.col(is_delete), F.lit(False))) if is_delete else out
@@ -92,6 +90,15 @@ def scd2_merge(versions: DataFrame, history: DataFrame, batch: DataFrame, keys:
     return versions.join(touched, keys, "left_anti").select(again.columns).unionByName(again)
 
 
+def _told(df: DataFrame, columns: list[str]) -> list[Column]:
+    """What hashes of a row are made of. A hash skips nulls, so each column tells whether it is null; nested ones are taken as JSON."""
+    told: list[Column] = []
+    for c in columns:
+        col, nested = F.col(f"`{c}`"), isinstance(df.schema[c].dataType, T.StructType | T.ArrayType | T.MapType | T.VariantType)
+        told += [col.isNull(), F.to_json(F.struct(col), {"ignoreNullFields": "false"}) if nested else col]
+    return told
+
+
 def _paired(previous: DataFrame, current: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
     """``old`` and ``new`` row of each key with their hashes, null in the snapshot that lacks it; ``old`` has the columns ``carry`` too.
 
@@ -121,15 +128,21 @@ def snapshot_scd1(previous: DataFrame, current: DataFrame, keys: list[str]) -> D
 
 def snapshot_scd2(history: DataFrame, current: DataFrame, keys: list[str], version) -> DataFrame:
     """History after a snapshot with number or date ``version``; a missing key closes there. Closed versions are not touched; open ones are compared in one shuffle."""
+    columns = [*current.columns, "valid_from", "valid_to"]
+    made = snapshot_step(history.where("valid_to is null").select(columns), current, keys, version)
+    return history.where("valid_to is not null").select(columns).unionByName(made).withColumn("is_current", F.col("valid_to").isNull())
+
+
+def snapshot_step(open_versions: DataFrame, current: DataFrame, keys: list[str], version) -> DataFrame:
+    """What a snapshot makes of the open versions ``(columns, valid_from, valid_to)``: those still open, those that it closes and those that it opens."""
     cols, v = current.columns, F.lit(version)
-    pairs = _paired(history.where("valid_to is null"), current, keys, ("valid_from",))
+    pairs = _paired(open_versions, current, keys, ("valid_from",))
     same = F.coalesce(F.col("old_hash") == F.col("new_hash"), F.lit(False))
-    ends = history.schema["valid_to"].dataType
+    ends = open_versions.schema["valid_to"].dataType
     row = lambda side, start, end: F.struct(*(F.col(f"{side}.`{c}`").alias(c) for c in cols), start.alias("valid_from"), end.cast(ends).alias("valid_to"))
     before = F.when(F.col("old_hash").isNotNull(), row("old", F.col("old.valid_from"), F.when(~same, v)))
-    after = F.when(F.col("new_hash").isNotNull() & ~same, row("new", v.cast(history.schema["valid_from"].dataType), F.lit(None)))
-    open_ = pairs.select(F.explode(F.filter(F.array(before, after), lambda x: x.isNotNull())).alias("r")).select("r.*")
-    return history.where("valid_to is not null").select(*cols, "valid_from", "valid_to").unionByName(open_).withColumn("is_current", F.col("valid_to").isNull())
+    after = F.when(F.col("new_hash").isNotNull() & ~same, row("new", v.cast(open_versions.schema["valid_from"].dataType), F.lit(None)))
+    return pairs.select(F.explode(F.filter(F.array(before, after), lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
 def tombstone_feed(df: DataFrame, removed: Column, order_by: str, keep: list[str], control: str = "@") -> DataFrame:
@@ -179,5 +192,7 @@ def upserts_plus_deletes(upserts: DataFrame, deletes: DataFrame, flag: str = "_d
 
 
 def full_refresh_upsert(state: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Everything read again and upserted by key: rows of ``table`` win, keys only in ``state`` stay."""
-    return state.join(table.select(*keys), keys, "left_anti").select(table.columns).unionByName(table)
+    """Everything read again and upserted by key: rows of ``table`` win, keys only in ``state`` stay. Null keys are equal, as in snapshots."""
+    told = table.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return state.join(told, same, "left_anti").select(table.columns).unionByName(table)

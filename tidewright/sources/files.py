@@ -39,6 +39,21 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folders(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
+    """Names of the folders in ``path``, none where there is no such path; with ``complete`` those whose write was finished."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    found = [s.getPath() for s in store.listStatus(place) if s.isDirectory()]
+    return sorted(p.getName() for p in found if not complete or store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scan_table(spark: SparkSession, path: str, columns: list[str] | None = None, predicate: Column | None = None) -> DataFrame:
     """A Parquet table; columns and predicate reach the scan."""
     df = spark.read.parquet(path)

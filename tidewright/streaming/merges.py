@@ -2,11 +2,13 @@
 
 Sources are file streams with a checkpoint; a run takes what is there when it starts and stops (``availableNow``). Batch size is
 set by files, not by rows. A table's changes are kept in one folder for each batch, which a replayed batch overwrites, and merged when they are
-read, so late and repeated batches change nothing and Spark deals the merge to as many tasks as the changes need.
+read, so late and repeated batches change nothing and Spark deals the merge to as many tasks as the changes need. Neighbouring batches are folded, level
+by level, so that a read takes few folders however many runs there were.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.operators import cdc
-from tidewright.sources.files import write_clustered
+from tidewright.sources.files import folders, remove_folder, write_clustered
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000, event_time: str | None = None) -> DataFrame:
@@ -29,26 +31,94 @@ def run_to_completion(stream: DataFrame, checkpoint: str, each) -> None:
     query.awaitTermination()
 
 
-def _batches(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """Rows of all batches that were written, none where there were none; ``__batch`` is the batch's number."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/data/__batch=-1")  # so that the folder is there
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("__batch", T.LongType())])).parquet(f"{target}/data")
+#: Folders of one level that are folded into one of the next.
+FANOUT = 8
+
+
+@dataclass
+class Log:
+    """A table's batches, one folder for each, ``low-high`` by their numbers, and folds of ``FANOUT`` neighbouring ones by ``fold``, and of those again.
+
+    A read takes the widest folders, so it lists some ``FANOUT`` folders for each level, of which there are as many as the logarithm of the batches. Folders below a fold go at the
+    end of the next run, so a result can be read until the run after the next one. A batch that is written again after its fold is not read, and its fold holds the same rows.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    fold: Callable[[DataFrame], DataFrame] | None = None
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/{number}-{number + 1}")
+
+    def ranges(self) -> set[tuple[int, int]]:
+        """``(low, high)`` of each folder that was written whole."""
+        return {(int(low), int(high)) for low, high in (name.split("-") for name in folders(self.spark, self.path, complete=True))}
+
+    def rows(self, ranges: list[tuple[int, int]]) -> DataFrame:
+        if not ranges:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{low}-{high}" for low, high in ranges))
+
+    def read(self) -> DataFrame:
+        return self.rows(_widest(self.ranges()))
+
+    def settle(self) -> None:
+        """Folds what is complete, level by level, and removes what folds of earlier runs hold."""
+        there = self.ranges()
+        if self.fold is None or not there:
+            return
+        gone = there - set(_widest(there))
+        width, end = FANOUT, max(high for _, high in there)
+        while width <= end:
+            for low in range(0, end - width + 1, width):
+                parts = [(at, at + width // FANOUT) for at in range(low, low + width, width // FANOUT)]
+                if (low, low + width) not in there and not any(x <= low and low + width <= y for x, y in there) and there.issuperset(parts):
+                    self.fold(self.rows(parts)).select(self.schema.names).write.mode("overwrite").parquet(f"{self.path}/{low}-{low + width}")
+                    there.add((low, low + width))
+            width *= FANOUT
+        for low, high in gone:
+            remove_folder(self.spark, f"{self.path}/{low}-{high}")
+
+
+def _widest(ranges: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that no other one holds, in order."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(ranges, key=lambda r: (r[0], -r[1])):
+        if not out or low >= out[-1][1]:
+            out.append((low, high))
+    return out
+
+
+def _logged(stream: DataFrame, target: str, fold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All changes after a run: of the same key those that ``fold`` keeps."""
+    log = Log(stream.sparkSession, f"{target}/data", stream.schema, fold)
+    run_to_completion(stream, f"{target}/checkpoint", log.write)
+    log.settle()
+    return log.read()
 
 
 def stream_append(stream: DataFrame, target: str) -> DataFrame:
     """Rows appended once: a batch owns a folder by its number, and a replay overwrites it. A run without new files adds nothing."""
-    run_to_completion(stream, f"{target}/checkpoint", lambda batch, i: batch.write.mode("overwrite").parquet(f"{target}/data/__batch={i}"))
-    return _batches(stream.sparkSession, target, stream.schema).drop("__batch")
+    return _logged(stream, target)
 
 
 def stream_scd1(stream: DataFrame, target: str, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
-    """Latest row of each key over all batches; deletes are kept among the changes, so a late upsert brings no deleted row back."""
-    return cdc.scd1(stream_append(stream, target), keys, sequence_by, is_delete)
+    """Latest row of each key over all batches; deletes are kept among the changes, so a late upsert brings no deleted row back.
+
+    Batches are folded to the latest change of each key, so what a run reads grows with the keys and not with their changes.
+    """
+    fold = lambda changes: cdc.scd1(changes, keys, sequence_by, is_delete, keep_tombstones=True)
+    return cdc.scd1(_logged(stream, target, fold), keys, sequence_by, is_delete)
 
 
 def stream_scd2(stream: DataFrame, target: str, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
-    """Versions of each key over all batches; late rows split versions rightly, as all changes are there."""
-    return cdc.scd2(stream_append(stream, target), keys, sequence_by, is_delete)
+    """Versions of each key over all batches; late rows split versions rightly, as all changes are there.
+
+    Folds hold one change for each key and sequence; each row is written again once a level.
+    """
+    fold = lambda changes: cdc.distinct_changes(changes, keys, sequence_by, is_delete)
+    return cdc.scd2(_logged(stream, target, fold), keys, sequence_by, is_delete)
 
 
 def stream_deletes(upserts: DataFrame, deletes: DataFrame, target: str, keys: list[str], sequence_by: str, flag: str = "is_delete") -> DataFrame:
@@ -82,12 +152,10 @@ def collect_complete(result: DataFrame, target: str) -> DataFrame:
 
     A run without new files gives the result of the run before, or none.
     """
-    each = lambda batch, i: batch.write.mode("overwrite").parquet(f"{target}/data/__batch={i}")
-    query = result.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
+    log = Log(result.sparkSession, f"{target}/data", result.schema)
+    query = result.writeStream.outputMode("complete").foreachBatch(log.write).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    found = _batches(result.sparkSession, target, result.schema)
-    last = found.agg(F.max("__batch").alias("m")).first()["m"]
-    return found.where(F.col("__batch") == F.lit(last)).drop("__batch")
+    return log.rows(sorted(log.ranges())[-1:])  # an empty last result counts too
 
 
 def replay_windows(df: DataFrame, cursor: str, bounds: list[str], target: str) -> DataFrame:
@@ -95,21 +163,47 @@ def replay_windows(df: DataFrame, cursor: str, bounds: list[str], target: str) -
 
     Gives the rows of all windows so far, to be merged by ``cdc.scd1`` or ``cdc.scd2``.
     """
-    kind = df.schema[cursor].dataType
+    kind, log = df.schema[cursor].dataType, Log(df.sparkSession, f"{target}/data", df.schema)
     for i, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        df.where((F.col(cursor) > F.lit(low).cast(kind)) & (F.col(cursor) <= F.lit(high).cast(kind))).write.mode("overwrite").parquet(f"{target}/data/__batch={i}")
-    return _batches(df.sparkSession, target, df.schema).drop("__batch")
+        log.write(df.where((F.col(cursor) > F.lit(low).cast(kind)) & (F.col(cursor) <= F.lit(high).cast(kind))), i)
+    return log.read()
+
+
+def _runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the runs that ended, empty ones too."""
+    return sorted(int(name.removeprefix("__run=")) for name in folders(spark, path, complete=True))
 
 
 def snapshot_history(current: DataFrame, target: str, keys: list[str]) -> DataFrame:
-    """Versions of a table that comes as full snapshots: run ``n`` (from 1) closes and opens versions at ``n``. Each run writes the history anew."""
-    versions = T.StructType([*(T.StructField(f.name, f.dataType) for f in current.schema), T.StructField("valid_from", T.IntegerType()), T.StructField("valid_to", T.IntegerType()), T.StructField("is_current", T.BooleanType())])
-    spark = current.sparkSession
-    runs = _batches(spark, target, versions)
-    before = runs.agg(F.max("__batch").alias("m")).first()["m"] or 0
-    made = cdc.snapshot_scd2(runs.where(F.col("__batch") == F.lit(before)).drop("__batch"), current, keys, before + 1)
-    made.select(F.col("valid_from").cast("int").alias("valid_from"), F.col("valid_to").cast("int").alias("valid_to"), "is_current", *current.columns).select(versions.names).write.mode("overwrite").parquet(f"{target}/data/__batch={before + 1}")
-    return spark.read.schema(versions).parquet(f"{target}/data/__batch={before + 1}")
+    """Versions of a table that comes as full snapshots: run ``n`` (from 1) closes and opens versions at ``n``.
+
+    A run writes the versions that it closes, which no later run touches, and the open ones, in one folder that counts once it is complete; a run that
+    failed is done again under its number. So a run writes as much as the snapshot holds, whatever the history. Open versions of the run before the last are removed.
+    """
+    spark, path = current.sparkSession, f"{target}/runs"
+    kinds = T.StructType([*(T.StructField(f.name, f.dataType) for f in current.schema), T.StructField("valid_from", T.IntegerType()), T.StructField("valid_to", T.IntegerType())])
+    done = _runs(spark, path)
+    run = done[-1] + 1 if done else 1
+    before = spark.read.schema(kinds).parquet(f"{path}/__run={run - 1}/__open=true") if run > 1 and "__open=true" in folders(spark, f"{path}/__run={run - 1}") else spark.createDataFrame([], kinds)
+    made = cdc.snapshot_step(before, current, keys, run).withColumns({"valid_from": F.col("valid_from").cast("int"), "valid_to": F.col("valid_to").cast("int")})
+    made.select(kinds.names).withColumn("__open", F.col("valid_to").isNull()).write.mode("overwrite").partitionBy("__open").parquet(f"{path}/__run={run}")
+    for old in done[:-1]:
+        if old >= run - 3:
+            remove_folder(spark, f"{path}/__run={old}/__open=true")
+    placed = T.StructType([*kinds.fields, T.StructField("__run", T.IntegerType()), T.StructField("__open", T.BooleanType())])
+    found = spark.read.schema(placed).parquet(path).where((F.col("__run") <= run) & (~F.col("__open") | (F.col("__run") == run)))
+    return found.select(*kinds.names, F.col("valid_to").isNull().alias("is_current"))
+
+
+def snapshot_state(current: DataFrame, target: str, keys: list[str]) -> DataFrame:
+    """The stored table after a full snapshot: each key once, null keys being equal, removed keys gone. Each run has a folder; the last two stay."""
+    spark, path = current.sparkSession, f"{target}/runs"
+    done = _runs(spark, path)
+    run = done[-1] + 1 if done else 1
+    cdc.snapshot_scd1(current.limit(0), current, keys).write.mode("overwrite").parquet(f"{path}/__run={run}")
+    for old in done[:-1]:
+        remove_folder(spark, f"{path}/__run={old}")
+    return spark.read.schema(current.schema).parquet(f"{path}/__run={run}")
 
 
 @dataclass
@@ -153,9 +247,8 @@ def _ingest_one(spark: SparkSession, t: Table, target: str) -> DataFrame:
     if t.ingestion_type == "append" or t.scd_type == "APPEND_ONLY":
         out = stream_append(stream, target)
     elif t.ingestion_type == "snapshot":
-        out = spark.read.parquet(t.source)
-        if t.scd_type == "SCD_TYPE_2":
-            out = snapshot_history(out, target, t.keys)
+        merged = snapshot_history if t.scd_type == "SCD_TYPE_2" else snapshot_state
+        out = merged(spark.read.parquet(t.source), target, t.keys)
     else:
         flag = t.is_delete if t.ingestion_type == "cdc_with_deletes" else None
         merged = stream_scd2 if t.scd_type == "SCD_TYPE_2" else stream_scd1
