@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidewright.functions import scalars as s
 from tidewright.functions.conform import conform, conform_strict
-from tidewright.operators import cdc, cursors, quality, relational, reports, timeseries
+from tidewright.operators import cdc, cursors, quality, relational, reports, scans, timeseries
 from tidewright.plans import messages, resources
 from tidewright.sources import files
 from tidewright.streaming import merges
@@ -354,3 +354,25 @@ def test_ingest_rejects_unknown_types(spark):
         ingest(spark, [Table("t", "/none", ["k"], "s", ingestion_type="other")], "/none")
     with pytest.raises(ValueError, match="keys and a sequence"):
         ingest(spark, [Table("t", "/none")], "/none")
+
+
+@pytest.mark.parametrize("column", ["id", "t", "at", "d"])
+def test_caps_and_bins_over_any_cursor(spark, column):
+    df = spark.range(5000).selectExpr("id", "lpad(cast(id AS string), 6, '0') AS t", "timestamp_seconds(id * 7) AS at", "cast(id AS decimal(12,2)) / 3 AS d").repartition(5)
+    for n in (1, 99, 100, 4999, 5000, 6000):
+        got = cursors.soft_cap(df, column, n)
+        assert [r.id for r in got.orderBy("id").collect()] == list(range(min(n, 5000)))
+        assert "SinglePartition" not in cursors._cut(df, column, n, True)._jdf.queryExecution().optimizedPlan().toString() and got.count() == cursors.trim_ties(df, column, n).count()
+    bins = relational.contiguous_bins(df, column, 7)
+    assert {(r.bin, r.n, r.low) for r in bins.groupBy("bin").agg(F.count("*").alias("n"), F.min("id").alias("low")).collect()} == {(b + 1, 715 if b < 2 else 714, 714 * b + min(b, 2)) for b in range(7)}
+    assert relational.contiguous_bins(df.limit(0), column, 7).count() == 0
+
+
+def test_scans_in_pieces_equal_windows(spark):
+    hot = spark.range(4000).selectExpr("if(id % 50 = 0, null, if(id % 7 = 0, id % 3, 9)) AS k", "id * 13 % 4000 AS t", "if(id % 5 = 0, null, id) AS v")
+    asked = {"a": ("previous", "v"), "b": ("next", "v"), "c": ("upto", "v"), "d": ("from", "v")}
+    whole, cut = scans.with_neighbours(hot, ["k"], ["t"], asked), scans.with_neighbours(hot, ["k"], ["t"], asked, 16)
+    assert cut.columns == whole.columns and values(cut, *cut.columns) == values(whole, *whole.columns)
+    one, many = scans.running_sum(hot, ["k"], ["t"], "v", "s"), scans.running_sum(hot, ["k"], ["t"], "v", "s", 16)
+    assert values(many.where("v is not null"), "k", "t", "s") == values(one.where("v is not null"), "k", "t", "s")
+    assert scans.with_neighbours(hot.limit(0), ["k"], ["t"], asked, 16).count() == 0

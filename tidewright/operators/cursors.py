@@ -1,8 +1,8 @@
 """Incremental batches over a cursor column: bounds, watermarks, tie-safe caps, overlaps.
 
 Bounds compare the stored column itself, so they reach the Parquet scan. Caps never sort the whole table: rows are
-counted for ranges of the cursor, then for the values of the one range that holds the cut, and the table is cut by a plain
-comparison.
+counted for each cursor value, the counts summed by ranges of it and then inside the one range that holds the cut, and the table is cut by a plain
+comparison. Any type that Spark can sort is a cursor.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tidewright.functions.scalars import cuts_below
 from tidewright.operators.cdc import content_hash
+from tidewright.operators.scans import Totals
 
 
 def since(df: DataFrame, cursor: str, low=None, high=None) -> DataFrame:
@@ -46,34 +46,9 @@ def overlap_dedup(batch: DataFrame, delivered: DataFrame, keys: list[str]) -> Da
     return batch.withColumn("__h", content_hash(batch)).join(seen, [*keys, "__h"], "left_anti").select(cols)
 
 
-RANGES = 200
-
-
 def _cut(df: DataFrame, cursor: str, n: int, whole: bool) -> DataFrame:
-    """One row ``__cut``: the last cursor value that a cap of ``n`` rows takes in (null: none).
-
-    ``whole`` takes a value only with all its rows inside the cap; else a value counts that has a first row inside. Rows are counted for
-    ranges of the cursor first; the running sum over those says which range holds the cut, and only that one's values are counted and
-    summed one by one, so no task sees more than a two-hundredth of the values, about.
-    """
-    there = df.where(F.col(cursor).isNotNull())
-    kind = df.schema[cursor].dataType
-    plain = isinstance(kind, T.NumericType | T.DateType | T.TimestampType | T.TimestampNTZType)
-    bounds = there.agg(F.percentile_approx(cursor, [i / RANGES for i in range(1, RANGES)], 10_000).alias("q")).first()["q"] if plain else None
-    cuts = sorted(set(bounds or ()))
-    at = cuts_below(F.col(cursor), cuts, kind)
-    before = 0
-    for r in there.groupBy(at.alias("r")).agg(F.count("*").alias("n"), F.max(cursor).alias("last")).orderBy("r").collect():  # RANGES rows at most
-        if before + r["n"] > n or (not whole and before + r["n"] == n):
-            low = F.lit(True) if r["r"] == 0 else F.col(cursor) > F.lit(cuts[r["r"] - 1]).cast(kind)
-            here = there.where(low & (F.col(cursor) <= F.lit(r["last"]).cast(kind))).groupBy(cursor).agg(F.count("*").alias("n"))
-            total = F.sum("n").over(Window.orderBy(cursor).rowsBetween(Window.unboundedPreceding, 0)) + F.lit(before)
-            inside = F.col("total") <= n if whole else F.col("total") - F.col("n") < n
-            own = here.withColumn("total", total).where(inside).agg(F.max(cursor).alias("__cut"))
-            earlier = there.where(~low).agg(F.max(cursor).alias("__before")) if r["r"] else df.sparkSession.range(1).select(F.lit(None).cast(kind).alias("__before"))
-            return own.crossJoin(earlier).select(F.coalesce("__cut", "__before").alias("__cut"))  # one row each
-        before += r["n"]
-    return there.agg(F.max(cursor).alias("__cut"))
+    """One row ``__cut``: the last cursor value that a cap of ``n`` rows takes in (null: none)."""
+    return Totals(df, cursor).cut(n, whole)
 
 
 def soft_cap(df: DataFrame, cursor: str, n: int) -> DataFrame:
@@ -114,9 +89,8 @@ def compact_windows(df: DataFrame, cursor: str, width: str, n: int) -> DataFrame
 
     A batch takes windows while the rows before its window, counted from the table's start, stay in one step of ``n``.
     """
-    per = df.where(F.col(cursor).isNotNull()).groupBy(F.date_trunc(width, cursor).cast(df.schema[cursor].dataType).alias("w")).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("w").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    return per.withColumn("batch", F.floor(before / n)).groupBy("batch").agg(F.min("w").alias("begin"), F.max("w").alias("end"), F.sum("n").alias("n"))
+    per = Totals(df.select(F.date_trunc(width, cursor).cast(df.schema[cursor].dataType).alias("w")), "w").running()
+    return per.withColumn("batch", F.floor((F.col("__total") - F.col("__n")) / n)).groupBy("batch").agg(F.min("w").alias("begin"), F.max("w").alias("end"), F.sum("__n").alias("n"))
 
 
 def cap_at_group(df: DataFrame, group: str, n: int) -> DataFrame:

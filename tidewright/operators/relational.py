@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewright.functions.scalars import cuts_below
 from tidewright.operators.cdc import content_hash
+from tidewright.operators.scans import numbered
 from tidewright.sources.files import kept
 
 # --- projection and predicates
@@ -316,27 +316,12 @@ def _fill(loads: list, weight, count: int) -> list[int]:
 
 
 def contiguous_bins(df: DataFrame, order: str, n: int, name: str = "bin") -> DataFrame:
-    """Equal contiguous slices in the order of a column with distinct values; the first ``rows % n`` have one more.
+    """Equal contiguous slices in the order of a column with distinct values, of any type; the first ``rows % n`` have one more. Nulls come first.
 
-    Positions come from counts: ranges of the order column, as many as keep one under some two million rows, are counted, each range is
-    numbered on its own and shifted by the rows before it.
+    Positions are running totals of counts by ranges of the column; no task sorts more than a range.
     """
-    spark = df.sparkSession
-    ranges = max(32, min(10_000, df.count() // 2_000_000))
-    bounds = df.where(F.col(order).isNotNull()).agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("q")).first()["q"] or []
-    cuts = sorted(set(bounds))
-    part = cuts_below(F.col(order), cuts, df.schema[order].dataType)
-    df = df.withColumn("__p", F.coalesce(part, F.lit(0)))
-    sizes = [(r["__p"], r["n"]) for r in df.groupBy("__p").agg(F.count("*").alias("n")).orderBy("__p").collect()]  # a row for each range
-    before, shifts = 0, []
-    for p, k in sizes:
-        shifts.append((p, before))
-        before += k
-    total, small = before, before // n
-    extra = total - small * n
-    table = spark.createDataFrame(shifts or [(0, 0)], "__p int, __s long")
-    at = F.row_number().over(Window.partitionBy("__p").orderBy(F.col(order).asc_nulls_first())) - 1 + F.col("__s")
-    out = df.join(F.broadcast(table), "__p").withColumn("__i", at)  # a row for each range
+    placed, total = numbered(df, order, "__i")
+    small, extra = total // n, total % n
     large = (small + 1) * extra
     bin_ = F.when(F.col("__i") < large, F.floor(F.col("__i") / (small + 1))).otherwise(extra + F.floor((F.col("__i") - large) / max(small, 1)))
-    return out.withColumn(name, (bin_ + 1).cast("int")).drop("__p", "__s", "__i")
+    return placed.withColumn(name, (bin_ + 1).cast("int")).drop("__i")
