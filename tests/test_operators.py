@@ -362,7 +362,10 @@ def test_caps_and_bins_over_any_cursor(spark, column):
     for n in (1, 99, 100, 4999, 5000, 6000):
         got = cursors.soft_cap(df, column, n)
         assert [r.id for r in got.orderBy("id").collect()] == list(range(min(n, 5000)))
-        assert "SinglePartition" not in cursors._cut(df, column, n, True)._jdf.queryExecution().optimizedPlan().toString() and got.count() == cursors.trim_ties(df, column, n).count()
+        assert got.count() == cursors.trim_ties(df, column, n).count()
+    plan = cursors._cut(df, column, 100, True)._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window") :]
+    assert "hashpartitioning(__r" in window and "SinglePartition" not in window  # only the last maximum meets in one place
     bins = relational.contiguous_bins(df, column, 7)
     assert {(r.bin, r.n, r.low) for r in bins.groupBy("bin").agg(F.count("*").alias("n"), F.min("id").alias("low")).collect()} == {(b + 1, 715 if b < 2 else 714, 714 * b + min(b, 2)) for b in range(7)}
     assert relational.contiguous_bins(df.limit(0), column, 7).count() == 0
@@ -376,3 +379,20 @@ def test_scans_in_pieces_equal_windows(spark):
     one, many = scans.running_sum(hot, ["k"], ["t"], "v", "s"), scans.running_sum(hot, ["k"], ["t"], "v", "s", 16)
     assert values(many.where("v is not null"), "k", "t", "s") == values(one.where("v is not null"), "k", "t", "s")
     assert scans.with_neighbours(hot.limit(0), ["k"], ["t"], asked, 16).count() == 0
+
+
+def test_hot_tags_users_and_keys_in_pieces(spark):
+    series = spark.range(3000).selectExpr("if(id % 9 = 0, id % 4, 99) AS tag", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 37 % 90000) AS ts", "cast(id % 101 AS double) AS value", "id AS event_id")
+    times = spark.range(300).selectExpr("if(id % 5 = 0, id % 4, 99) AS tag", "timestamp_ntz'2023-12-31 23:00:00' + make_dt_interval(0, 0, 0, id * 331) AS at")
+    same = lambda a, b: a.columns == b.columns and values(a, *a.columns) == values(b, *b.columns)
+    distinct = series.dropDuplicates(["tag", "ts"])
+    assert same(timeseries.as_of(distinct, times), timeseries.as_of(distinct, times, pieces=12))
+    assert same(timeseries.interpolated(series, 600), timeseries.interpolated(series, 600, pieces=12))
+    assert same(timeseries.time_weighted(series, 3600), timeseries.time_weighted(series, 3600, pieces=12))
+    assert same(timeseries.sessions(series, "tag", gap_seconds=120), timeseries.sessions(series, "tag", gap_seconds=120, pieces=12))
+    assert same(cdc.scd2(series, ["tag"], "ts"), cdc.scd2(series, ["tag"], "ts", pieces=12))
+    users = series.withColumnRenamed("tag", "user_id")
+    assert same(reports.with_sessions(users, 120), reports.with_sessions(users, 120, pieces=12))
+    plan = timeseries.sessions(series, "tag", gap_seconds=120, pieces=12)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(tag" in plan and "__piece" in plan
+    assert timeseries.sessions(series.limit(0), "tag", pieces=12).count() == 0

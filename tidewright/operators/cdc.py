@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewright.operators.scans import with_neighbours
+
 VERSION = ("valid_from", "valid_to", "is_current")
 
 
@@ -69,14 +71,17 @@ def distinct_changes(changes: DataFrame, keys: list[str], sequence_by: str, is_d
     return clean.groupBy(*at).agg(F.max_by(F.struct(*rest), change_order(changes, sequence_by, is_delete)).alias("row")).select(*at, "row.*").select(changes.columns)
 
 
-def scd2(changes: DataFrame, keys: list[str], sequence_by: str, is_delete: str | None = None) -> DataFrame:
+def scd2(changes: DataFrame, keys: list[str], sequence_by: str, is_delete: str | None = None, pieces: int = 1) -> DataFrame:
     """One version per change with half-open ``[valid_from, valid_to)``; a delete closes and adds none.
 
-    Of several changes of a key with one sequence the greatest stands.
+    Of several changes of a key with one sequence the greatest stands. With ``pieces`` ranges of the sequence a key with most changes is many tasks' work.
     """
     clean = distinct_changes(changes, keys, sequence_by, is_delete)
-    following = F.lead(sequence_by).over(Window.partitionBy(*keys).orderBy(sequence_by))
-    out = clean.withColumns({"valid_from": F.col(sequence_by), "valid_to": following}).withColumn("is_current", F.col("valid_to").isNull())
+    if pieces > 1:
+        clean = with_neighbours(clean, keys, [sequence_by], {"valid_to": ("next", sequence_by)}, pieces)
+    else:
+        clean = clean.withColumn("valid_to", F.lead(sequence_by).over(Window.partitionBy(*keys).orderBy(sequence_by)))
+    out = clean.withColumn("valid_from", F.col(sequence_by)).withColumn("is_current", F.col("valid_to").isNull()).select(*changes.columns, *VERSION)
     return out.where(~F.coalesce(F.col(is_delete), F.lit(False))) if is_delete else out
 
 

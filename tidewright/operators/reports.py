@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewright.operators.timeseries import sessions
+from tidewright.operators.timeseries import sessions, with_session_numbers
 
 MOST_DIMENSIONS, MOST_METRICS = 9, 10
 
@@ -119,24 +119,26 @@ def preset(df: DataFrame, name: str, **how) -> DataFrame:
 
 
 def with_new_vs_returning(events: DataFrame) -> DataFrame:
-    """Adds ``new_vs_returning``: ``new`` on the user's first day over the whole table."""
-    first = events.groupBy("user_id").agg(F.to_date(F.min("ts")).alias("__first"))
-    mark = F.when(F.to_date("ts") == F.col("__first"), "new").otherwise("returning")
-    return events.join(first, "user_id").withColumn("new_vs_returning", mark).drop("__first")
+    """Adds ``new_vs_returning``: ``new`` on the user's first day over the whole table; null for events without a user, which stay."""
+    first = events.where("user_id is not null").groupBy("user_id").agg(F.to_date(F.min("ts")).alias("__first"))
+    mark = F.when(F.col("user_id").isNull(), F.lit(None)).when(F.to_date("ts") == F.col("__first"), "new").otherwise("returning")
+    return events.join(first, "user_id", "left").withColumn("new_vs_returning", mark).drop("__first")
 
 
-def with_sessions(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+def with_sessions(events: DataFrame, gap_seconds: int = 1800, pieces: int = 1) -> DataFrame:
     """Adds ``session_id``, ``session_first`` (its first event), ``session_seconds`` and ``session_engaged`` (10 seconds or two events at least).
 
-    A gap above ``gap_seconds`` starts a session. One shuffle and sort by user.
+    A gap above ``gap_seconds`` starts a session. One shuffle and sort by user; with ``pieces`` ranges of time a user with most events is many tasks' work. Events without a user
+    belong to no session.
     """
-    w = Window.partitionBy("user_id").orderBy("ts", *[c for c in ("event_id",) if c in events.columns])
+    order = ["ts", *[c for c in ("event_id",) if c in events.columns]]
+    numbered = with_session_numbers(events, "user_id", order, gap_seconds, "session_first", "__n", pieces)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    marked = events.withColumn("session_first", F.coalesce(at - F.lag(at).over(w) > gap_seconds * 1_000_000, F.lit(True)))
-    numbered = marked.withColumn("__n", F.sum(F.col("session_first").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     s = Window.partitionBy("user_id", "__n")
     timed = numbered.withColumn("session_seconds", (F.max(at).over(s) - F.min(at).over(s)) / 1e6).withColumn("session_engaged", (F.col("session_seconds") >= 10) | (F.count("*").over(s) >= 2))
-    return timed.withColumn("session_id", F.concat_ws("-", "user_id", "__n")).drop("__n")
+    known = F.col("user_id").isNotNull()
+    timed = timed.withColumns({"session_first": known & F.col("session_first"), "session_engaged": known & F.col("session_engaged"), "session_seconds": F.when(known, F.col("session_seconds"))})
+    return timed.withColumn("session_id", F.when(known, F.concat_ws("-", "user_id", "__n"))).drop("__n")
 
 
 def active_users(events: DataFrame, segment: str | None = None, mode: str = "active") -> DataFrame:
@@ -144,7 +146,7 @@ def active_users(events: DataFrame, segment: str | None = None, mode: str = "act
     if mode not in ("active", "new"):
         raise ValueError(f"unknown mode {mode}")
     if mode == "new":
-        events = with_new_vs_returning(events).where("new_vs_returning = 'new'")
+        events = with_new_vs_returning(events).where("new_vs_returning = 'new'")  # none of those without a user
     by = F.col(segment).cast("string") if segment else F.lit("Totals")
     return events.groupBy(F.to_date("ts").alias("date"), by.alias("segment")).agg(F.countDistinct("user_id").alias("count"))
 

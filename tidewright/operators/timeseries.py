@@ -1,6 +1,7 @@
 """Time series of ``(tag, ts, value)``: retrieval, as-of values, grids, per-interval summaries, intervals with attributes.
 
-All windows are partitioned by tag. A grid is bounded by its own tag's first and last point. Intervals are given in seconds
+All windows are partitioned by tag, and with ``pieces`` by ranges of time too, so that a tag or user that holds most rows is many tasks' work; the rows
+are the same. A grid is bounded by its own tag's first and last point. Intervals are given in seconds
 and start at multiples of the interval since 1970-01-01 UTC. Ties of a time are broken by the greatest ``id`` where one is given.
 """
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewright.operators.scans import running_sum, with_neighbours
+
 FLAGS = {"good": True, "questionable": False, "substituted": False, "annotated": False}
 SUMMARIES = ("Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "Count")
 
@@ -45,7 +48,7 @@ def _bucket(seconds: int, c: str = "ts") -> Column:
     return F.expr(f"(unix_micros(cast({c} AS timestamp)) div {width}) * {width}")
 
 
-def as_of(series: DataFrame, times: DataFrame, order: str | None = None) -> DataFrame:
+def as_of(series: DataFrame, times: DataFrame, order: str | None = None, pieces: int = 1) -> DataFrame:
     """For each ``(tag, at)`` of ``times`` the last value at or before it; null if there is none.
 
     Points and times are merged in one sorted window a tag: one shuffle, no range join.
@@ -53,8 +56,8 @@ def as_of(series: DataFrame, times: DataFrame, order: str | None = None) -> Data
     tie = F.col(order) if order else F.lit(0)
     points = series.select("tag", F.col("ts").alias("at"), F.struct("ts", "value").alias("p"), tie.cast("bigint").alias("o"), F.lit(0).alias("asked"))
     asked = times.select("tag", "at", F.lit(None).alias("p"), F.lit(None).cast("bigint").alias("o"), F.lit(1).alias("asked"))
-    w = Window.partitionBy("tag").orderBy("at", "asked", "o").rowsBetween(Window.unboundedPreceding, 0)
-    return points.unionByName(asked).withColumn("l", F.last("p", ignorenulls=True).over(w)).where("asked = 1").select("tag", "at", "l.ts", "l.value")
+    both = with_neighbours(points.unionByName(asked), ["tag"], ["at", "asked", "o"], {"l": ("upto", "p")}, pieces)
+    return both.where("asked = 1").select("tag", "at", "l.ts", "l.value")
 
 
 def value_at(series: DataFrame, at, order: str | None = None) -> DataFrame:
@@ -69,7 +72,7 @@ def current_value(series: DataFrame, order: str | None = None) -> DataFrame:
     return series.groupBy("tag").agg(F.max_by(F.struct("ts", "value"), key).alias("p")).select("tag", "p.*")
 
 
-def interpolated(series: DataFrame, seconds: int) -> DataFrame:
+def interpolated(series: DataFrame, seconds: int, pieces: int = 1) -> DataFrame:
     """A grid for each tag from its first to its last point, linear in time between neighbours; no extrapolation."""
     width = seconds * 1_000_000
     points = series.select("tag", _micros(F.col("ts")).alias("t"), "value").groupBy("tag", "t").agg(F.max("value").alias("value"))
@@ -77,10 +80,7 @@ def interpolated(series: DataFrame, seconds: int) -> DataFrame:
     grid = points.groupBy("tag").agg(F.ceil(first / width).alias("a"), F.floor(last / width).alias("b")).where("a <= b")
     grid = grid.select("tag", F.explode(F.sequence("a", "b")).alias("k")).select("tag", (F.col("k") * width).alias("t"))
     both = points.select("tag", "t", F.struct("t", "value").alias("p"), F.lit(False).alias("asked")).unionByName(grid.select("tag", "t", F.lit(None).alias("p"), F.lit(True).alias("asked")))
-    w = Window.partitionBy("tag").orderBy("t", "asked")
-    before = F.last("p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("p", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    out = both.withColumns({"b": before, "a": after}).where("asked")
+    out = with_neighbours(both, ["tag"], ["t", "asked"], {"b": ("upto", "p"), "a": ("from", "p")}, pieces).where("asked")
     line = F.col("b.value") + (F.col("a.value") - F.col("b.value")) * (F.col("t") - F.col("b.t")) / (F.col("a.t") - F.col("b.t"))
     return out.select("tag", _time(F.col("t")).alias("ts"), F.when(F.col("b.t") == F.col("t"), F.col("b.value")).otherwise(line).alias("value"))
 
@@ -113,7 +113,7 @@ def calculated(series: DataFrame, seconds: int, kind: str = "Average") -> DataFr
     return at.groupBy("tag", "b").agg(_summaries()[kind].alias("value")).select("tag", _time(F.col("b")).alias("ts"), "value")
 
 
-def time_weighted(series: DataFrame, seconds: int) -> DataFrame:
+def time_weighted(series: DataFrame, seconds: int, pieces: int = 1) -> DataFrame:
     """Time-weighted average of each interval from a tag's first point to the end of its last interval.
 
     A step function runs from each point to the next and is cut at interval ends, so the value carried into an interval counts
@@ -121,8 +121,7 @@ def time_weighted(series: DataFrame, seconds: int) -> DataFrame:
     """
     width = seconds * 1_000_000
     points = series.select("tag", _micros(F.col("ts")).alias("t"), "value").groupBy("tag", "t").agg(F.max("value").alias("value"))
-    following = F.lead("t").over(Window.partitionBy("tag").orderBy("t"))
-    steps = points.withColumn("e", F.coalesce(following, (F.floor(F.col("t") / width) + 1) * width))
+    steps = with_neighbours(points, ["tag"], ["t"], {"e": ("next", "t")}, pieces).withColumn("e", F.coalesce("e", (F.floor(F.col("t") / width) + 1) * width))
     cuts = F.explode(F.sequence(F.floor(F.col("t") / width), F.floor((F.col("e") - 1) / width)))
     parts = steps.withColumn("k", cuts).withColumn("b", F.col("k") * width)
     dt = F.least("e", F.col("b") + width) - F.greatest("t", F.col("b"))
@@ -130,12 +129,17 @@ def time_weighted(series: DataFrame, seconds: int) -> DataFrame:
     return total.select("tag", _time(F.col("b")).alias("ts"), (F.col("area") / F.col("covered")).alias("value"))
 
 
-def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800) -> DataFrame:
-    """``(user, session, start, end, events)``; a gap above ``gap_seconds`` starts a new session. One sort a user."""
-    w = Window.partitionBy(user).orderBy(ts)
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(ts).over(w).cast("timestamp"))
-    marked = events.withColumn("__new", F.coalesce((gap > gap_seconds * 1_000_000).cast("int"), F.lit(1)))
-    numbered = marked.withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def with_session_numbers(events: DataFrame, user: str, order: list[str], gap_seconds: int, first: str, number: str, pieces: int = 1) -> DataFrame:
+    """Adds whether an event is the first one of its user's session, and the session's number from 1; a gap above ``gap_seconds`` starts one."""
+    timed = events.withColumn("__at", F.unix_micros(F.col(order[0]).cast("timestamp")))
+    near = with_neighbours(timed, [user], order, {"__before": ("previous", "__at")}, pieces)
+    marked = near.withColumn(first, F.coalesce(F.col("__at") - F.col("__before") > gap_seconds * 1_000_000, F.lit(True))).withColumn("__one", F.col(first).cast("int"))
+    return running_sum(marked, [user], order, "__one", number, pieces).drop("__at", "__before", "__one")
+
+
+def sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800, pieces: int = 1) -> DataFrame:
+    """``(user, session, start, end, events)``; a gap above ``gap_seconds`` starts a new session. One sort a user, or a piece of one."""
+    numbered = with_session_numbers(events, user, [ts], gap_seconds, "__new", "session", pieces)
     return numbered.groupBy(user, "session").agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("events"))
 
 
