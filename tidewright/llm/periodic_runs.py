@@ -61,14 +61,21 @@ def tiles(ids: np.ndarray) -> list[dict]:
     x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) * _power(1, n)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
-    octave = 1
+    starts = lambda c, size: (sums[c + size] - sums[c]) * _power(0, n)[c]  # hashes of stretches
+    octave, known = 1, []
     while REPEATS * octave <= n:
         width = 2 * octave
         blocks = (sums[width:] - sums[:-width]) * _power(0, n - width + 1)
         at = np.arange(0, n - 3 * octave + 1, octave)
         padded = np.concatenate((blocks, np.zeros(2 * octave, np.uint64)))
         following = np.lib.stride_tricks.sliding_window_view(padded[octave:], octave)[::octave][: len(at)]
-        found = at[(following == blocks[at][:, None]).any(axis=1)]
+        hit = following == blocks[at][:, None]
+        found, periods = at[hit.any(axis=1)], hit.argmax(axis=1)[hit.any(axis=1)] + octave
+        for d in known:  # where a shorter period holds all along, those of this octave are multiples of it
+            whole = np.minimum(4 * octave, n - found) - d
+            fresh = starts(found, whole) != starts(found + d, whole)
+            found, periods = found[fresh], periods[fresh]
+        known += np.unique(periods).tolist()
         each = max(4, TILE // octave) * octave
         for part in np.split(found, np.flatnonzero(np.diff(found // each)) + 1) if len(found) else ():
             low, high = max(0, int(part[0]) - octave), min(n, int(part[-1]) + 5 * octave)
@@ -110,25 +117,39 @@ def _primitive(periods: np.ndarray, z: np.ndarray) -> np.ndarray:
 
 
 def fragments(octave: int, at: list[int], ids: list[int]) -> list[tuple[int, int, int]]:
-    """``(period, start, end)`` of what the tile holds of each run with a primitive period of the octave, pieces of one run joined."""
+    """``(period, start, end)`` of what the tile holds of each run with a primitive period of the octave, pieces of one run joined.
+
+    A fragment that reaches the end of its boundary's window is followed on in the tile. Boundaries inside it that see nothing but it are passed over: two periods of
+    an octave that hold for four times its length have a common divisor that holds too.
+    """
     found: dict[int, list[list[int]]] = {}
+    whole, n = np.array(ids, np.int32), len(ids)
+    inside: list[tuple[int, int]] = []
     for c in at:
+        if any(a <= c and b >= min(c + 4 * octave, n) for a, b in inside):
+            continue
         ahead = ids[c : c + 5 * octave]
         z = np.array(z_function(ahead))
         low = max(0, c - octave)
-        before, end = ids[low:c][::-1], min(len(ids), c + 2 * octave)
+        before, end = ids[low:c][::-1], min(n, c + 2 * octave)
         back = np.array(z_function([*before, -1, *ids[low:end][::-1]]))[len(before) + 1 :]
         periods = np.arange(octave, min(2 * octave, len(ahead), end - c + 1))
         forward, backward = z[periods], np.minimum(back[end - c - periods], len(before))
         holds = forward + backward >= periods
         periods, forward, backward = periods[holds], forward[holds], backward[holds]
         good = _primitive(periods, z)
+        inside = []
         for q, f, b in zip(periods[good].tolist(), forward[good].tolist(), backward[good].tolist(), strict=True):
+            start, stop = c - b, c + q + f
+            if stop == c + len(ahead) < n:
+                other = np.flatnonzero(whole[stop:] != whole[stop - q : n - q])
+                stop = stop + int(other[0]) if len(other) else n
+            inside.append((start, stop))
             pieces = found.setdefault(q, [])
-            if pieces and c - b <= pieces[-1][1] - q:
-                pieces[-1][1] = max(pieces[-1][1], c + q + f)
+            if pieces and start <= pieces[-1][1] - q:
+                pieces[-1][1] = max(pieces[-1][1], stop)
             else:
-                pieces.append([c - b, c + q + f])
+                pieces.append([start, stop])
     return [(q, a, b) for q, pieces in found.items() for a, b in pieces]
 
 
