@@ -396,3 +396,64 @@ def test_hot_tags_users_and_keys_in_pieces(spark):
     plan = timeseries.sessions(series, "tag", gap_seconds=120, pieces=12)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(tag" in plan and "__piece" in plan
     assert timeseries.sessions(series.limit(0), "tag", pieces=12).count() == 0
+
+
+@pytest.mark.parametrize("line_end", ["\r", "\n", "\r\n"])
+def test_message_files_are_split_among_tasks(spark, line_end):
+    import os
+
+    path = files.scratch(spark, "hl7")
+    os.makedirs(path)
+    made = [line_end.join([f"MSH|^~\\&|app|MSH{i}|||2024||ADT^A01|m{i}|P|2.5", f"PID|1||{i}^^^x||Name{i}^MSH|"] + ["OBX|1|ST|c||" + "v" * (i % 300)]) for i in range(3000)]
+    body = f"FHS|^~\\&|batch{line_end}BHS|^~\\&|b{line_end}" + line_end.join(made) + f"{line_end}BTS|3000{line_end}FTS|1{line_end}"
+    for name, text in (("a.hl7", body), ("b.hl7", made[0]), ("c.hl7", "")):
+        with open(f"{path}/{name}", "w", newline="") as f:
+            f.write(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        got = files.read_message_records(spark, path, "*.hl7", line_end=line_end[-1])
+        assert got.rdd.getNumPartitions() >= 8 and got.count() == 3001
+        by_record = messages.split_batches(got.select("value", "file"))
+        whole = messages.split_batches(files.read_message_files(spark, path, "*.hl7").select("value", "file"))
+        text = F.regexp_replace("message", "\\n+$", "")  # the last line end goes with the cut
+        assert values(by_record.select("file", text.alias("m")), "file", "m") == values(whole.select("file", text.alias("m")), "file", "m")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_deep_hierarchies_and_cycles(spark):
+    chain = spark.range(3000).selectExpr("cast(id AS int) AS id", "cast(if(id = 0, null, id - 1) AS int) AS up")
+    got = relational.hierarchy(chain, "id", "up")
+    assert got.count() == 3000 and got.where("depth <> node").count() == 0
+    bad = spark.createDataFrame([(1, None), (2, 1), (10, 12), (11, 10), (12, 11), (13, 12), (14, 13), (20, 20), (30, 99), (31, 30), (None, 1)], "id int, up int")
+    assert values(relational.hierarchy(bad, "id", "up"), "node", "depth") == [(1, 0), (2, 1)]
+    want = [(10, "cycle", 10), (11, "cycle", 10), (12, "cycle", 10), (13, "below cycle", 10), (14, "below cycle", 10), (20, "cycle", 20), (30, "orphan", 99), (31, "orphan", 99)]
+    assert values(relational.hierarchy_faults(bad, "id", "up"), "node", "fault", "at") == want
+    assert relational.hierarchy(bad.limit(0), "id", "up").count() == 0 and relational.hierarchy_faults(chain, "id", "up").count() == 0
+
+
+def test_bins_over_continuous_weights_stay_at_one_level(spark):
+    df = spark.range(40_000).selectExpr("id", "if(id < 3, 900.0 * (id + 1), if(id % 1000 = 7, null, (id * 7919 % 100003) / 100003.0)) AS w")
+    total = df.agg(F.sum("w")).first()[0]
+    for deal in (relational.level_bins, relational.balanced_bins):  # more weights than are dealt one by one
+        got = deal(df, "id", "w", 9)
+        loads = [r.load for r in got.groupBy("bin").agg(F.sum("w").alias("load")).collect()]
+        assert got.count() == 40_000 and got.select("id").distinct().count() == 40_000
+        assert len(loads) == 9 and max(loads) <= max(total / 9, 2700) + total / (16 * 9)
+    assert relational.level_bins(df.where("w is null"), "id", "w", 3).count() == 40
+    with pytest.raises(ValueError, match="negative"):
+        relational.level_bins(df.withColumn("w", -F.col("w")), "id", "w", 3)
+
+
+def test_reports_count_users_and_sessions_by_levels(spark):
+    events = spark.range(900).selectExpr("id AS event_id", "if(id % 11 = 0, null, id % 13) AS user_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 977 % 400000) AS ts", "if(id % 5 = 0, 'purchase', 'view') AS event_type", "if(id % 7 = 0, null, cast(id AS double)) AS value")
+    metrics = ["eventCount", "activeUsers", "newUsers", "sessions", "engagedSessions", "engagementRate", "bounceRate", "averageSessionDuration", "eventsPerUser", "averageValue"]
+    got = reports.report(events, ["date", "eventName"], metrics)
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    full = reports.with_sessions(reports.with_new_vs_returning(events))
+    want = full.groupBy(F.to_date("ts").alias("date"), F.col("event_type").alias("eventName")).agg(*(reports.METRICS[m]().alias(m) for m in metrics))
+    r = lambda df: [tuple(round(x, 6) if isinstance(x, float) else x for x in row) for row in values(df, *df.columns)]
+    assert r(got) == r(want) and got.agg(F.sum("eventCount")).first()[0] == 900
+    assert reports.report(events, [], ["activeUsers", "newUsers"]).first()[:] == (13, 13)
+    assert "Expand" not in reports.report(events.withColumns({c: F.lit("x") for c in ("sessionSource", "sessionMedium")}), *reports.PRESETS["user_acquisition"])._jdf.queryExecution().optimizedPlan().toString()

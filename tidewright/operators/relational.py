@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewright.functions.scalars import cuts_below
 from tidewright.operators.cdc import content_hash
 from tidewright.operators.scans import numbered
 from tidewright.sources.files import kept
@@ -158,17 +159,57 @@ def expand_path(df: DataFrame, path: list[tuple[str, list[str]]], leaf: list[str
     return df
 
 
-def hierarchy(nodes: DataFrame, node: str, parent: str, most_depth: int = 50) -> DataFrame:
-    """``(node, parent, depth)`` from the roots (null parent) down; stops when a level is empty. Each level is written once and read again, never computed anew."""
-    nodes = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
-    level = kept(nodes.where("parent is null").withColumn("depth", F.lit(0)), "level")
-    out = [level]
-    for depth in range(1, most_depth):
-        level = kept(nodes.join(level.select(F.col("node").alias("parent")), "parent").select("node", "parent", F.lit(depth).alias("depth")), "level")
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, out)
-        out.append(level)
-    raise ValueError(f"deeper than {most_depth}: a cycle?")
+def _doubled(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``(node, parent, at, depth)`` after pointer doubling: each round a pointer jumps as far as the one that it points to has come.
+
+    ``at`` is null where a root was reached; else it is a node that is missing, or one on a cycle. A row takes as many rounds as the logarithm of its depth; with as many
+    steps as there are rows, what has not ended goes round in a cycle.
+    """
+    state = nodes.where(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(parent).alias("at"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"), F.lit(False).alias("lost"))
+    state = kept(state, "pointers")
+    steps, rows = 1, state.count()
+    while steps < 2 * rows and not state.where("at is not null and not lost").isEmpty():
+        to = state.select(F.col("node").alias("__n"), F.col("at").alias("__at"), F.col("depth").alias("__d"), F.col("lost").alias("__lost"))
+        going = F.col("at").isNotNull() & ~F.col("lost")
+        met = state.join(to, going & (F.col("at") == F.col("__n")), "left")
+        there = F.col("__n").isNotNull()
+        state = kept(
+            met.select(
+                "node",
+                "parent",
+                F.when(going & there, F.col("__at")).otherwise(F.col("at")).alias("at"),
+                F.when(going & there, F.col("depth") + F.col("__d")).otherwise(F.col("depth")).alias("depth"),
+                (F.col("lost") | (going & ~there) | (going & there & F.col("__lost"))).alias("lost"),
+            ),
+            "pointers",
+        )
+        steps *= 2
+    return state
+
+
+def hierarchy(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``(node, parent, depth)`` of all nodes below roots (null parent), of any depth; a node with several parents has a row for each way down.
+
+    Nodes on or below a cycle and below missing parents have no depth: ``hierarchy_faults`` names them.
+    """
+    return _doubled(nodes, node, parent).where("at is null").select("node", "parent", "depth")
+
+
+def hierarchy_faults(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``(node, parent, fault, at)`` of nodes that no root leads to: ``orphan`` (``at`` is the parent that is missing above it), ``cycle`` or ``below cycle`` (``at`` is the least node of the cycle).
+
+    Takes one parent for each node.
+    """
+    state = _doubled(nodes, node, parent).where("at is not null")
+    on = kept(state.where("not lost").select(F.col("at").alias("node")).distinct().join(nodes.select(F.col(node).alias("node"), F.col(parent).alias("at")), "node").withColumn("low", F.least("node", "at")), "cycles")
+    steps, size = 1, on.count()
+    while steps < size:  # the least node of a cycle, by doubling again
+        to = on.select(F.col("node").alias("at"), F.col("at").alias("__at"), F.col("low").alias("__low"))
+        on = kept(on.join(to, "at").select("node", F.col("__at").alias("at"), F.least("low", "__low").alias("low")), "cycles")
+        steps *= 2
+    named = state.join(on.select(F.col("node").alias("at"), "low"), "at", "left").join(on.select("node", F.lit(True).alias("__on")), "node", "left")
+    fault = F.when(F.col("lost"), "orphan").when(F.col("__on"), "cycle").otherwise("below cycle")
+    return named.select("node", "parent", fault.alias("fault"), F.coalesce("low", "at").alias("at"))
 
 
 def vanished_parents(previous: DataFrame, current: DataFrame, children: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -264,8 +305,10 @@ def balanced_bins(weights: DataFrame, key: str, weight: str, n: int) -> DataFram
 
     Keys of one weight are alike, so they are dealt together: weights are counted first (a small table: distinct weights), and every bin is told
     how many keys of a weight it takes. Inside a weight keys are numbered by key and hash range, so that a weight that most
-    keys have is no single task's. Null weights count as zero.
+    keys have is no single task's. Null weights count as zero. With more than ``MOST_WEIGHTS`` distinct weights ``level_bins`` deals them, within its bound.
     """
+    if weights.agg(F.approx_count_distinct(weight)).first()[0] > MOST_WEIGHTS:
+        return level_bins(weights, key, weight, n)
     parts = 256
     w = F.coalesce(F.col(weight), F.lit(0).cast(weights.schema[weight].dataType))
     marked = weights.withColumns({"__w": w, "__p": F.pmod(F.xxhash64(key), F.lit(parts))})
@@ -286,6 +329,55 @@ def balanced_bins(weights: DataFrame, key: str, weight: str, n: int) -> DataFram
     return ranked.join(runs, "__w").withColumn("bin", F.filter("__runs", lambda r: r["__high"] > F.col("__k"))[0]["bin"]).select(*weights.columns, "bin")
 
 
+#: Distinct weights up to which ``balanced_bins`` deals key by key.
+MOST_WEIGHTS = 10_000
+
+
+def level_bins(weights: DataFrame, key: str, weight: str, n: int, share: int = 16) -> DataFrame:
+    """``(key, weight, bin)`` for weights of any number of values: heavy keys one by one, the rest like water up to one level.
+
+    A key above one ``share``-th of a bin's mean load is heavy; there are less than ``share * n`` of them, and they go by falling weight to the bin with the least load.
+    The others are laid end to end in the order of their hashes and cut where the bins come up to one level. No bin exceeds the level by more than the heaviest of the others, so by
+    less than one ``share``-th of the mean load. Null weights count as zero; negative ones raise. The running sums are taken in ranges of the hash, one task each.
+    """
+    spark, parts = weights.sparkSession, max(32, int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0))
+    marked = weights.withColumns({"__w": w, "__h": F.xxhash64(key)}).withColumn("__p", F.pmod("__h", F.lit(parts)))
+    total, least = marked.agg(F.sum("__w"), F.min("__w")).first()
+    if least is not None and least < 0:
+        raise ValueError(f"{weight} has negative values")
+    if not total:
+        return marked.withColumn("bin", F.pmod("__h", F.lit(n)).cast("int")).select(*weights.columns, "bin")
+    heavy_from = total / (share * n)
+    loads, dealt = [0.0] * n, []
+    for k, x in sorted(((r[key], r["__w"]) for r in marked.where(F.col("__w") > heavy_from).select(key, "__w").collect()), key=lambda r: (-r[1], r[0])):  # less than share * n
+        b = min(range(n), key=lambda i: (loads[i], i))
+        loads[b] += x
+        dealt.append((k, b))
+    rest = marked.where(F.col("__w") <= heavy_from)
+    sums = {r["__p"]: r["s"] for r in rest.groupBy("__p").agg(F.sum("__w").alias("s")).collect()}  # one row a range
+    level, cuts, at = _level(loads, sum(sums.values())), [], 0.0
+    for x in loads[:-1]:
+        at += max(0.0, level - x)
+        cuts.append(at)
+    before, shift = 0.0, []
+    for p in range(parts):
+        shift += [F.lit(p), F.lit(before)]
+        before += sums.get(p, 0.0)
+    upto = F.sum("__w").over(Window.partitionBy("__p").orderBy("__h", key).rowsBetween(Window.unboundedPreceding, 0)) + F.create_map(*shift)[F.col("__p").cast("int")]
+    placed = rest.withColumn("__m", upto - F.col("__w") / 2).withColumn("bin", cuts_below(F.col("__m"), cuts, T.DoubleType()).cast("int")).select(*weights.columns, "bin")
+    one = spark.createDataFrame(dealt, T.StructType([T.StructField(key, weights.schema[key].dataType), T.StructField("bin", T.IntegerType())]))
+    return placed.unionByName(weights.join(F.broadcast(one), key).select(*weights.columns, "bin"))  # less than share * n rows
+
+
+def _level(loads: list[float], amount: float) -> float:
+    """How high ``amount`` comes when it fills up bins that hold ``loads``."""
+    order, k = sorted(loads), 0
+    while k + 1 < len(order) and sum(order[k + 1] - x for x in order[: k + 1]) < amount:
+        k += 1
+    return (sum(order[: k + 1]) + amount) / (k + 1)
+
+
 def _fill(loads: list, weight, count: int) -> list[int]:
     """How many of ``count`` keys of one weight each bin takes, always the least loaded one next; ``loads`` grows.
 

@@ -46,6 +46,43 @@ METRICS: dict[str, Callable[[], Column]] = {
     "advertiserAdCost": lambda: F.sum("ad_cost"),
 }
 
+# Parts that metrics are made of, by how they are counted: ``row`` sums over rows, ``user`` and ``session`` count users and sessions of which some row says yes.
+_PARTS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "rows": ("row", lambda: F.count("*")),
+    "purchases": ("row", lambda: F.count_if(F.col("event_type") == "purchase")),
+    "errors": ("row", lambda: F.count_if(F.col("event_type") == "error")),
+    "views": ("row", lambda: F.count_if(F.col("event_type").isin("view", "page_view", "screen_view"))),
+    "revenue": ("row", lambda: F.sum(F.when(F.col("event_type") == "purchase", F.col("value")))),
+    "value": ("row", lambda: F.sum("value")),
+    "values": ("row", lambda: F.count("value")),
+    "seconds": ("row", lambda: F.sum(F.when(F.col("session_first"), F.col("session_seconds")))),
+    "firsts": ("row", lambda: F.count(F.when(F.col("session_first"), F.col("session_seconds")))),
+    "users": ("user", lambda: F.max(F.col("user_id").isNotNull())),
+    "new": ("user", lambda: F.max(F.coalesce((F.col("new_vs_returning") == "new") & F.col("user_id").isNotNull(), F.lit(False)))),
+    "sessions": ("session", lambda: F.max(F.col("session_id").isNotNull())),
+    "engaged": ("session", lambda: F.max(F.coalesce(F.col("session_engaged") & F.col("session_id").isNotNull(), F.lit(False)))),
+}
+_MADE: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
+    "eventCount": (("rows",), lambda n: n),
+    "activeUsers": (("users",), lambda n: n),
+    "newUsers": (("new",), lambda n: n),
+    "sessions": (("sessions",), lambda n: n),
+    "engagedSessions": (("engaged",), lambda n: n),
+    "engagementRate": (("engaged", "sessions"), _ratio),
+    "bounceRate": (("engaged", "sessions"), lambda a, b: 1 - _ratio(a, b)),
+    "averageSessionDuration": (("seconds", "firsts"), _ratio),
+    "eventValue": (("value",), lambda v: v),
+    "averageValue": (("value", "values"), _ratio),
+    "eventsPerUser": (("rows", "users"), _ratio),
+    "purchases": (("purchases",), lambda n: n),
+    "purchaseRate": (("purchases", "rows"), _ratio),
+    "errors": (("errors",), lambda n: n),
+    "screenPageViews": (("views",), lambda n: n),
+    "keyEvents": (("purchases",), lambda n: n),
+    "totalRevenue": (("revenue",), lambda v: v),
+}
+_OWN = {name: METRICS[name] for name in _MADE}
+
 #: Metrics that need the columns of ``with_sessions`` or of ``with_new_vs_returning``, which a report adds by itself.
 SESSION_METRICS = {"sessions", "engagedSessions", "engagementRate", "bounceRate", "averageSessionDuration"}
 NEWNESS = {"newUsers", "newVsReturning"}
@@ -101,18 +138,42 @@ def report(df: DataFrame, dimensions: list[str], metrics: list[str], date_range:
     # before any filter: first days and sessions are those of the whole table
     if NEWNESS & {*dimensions, *metrics}:
         df = with_new_vs_returning(df)
-    if SESSION_METRICS & set(metrics) and "session_id" not in df.columns:
+    inside = "session_id" not in df.columns  # sessions made here lie inside users
+    if SESSION_METRICS & set(metrics) and inside:
         df = with_sessions(df)
     if date_range:
         low, high = (F.lit(x).cast("date") for x in date_range)
         df = df.where((F.col("ts") >= low.cast("timestamp_ntz")) & (F.col("ts") < F.date_add(high, 1).cast("timestamp_ntz")))
     if where is not None:
         df = df.where(where)
-    out = df.groupBy(*(known(d).alias(d) for d in dimensions)).agg(*(METRICS[m]().alias(m) for m in metrics))
+    levels = {_PARTS[p][0] for m in metrics for p in _MADE.get(m, ((), None))[0]} - {"row"}
+    counted = {p for m in metrics for p in _MADE.get(m, ((), None))[0] if _PARTS[p][0] != "row"}
+    if len(counted) > 1 and all(METRICS[m] is _OWN.get(m) for m in metrics) and (inside or "session" not in levels):
+        out = _by_levels(df, {d: known(d) for d in dimensions}, metrics, "session" in levels)
+    else:
+        out = df.groupBy(*(known(d).alias(d) for d in dimensions)).agg(*(METRICS[m]().alias(m) for m in metrics))
     out = out if having is None else out.where(having)
     return out.orderBy("date") if ordered and "date" in dimensions else out
 
 
+def _by_levels(df: DataFrame, dimensions: dict[str, Column], metrics: list[str], sessions_too: bool) -> DataFrame:
+    """Dimensions by metrics with several distinct counts: grouped by dimensions, user and session, then by dimensions and user, then by dimensions.
+
+    Each step combines before it shuffles, and no row is multiplied by the number of distinct counts.
+    """
+    parts = dict.fromkeys(p for m in metrics for p in _MADE[m][0])
+    df = df.withColumns({f"__d{i}": c for i, c in enumerate(dimensions.values())})
+    dims = [f"__d{i}" for i in range(len(dimensions))]
+    again = {"row": lambda p: F.sum(p), "user": lambda p: F.max(p), "session": lambda p: F.max(p)}
+    steps = [[*dims, "user_id", "session_id"], [*dims, "user_id"], dims] if sessions_too else [[*dims, "user_id"], dims]
+    out = df.groupBy(*steps[0]).agg(*(_PARTS[p][1]().alias(f"__p_{p}") for p in parts))
+    for before, by in zip(steps, steps[1:], strict=False):
+        ends = {"session": "session_id" in before and "session_id" not in by, "user": "user_id" in before and "user_id" not in by, "row": False}
+        out = out.groupBy(*by).agg(*((F.sum(F.col(f"__p_{p}").cast("long")) if ends[_PARTS[p][0]] or _PARTS[p][0] == "session" and "session_id" not in before else again[_PARTS[p][0]](f"__p_{p}")).alias(f"__p_{p}") for p in parts))
+    made = [_MADE[m][1](*(F.col(f"__p_{p}") for p in _MADE[m][0])).alias(m) for m in metrics]
+    return out.select(*(F.col(f"__d{i}").alias(d) for i, d in enumerate(dimensions)), *made)
+
+
 def preset(df: DataFrame, name: str, **how) -> DataFrame:
     dimensions, metrics = PRESETS[name]
     return report(df, dimensions, metrics, **how)

@@ -112,6 +112,23 @@ def read_message_files(spark: SparkSession, path: str, glob: str = "*", recursiv
     return df if until is None else df.where(F.col("modified") <= F.lit(until).cast("timestamp"))
 
 
+def read_message_records(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False, since: str | None = None, until: str | None = None, line_end: str = "\n", start: str = "MSH") -> DataFrame:
+    """``(value, file, modified)``: a row for each message of text files of any size, cut where a line begins with ``start``.
+
+    Files are split among tasks: a reader takes the messages that begin in its part and reads the last one to its end in the next. ``line_end`` is what ends the line before a message, ``\\r`` or ``\\n`` (also
+    for ``\\r\\n``); files that mix them are for ``read_message_files``. Lines before a file's first message, such as an envelope, go.
+    """
+    df = spark.read.option("lineSep", line_end + start).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
+    df = df.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
+    if since:
+        df = df.where(F.col("modified") > F.lit(since).cast("timestamp"))
+    if until is not None:
+        df = df.where(F.col("modified") <= F.lit(until).cast("timestamp"))
+    text = F.regexp_replace("value", "^[\ufeff\\s]+", "")
+    first = text.rlike("^[A-Za-z]")  # a file's first record has its own start; in the others a separator comes first
+    return df.withColumn("value", F.when(first, text).otherwise(F.concat(F.lit(start), F.col("value")))).where(F.col("value").startswith(start) & (F.trim("value") != start))
+
+
 def explode_envelope(df: DataFrame, raw: str, element: T.StructType, under: tuple[str, ...] = ("value", "items", "data", "results", "records")) -> DataFrame:
     """Records of response pages, bare arrays or under the first of the fields that is there."""
     kind = T.ArrayType(element)
