@@ -104,7 +104,7 @@ def read_csv_report(spark: SparkSession, path: str, columns: list[str]) -> DataF
 
 def read_message_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False, since: str | None = None, until: str | None = None) -> DataFrame:
     """Whole text files ``(value, file, modified)`` by glob, changed after ``since`` and not after ``until``; empty ones are left out."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
+    df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path, wholetext=True)
     df = df.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_size").alias("__size"))
     df = df.where("__size > 0").drop("__size")
     if since:
