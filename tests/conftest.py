@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -22,6 +23,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-tests-"))
         .getOrCreate()
     )
     made.sparkContext.setLogLevel("ERROR")
