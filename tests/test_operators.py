@@ -457,3 +457,30 @@ def test_reports_count_users_and_sessions_by_levels(spark):
     assert r(got) == r(want) and got.agg(F.sum("eventCount")).first()[0] == 900
     assert reports.report(events, [], ["activeUsers", "newUsers"]).first()[:] == (13, 13)
     assert "Expand" not in reports.report(events.withColumns({c: F.lit("x") for c in ("sessionSource", "sessionMedium")}), *reports.PRESETS["user_acquisition"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_interleaved_files_are_skipped_on_every_column(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(40_000).selectExpr("id", "id * 7919 % 40009 AS a", "concat('k', lpad(cast(id * 104729 % 40009 AS string), 6, '0')) AS b", "if(id % 100 = 0, null, date'2024-01-01' + cast(id * 31 % 365 AS int)) AS c")
+
+    def read(write, column, low, high):
+        path = files.scratch(spark, "clustered")
+        write(df, path, ["a", "b", "c"], 32)
+        met = 0
+        for name in glob.glob(f"{path}/*.parquet"):
+            meta = pq.ParquetFile(name).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(c for c in (meta.row_group(g).column(i) for i in range(meta.num_columns)) if c.path_in_schema == column).statistics
+                met += stats is None or not stats.has_min_max or (stats.min <= high and stats.max >= low)
+        assert spark.read.parquet(path).count() == 40_000
+        return met
+
+    asked = {"a": (1000, 2000), "b": ("k001000", "k002000"), "c": (datetime(2024, 3, 1).date(), datetime(2024, 3, 9).date())}
+    plain = {c: read(files.write_clustered, c, *x) for c, x in asked.items()}
+    mixed = {c: read(files.write_interleaved, c, *x) for c, x in asked.items()}
+    assert plain["b"] >= 30 and plain["c"] >= 30 and mixed["b"] <= 20 and mixed["c"] <= 20 and mixed["a"] <= 20
+    with pytest.raises(ValueError, match="no order"):
+        files.interleaved(df.withColumn("m", F.create_map("a", "b")), ["m"])

@@ -109,6 +109,14 @@ def _stream(spark, d, **how):
 _LATEST = "SELECT event_id, user_id, ts, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1"
 
 
+@R.query("SELECT count(*) AS n, sum(l_orderkey)::BIGINT AS keys, max(l_partkey) AS last FROM lineitem WHERE l_partkey BETWEEN 20 AND 40 AND l_shipdate >= '1995-01-01'")
+def write_interleaved(spark, d):
+    path, li = f.scratch(spark, "interleaved"), load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_returnflag")
+    f.write_interleaved(li, path, ["l_shipdate", "l_partkey", "l_returnflag"], 8)
+    kept = spark.read.parquet(path).where(F.col("l_partkey").between(20, 40) & (F.col("l_shipdate") >= "1995-01-01"))
+    return kept.agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.max("l_partkey").alias("last"))
+
+
 @R.query(_LATEST)
 def stream_scd1(spark, d):
     return m.stream_scd1(_stream(spark, d), f.scratch(spark, "scd1"), ["user_id"], "ts")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.operators import cdc
-from tidewright.sources.files import folders, remove_folder, write_clustered
+from tidewright.sources.files import folders, remove_folder, write_clustered, write_interleaved
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000, event_time: str | None = None) -> DataFrame:
@@ -216,7 +216,7 @@ class Table:
     sequence_by: str | None = None
     ingestion_type: str = "cdc"
     scd_type: str | None = None
-    cluster_by: list[str] = field(default_factory=list)
+    cluster_by: list[str] = field(default_factory=list)  # one column sorts; several are interleaved
     is_delete: str | None = None
     files_per_batch: int = 1000
 
@@ -254,6 +254,6 @@ def _ingest_one(spark: SparkSession, t: Table, target: str) -> DataFrame:
         merged = stream_scd2 if t.scd_type == "SCD_TYPE_2" else stream_scd1
         out = merged(stream, target, t.keys, t.sequence_by, flag)
     if t.cluster_by:
-        write_clustered(out, f"{target}/clustered", t.cluster_by)
+        (write_clustered if len(t.cluster_by) == 1 else write_interleaved)(out, f"{target}/clustered", t.cluster_by)
         out = spark.read.parquet(f"{target}/clustered")
     return out
