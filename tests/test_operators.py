@@ -159,7 +159,7 @@ def test_message_parsing(spark):
     rows = messages.split_batches(spark.createDataFrame([(text,), ("PID|only",), (None,), ("",)], "value string"))
     assert messages.segments(rows).groupBy("segment").count().count() == 3
     obx = messages.segment_table(rows, "OBX").orderBy("set_id").collect()
-    assert [r.set_id for r in obx] == [1, 7] and obx[1].obx_5 == "a&b^c\\.br\\"
+    assert [r.set_id for r in obx] == [1, 7] and obx[1].obx_5 == ["a&b^c\\.br\\"]
     pid = messages.segment_table(rows, "PID").first()
     assert [x.id for x in pid.pid_3] == ["1", "2"] and pid.message_id == "id1"
     assert messages.segment_table(rows, "ZZZ").count() == 0
@@ -484,3 +484,29 @@ def test_interleaved_files_are_skipped_on_every_column(spark):
     assert plain["b"] >= 30 and plain["c"] >= 30 and mixed["b"] <= 20 and mixed["c"] <= 20 and mixed["a"] <= 20
     with pytest.raises(ValueError, match="no order"):
         files.interleaved(df.withColumn("m", F.create_map("a", "b")), ["m"])
+
+
+@pytest.mark.parametrize("kind", sorted(messages.COMPOSITES))
+def test_composites_give_every_component(spark, kind):
+    parts = [name.split("/") for name in messages.COMPOSITES[kind].split()]
+    text = "^".join("&".join(f"v{i}.{k}" for k in range(len(names))) for i, names in enumerate(parts))
+    messages.register_segment("ZZ9", 2, {kind: "1 2*"})
+    try:
+        msg = spark.createDataFrame([(f"MSH|^~\\&|a|b|||2024||ADT^A01|m|P|2.5\rZZ9|{text}|{text}~x",)], "message string")
+        row = messages.segment_table(msg, "ZZ9").first()
+    finally:
+        del messages.SEGMENTS["ZZ9"]
+    want = {n: f"v{i}.{k}" for i, names in enumerate(parts) for k, n in enumerate(names)}
+    assert row.zz9_1.asDict() == want == row.zz9_2[0].asDict() and len(want) == sum(map(len, parts)) and len(row.zz9_2) == 2
+
+
+# How many fields each segment table has.
+FIELD_COUNTS = {"MSH": 28, "EVN": 7, "PID": 40, "PD1": 23, "PV1": 54, "PV2": 50, "NK1": 41, "MRG": 7, "AL1": 6, "IAM": 30, "DG1": 26, "PR1": 25, "ORC": 38, "OBR": 55, "OBX": 33, "NTE": 9, "SPM": 35, "IN1": 55, "GT1": 57, "FT1": 56, "RXA": 29, "SCH": 28, "TXA": 28}
+
+
+def test_segments_have_all_fields_of_known_kinds_once():
+    assert {k: n for k, (n, _) in messages.SEGMENTS.items()} == FIELD_COUNTS
+    known = {*messages.COMPOSITES, *messages._plain, "DR"}
+    for name, (count, kinds) in messages.SEGMENTS.items():
+        places = [int(p.strip("*")) for of in kinds.values() for p in of.split()]
+        assert set(kinds) <= known and len(set(places)) == len(places) and max(places) <= count, name

@@ -1,7 +1,7 @@
 """Pipe-delimited clinical messages (HL7 v2) to typed segment tables, all as Spark expressions.
 
 Separators are read from each message's own header. Columns are named by segment and field position (``pid_5``);
-composite fields are structs, repeating ones arrays of structs. Which fields are composite is a table by data type, and
+composite fields are structs, repeating ones arrays of structs, ranges of times (``DR``) structs of two. Which fields are composite is a table by data type, and
 further kinds and segments can be registered.
 """
 
@@ -17,59 +17,60 @@ from tidewright.functions.scalars import hl7_ts
 # Components of the composite data types of the HL7 v2 standard, in order; ``/`` parts the names of subcomponents.
 COMPOSITES: dict[str, str] = {
     "AUI": "authorization_number date source",
-    "CP": "price price_type from_value to_value range_units range_type",
+    "CP": "price/currency price_type from_value to_value range_units/range_units_text/range_units_system range_type",
     "CQ": "quantity units",
     "CWE": "code text system alternate_code alternate_text alternate_system system_version alternate_system_version original_text",
-    "CX": "id check_digit check_digit_scheme assigning_authority type_code assigning_facility effective_date expiration_date",
+    "CX": "id check_digit check_digit_scheme assigning_authority/assigning_authority_universal_id/assigning_authority_universal_id_type type_code assigning_facility/assigning_facility_universal_id/assigning_facility_universal_id_type effective_date expiration_date assigning_jurisdiction assigning_agency security_check security_check_scheme",
     "DLD": "location effective_date",
     "DLN": "number issuing_authority expiration_date",
     "EI": "id namespace universal_id universal_id_type",
-    "EIP": "placer filler",
-    "FC": "class effective_date",
+    "EIP": "placer/placer_namespace/placer_universal_id/placer_universal_id_type filler/filler_namespace/filler_universal_id/filler_universal_id_type",
+    "FC": "class/text/system/alternate_code/alternate_text/alternate_system/system_version/alternate_system_version/original_text effective_date",
     "HD": "namespace universal_id universal_id_type",
-    "JCC": "code class description",
+    "JCC": "code/text/system class/class_text/class_system description",
     "MO": "quantity denomination",
-    "MOC": "amount charge_code",
-    "NDL": "name start end point_of_care room bed facility location_status patient_location_type building floor",
+    "MOC": "amount/amount_currency charge_code/charge_code_text/charge_code_system",
+    "MSG": "code trigger structure",
+    "NDL": "id/family_name/given_name/middle_name/suffix/prefix/degree start end point_of_care room bed facility location_status patient_location_type building floor",
     "OG": "original_sub_id group sequence identifier",
-    "PL": "point_of_care room bed facility location_status person_location_type building floor description",
-    "PRL": "observation_identifier observation_sub_id observation_value_descriptor",
+    "PL": "point_of_care room bed facility location_status person_location_type building floor description comprehensive_id assigning_authority",
+    "PRL": "observation_identifier/text/system observation_sub_id observation_value_descriptor",
     "PT": "processing_id processing_mode",
-    "SPS": "code additives text body_site site_modifier collection_modifier role",
-    "TQ": "quantity interval duration start end priority condition text conjunction sequencing",
-    "VID": "version internationalization_code internal_version",
-    "XAD": "street other city state postal_code country type other_geographic county census_tract",
+    "SPS": "code/code_text additives text body_site site_modifier collection_modifier role",
+    "TQ": "quantity/quantity_units interval/interval_explicit_time duration start end priority condition text conjunction sequencing occurrence_duration total_occurrences",
+    "VID": "version internationalization_code/internationalization_text/internationalization_system internal_version/internal_version_text/internal_version_system",
+    "XAD": "street other city state postal_code country type other_geographic county/county_text/county_system census_tract/census_tract_text/census_tract_system representation_code validity_range effective_date expiration_date expiration_reason/expiration_reason_text/expiration_reason_system temporary_indicator bad_address_indicator usage addressee comment preference_order protection_code/protection_code_text/protection_code_system identifier",
     "XCN": "id family_name given_name middle_name suffix prefix degree source_table assigning_authority/assigning_authority_universal_id/assigning_authority_universal_id_type name_type_code check_digit check_digit_scheme identifier_type_code assigning_facility/assigning_facility_universal_id/assigning_facility_universal_id_type name_representation_code name_context name_validity_range name_assembly_order effective_date expiration_date professional_suffix",
-    "XON": "name type_code id check_digit check_digit_scheme assigning_authority id_type assigning_facility name_representation organization_id",
+    "XON": "name type_code id check_digit check_digit_scheme assigning_authority/assigning_authority_universal_id/assigning_authority_universal_id_type id_type assigning_facility/assigning_facility_universal_id/assigning_facility_universal_id_type name_representation organization_id",
     "XPN": "family_name given_name middle_name suffix prefix degree name_type_code name_representation_code name_context name_validity_range name_assembly_order name_effective_date name_expiration_date professional_suffix called_by",
-    "XTN": "number use equipment email country area local extension text",
+    "XTN": "number use equipment email country area local extension text extension_prefix speed_dial_code unformatted_number effective_date expiration_date expiration_reason protection_code shared_telecom_id preference_order",
 }
 
 # Fields of each segment, and the positions of those that are not plain text; ``*`` marks repeating ones.
 SEGMENTS: dict[str, tuple[int, dict[str, str]]] = {
-    "MSH": (28, {"HD": "3 4 5 6 24 25", "DTM": "7", "PT": "11", "VID": "12", "NM": "13", "CWE": "19 26 27* 28*", "EI": "21*", "XON": "22 23"}),
-    "EVN": (7, {"DTM": "2 3 6", "XCN": "5*", "HD": "7"}),
-    "PID": (40, {"SI": "1", "CX": "2 3* 4 18 21*", "XPN": "5* 6*", "DTM": "7 29 33", "CWE": "8 10* 15 16 17 22* 26* 27 28 32* 35 36 38 39*", "XAD": "11*", "XTN": "13* 14* 40*", "DLN": "20", "NM": "25", "HD": "34"}),
-    "PD1": (22, {"CWE": "1* 2 8 11 15 16", "XON": "3* 14*", "XCN": "4*", "CX": "10*", "DTM": "13 17 18"}),
-    "PV1": (54, {"SI": "1", "CWE": "2 4 10 13 14 15* 16 18 36", "PL": "3 6 11 42 43", "CX": "5 19 50", "XCN": "7* 8* 9* 17* 52*", "FC": "20*", "DLD": "37", "DTM": "44 45", "NM": "46 47 48 49"}),
-    "PV2": (50, {"PL": "1", "CWE": "2 3 4 7* 18 30", "DTM": "8 9 14 17 26 28 29 33 47", "NM": "10 11 20", "XCN": "13*", "XON": "23*"}),
-    "NK1": (41, {"SI": "1", "XPN": "2* 26* 30*", "CWE": "3 7 11 14 15 17* 18* 19 20", "XAD": "4* 32*", "XTN": "5* 6* 31*", "DTM": "8 9 16", "XON": "13*", "CX": "12 33*", "JCC": "11"}),
+    "MSH": (28, {"HD": "3 4 5 6 24 25", "DTM": "7", "MSG": "9", "PT": "11", "VID": "12", "INT": "13", "ST": "18*", "CWE": "19 26 27* 28*", "EI": "21*", "XON": "22 23"}),
+    "EVN": (7, {"DTM": "2 3 6", "CWE": "4", "XCN": "5*", "HD": "7"}),
+    "PID": (40, {"SI": "1", "CX": "2 3* 4 18 21*", "XPN": "5* 6*", "DTM": "7 29 33", "CWE": "8 10* 15 16 17 22* 26* 27 28 32* 35 36 38 39*", "XAD": "11*", "XTN": "13* 14* 40*", "DLN": "20", "INT": "25", "HD": "34"}),
+    "PD1": (23, {"CWE": "1* 2 5 6 7 8 11 15* 16 19 20 21", "XON": "3* 14*", "XCN": "4*", "CX": "10*", "DTM": "13 17 18 22 23"}),
+    "PV1": (54, {"SI": "1", "CWE": "2 4 10 12 13 14 15* 16 18 21 22 23 24* 28 29 31 34 36 38 39 40 41 51", "PL": "3 6 11 42 43", "CX": "5 19 50* 54", "XCN": "7* 8* 9* 17* 52*", "FC": "20*", "ST": "26* 27*", "DTM": "25* 30 35 44 45", "DLD": "37"}),
+    "PV2": (50, {"PL": "1", "CWE": "2 3 4 7* 16 18 21 24 25 27 30 31 38 39* 40 41* 42 43 44 45* 49*", "ST": "5*", "DTM": "8 9 14 17 26 28 29 33 46 47 48 50", "INT": "10 11 20", "XCN": "13*", "XON": "23*"}),
+    "NK1": (41, {"SI": "1", "XPN": "2* 26* 30*", "CWE": "3 7 14 15 17* 18* 19* 20 21 22 24 25 27 28* 29* 34 35* 36 39", "XAD": "4* 32*", "XTN": "5* 6* 31* 40 41", "DTM": "8 9 16", "JCC": "11", "CX": "12 33*", "XON": "13*"}),
     "MRG": (7, {"CX": "1* 2* 3 4 5 6", "XPN": "7*"}),
-    "AL1": (6, {"SI": "1", "CWE": "2 3 4", "DTM": "6"}),
-    "IAM": (20, {"SI": "1", "CWE": "2 3 4 6 8 9 10 12 15 16 17", "EI": "7", "DTM": "11 13 18 20", "XCN": "14", "XON": "19"}),
-    "DG1": (22, {"SI": "1", "CWE": "3 6", "DTM": "5 19", "CP": "12", "NM": "15", "XCN": "16*", "EI": "20 22"}),
-    "PR1": (20, {"SI": "1", "CWE": "3 6 9 13 15 16*", "DTM": "5", "NM": "7 10 14", "XCN": "8* 11* 12*", "EI": "19"}),
-    "ORC": (31, {"EI": "2 3 4", "TQ": "7*", "EIP": "8", "DTM": "9 15 27", "XCN": "10* 11* 12*", "PL": "13", "XTN": "14* 23*", "CWE": "16 17 18 20 26 28", "XON": "21*", "XAD": "22* 24*"}),
-    "OBR": (50, {"SI": "1", "EI": "2 3", "CWE": "4 12 31* 44 45*", "DTM": "6 7 8 14 22 36", "CQ": "9", "XCN": "10* 16* 28*", "SPS": "15", "XTN": "17*", "MOC": "23", "PRL": "26", "TQ": "27*", "EIP": "29", "NDL": "32 33* 34* 35*", "NM": "37"}),
-    "OBX": (25, {"SI": "1", "CWE": "3 6 8* 15 17*", "OG": "4", "NM": "9", "DTM": "12 14 19", "XCN": "16*", "EI": "18* 21", "XON": "23", "XAD": "24"}),
-    "NTE": (4, {"SI": "1", "CWE": "4"}),
-    "SPM": (29, {"SI": "1", "EIP": "2 3*", "CWE": "4 5* 6* 7 8 9* 10 11*", "CQ": "12", "DTM": "17 18 19", "NM": "13 26"}),
-    "IN1": (53, {"SI": "1", "CWE": "2", "CX": "3*", "XON": "4* 9* 11*", "XAD": "5* 19* 44*", "XPN": "6* 16*", "XTN": "7*", "DTM": "12 13 18 24 26 29", "AUI": "14"}),
-    "GT1": (57, {"SI": "1", "CX": "2* 19*", "XPN": "3* 4* 16*", "XAD": "5* 17*", "XTN": "6* 7* 18*", "DTM": "8 13 14", "CWE": "11", "XON": "21*"}),
-    "FT1": (31, {"SI": "1", "DTM": "4 5", "CWE": "7 13 14 18 19* 25", "NM": "10", "CP": "11 12 22", "PL": "16", "XCN": "20* 21* 24*", "EI": "23"}),
-    "RXA": (29, {"NM": "1 2 6", "DTM": "3 4 16", "CWE": "5 7 8 9* 14 18* 19*", "XCN": "10*", "XON": "17*", "PL": "27"}),
-    "SCH": (27, {"EI": "1 2 4", "CWE": "5 6 7 8 10", "NM": "9", "TQ": "11*", "XCN": "12* 16* 20*", "XTN": "13* 17* 21*", "XAD": "14*", "PL": "15 19 22"}),
-    "TXA": (23, {"SI": "1", "DTM": "4 6 7 8*", "XCN": "5* 9* 10* 11* 22*", "EI": "12 13 14*"}),
+    "AL1": (6, {"SI": "1", "CWE": "2 3 4 5*", "DTM": "6"}),
+    "IAM": (30, {"SI": "1", "CWE": "2 3 4 5* 6 9 10 15 16 17 27", "EI": "7", "DTM": "11 13 20 22 24 26", "XCN": "14 18 21 23 25", "XON": "19 28 29 30"}),
+    "DG1": (26, {"SI": "1", "CWE": "3 6 7 8 10 11 17 23 25 26", "DTM": "5 19", "INT": "12 15", "CP": "13", "XCN": "16*", "EI": "20 22"}),
+    "PR1": (25, {"SI": "1", "CWE": "3 6 9 13 15 16* 17 18* 21 22", "DTM": "5", "INT": "7 10", "XCN": "8* 11* 12*", "EI": "19 25", "PL": "23*"}),
+    "ORC": (38, {"EI": "2 3 4 38", "TQ": "7*", "EIP": "8*", "DTM": "9 15 27 32 37", "XCN": "10* 11* 12* 19*", "PL": "13", "XTN": "14* 23*", "CWE": "16 17 18 20 25 26 28 29 30 31 34*", "XON": "21*", "XAD": "22* 24*", "CX": "33*", "DR": "36"}),
+    "OBR": (55, {"SI": "1", "EI": "2 3 51 52", "CWE": "4 12 13* 31* 38* 39* 40 43* 44 45* 46* 47* 48 49 50", "DTM": "6 7 8 14 22 36", "CQ": "9", "XCN": "10* 16* 28*", "SPS": "15", "XTN": "17*", "MOC": "23", "PRL": "26", "TQ": "27*", "EIP": "29 54*", "NDL": "32 33* 34* 35*", "INT": "37", "CX": "53*"}),
+    "OBX": (33, {"SI": "1", "CWE": "3 6 8* 15 17* 20* 22 27 28* 32*", "OG": "4", "ST": "5* 10*", "DTM": "12 14 19", "XCN": "16* 25", "EI": "18* 21", "XON": "23", "XAD": "24", "EIP": "33*"}),
+    "NTE": (9, {"SI": "1", "ST": "3*", "CWE": "4 9*", "XCN": "5", "DTM": "6 7 8"}),
+    "SPM": (35, {"SI": "1", "EIP": "2 3*", "CWE": "4 5* 6* 7 8 9* 10 11* 15* 16* 21* 22 23 24* 27 28 29", "CQ": "12 25", "INT": "13 26", "ST": "14*", "DR": "17", "DTM": "18 19 33 34", "CX": "30* 31*", "EI": "32"}),
+    "IN1": (55, {"SI": "1", "CWE": "2 15 17 20 21 27 31 32 35 42 43 46 47 48 50 53 54*", "CX": "3* 10* 49*", "XON": "4* 9* 11*", "XAD": "5* 19* 44*", "XPN": "6* 16*", "XTN": "7*", "DTM": "12 13 18 24 26 29 51", "AUI": "14", "XCN": "30*", "INT": "33 34 39", "CP": "37 38 40 41"}),
+    "GT1": (57, {"SI": "1", "CX": "2* 19* 29*", "XPN": "3* 4* 16* 42* 45*", "XAD": "5* 17*", "XTN": "6* 7* 18* 46*", "DTM": "8 13 14 24 31 32", "CWE": "9 10 11 20 23 26 30 33 34* 35* 36 37 38 40 41 43 44* 47 48 52 53 55* 57", "INT": "15 28", "XON": "21* 51*", "CP": "27", "JCC": "50", "FC": "54"}),
+    "FT1": (56, {"SI": "1", "CX": "2 30 38 39", "DR": "4", "DTM": "5", "CWE": "6 7 13 14 17 18 19* 25 26* 27 28 29 34 36* 37 40 41 45 53 55* 56", "INT": "10", "CP": "11 12 15 22", "PL": "16", "XCN": "20* 21* 24*", "EI": "23", "ST": "31*", "XON": "32* 33", "CQ": "43", "MO": "51 52"}),
+    "RXA": (29, {"INT": "1 2", "DTM": "3 4 16* 22", "CWE": "5 7 8 9* 14 17* 18* 19* 24 25", "XCN": "10*", "ST": "15*", "PL": "27", "XAD": "28", "EI": "29*"}),
+    "SCH": (28, {"EI": "1 2 4 23 24 26* 27*", "INT": "3 9", "TQ": "11*", "CWE": "5 6 7 8 10 25", "XCN": "12* 16* 20*", "XTN": "13 17 21*", "XAD": "14* 18*", "PL": "15 19 22", "EIP": "28"}),
+    "TXA": (28, {"SI": "1", "CWE": "2 24* 28", "DTM": "4 6 7 8* 26", "XCN": "5* 9* 10* 11* 22* 23*", "EI": "12 13 14* 15", "ST": "25*", "HD": "27"}),
 }
 GENERIC_FIELDS = 25
 REPEATING = {s for s, (_, kinds) in SEGMENTS.items() if kinds.get("SI") == "1"}
@@ -77,6 +78,7 @@ REPEATING = {s for s, (_, kinds) in SEGMENTS.items() if kinds.get("SI") == "1"}
 _plain: dict[str, Callable[[Column], Column]] = {
     "ST": lambda c: c,
     "SI": lambda c: c.try_cast("int"),
+    "INT": lambda c: c.try_cast("int"),
     "NM": lambda c: c.try_cast("double"),
     "DTM": hl7_ts,
 }
@@ -182,6 +184,8 @@ def typed_field(n: int, kind: str, repeating: bool) -> Column:
     Components are taken inside ``transform``, which splits a value once and keeps generated code small however many
     fields a segment has.
     """
+    if kind == "DR":  # a range of times
+        return F.when(field(n).isNotNull(), F.struct(hl7_ts(component(field(n), 1)).alias("start"), hl7_ts(component(field(n), 2)).alias("end")))
     value = f"nullif(get(fields, {n}), '')"
     repeated = f"split({value}, '{_SPLIT['repetition']}')"
     if kind in COMPOSITES:

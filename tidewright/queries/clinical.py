@@ -50,7 +50,7 @@ def hl7_obr(spark, d):
 @R.query("SELECT 'M' || o_custkey AS message_id, 'quantity' AS what, l_quantity AS quantity, l_returnflag AS flag, strftime(l_shipdate, '%Y-%m-%dT00:00:00Z') AS at FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def hl7_obx(spark, d):
     t = messages.segment_table(_messages(spark, d), "OBX")
-    return t.select("message_id", F.col("obx_3.text").alias("what"), F.col("obx_5").cast("double").alias("quantity"), F.col("obx_6.text").alias("flag"), F.col("obx_14").alias("at"))
+    return t.select("message_id", F.col("obx_3.text").alias("what"), F.col("obx_5")[0].cast("double").alias("quantity"), F.col("obx_6.text").alias("flag"), F.col("obx_14").alias("at"))
 
 
 @R.query("SELECT 'M' || o_custkey AS message_id, count(*)::INTEGER AS last, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
