@@ -510,3 +510,24 @@ def test_segments_have_all_fields_of_known_kinds_once():
     for name, (count, kinds) in messages.SEGMENTS.items():
         places = [int(p.strip("*")) for of in kinds.values() for p in of.split()]
         assert set(kinds) <= known and len(set(places)) == len(places) and max(places) <= count, name
+
+
+def test_resources_have_their_nested_parts(spark):
+    import json
+
+    ref, concept = {"reference": "X/1"}, {"text": "t"}
+    sent = {
+        "DocumentReference": {"content": [{"attachment": {"contentType": "text/plain", "url": "u", "size": 5}, "format": {"code": "f"}}], "context": {"encounter": [ref], "period": {"start": "2024"}}},
+        "Encounter": {"participant": [{"type": [concept], "individual": ref}], "diagnosis": [{"condition": ref, "rank": 1}], "hospitalization": {"admitSource": concept}, "location": [{"location": ref, "status": "active"}]},
+        "Observation": {"component": [{"code": concept, "valueQuantity": {"value": 1.5}}], "referenceRange": [{"low": {"value": 1}, "text": "r"}], "hasMember": [ref], "derivedFrom": [ref]},
+        "Coverage": {"class": [{"value": "v"}], "order": 2}, "Procedure": {"performer": [{"actor": ref}], "complication": [concept], "report": [ref]},
+    }
+    bundle = json.dumps({"resourceType": "Bundle", "entry": [{"resource": {"resourceType": k, "id": k, **v}} for k, v in sent.items()]})
+    entries = resources.bundle_entries(spark.createDataFrame([(bundle,)], "b string"), "b")
+    row = lambda k: resources.resource_table(entries, k).first()
+    d, e, o = row("DocumentReference"), row("Encounter"), row("Observation")
+    assert (d["content"][0].attachment.url, d["content"][0].attachment.size, d["content"][0].format.code, d["context"].encounter[0].reference) == ("u", 5, "f", "X/1")
+    assert (e.participant[0].individual.reference, e.diagnosis[0]["rank"], e.hospitalization.admitSource.text, e.location[0].status) == ("X/1", 1, "t", "active")
+    assert (o.component[0].valueQuantity.value, o.referenceRange[0].text, o.hasMember[0].reference, o.derivedFrom[0].reference) == (1.5, "r", "X/1", "X/1")
+    assert row("Coverage")["class"][0].value == "v" and row("Procedure").performer[0].actor.reference == "X/1"
+    assert all(resources.resource_table(entries, k).count() == (k in sent) for k in resources.RESOURCES)

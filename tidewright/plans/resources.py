@@ -23,24 +23,55 @@ ADDRESS = "STRUCT<use: STRING, type: STRING, text: STRING, line: ARRAY<STRING>,
 CONTACT = "STRUCT<system: STRING, value: STRING, use: STRING, rank: INT>"
 NOTE = "STRUCT<authorString: STRING, time: STRING, text: STRING>"
 DOSAGE = f"STRUCT<sequence: INT, text: STRING, route: {CONCEPT}, asNeededBoolean: BOOLEAN>"
-TYPES = {"Coding": CODING, "Concept": CONCEPT, "Period": PERIOD, "Reference": REFERENCE, "Quantity": QUANTITY, "Identifier": IDENTIFIER, "Name": NAME, "Address": ADDRESS, "Contact": CONTACT, "Note": NOTE, "Dosage": DOSAGE, "string": "STRING", "boolean": "BOOLEAN", "double": "DOUBLE", "int": "INT", "time": "TIME", "date": "DATE"}
+RANGE = f"STRUCT<low: {QUANTITY}, high: {QUANTITY}>"
+ATTACHMENT = "STRUCT<contentType: STRING, language: STRING, url: STRING, size: BIGINT, hash: STRING, title: STRING, creation: STRING>"
+PARTS = {
+    "Participant": f"STRUCT<type: ARRAY<{CONCEPT}>, period: {PERIOD}, individual: {REFERENCE}>",
+    "Diagnosis": f"STRUCT<condition: {REFERENCE}, use: {CONCEPT}, rank: INT>",
+    "Hospitalization": f"STRUCT<origin: {REFERENCE}, admitSource: {CONCEPT}, destination: {REFERENCE}, dischargeDisposition: {CONCEPT}>",
+    "Stay": f"STRUCT<location: {REFERENCE}, status: STRING, physicalType: {CONCEPT}, period: {PERIOD}>",
+    "Component": f"STRUCT<code: {CONCEPT}, valueQuantity: {QUANTITY}, valueCodeableConcept: {CONCEPT}, valueString: STRING, valueBoolean: BOOLEAN, valueInteger: INT, valueDateTime: STRING, dataAbsentReason: {CONCEPT}, interpretation: ARRAY<{CONCEPT}>>",
+    "ReferenceRange": f"STRUCT<low: {QUANTITY}, high: {QUANTITY}, type: {CONCEPT}, appliesTo: ARRAY<{CONCEPT}>, age: {RANGE}, text: STRING>",
+    "Performer": f"STRUCT<function: {CONCEPT}, actor: {REFERENCE}, onBehalfOf: {REFERENCE}>",
+    "VaccineReaction": f"STRUCT<date: STRING, detail: {REFERENCE}, reported: BOOLEAN>",
+    "Protocol": f"STRUCT<series: STRING, authority: {REFERENCE}, targetDisease: ARRAY<{CONCEPT}>, doseNumberPositiveInt: INT, seriesDosesPositiveInt: INT>",
+    "AllergyReaction": f"STRUCT<substance: {CONCEPT}, manifestation: ARRAY<{CONCEPT}>, description: STRING, onset: STRING, severity: STRING, exposureRoute: {CONCEPT}>",
+    "Dispense": f"STRUCT<validityPeriod: {PERIOD}, numberOfRepeatsAllowed: INT, quantity: {QUANTITY}, performer: {REFERENCE}>",
+    "Substitution": f"STRUCT<allowedBoolean: BOOLEAN, allowedCodeableConcept: {CONCEPT}, reason: {CONCEPT}>",
+    "Attachment": ATTACHMENT,
+    "Content": f"STRUCT<attachment: {ATTACHMENT}, format: {CODING}>",
+    "Context": f"STRUCT<encounter: ARRAY<{REFERENCE}>, event: ARRAY<{CONCEPT}>, period: {PERIOD}, facilityType: {CONCEPT}, practiceSetting: {CONCEPT}, sourcePatientInfo: {REFERENCE}, related: ARRAY<{REFERENCE}>>",
+    "Relation": f"STRUCT<code: STRING, target: {REFERENCE}>",
+    "CoverageClass": f"STRUCT<type: {CONCEPT}, value: STRING, name: STRING>",
+    "Cost": f"STRUCT<type: {CONCEPT}, valueQuantity: {QUANTITY}>",
+    "Activity": f"STRUCT<reference: {REFERENCE}, outcomeCodeableConcept: ARRAY<{CONCEPT}>, progress: ARRAY<{NOTE}>>",
+    "Target": f"STRUCT<measure: {CONCEPT}, detailQuantity: {QUANTITY}, detailCodeableConcept: {CONCEPT}, detailString: STRING, dueDate: STRING>",
+    "Udi": "STRUCT<deviceIdentifier: STRING, issuer: STRING, jurisdiction: STRING, carrierHRF: STRING, entryType: STRING>",
+    "DeviceName": "STRUCT<name: STRING, type: STRING>",
+    "DeviceVersion": f"STRUCT<type: {CONCEPT}, value: STRING>",
+    "Stage": f"STRUCT<summary: {CONCEPT}, type: {CONCEPT}, assessment: ARRAY<{REFERENCE}>>",
+    "Evidence": f"STRUCT<code: ARRAY<{CONCEPT}>, detail: ARRAY<{REFERENCE}>>",
+    "PersonContact": f"STRUCT<relationship: ARRAY<{CONCEPT}>, name: {NAME}, telecom: ARRAY<{CONTACT}>, gender: STRING, organization: {REFERENCE}>",
+    "Communication": f"STRUCT<language: {CONCEPT}, preferred: BOOLEAN>",
+}
+TYPES = PARTS | {"Range": RANGE, "Coding": CODING, "Concept": CONCEPT, "Period": PERIOD, "Reference": REFERENCE, "Quantity": QUANTITY, "Identifier": IDENTIFIER, "Name": NAME, "Address": ADDRESS, "Contact": CONTACT, "Note": NOTE, "Dosage": DOSAGE, "string": "STRING", "boolean": "BOOLEAN", "double": "DOUBLE", "int": "INT", "time": "TIME", "date": "DATE"}
 
 # Elements of each resource of the R4 standard by type; ``*`` marks repeating ones.
 RESOURCES: dict[str, dict[str, str]] = {
-    "Patient": {"Identifier": "identifier*", "Name": "name*", "Contact": "telecom*", "Address": "address*", "string": "gender deceasedDateTime", "boolean": "active deceasedBoolean multipleBirthBoolean", "date": "birthDate", "Concept": "maritalStatus", "Reference": "generalPractitioner* managingOrganization"},
-    "Observation": {"Identifier": "identifier*", "string": "status valueString", "Concept": "category* code valueCodeableConcept interpretation* bodySite method", "Reference": "subject encounter performer*", "time": "effectiveDateTime issued", "Quantity": "valueQuantity", "boolean": "valueBoolean", "int": "valueInteger", "Note": "note*", "Period": "effectivePeriod"},
-    "Condition": {"Identifier": "identifier*", "Concept": "clinicalStatus verificationStatus category* severity code bodySite*", "Reference": "subject encounter recorder asserter", "time": "onsetDateTime abatementDateTime recordedDate", "string": "onsetString abatementString", "Note": "note*", "Period": "onsetPeriod"},
-    "Encounter": {"Identifier": "identifier*", "string": "status", "Coding": "class", "Concept": "type* serviceType priority reasonCode*", "Reference": "subject serviceProvider partOf", "Period": "period"},
-    "Procedure": {"Identifier": "identifier*", "string": "status performedString", "Concept": "category code reasonCode* bodySite* outcome", "Reference": "subject encounter location", "time": "performedDateTime", "Period": "performedPeriod", "Note": "note*"},
-    "MedicationRequest": {"Identifier": "identifier*", "string": "status intent priority", "Concept": "category* medicationCodeableConcept reasonCode*", "Reference": "medicationReference subject encounter requester", "time": "authoredOn", "Dosage": "dosageInstruction*", "Note": "note*"},
-    "DiagnosticReport": {"Identifier": "identifier*", "string": "status conclusion", "Concept": "category* code conclusionCode*", "Reference": "subject encounter performer* result*", "time": "effectiveDateTime issued", "Period": "effectivePeriod"},
-    "AllergyIntolerance": {"Identifier": "identifier*", "string": "type criticality category*", "Concept": "clinicalStatus verificationStatus code", "Reference": "patient encounter recorder", "time": "onsetDateTime recordedDate lastOccurrence", "Note": "note*"},
-    "Immunization": {"Identifier": "identifier*", "string": "status lotNumber occurrenceString", "Concept": "statusReason vaccineCode site route", "Reference": "patient encounter location manufacturer", "time": "occurrenceDateTime recorded", "date": "expirationDate", "Quantity": "doseQuantity", "boolean": "primarySource"},
-    "Coverage": {"Identifier": "identifier*", "string": "status subscriberId dependent network", "Concept": "type relationship", "Reference": "policyHolder subscriber beneficiary payor*", "Period": "period", "int": "order"},
-    "CarePlan": {"Identifier": "identifier*", "string": "status intent title description", "Concept": "category*", "Reference": "subject encounter author goal*", "Period": "period", "time": "created", "Note": "note*"},
-    "Goal": {"Identifier": "identifier*", "string": "lifecycleStatus statusReason", "Concept": "achievementStatus category* priority description startCodeableConcept", "Reference": "subject expressedBy", "date": "startDate statusDate", "Note": "note*"},
-    "Device": {"Identifier": "identifier*", "string": "status manufacturer lotNumber serialNumber modelNumber", "Concept": "type", "time": "manufactureDate expirationDate", "Reference": "patient owner location", "Note": "note*"},
-    "DocumentReference": {"Identifier": "identifier*", "string": "status docStatus description", "Concept": "type category* securityLabel*", "Reference": "subject author* authenticator custodian", "time": "date"},
+    "Patient": {"Identifier": "identifier*", "Name": "name*", "Contact": "telecom*", "Address": "address*", "string": "gender deceasedDateTime", "boolean": "active deceasedBoolean multipleBirthBoolean", "date": "birthDate", "Concept": "maritalStatus", "Reference": "generalPractitioner* managingOrganization", "PersonContact": "contact*", "Communication": "communication*"},
+    "Observation": {"Identifier": "identifier*", "string": "status valueString valueDateTime", "Concept": "category* code valueCodeableConcept interpretation* bodySite method dataAbsentReason", "Reference": "subject encounter performer* hasMember* derivedFrom* specimen device basedOn*", "time": "effectiveDateTime issued", "Quantity": "valueQuantity", "boolean": "valueBoolean", "int": "valueInteger", "Note": "note*", "Period": "effectivePeriod", "Component": "component*", "ReferenceRange": "referenceRange*"},
+    "Condition": {"Identifier": "identifier*", "Concept": "clinicalStatus verificationStatus category* severity code bodySite*", "Reference": "subject encounter recorder asserter", "time": "onsetDateTime abatementDateTime recordedDate", "string": "onsetString abatementString", "Note": "note*", "Period": "onsetPeriod", "Stage": "stage*", "Evidence": "evidence*"},
+    "Encounter": {"Identifier": "identifier*", "string": "status", "Coding": "class", "Concept": "type* serviceType priority reasonCode*", "Reference": "subject serviceProvider partOf reasonReference* episodeOfCare*", "Period": "period", "Participant": "participant*", "Diagnosis": "diagnosis*", "Hospitalization": "hospitalization", "Stay": "location*"},
+    "Procedure": {"Identifier": "identifier*", "string": "status performedString", "Concept": "category code reasonCode* bodySite* outcome complication*", "Reference": "subject encounter location report* reasonReference* recorder asserter", "time": "performedDateTime", "Period": "performedPeriod", "Note": "note*", "Performer": "performer*"},
+    "MedicationRequest": {"Identifier": "identifier*", "string": "status intent priority", "Concept": "category* medicationCodeableConcept reasonCode* statusReason", "Reference": "medicationReference subject encounter requester reasonReference* recorder", "time": "authoredOn", "Dosage": "dosageInstruction*", "Note": "note*", "Dispense": "dispenseRequest", "Substitution": "substitution", "boolean": "doNotPerform"},
+    "DiagnosticReport": {"Identifier": "identifier*", "string": "status conclusion", "Concept": "category* code conclusionCode*", "Reference": "subject encounter performer* result* specimen* resultsInterpreter* imagingStudy*", "time": "effectiveDateTime issued", "Period": "effectivePeriod", "Attachment": "presentedForm*"},
+    "AllergyIntolerance": {"Identifier": "identifier*", "string": "type criticality category*", "Concept": "clinicalStatus verificationStatus code", "Reference": "patient encounter recorder", "time": "onsetDateTime recordedDate lastOccurrence", "Note": "note*", "AllergyReaction": "reaction*"},
+    "Immunization": {"Identifier": "identifier*", "string": "status lotNumber occurrenceString", "Concept": "statusReason vaccineCode site route reasonCode* programEligibility* fundingSource", "Reference": "patient encounter location manufacturer reasonReference*", "time": "occurrenceDateTime recorded", "date": "expirationDate", "Quantity": "doseQuantity", "boolean": "primarySource isSubpotent", "Performer": "performer*", "VaccineReaction": "reaction*", "Protocol": "protocolApplied*", "Note": "note*"},
+    "Coverage": {"Identifier": "identifier*", "string": "status subscriberId dependent network", "Concept": "type relationship", "Reference": "policyHolder subscriber beneficiary payor*", "Period": "period", "int": "order", "CoverageClass": "class*", "Cost": "costToBeneficiary*"},
+    "CarePlan": {"Identifier": "identifier*", "string": "status intent title description", "Concept": "category*", "Reference": "subject encounter author goal* careTeam* addresses*", "Period": "period", "time": "created", "Note": "note*", "Activity": "activity*"},
+    "Goal": {"Identifier": "identifier*", "string": "lifecycleStatus statusReason", "Concept": "achievementStatus category* priority description startCodeableConcept outcomeCode*", "Reference": "subject expressedBy addresses*", "date": "startDate statusDate", "Note": "note*", "Target": "target*"},
+    "Device": {"Identifier": "identifier*", "string": "status manufacturer lotNumber serialNumber modelNumber distinctIdentifier partNumber", "Concept": "type statusReason* safety*", "time": "manufactureDate expirationDate", "Reference": "patient owner location", "Note": "note*", "Udi": "udiCarrier*", "DeviceName": "deviceName*", "DeviceVersion": "version*"},
+    "DocumentReference": {"Identifier": "identifier*", "string": "status docStatus description", "Concept": "type category* securityLabel*", "Reference": "subject author* authenticator custodian", "time": "date", "Content": "content*", "Context": "context", "Relation": "relatesTo*"},
 }
 
 #: Profiles: name to (base profile or None, {resource: {column: Column of the resource text}}).
