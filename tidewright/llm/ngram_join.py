@@ -1,8 +1,8 @@
 """Jaccard join of word n-gram sets through prefix trees.
 
-Sets whose similarity reaches the threshold share a shingle among the rarest of each (of ``n`` shingles the ``n - ceil(0.85 n) + 1`` that one order
-of all shingles puts first), so sets are dealt to groups by those. The order is by counts over the whole corpus, in a fixed number of
-counters; it decides only how large groups get. Equal sets count as one, groups with the same members too.
+Sets whose similarity reaches the threshold share ``k`` shingles among the rarest of each: of ``n`` shingles the ``n - ceil(0.85 n) + k`` that one order
+of all shingles puts first. Sets are dealt to groups by those, ``k`` being a tenth of ``n`` and one; sets that share fewer with all others together are out. The order is by counts over the
+whole corpus, in a fixed number of counters; it decides only how large groups get. Equal sets count as one, groups with the same members too.
 
 The sets of a group are stored in a trie, the shingles that most of them hold first, so that sets of near copies share long paths. Other sets walk
 down it; the overlap with a path is counted once for all sets below it, and a subtree is left as soon as the overlap so far with the lesser of what
@@ -11,7 +11,9 @@ given, so a group of ``m`` copies gives ``m - 1`` at most.
 
 First each set goes to its largest group only, which settles most near copies, large groups in blocks. Then the lowest set of each component stands for it in the large
 groups. Last, groups that still hold several components are searched whole: the sets outside a group's largest component walk the tries of all its
-sets, in blocks of bounded size. A group with one component needs no look, as every link in it is known to be inside.
+sets, in blocks of bounded size. They do so first over their rarest shingles alone, as sets without a partner there need not be sent whole; what is left falls in families of
+sets that meet in some group, and a family that fits in a block is searched as one, so that each of its sets is sent once. A group with one component needs no look, as every link in it is
+known to be inside.
 
 A shingle is a 64-bit hash of its words and a set a 64-bit hash of its shingles.
 """
@@ -28,7 +30,6 @@ from pyspark.sql import types as T
 
 from tidewright.llm._common import map_texts, materialize, slices
 from tidewright.llm.components import connected_components
-from tidewright.llm.near_copies import shingle_set
 from tidewright.llm.sketches import counted_bits, counters_for, may_count, merged_counts
 
 SHINGLE = 4
@@ -39,6 +40,58 @@ BLOCK = 1 << 19
 _WALKERS = 64
 
 
+_TABLE = np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers = [np.ones(1, np.uint64)] * 2
+#: Bytes of a text whose words are hashed together, about.
+_PIECE = 1 << 20
+
+
+def _power(of: int, n: int) -> np.ndarray:
+    if len(_powers[of]) < n:
+        x = np.full(max(n, 1 << 14), (_BASE, _INVERSE)[of], np.uint64)
+        x[0] = 1
+        _powers[of] = np.cumprod(x)
+    return _powers[of][:n]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word, A to Z in lower case: polynomials over the bytes' random numbers, all words of a piece at once."""
+    data = np.frombuffer((text or "").encode("utf-8").lower(), np.uint8)
+    blank = np.concatenate(([True], _BLANK[data], [True]))
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    out, at = [], 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE, "right")))
+        first, last = int(starts[at]), int(ends[to - 1])
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data[first:last]] * _power(1, last - first), dtype=np.uint64)))
+        a, b = starts[at:to] - first, ends[at:to] - first
+        out.append(_mix((sums[b] - sums[a]) * _power(0, last - first)[a] + (b - a).astype(np.uint64)))
+        at = to
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles; one of the whole sequence where there are fewer words, none without words."""
+    h = word_hashes(text)
+    k = min(shingle, len(h))
+    if not k:
+        return h
+    made = np.full(len(h) - k + 1, k, np.uint64)
+    for j in range(k):
+        made = made * np.uint64(_BASE) + h[j : len(h) - k + 1 + j]
+    return np.unique(made)
+
+
 def set_number(hashes: np.ndarray) -> int:
     """A signed 64-bit number of the set."""
     import xxhash
@@ -46,10 +99,15 @@ def set_number(hashes: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(hashes.tobytes(), len(hashes)) - (1 << 63)
 
 
+def asked(n: int) -> int:
+    """How many of the rarest shingles a set of ``n`` shares with a similar one of its size or more."""
+    return n // 10 + 1
+
+
 def prefix(hashes: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The rarest shingles, of which similar sets share one; ``common`` gives the order, equal ones follow their hash."""
+    """The rarest shingles, of which two similar sets share ``asked`` of the smaller one; ``common`` gives the order, equal ones follow their hash."""
     n = len(hashes)
-    most = n + (-percent * n // 100) + 1  # n - ceil(percent n / 100) + 1
+    most = n + (-percent * n // 100) + asked(n)  # n - ceil(percent n / 100) + asked
     if most >= n:
         return hashes
     tier = common[(hashes & np.uint64(len(common) - 1)).astype(np.int64)]
@@ -87,34 +145,50 @@ class _Roots:
         return a != b
 
 
-def _walk(ranks: list[np.ndarray], sizes: np.ndarray, order: list[int], shared: np.ndarray, walkers: np.ndarray, held: np.ndarray, percent: int):
-    """Links ``(walker, set)`` between the walkers and the sets of the trie.
-
-    ``order`` sorts the trie's sets, ``shared`` counts the first ranks that each has in common with the one before it; ``held`` tells for each walker and rank whether it has it.
-    """
-    rest = np.cumsum(held[:, ::-1], axis=1, dtype=np.int32)[:, ::-1]  # a walker's ranks from each one on
-    own, below = sizes[walkers], np.array([len(ranks[i]) for i in order])
-    lows = sizes[order]
-    todo = [(0, len(order), 0, np.arange(len(walkers)), np.zeros(len(walkers), np.int64), 0)]
-    while todo:
-        a, b, depth, alive, overlap, last = todo.pop()
-        to = int(shared[a + 1 : b].min()) if b - a > 1 else int(below[a])
-        path = ranks[order[a]][depth:to]
-        if len(path):
-            overlap = overlap + held[alive][:, path].sum(axis=1)
-            last = int(path[-1]) + 1
-        left = rest[alive, last] if last < held.shape[1] else np.zeros(len(alive), np.int32)
-        reach = overlap + np.minimum(left, int(below[a:b].max()) - to)
-        good = (100 + percent) * reach >= percent * (own[alive] + int(lows[a:b].min()))
-        if not good.any():
-            continue
-        alive, overlap = alive[good], overlap[good]
-        if b - a == 1:
-            for w in alive.tolist():
-                yield int(walkers[w]), order[a]
-            continue
-        cuts = [a, *(np.flatnonzero(shared[a + 1 : b] == to) + a + 1).tolist(), b]
-        todo += [(x, y, to, alive, overlap, last) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+class _Trie:
+    """Sets by the ranks of their members, those that most sets hold first; members of one set only are left out, as they are in no overlap."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, stored: list[bool]):
+        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        rank = np.empty(len(count), np.int64)
+        rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
+        self.sizes, self.width = sizes, max(1, both := int((count > 1).sum()))
+        self.ranks = [np.sort(r[r < both]) for r in np.split(rank[number], np.cumsum([len(s) for s in sets])[:-1])]
+        self.order = sorted((i for i in range(len(sets)) if stored[i]), key=lambda i: self.ranks[i].astype(">u4").tobytes())
+        self.shared = np.zeros(len(self.order), np.int64)  # first ranks that a set has in common with the one before it
+        for k in range(1, len(self.order)):
+            x, y = self.ranks[self.order[k - 1]], self.ranks[self.order[k]]
+            n = min(len(x), len(y))
+            differ = np.flatnonzero(x[:n] != y[:n])
+            self.shared[k] = differ[0] if len(differ) else n
+        self.at_once = max(1, min(_WALKERS, (1 << 22) // self.width))
+
+    def walk(self, walkers: np.ndarray, needed) -> Iterator[tuple[np.ndarray, int]]:
+        """``(walkers, set)`` for each stored set that some walkers share enough with; ``needed`` gives how much from walkers' sizes and another size, the larger the more."""
+        ranks, order, shared = self.ranks, self.order, self.shared
+        held = np.zeros((len(walkers), self.width), bool)
+        for k, i in enumerate(walkers.tolist()):
+            held[k, ranks[i]] = True
+        rest = np.cumsum(held[:, ::-1], axis=1, dtype=np.int32)[:, ::-1]  # a walker's ranks from each one on
+        own, below, lows = self.sizes[walkers], np.array([len(ranks[i]) for i in order]), self.sizes[order]
+        todo = [(0, len(order), 0, np.arange(len(walkers)), np.zeros(len(walkers), np.int64), 0)]
+        while todo:
+            a, b, depth, alive, overlap, last = todo.pop()
+            to = int(shared[a + 1 : b].min()) if b - a > 1 else int(below[a])
+            path = ranks[order[a]][depth:to]
+            if len(path):
+                overlap = overlap + held[alive][:, path].sum(axis=1)
+                last = int(path[-1]) + 1
+            left = rest[alive, last] if last < self.width else np.zeros(len(alive), np.int32)
+            good = overlap + np.minimum(left, int(below[a:b].max()) - to) >= needed(own[alive], int(lows[a:b].min()))
+            if not good.any():
+                continue
+            alive, overlap = alive[good], overlap[good]
+            if b - a == 1:
+                yield walkers[alive], order[a]
+                continue
+            cuts = [a, *(np.flatnonzero(shared[a + 1 : b] == to) + a + 1).tolist(), b]
+            todo += [(x, y, to, alive, overlap, last) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: list[bool], main: list[bool], percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -126,31 +200,15 @@ def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: li
     roots, m = _Roots(comp), len(sets)
     if len({roots.find(i) for i in range(m)}) < 2 or not (any(walks) and any(stored)):
         return []
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(count), np.int64)
-    rank[np.argsort(-count, kind="stable")] = np.arange(len(count))  # those that most sets hold first; those of one set come last
-    both = int((count > 1).sum())
-    ranks = [np.sort(r[r < both]) for r in np.split(rank[number], np.cumsum(sizes)[:-1])]
-    order = sorted((i for i in range(m) if stored[i]), key=lambda i: ranks[i].astype(">u4").tobytes())
-    shared = np.zeros(len(order), np.int64)
-    for k in range(1, len(order)):
-        x, y = ranks[order[k - 1]], ranks[order[k]]
-        n = min(len(x), len(y))
-        differ = np.flatnonzero(x[:n] != y[:n])
-        shared[k] = differ[0] if len(differ) else n
+    trie = _Trie(sets, np.array([len(s) for s in sets], np.int64), stored)
+    needed = lambda own, other: -(-percent * (own + other) // (100 + percent))
     out: list[tuple[int, int]] = []
     anchor = next((i for i in range(m) if main[i]), None)
     waiting = [i for i in range(m) if walks[i]]
-    at_once = max(1, min(_WALKERS, (1 << 22) // max(1, both)))
     while waiting:
-        now, waiting = np.array(waiting[:at_once]), waiting[at_once:]
-        held = np.zeros((len(now), max(1, both)), bool)
-        for k, i in enumerate(now.tolist()):
-            held[k, ranks[i]] = True
-        for i, j in _walk(ranks, sizes, order, shared, now, held, percent):
-            if roots.join(i, j):
-                out.append((i, j))
+        now, waiting = np.array(waiting[: trie.at_once]), waiting[trie.at_once :]
+        for found, j in trie.walk(now, needed):
+            out += [(i, j) for i in found.tolist() if roots.join(i, j)]
         known = [roots.find(i) for i in range(m)]
         if anchor is None and all(walks):
             anchor = int(np.bincount(known).argmax())
@@ -159,26 +217,42 @@ def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: li
     return out
 
 
-_EDGE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: list[bool], stored: list[bool], percent: int = PERCENT) -> list[int]:
+    """The sets that share as many of their rarest shingles with a set of another component as similar sets do, and may be similar by their sizes."""
+    if not (any(walks) and any(stored)):
+        return []
+    size, numbers = np.array(sizes, np.int64), np.unique(np.array(comp, np.int64), return_inverse=True)[1]
+    trie = _Trie(rare, size, stored)
+    needed = lambda own, other: np.minimum(asked(own), asked(other))
+    good, walking = np.zeros(len(rare), bool), np.flatnonzero(walks)
+    for k in range(0, len(walking), trie.at_once):
+        for found, j in trie.walk(walking[k : k + trie.at_once], needed):
+            other = size[found]
+            found = found[(numbers[found] != numbers[j]) & (100 * np.minimum(other, size[j]) >= percent * np.maximum(other, size[j]))]
+            good[found] = True
+            good[j] |= len(found) > 0
+    return np.flatnonzero(good).tolist()
 
 
-def _searched(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` inside the units ``(token, i, j)`` of rows ``(token, i, j, set, comp, walks, stored, main)``."""
-    unit = ["token", "i", "j"]
-    rows = dealt.join(sets, "set").select(*unit, "set", "comp", "walks", "stored", "main", "hashes").repartition(*unit).sortWithinPartitions(*unit)
+_UNIT = ("token", "i", "j")
+
+
+def _by_unit(dealt: DataFrame, arrays: DataFrame, solve, schema: T.StructType) -> DataFrame:
+    """Rows of ``solve(unit, sets, comps, walks, stored, main, sizes, hashes)`` for each unit ``(token, i, j)`` of rows ``(token, i, j, set, comp, walks, stored, main)``."""
+    rows = dealt.join(arrays, "set").select(*_UNIT, "set", "comp", "walks", "stored", "main", "n", "hashes").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, held = None, []
 
         def out():
-            number, comp, walks, stored, main, hashes = zip(*held, strict=True)
-            links = trie_links(list(hashes), list(comp), list(walks), list(stored), list(main), percent)
-            return pa.RecordBatch.from_arrays([pa.array([number[e[k]] for e in links], pa.int64()) for k in (0, 1)], names=_EDGE.names)
+            made = solve(mark, *(list(c) for c in zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in made], f) for k, f in enumerate(kinds)], names=schema.names)
 
+        kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.int32() for f in schema]
         for b in batches:
-            hashes = b.column(8)
+            hashes = b.column(9)
             cuts, flat = hashes.offsets.to_numpy(), hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, (t, i, j, *rest) in enumerate(zip(*(b.column(n).to_pylist() for n in range(8)), strict=True)):
+            for k, (t, i, j, *rest) in enumerate(zip(*(b.column(n).to_pylist() for n in range(9)), strict=True)):
                 if (t, i, j) != mark:
                     if len(held) > 1:
                         yield out()
@@ -187,7 +261,27 @@ def _searched(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if len(held) > 1:
             yield out()
 
-    return rows.mapInArrow(run, _EDGE)
+    return rows.mapInArrow(run, schema)
+
+
+def _searched(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` inside the units."""
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def solve(_, number, comp, walks, stored, main, n, hashes):
+        return [(number[i], number[j]) for i, j in trie_links(hashes, comp, walks, stored, main, percent)]
+
+    return _by_unit(dealt, sets, solve, schema)
+
+
+def _promising(dealt: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``dealt`` whose set has a partner in the unit by its rarest shingles, which are a sixth of a set or so."""
+    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("set", T.LongType())])
+
+    def solve(unit, number, comp, walks, stored, main, n, hashes):
+        return [(*unit, number[i]) for i in trie_partners(hashes, n, comp, walks, stored, percent)]
+
+    return dealt.join(_by_unit(dealt, rare, solve, schema).distinct(), [*_UNIT, "set"], "left_semi")
 
 
 def _blocks(total) -> F.Column:
@@ -242,7 +336,7 @@ def _last_deal(placed: DataFrame) -> DataFrame:
 
 
 def _hashes_of(wanted: DataFrame, slim: DataFrame, shingle: int) -> DataFrame:
-    """``(set, hashes)`` of ``wanted`` ``(set, doc_id)``; texts that are not wanted are mostly dropped where they are read, by 16 MB of bits at most."""
+    """``(set, n, hashes)`` of ``wanted`` ``(set, doc_id)``; texts that are not wanted are mostly dropped where they are read, by 16 MB of bits at most."""
     bits = slim.sparkSession.sparkContext.broadcast(counted_bits(wanted.select(F.xxhash64("doc_id")), wanted.count(), 1))
     schema = T.StructType([T.StructField("doc_id", slim.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
 
@@ -260,7 +354,38 @@ def _hashes_of(wanted: DataFrame, slim: DataFrame, shingle: int) -> DataFrame:
     near_texts = slim.withColumn("h", F.xxhash64("doc_id")).mapInArrow(near, schema)
     added = T.StructType([T.StructField("made", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
     found = map_texts(near_texts.join(wanted, "doc_id").select("set", "text"), start, added)
-    return found.where("set = made").select("set", "hashes").dropDuplicates(["set"])  # an id may have other texts too
+    return found.where("set = made").select("set", F.size("hashes").cast("long").alias("n"), "hashes").dropDuplicates(["set"])  # an id may have other texts too
+
+
+def _shared(prints: DataFrame) -> DataFrame:
+    """``(set, token)`` for the rarest shingles that some other set has among its own.
+
+    A sketch of counts, 16 MB of bits at most, drops those that surely come once before the others are shuffled and counted; with very many shingles it lets more through.
+    """
+    told = prints.agg(F.sum(F.size("rare"))).first()[0] or 0
+    bits = prints.sparkSession.sparkContext.broadcast(counted_bits(prints.select(F.explode("rare")), told, 2))
+    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("token", T.LongType())])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            token = b.column(1).values.to_numpy(zero_copy_only=False)[b.column(1).offsets[0].as_py() : b.column(1).offsets[-1].as_py()]
+            of = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(b.column(1).offsets.to_numpy()))
+            good = may_count(token, bits.value)
+            yield pa.RecordBatch.from_arrays([pa.array(of[good]), pa.array(token[good])], names=schema.names)
+
+    rows = materialize(prints.groupBy("set").agg(F.any_value("rare").alias("rare")).mapInArrow(near, schema), "rare-shingles")
+    return rows.join(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "token")
+
+
+def _clustered(last: DataFrame) -> DataFrame:
+    """The deal by families: sets that meet in some unit are sent once, to a unit of their own, unless a family is larger than a block; those keep their units."""
+    edges = last.join(last.groupBy(*_UNIT).agg(F.min("set").alias("b")), list(_UNIT)).select(F.col("set").alias("a"), "b")
+    family = connected_components(edges).select(F.col("node").alias("set"), F.col("root").alias("family"))
+    each = last.select("set", "comp", "n").distinct().join(family, "set")
+    small = each.groupBy("family").agg(F.sum("n").alias("all")).where(F.col("all") <= BLOCK).select("family")
+    own = each.join(small, "family").select(F.col("family").alias("token"), F.lit(0).alias("i"), F.lit(0).alias("j"), "set", "comp", *_all())
+    rest = last.join(family, "set").join(small, "family", "left_anti").select(own.columns)
+    return own.unionByName(rest)
 
 
 def ngram_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -283,9 +408,12 @@ def ngram_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, pe
 
     added = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("set", T.LongType()), T.StructField("rare", T.ArrayType(T.LongType()))])
     prints = materialize(map_texts(slim, start, added), "shingle-prefixes")
-    own = prints.where("set is not null and doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("low"), F.max("n_shingles").alias("n"), F.any_value("rare").alias("rare"))
-    own = materialize(own, "distinct-sets")
-    rows = own.select("set", "n", F.explode("rare").alias("token"))
+    there = prints.where("set is not null and doc_id is not null")
+    own = materialize(there.groupBy("set").agg(F.min("doc_id").alias("low"), F.max("n_shingles").alias("n")), "distinct-sets")
+    rows = _shared(there)
+    least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1  # of what a similar set, which may be smaller, asks for
+    able = rows.groupBy("set").agg(F.count("*").alias("shared")).join(own.select("set", "n"), "set").where(F.col("shared") >= least).select("set", "n")
+    rows = materialize(rows.join(able, "set"), "able-sets")
     held = rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("set")).alias("who")).where("m > 1")
     groups = held.groupBy("m", "who").agg(F.min("token").alias("token"))  # groups of the same sets count once
     members = materialize(rows.join(groups.select("token", "m"), "token").select("token", "m", "set", "n"), "members")
@@ -296,11 +424,15 @@ def ngram_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, pe
     done = first.where("whole").select("token").distinct()
     links = materialize(_searched(first.drop("whole"), sets, percent), "links")
     roots = connected_components(links)
-    placed = _open_groups(members, roots, done)
-    links = materialize(_searched(_second_deal(placed), sets, percent).union(roots.select("node", "root")), "links")
-    roots = connected_components(links)
     placed = materialize(_open_groups(members, roots, done), "open-groups")
-    links = _searched(_last_deal(placed), sets, percent).union(roots.select("node", "root"))
+    second = materialize(_second_deal(placed), "second-deal")
+    if not second.isEmpty():
+        links = materialize(_searched(second, sets, percent).union(roots.select("node", "root")), "links")
+        roots = connected_components(links)
+        placed = materialize(_open_groups(members, roots, done), "open-groups")
+    rare = rows.join(placed.select("set").distinct(), "set", "left_semi").groupBy("set", "n").agg(F.collect_list("token").alias("hashes"))  # those of one text
+    last = materialize(_promising(_last_deal(placed), rare, percent).join(own.select("set", "n"), "set"), "last-deal")
+    links = _searched(_clustered(last), sets, percent).union(roots.select("node", "root"))
     roots = connected_components(links)
 
     rooted = materialize(own.select("set", "low").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")), "roots")
