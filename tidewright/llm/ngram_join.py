@@ -363,17 +363,19 @@ def _shared(prints: DataFrame) -> DataFrame:
     A sketch of counts, 16 MB of bits at most, drops those that surely come once before the others are shuffled and counted; with very many shingles it lets more through.
     """
     told = prints.agg(F.sum(F.size("rare"))).first()[0] or 0
-    bits = prints.sparkSession.sparkContext.broadcast(counted_bits(prints.select(F.explode("rare")), told, 2))
-    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("token", T.LongType())])
+    bits = prints.sparkSession.sparkContext.broadcast(counted_bits(prints.select(F.explode("rare")), told, 2, places=2))
+    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("rare", T.ArrayType(T.LongType()))])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            token = b.column(1).values.to_numpy(zero_copy_only=False)[b.column(1).offsets[0].as_py() : b.column(1).offsets[-1].as_py()]
-            of = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(b.column(1).offsets.to_numpy()))
-            good = may_count(token, bits.value)
-            yield pa.RecordBatch.from_arrays([pa.array(of[good]), pa.array(token[good])], names=schema.names)
-
-    rows = materialize(prints.groupBy("set").agg(F.any_value("rare").alias("rare")).mapInArrow(near, schema), "rare-shingles")
+            cuts = b.column(1).offsets.to_numpy()
+            token = b.column(1).values.to_numpy(zero_copy_only=False)[cuts[0] : cuts[-1]]
+            good = may_count(token, bits.value, 2)
+            kept = np.concatenate(([0], np.cumsum(good)))[cuts - cuts[0]]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(token[good]))], names=schema.names)
+
+    few = prints.select("set", "rare").mapInArrow(near, schema)
+    rows = materialize(few.groupBy("set").agg(F.any_value("rare").alias("rare")).select("set", F.explode("rare").alias("token")), "rare-shingles")
     return rows.join(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "token")
 
 

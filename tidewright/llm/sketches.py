@@ -84,20 +84,20 @@ def merged_counts(df: DataFrame, places: Callable[[pa.RecordBatch], np.ndarray],
     return whole.reshape(-1)
 
 
-def spread(h: np.ndarray, counters: int) -> np.ndarray:
-    """``PLACES`` counters of each 64-bit hash, a row for each of the places."""
+def spread(h: np.ndarray, counters: int, places: int = PLACES) -> np.ndarray:
+    """``places`` counters of each 64-bit hash, a row for each of the places."""
     h = h.astype(np.int64).view(np.uint64)
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return ((h[None, :] + np.arange(PLACES, dtype=np.uint64)[:, None] * step) & np.uint64(counters - 1)).astype(np.int64)
+    return ((h[None, :] + np.arange(places, dtype=np.uint64)[:, None] * step) & np.uint64(counters - 1)).astype(np.int64)
 
 
-def counted_bits(hashes: DataFrame, rows: int, times: int, per_row: int = 16, most: int = 1 << 27) -> np.ndarray:
+def counted_bits(hashes: DataFrame, rows: int, times: int, per_row: int = 16, most: int = 1 << 27, places: int = PLACES) -> np.ndarray:
     """One bit for each counter: whether it counts ``times`` or more of the hashes in the only column of ``hashes``."""
     counters = counters_for(rows, per_row, most=most)
-    return merged_counts(hashes, lambda b: spread(b.column(0).to_numpy(zero_copy_only=False), counters).reshape(-1), counters, lambda n: np.packbits(n >= times, bitorder="little"))
+    return merged_counts(hashes, lambda b: spread(b.column(0).to_numpy(zero_copy_only=False), counters, places).reshape(-1), counters, lambda n: np.packbits(n >= times, bitorder="little"))
 
 
-def may_count(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """False for hashes that surely came fewer times than ``counted_bits`` was asked for."""
-    at = spread(h, 8 * len(bits))
+def may_count(h: np.ndarray, bits: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """False for hashes that surely came fewer times than ``counted_bits`` was asked for, with as many places."""
+    at = spread(h, 8 * len(bits), places)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0)
