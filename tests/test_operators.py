@@ -381,6 +381,15 @@ def test_scans_in_pieces_equal_windows(spark):
     assert scans.with_neighbours(hot.limit(0), ["k"], ["t"], asked, 16).count() == 0
 
 
+def test_neighbours_take_one_pass(spark):
+    hot = spark.range(200_000).selectExpr("1 AS k", "id AS t", "if(id % 1000 = 999, id, null) AS v")
+    asked = {"a": ("previous", "v"), "b": ("next", "v"), "c": ("upto", "v"), "d": ("from", "v")}
+    got = scans.with_neighbours(hot, ["k"], ["t"], asked)
+    assert "unboundedfollowing" not in got._jdf.queryExecution().executedPlan().toString().lower()  # such a frame is read again for each row
+    wrong = got.where("not (a <=> if(t < 1000, null, t div 1000 * 1000 - 1) and b <=> if(t < 199999, if(t % 1000 = 999, t + 1000, t div 1000 * 1000 + 999), null) and c <=> if(t < 999, null, (t + 1) div 1000 * 1000 - 1) and d <=> t div 1000 * 1000 + 999)")
+    assert wrong.count() == 0
+
+
 def test_hot_tags_users_and_keys_in_pieces(spark):
     series = spark.range(3000).selectExpr("if(id % 9 = 0, id % 4, 99) AS tag", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 37 % 90000) AS ts", "cast(id % 101 AS double) AS value", "id AS event_id")
     times = spark.range(300).selectExpr("if(id % 5 = 0, id % 4, 99) AS tag", "timestamp_ntz'2023-12-31 23:00:00' + make_dt_interval(0, 0, 0, id * 331) AS at")

@@ -93,20 +93,25 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], asked: dic
     ``side`` is ``previous`` or ``next`` (without the row itself), ``upto`` or ``from`` (the row's own value counts). With ``n`` ranges of the first order column
     the rows of a key are scanned in as many tasks, and the last and first values of the ranges are carried to the others; the result is the same.
     """
-    rows = {"previous": (Window.unboundedPreceding, -1), "upto": (Window.unboundedPreceding, 0), "next": (1, Window.unboundedFollowing), "from": (0, Window.unboundedFollowing)}
     ahead = lambda side: side in ("next", "from")
     take = lambda side, c: (F.first if ahead(side) else F.last)(c, ignorenulls=True)
     df = df.withColumn("__piece", pieces(df, order[0], n)) if n > 1 else df
     by = [*keys, "__piece"] if n > 1 else keys
     w = Window.partitionBy(*by).orderBy(*order)
-    out = df.withColumns({name: take(side, c).over(w.rowsBetween(*rows[side])) for name, (side, c) in asked.items()})
+
+    def near(i: int, side: str) -> Column:  # a frame up to the end would be read again for every row; lag and lead are one pass
+        found = F.expr(f"{'lead' if ahead(side) else 'lag'}(__v{i}) IGNORE NULLS").over(w)
+        return found if side in ("next", "previous") else F.coalesce(f"__v{i}", found)
+
+    own = {f"__v{i}": F.col(c) for i, (_, c) in enumerate(asked.values())}
+    out = df.withColumns(own).withColumns({name: near(i, side) for i, (name, (side, _)) in enumerate(asked.items())}).drop(*own)
     if n < 2:
         return out
     at = lambda c: F.when(F.col(c).isNotNull(), F.struct(*order))
     ends = {f"__e{i}": (F.min_by if ahead(side) else F.max_by)(c, at(c)) for i, (side, c) in enumerate(asked.values())}
     per = df.groupBy(*by).agg(*(e.alias(k) for k, e in ends.items()))
     over = Window.partitionBy(*keys).orderBy("__piece")  # ``n`` rows a key at most
-    carried = per.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(by)), *(take(side, f"__e{i}").over(over.rowsBetween(*rows["next" if ahead(side) else "previous"])).alias(f"__c{i}") for i, (side, _) in enumerate(asked.values())))
+    carried = per.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(by)), *(take(side, f"__e{i}").over(over.rowsBetween(*((1, Window.unboundedFollowing) if ahead(side) else (Window.unboundedPreceding, -1)))).alias(f"__c{i}") for i, (side, _) in enumerate(asked.values())))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(by)])
     joined = out.join(carried, same, "left")
     return joined.withColumns({name: F.coalesce(name, f"__c{i}") for i, name in enumerate(asked)}).drop("__piece", *(f"__k{i}" for i in range(len(by))), *(f"__c{i}" for i in range(len(asked))))
