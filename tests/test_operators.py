@@ -442,6 +442,13 @@ def test_deep_hierarchies_and_cycles(spark):
     assert relational.hierarchy(bad.limit(0), "id", "up").count() == 0 and relational.hierarchy_faults(chain, "id", "up").count() == 0
 
 
+def test_hierarchies_broadcast_nothing(spark):
+    nodes = spark.range(64).selectExpr("id", "if(id % 8 = 7, id - 5, if(id % 8 = 0, -1, id + 1)) AS up")
+    faults = relational.hierarchy_faults(nodes, "id", "up")
+    assert faults.count() == 64 and "Broadcast" not in faults._jdf.queryExecution().executedPlan().toString()
+
+
+
 def test_bins_over_continuous_weights_stay_at_one_level(spark):
     df = spark.range(40_000).selectExpr("id", "if(id < 3, 900.0 * (id + 1), if(id % 1000 = 7, null, (id * 7919 % 100003) / 100003.0)) AS w")
     total = df.agg(F.sum("w")).first()[0]

@@ -168,21 +168,20 @@ def _doubled(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     state = nodes.where(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(parent).alias("at"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"), F.lit(False).alias("lost"))
     state = kept(state, "pointers")
     steps, rows = 1, state.count()
+    # pointers pack into small files, and a side taken for small would be sent through the driver in every round: all joins here are merges
     while steps < 2 * rows and not state.where("at is not null and not lost").isEmpty():
-        to = state.select(F.col("node").alias("__n"), F.col("at").alias("__at"), F.col("depth").alias("__d"), F.col("lost").alias("__lost"))
+        to = state.select(F.col("node").alias("__n"), F.col("at").alias("__at"), F.col("depth").alias("__d"), F.col("lost").alias("__lost")).hint("merge")
         going = F.col("at").isNotNull() & ~F.col("lost")
-        met = state.join(to, going & (F.col("at") == F.col("__n")), "left")
+        met = state.where(going).join(to, F.col("at") == F.col("__n"), "left")  # what has ended would meet in the task of the nulls
         there = F.col("__n").isNotNull()
-        state = kept(
-            met.select(
-                "node",
-                "parent",
-                F.when(going & there, F.col("__at")).otherwise(F.col("at")).alias("at"),
-                F.when(going & there, F.col("depth") + F.col("__d")).otherwise(F.col("depth")).alias("depth"),
-                (F.col("lost") | (going & ~there) | (going & there & F.col("__lost"))).alias("lost"),
-            ),
-            "pointers",
+        moved = met.select(
+            "node",
+            "parent",
+            F.when(there, F.col("__at")).otherwise(F.col("at")).alias("at"),
+            F.when(there, F.col("depth") + F.col("__d")).otherwise(F.col("depth")).alias("depth"),
+            (~there | F.coalesce("__lost", F.lit(False))).alias("lost"),
         )
+        state = kept(moved.union(state.where(~going)), "pointers")
         steps *= 2
     return state
 
@@ -201,13 +200,13 @@ def hierarchy_faults(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     Takes one parent for each node.
     """
     state = _doubled(nodes, node, parent).where("at is not null")
-    on = kept(state.where("not lost").select(F.col("at").alias("node")).distinct().join(nodes.select(F.col(node).alias("node"), F.col(parent).alias("at")), "node").withColumn("low", F.least("node", "at")), "cycles")
+    on = kept(state.where("not lost").select(F.col("at").alias("node")).distinct().hint("merge").join(nodes.select(F.col(node).alias("node"), F.col(parent).alias("at")), "node").withColumn("low", F.least("node", "at")), "cycles")
     steps, size = 1, on.count()
     while steps < size:  # the least node of a cycle, by doubling again
-        to = on.select(F.col("node").alias("at"), F.col("at").alias("__at"), F.col("low").alias("__low"))
+        to = on.select(F.col("node").alias("at"), F.col("at").alias("__at"), F.col("low").alias("__low")).hint("merge")
         on = kept(on.join(to, "at").select("node", F.col("__at").alias("at"), F.least("low", "__low").alias("low")), "cycles")
         steps *= 2
-    named = state.join(on.select(F.col("node").alias("at"), "low"), "at", "left").join(on.select("node", F.lit(True).alias("__on")), "node", "left")
+    named = state.join(on.select(F.col("node").alias("at"), "low").hint("merge"), "at", "left").join(on.select("node", F.lit(True).alias("__on")).hint("merge"), "node", "left")
     fault = F.when(F.col("lost"), "orphan").when(F.col("__on"), "cycle").otherwise("below cycle")
     return named.select("node", "parent", fault.alias("fault"), F.coalesce("low", "at").alias("at"))
 
