@@ -634,6 +634,48 @@ def test_near_copies_in_large_groups(spark):
     assert all(got[i] in (i, want[i]) for i in want) and sum(got[i] == want[i] for i in linked) >= 0.95 * len(linked) > 0
 
 
+def test_forests_leave_no_link_out(spark, monkeypatch):
+    """Candidates of forests and between groups are all that meet within the radius, and groups are those of all their links."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(30):  # edits of one text at similarities around the threshold: a forest along fingerprints loses some links
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+        for i in range(14):
+            words = list(base)
+            for k in rng.sample(range(150), 3 if i % 2 else 2):
+                words[k] = f"x{g}.{i}.{k}"
+            rows.append((100 * g + i, " ".join(words)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {" ".join(map(str, near_copies.fingerprint(near_copies.shingle_set(t), 3))): t for _, t in rows}
+    x = np.array([[int(v) for v in p.split()] for p in prints])
+    made = spark.createDataFrame(x.tolist(), "f0 long, f1 long, f2 long")
+    seg = lambda p: [(int(p[s // 4]) >> (16 * (s % 4))) & 0xFFFF for s in range(12)]
+    want = set()
+    for i, a in enumerate(x.tolist()):
+        for b in x.tolist()[:i]:
+            near = sum(((u ^ v) & (1 << 64) - 1).bit_count() for u, v in zip(a[:2], b[:2], strict=True)) <= near_copies.RADIUS
+            if near and any((u ^ v).bit_count() <= 1 for u, v in zip(seg(a), seg(b), strict=True)):
+                want.add(tuple(sorted((tuple(a[:2]), tuple(b[:2])))))
+    none = spark.createDataFrame([], "node string, root string")
+    ends = lambda df: {tuple(sorted(((r.a0, r.a1), (r.b0, r.b1)))) for r in df.collect()}
+    for many in (near_copies.MANY, 3):  # 3: blocks in the join
+        monkeypatch.setattr(near_copies, "MANY", many)
+        edges, cut = near_copies.candidate_pairs(made)
+        assert not ends(edges) >= want and ends(edges) | ends(near_copies.pairs_between(cut, none)) == want
+    monkeypatch.undo()
+    plain, joined = dict(rows), {}
+    name = {tuple(map(int, p.split()[:2])): t for p, t in prints.items()}
+    sets = {k: set(near_copies.shingle_set(t).tolist()) for k, t in name.items()}
+    low = {t: i for i, t in sorted(((i, t) for i, t in rows), reverse=True)}
+    links = [(low[name[a]], low[name[b]]) for a, b in want if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    joined = {i: i for i in plain}
+    for _ in range(len(plain)):
+        for a, b in links:
+            joined[a] = joined[b] = min(joined[a], joined[b])
+    assert {r.doc_id: r.component_id for r in near_copies.near_copy_groups(df).collect()} == joined
+
+
 def test_forests_span():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, (40, 2), dtype=np.uint64)

@@ -7,8 +7,9 @@ There, fingerprints that differ in more than ``RADIUS`` of their first 128 bits
 if the exact Jaccard similarity of the shingle sets reaches the threshold. Chance meetings grow with the square of the number of distinct texts
 over ``2 ** (width - 1)``; wider and more segments (``width=24, segments=31`` of ``words=12``) suit billions of texts.
 
-An entry with few candidates gives all of them. One with more gives a minimum spanning forest: if of two pairs the one with nearer
-fingerprints is the more similar, links along the forest connect what all links would. Texts with equal first 128 bits count as one.
+An entry with few candidates gives all of them. One with more gives a minimum spanning forest first. A forest's pair may fail the exact check where another
+holds, so the members of such entries meet again once the groups of the first links are known: all their candidates between different groups are checked
+too, and pairs inside a group can add nothing. Texts with equal first 128 bits count as one.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ FEW, SMALL, MANY = 10, 64, 2048
 #: In larger entries members within this radius of one taken before hang on it, and the others make the forest.
 CLOSE = 16
 SEED = 42
+#: Bits of a text's shingle set by which pairs between groups are sorted out before the exact check.
+MARKS = 1024
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(29), np.uint64(32))
 _CHUNK = 1 << 13
 #: Rows of the index that a task looks at together, about.
@@ -142,8 +145,8 @@ def _spanning(pairs: np.ndarray, bits: np.ndarray) -> list[int]:
     return kept
 
 
-def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """Candidates ``(i, j)`` of complete entries that lie one after the other in the order of ``key``."""
+def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates ``(i, j)`` of complete entries that lie one after the other in the order of ``key``, and the members of entries that gave a forest instead of all."""
     head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.append(head, len(key)))
     small = np.flatnonzero(np.repeat(size <= SMALL, size))
@@ -160,30 +163,36 @@ def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS) -> np.ndarr
     hit, bit = hit[order], bit[order]
     entry = np.flatnonzero(np.concatenate(([True], np.diff(key[hit[:, 0]]) != 0))) if len(hit) else np.zeros(0, np.int64)
     count = np.diff(np.append(entry, len(hit)))
-    out = [hit[np.repeat(count <= FEW, count)]]
+    out, cut = [hit[np.repeat(count <= FEW, count)]], [np.zeros(0, np.int64)]
     for a, n in zip(entry[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
         out.append(hit[a : a + n][_spanning(hit[a : a + n], bit[a : a + n])])
+        cut.append(np.unique(hit[a : a + n]))
     for k in np.flatnonzero(size > SMALL):
         if edges := candidates(x[head[k] : head[k] + size[k]], radius):
             out.append(np.array(edges) + head[k])
-    return np.concatenate(out)
+            # a tree reaches all that have a candidate; where some hang on those taken, any member may have one
+            cut.append(np.unique(out[-1]) if size[k] <= MANY else np.arange(head[k], head[k] + size[k]))
+    return np.concatenate(out), np.concatenate(cut)
 
 
-_EDGE = T.StructType([T.StructField(n, T.LongType()) for n in ("a0", "a1", "b0", "b1")])
+_FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "a0", "a1", "b0", "b1")])
 
 
-def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
-    """Distinct candidates ``(a0, a1, b0, b1)`` between fingerprints ``(f0, f1, ...)``, which must be distinct."""
+def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidates ``(a0, a1, b0, b1)`` between fingerprints ``(f0, f1, ...)``, which must be distinct, and the members ``(key, f0, f1)`` of entries that gave a forest."""
     dealt = _index(prints, width, segments).repartition("key").sortWithinPartitions("key", "f0", "f1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # what waits for more rows; its last entry may go on in the next batch
 
         def out(key, x):
-            pairs = near_pairs(key, x, radius)
+            pairs, cut = near_pairs(key, x, radius)
             ends = np.concatenate([x[pairs[:, 0]], x[pairs[:, 1]]], axis=1).view(np.int64)
             ends = np.unique(ends, axis=0) if len(ends) else ends
-            return pa.RecordBatch.from_arrays([pa.array(ends[:, i]) for i in range(4)], names=_EDGE.names)
+            own, none = x[cut].view(np.int64), pa.nulls(len(cut), pa.int64())
+            columns = [pa.concat_arrays([pa.array(ends[:, i]), pa.array(own[:, i]) if i < 2 else none]) for i in range(4)]
+            keys = pa.concat_arrays([pa.nulls(len(ends), pa.int64()), pa.array(key[cut].astype(np.int64))])
+            return pa.RecordBatch.from_arrays([keys, *columns], names=_FOUND.names)
 
         size, least = 0, _ROWS
         for b in batches:
@@ -202,7 +211,47 @@ def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGME
         if held:
             yield out(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
 
-    return dealt.mapInArrow(run, _EDGE).distinct()
+    found = materialize(dealt.mapInArrow(run, _FOUND), "found")
+    return found.where("key is null").drop("key").distinct(), found.where("key is not null").selectExpr("key", "a0 AS f0", "a1 AS f1")
+
+
+def _first_key(width: int, segments: int):
+    """The first key that prints ``a`` and ``b`` share, null if none of the segments in their first 128 bits is alike."""
+    shared = []
+    for s in range(min(segments, 128 // width)):
+        word, at = divmod(s * width, 64)
+
+        def value(side):
+            v = F.shiftrightunsigned(f"{side}{word}", at)  # noqa: B023
+            return v.bitwiseOR(F.shiftleft(f"{side}{word + 1}", 64 - at)) if at + width > 64 else v  # noqa: B023
+
+        a = value("a").bitwiseAND(F.lit((1 << width) - 1))
+        differ = a.bitwiseXOR(value("b").bitwiseAND(F.lit((1 << width) - 1)))
+        bit = F.when(differ == 0, F.lit(0)).otherwise(F.bit_count(differ - 1))  # a single one: the ones below it are counted
+        left = a.bitwiseAND(F.when(differ == 0, F.lit(-2)).otherwise(F.bitwise_not(differ)))
+        shared.append(F.when(F.bit_count(differ) <= 1, left.bitwiseOR(((F.lit(s * width) + bit).cast("long") * F.lit(1 << width)))))
+    return F.coalesce(*shared)
+
+
+def pairs_between(cut: DataFrame, roots: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
+    """Distinct candidates ``(a0, a1, b0, b1)`` of entries' members ``(key, f0, f1)`` that lie in different groups ``(node, root)``.
+
+    In each entry the members of the group with most of them meet only the others. These meet all, in blocks of a bounded number of members, so a large entry is many
+    tasks' work. A pair is given where it first meets: if that entry gave all its candidates, the pair is among them.
+    """
+    named = cut.withColumn("node", _node("f0", "f1")).join(roots, "node", "left").select("key", "f0", "f1", F.coalesce("root", "node").alias("root"))
+    named = materialize(named, "entry-members")
+    groups = named.groupBy("key", "root").agg(F.count("*").alias("n"))
+    entries = groups.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
+    here = named.join(entries.select("key", "main", F.ceil(F.col("n") / MANY).cast("int").alias("blocks")), "key")
+    few = here.where("root <> main").select("key", F.col("f0").alias("a0"), F.col("f1").alias("a1"), F.col("root").alias("ra"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    every = here.select("key", F.col("f0").alias("b0"), F.col("f1").alias("b1"), F.col("root").alias("rb"), "main", F.pmod(F.xxhash64("f0", "f1"), "blocks").cast("int").alias("block"))
+    once = (F.col("rb") == F.col("main")) | (F.struct("a0", "a1") < F.struct("b0", "b1"))
+    bits = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+    met = few.join(every, ["key", "block"]).where(once & (F.col("ra") != F.col("rb")) & (bits <= radius))
+    first = met.where(F.coalesce(_first_key(width, segments) == F.col("key"), F.lit(True)))
+    return first.select(*(F.when(F.struct("a0", "a1") < F.struct("b0", "b1"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a0", "b0"), ("a1", "b1"))),
+                        *(F.when(F.struct("a0", "a1") < F.struct("b0", "b1"), F.col(y)).otherwise(F.col(x)).alias(y) for x, y in (("a0", "b0"), ("a1", "b1")))).distinct()
 
 
 def _node(*columns: str):
@@ -230,12 +279,17 @@ def near_copy_groups(docs: DataFrame, text: str = "text", similarity: float = SI
 
     prints = materialize(map_texts(slim, start, T.StructType([T.StructField(n, T.LongType()) for n in names])), "prints")
     own = materialize(prints.groupBy("f0", "f1").agg(F.min("doc_id").alias("low"), *(F.min(n).alias(n) for n in names[2:])), "distinct-prints")
-    pairs = candidate_pairs(own, width, segments, radius).select(_node("a0", "a1").alias("a"), _node("b0", "b1").alias("b"))
-    pairs = materialize(pairs, "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends_of = lambda pairs: pairs.select(_node("a0", "a1").alias("a"), _node("b0", "b1").alias("b"))
+    pairs, cut = candidate_pairs(own, width, segments, radius)
+    pairs = materialize(ends_of(pairs), "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(cut.select(_node("f0", "f1"))).distinct()
     ids = own.withColumn("node", _node("f0", "f1")).join(ends, "node", "left_semi").select(F.col("low").alias("doc_id"), "node")
     sets = materialize(_sets(slim.join(ids, "doc_id").select("node", "text"), shingle).dropDuplicates(["node"]), "shingle-sets")
     grouped = connected_components(_checked(pairs, sets, similarity))
+    between = materialize(_possible(ends_of(pairs_between(cut, grouped, width, segments, radius)), sets, similarity), "candidates-between")
+    links = materialize(_checked(between, sets, similarity), "links-between")
+    if not links.isEmpty():
+        grouped = connected_components(grouped.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
     member = prints.select("doc_id", _node("f0", "f1").alias("node")).join(grouped, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     # rows of one id are one document: their groups join
     member = materialize(member, "members")
@@ -253,15 +307,36 @@ def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("shared") >= F.lit(similarity) * (F.size("ha") + F.size("hb") - F.col("shared")) - 1e-9).select("a", "b")
 
 
+def _marks(hashes: np.ndarray) -> bytes:
+    """Which of ``MARKS`` places the hashes fall in, as bits."""
+    out = np.zeros(MARKS, bool)
+    out[(hashes % np.uint64(MARKS)).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` that may be similar enough: a place marked in one set alone is a shingle that is not shared, so none that is a link goes."""
+    side = lambda n: sets.select(F.col("node").alias(n), F.size("hashes").alias(f"n{n}"), F.col("marks").alias(f"m{n}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            na, nb = (b.column(i).to_numpy() for i in (2, 4))
+            ma, mb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, MARKS // 64) for i in (3, 5))
+            most = np.minimum(na - np.bitwise_count(ma & ~mb).sum(axis=1, dtype=np.int64), nb - np.bitwise_count(mb & ~ma).sum(axis=1, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(most >= similarity * (na + nb - most) - 1e-9))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "ma", "nb", "mb").mapInArrow(run, "a string, b string")
+
+
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """``(node, hashes)`` of rows ``(node, text)`` whose text has that fingerprint; an id may have other texts too."""
-    schema = T.StructType([T.StructField("node", T.StringType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    """``(node, hashes, marks)`` of rows ``(node, text)`` whose text has that fingerprint; an id may have other texts too."""
+    schema = T.StructType([T.StructField("node", T.StringType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("marks", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 128):
             made = [(n, shingle_set(x, shingle)) for n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             made = [(n, s.view(np.int64)) for n, s in made if " ".join(map(str, fingerprint(s, 2))) == n]
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in made], pa.string()), pa.array([s for _, s in made], pa.list_(pa.int64()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in made], pa.string()), pa.array([s for _, s in made], pa.list_(pa.int64())), pa.array([_marks(s.view(np.uint64)) for _, s in made], pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
