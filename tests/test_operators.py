@@ -502,6 +502,18 @@ def test_interleaved_files_are_skipped_on_every_column(spark):
         files.interleaved(df.withColumn("m", F.create_map("a", "b")), ["m"])
 
 
+def test_clustered_files_grow_with_the_table(spark, monkeypatch):
+    import glob
+
+    monkeypatch.setattr(files, "RANGE_ROWS", 1000)
+    df = spark.range(20_000).selectExpr("id * 7919 % 20000 AS a", "id AS b")
+    for write in (files.write_clustered, files.write_interleaved):
+        for least, want in ((4, 15), (None, 15), (32, 28)):
+            path = files.scratch(spark, "clustered")
+            write(df, path, ["a"], least)
+            assert len(glob.glob(f"{path}/*.parquet")) >= want and spark.read.parquet(path).agg(F.count("*"), F.sum("b")).first() == (20_000, 199_990_000)
+
+
 @pytest.mark.parametrize("kind", sorted(messages.COMPOSITES))
 def test_composites_give_every_component(spark, kind):
     parts = [name.split("/") for name in messages.COMPOSITES[kind].split()]

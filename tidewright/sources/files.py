@@ -15,6 +15,9 @@ from tidewright.functions.scalars import cuts_below, header_to_snake
 
 _own_dir: list[str] = []
 
+#: Rows of a clustered file, about: what one task sorts.
+RANGE_ROWS = 2_000_000
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
@@ -142,9 +145,17 @@ def write_append(df: DataFrame, path: str) -> None:
 
 
 def write_clustered(df: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
-    """Range-partitioned and sorted by ``columns``, so that filters on them skip files and row groups."""
-    dealt = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    dealt.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    """Range-partitioned and sorted by ``columns``, so that filters on them skip files and row groups.
+
+    ``files`` is the least number of files: large tables get more, so that a task sorts about ``RANGE_ROWS`` rows. For that the rows are counted first.
+    """
+    _by_range(df, files, *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+
+
+def _by_range(df: DataFrame, files: int | None, *columns: str) -> DataFrame:
+    needed = -(-df.count() // RANGE_ROWS)
+    least = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(max(files or 1, needed), *columns) if files or needed > least else df.repartitionByRange(*columns)
 
 
 def _place(df: DataFrame, column: str) -> Column:
@@ -183,5 +194,4 @@ def write_interleaved(df: DataFrame, path: str, columns: list[str], files: int |
     """Clustered by several columns alike: a filter on any of them skips files and row groups, where ``write_clustered`` serves the first one best."""
     key = "__interleaved"
     marked = df.withColumn(key, interleaved(df, columns, bits))
-    dealt = marked.repartitionByRange(files, key) if files else marked.repartitionByRange(key)
-    dealt.sortWithinPartitions(key, *columns).drop(key).write.mode("overwrite").parquet(path)
+    _by_range(marked, files, key).sortWithinPartitions(key, *columns).drop(key).write.mode("overwrite").parquet(path)
