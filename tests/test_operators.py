@@ -559,3 +559,24 @@ def test_resources_have_their_nested_parts(spark):
     assert (o.component[0].valueQuantity.value, o.referenceRange[0].text, o.hasMember[0].reference, o.derivedFrom[0].reference) == (1.5, "r", "X/1", "X/1")
     assert row("Coverage")["class"][0].value == "v" and row("Procedure").performer[0].actor.reference == "X/1"
     assert all(resources.resource_table(entries, k).count() == (k in sent) for k in resources.RESOURCES)
+
+
+def test_message_queries_broadcast_no_messages(spark, sf_dir):
+    """Planned by texts of 20 bytes, the rendered messages were broadcast and read by the one task of the customer table."""
+    from tidewright.queries import clinical
+
+    for name in ("hl7_obx", "hl7_obr", "hl7_segments"):
+        plan = getattr(clinical, name)(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_segments_are_rewritten_line_by_line(spark):
+    """Only the lines asked for are rewritten; before, whole messages were, and all their lines were kept in both forms."""
+    from tidewright.plans import messages
+
+    df = spark.createDataFrame([("MSH|^~\\&|a||||2024||X|M1|P|2.5\r\n\r\nOBX||NM|a\\S\\b^c\nOBX|7|NM|d\rOBXY|1\r",), ("MSH!@*/%!a!!!!2024!!X!M2!P!2.5\rOBX!!NM!a/S/b@c",), ("PID|1\rOBX|1|NM|x",), (None,)], "message string")
+    made = messages.segment_table(df, "OBX")
+    assert sorted(tuple(r) for r in made.select("message_id", "set_id", "obx_3.code", "obx_3.text").collect()) == [("M1", 1, "a^b", "c"), ("M1", 7, "d", None), ("M2", 1, "a@b", "c")]
+    plan = made.select("obx_3.code")._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan
+    assert sorted(tuple(r) for r in messages.segments(df).select("message_id", "ordinal", "segment").collect()) == [("M1", 0, "MSH"), ("M1", 1, "OBX"), ("M1", 2, "OBX"), ("M1", 3, "OBXY"), ("M2", 0, "MSH"), ("M2", 1, "OBX")]

@@ -193,11 +193,13 @@ def relative_time(c: Column, now: Column) -> Column:
 def hl7_ts(c: Column) -> Column:
     """``YYYY[MM[DD[HH[MM[SS[.f]]]]]][±ZZZZ]``, parentheses dropped, to ISO UTC text; other text is null."""
     shape = r"^(\d{4})(\d{2})?(\d{2})?(\d{2})?(\d{2})?(\d{2})?(\.\d{1,6})?([+-]\d{4})?$"
-    t = F.regexp_replace(c, "[()]", "")
-    part = lambda i, default: F.coalesce(F.nullif(F.regexp_extract(t, shape, i), F.lit("")), F.lit(default))
-    zone = part(8, "+0000")
-    text = F.concat(part(1, "0"), F.lit("-"), part(2, "01"), F.lit("-"), part(3, "01"), F.lit("T"), part(4, "00"), F.lit(":"), part(5, "00"), F.lit(":"), part(6, "00"), part(7, ""), F.left(zone, F.lit(3)), F.lit(":"), F.right(zone, F.lit(2)))
-    return F.when(t.rlike(shape), F.date_format(text.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    zone = lambda t: F.coalesce(F.nullif(F.regexp_extract(t, r"[+-]\d{4}", 0), F.lit("")), F.lit("+0000"))
+    padded = lambda d: F.concat(d, F.substring(F.lit("00000101000000"), F.length(d) + 1, F.lit(14)))
+    joined = lambda d, z: F.concat(F.substring(d, 1, 4), F.lit("-"), F.substring(d, 5, 2), F.lit("-"), F.substring(d, 7, 2), F.lit("T"), F.substring(d, 9, 2), F.lit(":"), F.substring(d, 11, 2), F.lit(":"), F.substring(d, 13, 2), F.left(z, F.lit(3)), F.lit(":"), F.right(z, F.lit(2)))
+    bound = lambda c, f: F.get(F.transform(F.array(c), f), F.lit(0))  # noqa: E731 (each value is made once, however often it is used)
+    # 4 to 14 digits, told apart by their places; a fraction of a second is not shown
+    text = lambda t: bound(F.regexp_extract(t, r"^\d+", 0), lambda d: bound(padded(d), lambda d: bound(zone(t), lambda z: joined(d, z))))
+    return bound(F.translate(c, "()", ""), lambda t: F.when(t.rlike(shape), F.date_format(text(t).try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
 def dicom_value(c: Column, tag: str) -> Column:

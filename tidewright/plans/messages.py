@@ -126,28 +126,38 @@ def plain(c: Column) -> Column:
     return F.call_function("translate", F.nullif(c, F.lit("")), F.lit("".join([*_SPLIT.values(), *_TEXT.values()])), F.concat(F.col("separators"), F.col("separators")))
 
 
+def _inner(c: Column) -> Column:
+    """A line, or its name, with the message's separators rewritten and escaped ones told apart."""
+    return unescape(F.call_function("translate", c, F.col("separators"), F.lit("".join(_SPLIT.values()))))
+
+
+def _name(line: Column) -> Column:
+    """The segment name of a raw line; only what lies before the first field separator is rewritten."""
+    return F.substring_index(_inner(F.call_function("substring_index", line, F.left("separators", F.lit(1)), F.lit(1))), _SPLIT["field"], 1)
+
+
 def _lines(messages: DataFrame, message: str) -> DataFrame:
-    """Each message with its metadata, its separators and ``__lines``: its segments as they came (``raw``) and with separators rewritten (``text``)."""
-    m = messages.where(F.col(message).startswith("MSH"))
+    """Each message with its metadata, its separators and ``__lines``, its segments as they came; null where it does not begin with MSH.
+
+    Lines are rewritten after they have become rows, so that a message's are rewritten once each and only those that are asked for. A filter on
+    the message would render it twice where it is made by an expression.
+    """
     default = {"field": "|", "component": "^", "repetition": "~", "escape": "\\", "subcomponent": "&"}
     own = F.concat(*(F.coalesce(F.nullif(F.substring(message, i, 1), F.lit("")), F.lit(default[k])) for k, i in SEPARATORS.items()))
-    text = F.regexp_replace(message, "\r\n?", "\n")
-    m = m.withColumn("separators", own)
-    filled = lambda c: F.filter(F.split(c, "\n"), lambda x: x != "")
-    inner = unescape(F.call_function("translate", text, F.col("separators"), F.lit("".join(_SPLIT.values()))))
-    m = m.withColumn("__lines", F.arrays_zip(filled(text).alias("raw"), filled(inner).alias("text")))
-    head = F.split(F.get("__lines", F.lit(0))["text"], _SPLIT["field"])
+    m = messages.withColumn("separators", own)
+    m = m.withColumn("__lines", F.when(F.col(message).startswith("MSH"), F.filter(F.split(message, "[\r\n]+"), lambda x: x != "")))
+    head = F.split(_inner(F.get("__lines", F.lit(0))), _SPLIT["field"])
     first = lambda n: F.nullif(F.get(head, F.lit(n - 1)), F.lit(""))
     m = m.withColumns({"message_id": plain(first(10)), "message_timestamp": hl7_ts(first(7)), "hl7_version": F.nullif(F.split_part(first(12), F.lit(_SPLIT["component"]), F.lit(1)), F.lit(""))})
     return m.drop(message)
 
 
 def _fields(rows: DataFrame) -> DataFrame:
-    """``segment``, ``fields`` and ``raw_segment`` from ``__s``; MSH fields count from the separator, so they are shifted by one."""
-    parts = F.split("__s.text", _SPLIT["field"])
-    name = F.get(parts, F.lit(0))
-    shifted = F.concat(F.array(F.lit("MSH"), F.lit(_SPLIT["field"])), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))))
-    return rows.withColumns({"raw_segment": F.col("__s.raw"), "segment": name, "fields": F.when(name == "MSH", shifted).otherwise(parts)}).drop("__s")
+    """``raw_segment``, ``segment`` and ``fields`` from the raw line ``__s``; MSH fields count from the separator, so they are shifted by one."""
+    parts = F.split(_inner(F.col("__s")), _SPLIT["field"])
+    rows = rows.withColumns({"raw_segment": F.col("__s"), "segment": _name(F.col("__s")), "__parts": parts}).drop("__s")
+    shifted = F.concat(F.array(F.lit("MSH"), F.lit(_SPLIT["field"])), F.slice("__parts", 2, F.greatest(F.size("__parts") - 1, F.lit(0))))
+    return rows.withColumn("fields", F.when(F.col("segment") == "MSH", shifted).otherwise(F.col("__parts"))).drop("__parts")
 
 
 def segments(messages: DataFrame, message: str = "message") -> DataFrame:
@@ -240,7 +250,7 @@ def _segment_table(messages: DataFrame, segment: str, carry: tuple[str, ...], me
     """``segment_table`` with columns named by position.
     """
     m = _lines(messages, message)
-    mine = F.filter("__lines", lambda x: F.substring_index(x["text"], _SPLIT["field"], 1) == segment)
+    mine = F.filter("__lines", lambda x: _name(x) == segment)
     own = _fields(m.select(*carry, *METADATA, "separators", F.posexplode(mine).alias("__n", "__s")))
     if segment in SEGMENTS:
         count, kinds = SEGMENTS[segment]

@@ -12,15 +12,16 @@ def _messages(spark, d):
     c, o, li = load(spark, d, "customer", "orders", "lineitem")
     day = F.date_format("o_orderdate", "yyyyMMdd")
     obx = F.concat_ws("|", F.lit("OBX"), F.lit(""), F.lit("NM"), F.concat(F.lit("Q^quantity^L"), F.lit("")), F.lit(""), F.col("l_quantity").cast("string"), F.concat(F.lit("kg^"), F.col("l_returnflag")), *[F.lit("")] * 7, F.date_format("l_shipdate", "yyyyMMdd"))
-    lines = li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(obx)), "\r").alias("obx"))
+    lines = li.select("l_orderkey", obx.alias("obx")).repartition("l_orderkey").groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list("obx")), "\r").alias("obx"))
     obr = F.concat_ws("|", F.lit("OBR"), F.col("o_orderkey").cast("string"), F.concat(F.col("o_orderkey"), F.lit("^lab")), F.lit(""), F.concat(F.lit("C"), F.col("o_orderstatus"), F.lit("^status")), *[F.lit("")] * 2, day)
-    orders = o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select("o_custkey", F.concat_ws("\r", obr, "obx").alias("t"))
-    orders = orders.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list("t")), "\r").alias("body"))
+    orders = o.join(lines.hint("merge"), o.o_orderkey == lines.l_orderkey, "left").select("o_custkey", F.concat_ws("\r", obr, "obx").alias("t"))
+    orders = orders.groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list("t")), "\r").alias("body"))
     msh = F.concat(F.lit("MSH|^~\\&|app^1.2^ISO|fac|||20240102030405||ORU^R01|M"), F.col("c_custkey"), F.lit("|P|2.5^x"))
     pid = F.concat(F.lit("PID|1||"), F.col("c_custkey"), F.lit("^^^A~X"), F.col("c_custkey"), F.lit("^^^B||"), F.regexp_replace("c_name", "#", "^\\\\T\\\\"), F.lit("||19700304|"), F.lit("M"))
     zed = F.concat(F.lit("ZZ1|"), F.col("c_mktsegment"))
     text = F.concat_ws("\r", msh, pid, zed, "body")
-    made = c.join(orders, c.c_custkey == orders.o_custkey, "left").select("c_custkey", text.alias("t"))
+    # texts are taken for 20 bytes when joins are planned: broadcast, all messages would be read by the one task of a small customer table
+    made = c.join(orders.hint("merge"), c.c_custkey == orders.o_custkey, "left").select("c_custkey", text.alias("t"))
     other = F.translate("t", "|^~\\&", "!@*/%")
     return made.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, other).otherwise(F.col("t")).alias("message"))
 
