@@ -676,6 +676,37 @@ def test_forests_leave_no_link_out(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_copies.near_copy_groups(df).collect()} == joined
 
 
+def test_links_between_groups_are_fewer_than_members(spark, monkeypatch):
+    """A family just under and over the threshold: its pairs grow with its square, the links given do not, and they join the same groups; sets of one unit alike in one block and in many."""
+    rng = random.Random(8)
+    base, rows = [f"w{rng.randint(0, 10**6)}" for _ in range(150)], []
+    for i in range(120):
+        words = list(base)
+        for k in rng.sample(range(150), 1 + i % 3):
+            words[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(200, None), (201, "k")]
+    made = {t: near_copies.shingle_set(t) for _, t in rows}
+    x = [(near_copies.fingerprint(h, 3), t) for t, h in made.items()]
+    prints = spark.createDataFrame([p for p, _ in x], "f0 long, f1 long, f2 long")
+    name = {" ".join(map(str, p[:2])): t for p, t in x}
+    sets = spark.createDataFrame([(n, made[t].view(np.int64).tolist(), near_copies._marks(made[t])) for n, t in name.items()], "node string, hashes array<long>, marks binary")
+    none = spark.createDataFrame([], "node string, root string")
+    _, cut = near_copies.candidate_pairs(prints)
+    node = lambda a, b: f"{a} {b}"
+    pairs = {(node(r.a0, r.a1), node(r.b0, r.b1)) for r in near_copies.pairs_between(cut, none).collect()}
+    true = [p for p in pairs if len(u := set(made[name[p[0]]].tolist()) & set(made[name[p[1]]].tolist())) >= 0.8 * (len(made[name[p[0]]]) + len(made[name[p[1]]]) - len(u)) - 1e-9]
+    groups = lambda links: {(r.node, r.root) for r in connected_components(spark.createDataFrame(sorted(links), "a string, b string")).collect()}
+    assert len(true) > 500 and len(pairs) > len(true)
+    for many, weight in ((near_copies.MANY, near_copies._WEIGHT), (7, near_copies._WEIGHT), (64, 10)):
+        monkeypatch.setattr(near_copies, "MANY", many)
+        monkeypatch.setattr(near_copies, "_WEIGHT", weight)
+        links = [(r.a, r.b) for r in near_copies.links_between(cut, none, sets).collect()]
+        assert {tuple(sorted(p)) for p in links} <= {tuple(sorted(p)) for p in true} and groups(links) == groups(true)
+        if many > 1000:
+            assert len(links) < cut.count() and len({tuple(sorted(p)) for p in links}) < len(true)
+
+
 def test_forests_span():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, (40, 2), dtype=np.uint64)

@@ -9,7 +9,8 @@ over ``2 ** (width - 1)``; wider and more segments (``width=24, segments=31`` of
 
 An entry with few candidates gives all of them. One with more gives a minimum spanning forest first. A forest's pair may fail the exact check where another
 holds, so the members of such entries meet again once the groups of the first links are known: all their candidates between different groups are checked
-too, and pairs inside a group can add nothing. Texts with equal first 128 bits count as one.
+too, and pairs inside a group can add nothing. These candidates grow with the square of a group, so they are never rows: tasks look at them in blocks of members and
+give only links that join groups. Texts with equal first 128 bits count as one.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidewright.llm._common import map_texts, materialize, slices
 from tidewright.llm.components import connected_components
+from tidewright.llm.ngram_join import _Roots
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -41,6 +43,10 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(29), np.uint64(32))
 _CHUNK = 1 << 13
 #: Rows of the index that a task looks at together, about.
 _ROWS = 1 << 16
+#: Sets that one is compared with together.
+_AT_ONCE = 64
+#: Shingles that count as one more member where members are dealt to blocks, and pairs of members that a task looks at together, about.
+_WEIGHT, _PAIRS = 256, 1 << 16
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -215,43 +221,159 @@ def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGME
     return found.where("key is null").drop("key").distinct(), found.where("key is not null").selectExpr("key", "a0 AS f0", "a1 AS f1")
 
 
-def _first_key(width: int, segments: int):
-    """The first key that prints ``a`` and ``b`` share, null if none of the segments in their first 128 bits is alike."""
-    shared = []
-    for s in range(min(segments, 128 // width)):
+def _first_keys(a: np.ndarray, b: np.ndarray, width: int, segments: int) -> np.ndarray:
+    """The first key that each pair of prints shares, -1 if none of the segments in their first 128 bits is alike."""
+    out = np.full(len(a), -1, np.int64)
+    for s in reversed(range(min(segments, 128 // width))):
         word, at = divmod(s * width, 64)
 
-        def value(side):
-            v = F.shiftrightunsigned(f"{side}{word}", at)  # noqa: B023
-            return v.bitwiseOR(F.shiftleft(f"{side}{word + 1}", 64 - at)) if at + width > 64 else v  # noqa: B023
+        def value(x):
+            v = x[:, word] >> np.uint64(at)  # noqa: B023
+            return (v | x[:, word + 1] << np.uint64(64 - at) if at + width > 64 else v) & np.uint64((1 << width) - 1)  # noqa: B023
 
-        a = value("a").bitwiseAND(F.lit((1 << width) - 1))
-        differ = a.bitwiseXOR(value("b").bitwiseAND(F.lit((1 << width) - 1)))
-        bit = F.when(differ == 0, F.lit(0)).otherwise(F.bit_count(differ - 1))  # a single one: the ones below it are counted
-        left = a.bitwiseAND(F.when(differ == 0, F.lit(-2)).otherwise(F.bitwise_not(differ)))
-        shared.append(F.when(F.bit_count(differ) <= 1, left.bitwiseOR(((F.lit(s * width) + bit).cast("long") * F.lit(1 << width)))))
-    return F.coalesce(*shared)
+        u = value(a)
+        differ = u ^ value(b)
+        one = np.maximum(differ, np.uint64(1))  # equal segments share the keys of all bits, that of the lowest first
+        key = (s * width + np.bitwise_count(one - np.uint64(1)).astype(np.int64) << width) | (u & ~one).astype(np.int64)
+        out = np.where(np.bitwise_count(differ) <= 1, key, out)
+    return out
 
 
-def pairs_between(cut: DataFrame, roots: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
-    """Distinct candidates ``(a0, a1, b0, b1)`` of entries' members ``(key, f0, f1)`` that lie in different groups ``(node, root)``.
+_UNIT = ("key", "i", "j")
+
 
-    In each entry the members of the group with most of them meet only the others. These meet all, in blocks of a bounded number of members, so a large entry is many
-    tasks' work. A pair is given where it first meets: if that entry gave all its candidates, the pair is among them.
+def _units(cut: DataFrame, roots: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """``(key, i, j, f0, f1, node, root, main, walks, stored)`` for entries' members ``(key, f0, f1)`` of several groups ``(node, root)``.
+
+    In each unit the walking members meet the stored ones. The members of the group with most of them do not walk. Both sides of a large entry are dealt to blocks
+    of some ``MANY`` members, fewer where their sets ``(node, n)`` are large, so that it is many tasks' work and none holds more than two blocks.
     """
-    named = cut.withColumn("node", _node("f0", "f1")).join(roots, "node", "left").select("key", "f0", "f1", F.coalesce("root", "node").alias("root"))
+    named = cut.withColumn("node", _node("f0", "f1")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = named.join(sizes, "node", "left") if sizes is not None else named.withColumn("n", F.lit(0))
     named = materialize(named, "entry-members")
-    groups = named.groupBy("key", "root").agg(F.count("*").alias("n"))
-    entries = groups.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.sum("n").alias("n"), F.count("*").alias("groups")).where("groups > 1")
-    here = named.join(entries.select("key", "main", F.ceil(F.col("n") / MANY).cast("int").alias("blocks")), "key")
-    few = here.where("root <> main").select("key", F.col("f0").alias("a0"), F.col("f1").alias("a1"), F.col("root").alias("ra"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    every = here.select("key", F.col("f0").alias("b0"), F.col("f1").alias("b1"), F.col("root").alias("rb"), "main", F.pmod(F.xxhash64("f0", "f1"), "blocks").cast("int").alias("block"))
-    once = (F.col("rb") == F.col("main")) | (F.struct("a0", "a1") < F.struct("b0", "b1"))
-    bits = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-    met = few.join(every, ["key", "block"]).where(once & (F.col("ra") != F.col("rb")) & (bits <= radius))
-    first = met.where(F.coalesce(_first_key(width, segments) == F.col("key"), F.lit(True)))
-    return first.select(*(F.when(F.struct("a0", "a1") < F.struct("b0", "b1"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a0", "b0"), ("a1", "b1"))),
-                        *(F.when(F.struct("a0", "a1") < F.struct("b0", "b1"), F.col(y)).otherwise(F.col(x)).alias(y) for x, y in (("a0", "b0"), ("a1", "b1")))).distinct()
+    groups = named.groupBy("key", "root").agg(F.sum(1 + F.floor(F.col("n") / _WEIGHT)).alias("n"))
+    entries = groups.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("groups")).where("groups > 1")
+    blocks = lambda n: F.ceil(n / MANY).cast("int")
+    entries = entries.select("key", "main", blocks(F.col("n")).alias("blocks"), blocks(F.col("n") - F.col("most")).alias("walking"))
+    here = named.join(entries, "key")
+    own, walks = ("f0", "f1", "node", "root", "main"), F.col("root") != F.col("main")
+    block = lambda of: F.pmod(F.xxhash64("node"), of).cast("int")
+    upto = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    one = here.where("blocks = 1").select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), *own, walks.alias("walks"), F.lit(True).alias("stored"))
+    many = here.where("blocks > 1")
+    walking = many.where(walks).select("key", block("walking").alias("i"), upto("blocks").alias("j"), *own, F.lit(True).alias("walks"), F.lit(False).alias("stored"))
+    stored = many.select("key", upto("walking").alias("i"), block("blocks").alias("j"), *own, F.lit(False).alias("walks"), F.lit(True).alias("stored"))
+    return one.unionByName(walking).unionByName(stored)
+
+
+class _Unit:
+    """The members of one unit, each once."""
+
+    def __init__(self, t: pa.Table):
+        self.key = t["key"][0].as_py()
+        self.x = np.stack([t[n].to_numpy() for n in ("f0", "f1")], axis=1).view(np.uint64)
+        self.node, root = t["node"].to_pylist(), t["root"].to_pylist()
+        self.comp = np.unique(np.array(root, object), return_inverse=True)[1]
+        self.main = np.array([r == m for r, m in zip(root, t["main"].to_pylist(), strict=True)], bool)
+        self.walks, self.stored = (t[n].to_numpy().astype(bool) for n in ("walks", "stored"))
+
+    def pairs(self, width: int, segments: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Walking and stored members of different groups within the radius that meet in no entry before this one, some walking members at a time; of two that walk, one is given the other."""
+        walking, stored = np.flatnonzero(self.walks), np.flatnonzero(self.stored)
+        twice = self.walks & self.stored
+        some = max(1, _PAIRS // max(1, len(stored)))
+        for at in range(0, len(walking), some):
+            w = walking[at : at + some, None]
+            a, b = np.nonzero((self.comp[w] != self.comp[stored]) & ~(twice[w] & twice[stored] & (stored < w)) & (_distance(self.x[w], self.x[stored]) <= radius))
+            a, b = w[a, 0], stored[b]
+            first = _first_keys(self.x[a], self.x[b], width, segments)
+            good = (first == self.key) | (first < 0)
+            if good.any():
+                yield a[good], b[good]
+
+
+def _by_unit(rows: DataFrame, solve, schema: str) -> DataFrame:
+    """The rows that ``solve`` makes of each unit's table of ``rows``."""
+    dealt = rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "f0", "f1", "stored")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark, held = None, []
+        for b in batches:
+            unit = np.stack([b.column(n).to_numpy().astype(np.int64) for n in _UNIT], axis=1)
+            cuts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if x < y and (now := tuple(unit[x].tolist())) != mark:
+                    if held:
+                        yield from solve(pa.Table.from_batches(held))
+                    mark, held = now, []
+                if x < y:
+                    held.append(b.slice(x, y - x))
+        if held:
+            yield from solve(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, schema)
+
+
+def pairs_between(cut: DataFrame, roots: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
+    """Distinct candidates ``(a0, a1, b0, b1)`` of entries' members ``(key, f0, f1)`` that lie in different groups ``(node, root)``; they grow with the square of a group.
+
+    A pair is given where it first meets: if that entry gave all its candidates, the pair is among them.
+    """
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        unit = _Unit(t)
+        for i, j in unit.pairs(width, segments, radius):
+            a, b = unit.x[i].view(np.int64), unit.x[j].view(np.int64)
+            low = ((a[:, 0] < b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] < b[:, 1])))[:, None]
+            ends = np.concatenate([np.where(low, a, b), np.where(low, b, a)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, k]) for k in range(4)], names=["a0", "a1", "b0", "b1"])
+
+    return _by_unit(_units(cut, roots), solve, "a0 long, a1 long, b0 long, b1 long").distinct()
+
+
+def links_between(cut: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> DataFrame:
+    """Links ``(a, b)`` that join all groups ``(node, root)`` which any link among the candidates of ``pairs_between`` joins.
+
+    No list of pairs is made, as they grow with the square of a group. First each unit names the members that have a candidate which may be a link by the marked bits of both.
+    Only these meet again with their whole sets, and a unit gives a link where it joins two groups, so fewer than it has members.
+    """
+    units = materialize(_units(cut, roots, sets.select("node", F.size("hashes").alias("n"))), "entry-units")
+
+    def named(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        unit, n = _Unit(t), t["n"].to_numpy()
+        marks = np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint64).reshape(-1, MARKS // 64)
+        good = np.zeros(len(n), bool)
+        for i, j in unit.pairs(width, segments, radius):
+            may = _may_link(n[i], marks[i], n[j], marks[j], similarity)
+            good[i[may]] = good[j[may]] = True
+        if good.any():
+            yield from t.select([*_UNIT, "node"]).filter(pa.array(good)).combine_chunks().to_batches()
+
+    def linked(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        unit, n = _Unit(t), t["n"].to_numpy()
+        marks = np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint64).reshape(-1, MARKS // 64)
+        hashes = [h.values.to_numpy().view(np.uint64) for h in t["hashes"]]
+        groups, out = _Roots(unit.comp.tolist()), []
+        for walking, stored in unit.pairs(width, segments, radius):
+            may = _may_link(n[walking], marks[walking], n[stored], marks[stored], similarity)
+            walking, stored = walking[may], stored[may]
+            for near in np.split(np.arange(len(walking)), np.flatnonzero(np.diff(walking)) + 1):
+                while len(near):  # what is joined meanwhile needs no look
+                    i = int(walking[near[0]])
+                    own = groups.find(i)
+                    open_ = near[[groups.find(j) != own for j in stored[near].tolist()]]
+                    now, near = stored[open_[:_AT_ONCE]], open_[_AT_ONCE:]
+                    shared = _overlaps(hashes[i], [hashes[j] for j in now.tolist()])
+                    out += [(i, j) for j in now[shared >= similarity * (n[i] + n[now] - shared) - 1e-9].tolist() if groups.join(i, j)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([unit.node[p[k]] for p in out], pa.string()) for k in (0, 1)], names=["a", "b"])
+
+    known = sets.withColumn("n", F.size("hashes").cast("long"))
+    own = [c for c in units.columns if c not in _UNIT]
+    promising = _by_unit(units.join(known.select("node", "n", "marks"), "node").select(*_UNIT, *own, "n", "marks"), named, "key long, i int, j int, node string")
+    promising = materialize(promising.distinct(), "promising-members")
+    few = units.join(promising, [*_UNIT, "node"], "left_semi").join(known.select("node", "n", "marks", "hashes"), "node")
+    return _by_unit(few.select(*_UNIT, *own, "n", "marks", "hashes"), linked, "a string, b string")
 
 
 def _node(*columns: str):
@@ -286,8 +408,7 @@ def near_copy_groups(docs: DataFrame, text: str = "text", similarity: float = SI
     ids = own.withColumn("node", _node("f0", "f1")).join(ends, "node", "left_semi").select(F.col("low").alias("doc_id"), "node")
     sets = materialize(_sets(slim.join(ids, "doc_id").select("node", "text"), shingle).dropDuplicates(["node"]), "shingle-sets")
     grouped = connected_components(_checked(pairs, sets, similarity))
-    between = materialize(_possible(ends_of(pairs_between(cut, grouped, width, segments, radius)), sets, similarity), "candidates-between")
-    links = materialize(_checked(between, sets, similarity), "links-between")
+    links = materialize(links_between(cut, grouped, sets, similarity, width, segments, radius), "links-between")
     if not links.isEmpty():
         grouped = connected_components(grouped.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
     member = prints.select("doc_id", _node("f0", "f1").alias("node")).join(grouped, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
@@ -314,18 +435,18 @@ def _marks(hashes: np.ndarray) -> bytes:
     return np.packbits(out).tobytes()
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` that may be similar enough: a place marked in one set alone is a shingle that is not shared, so none that is a link goes."""
-    side = lambda n: sets.select(F.col("node").alias(n), F.size("hashes").alias(f"n{n}"), F.col("marks").alias(f"m{n}"))
+def _may_link(n: np.ndarray, mark: np.ndarray, others: np.ndarray, marks: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets may be similar enough, by their sizes and marks: a place marked in one set alone is a shingle that is not shared, so none that is a link goes."""
+    most = np.minimum(n - np.bitwise_count(mark & ~marks).sum(axis=1, dtype=np.int64), others - np.bitwise_count(marks & ~mark).sum(axis=1, dtype=np.int64))
+    return most >= similarity * (n + others - most) - 1e-9
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            na, nb = (b.column(i).to_numpy() for i in (2, 4))
-            ma, mb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, MARKS // 64) for i in (3, 5))
-            most = np.minimum(na - np.bitwise_count(ma & ~mb).sum(axis=1, dtype=np.int64), nb - np.bitwise_count(mb & ~ma).sum(axis=1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(most >= similarity * (na + nb - most) - 1e-9))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "ma", "nb", "mb").mapInArrow(run, "a string, b string")
+def _overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many hashes of the sorted set ``own`` each other set holds."""
+    flat = np.concatenate([*others, np.zeros(0, np.uint64)])
+    held = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat if len(own) else np.zeros(len(flat), bool)
+    ends = np.cumsum([0, *map(len, others)])
+    return np.diff(np.concatenate(([0], np.cumsum(held)))[ends])
 
 
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
