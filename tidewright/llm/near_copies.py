@@ -151,8 +151,43 @@ def _spanning(pairs: np.ndarray, bits: np.ndarray) -> list[int]:
     return kept
 
 
-def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates ``(i, j)`` of complete entries that lie one after the other in the order of ``key``, and the members of entries that gave a forest instead of all."""
+def _first_keys(a: np.ndarray, b: np.ndarray, width: int, segments: int) -> np.ndarray:
+    """The first key that each pair of prints shares, -1 if none of the segments in their first 128 bits is alike."""
+    out = np.full(len(a), -1, np.int64)
+    for s in reversed(range(min(segments, 128 // width))):
+        word, at = divmod(s * width, 64)
+
+        def value(x):
+            v = x[:, word] >> np.uint64(at)  # noqa: B023
+            return (v | x[:, word + 1] << np.uint64(64 - at) if at + width > 64 else v) & np.uint64((1 << width) - 1)  # noqa: B023
+
+        u = value(a)
+        differ = u ^ value(b)
+        one = np.maximum(differ, np.uint64(1))  # equal segments share the keys of all bits, that of the lowest first
+        key = (s * width + np.bitwise_count(one - np.uint64(1)).astype(np.int64) << width) | (u & ~one).astype(np.int64)
+        out = np.where(np.bitwise_count(differ) <= 1, key, out)
+    return out
+
+
+def _first_met(x: np.ndarray, key: int, radius: int, width: int, segments: int) -> np.ndarray:
+    """The members of one entry that have a candidate which they meet in no entry before this one."""
+    good, some = np.zeros(len(x), bool), max(1, _PAIRS // len(x))
+    for at in range(0, len(x), some):
+        a, b = np.nonzero(_distance(x[at : at + some, None], x) <= radius)
+        a += at
+        new = (a < b) & ~(good[a] & good[b])
+        a, b = a[new], b[new]
+        first = _first_keys(x[a], x[b], width, segments)
+        here = (first == key) | (first < 0)
+        good[a[here]] = good[b[here]] = True
+    return np.flatnonzero(good)
+
+
+def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS, width: int = WIDTH, segments: int = SEGMENTS) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates ``(i, j)`` of complete entries that lie one after the other in the order of ``key``, and members of entries that gave a forest instead of all.
+
+    Near copies share dozens of entries, so only the members are named that have a candidate which they meet here first.
+    """
     head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.append(head, len(key)))
     small = np.flatnonzero(np.repeat(size <= SMALL, size))
@@ -172,12 +207,14 @@ def near_pairs(key: np.ndarray, x: np.ndarray, radius: int = RADIUS) -> tuple[np
     out, cut = [hit[np.repeat(count <= FEW, count)]], [np.zeros(0, np.int64)]
     for a, n in zip(entry[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
         out.append(hit[a : a + n][_spanning(hit[a : a + n], bit[a : a + n])])
-        cut.append(np.unique(hit[a : a + n]))
+    left = hit[np.repeat(count > FEW, count)]
+    first = _first_keys(x[left[:, 0]], x[left[:, 1]], width, segments)
+    cut.append(np.unique(left[(first == key[left[:, 0]]) | (first < 0)]))
     for k in np.flatnonzero(size > SMALL):
         if edges := candidates(x[head[k] : head[k] + size[k]], radius):
             out.append(np.array(edges) + head[k])
-            # a tree reaches all that have a candidate; where some hang on those taken, any member may have one
-            cut.append(np.unique(out[-1]) if size[k] <= MANY else np.arange(head[k], head[k] + size[k]))
+            own = np.arange(head[k], head[k] + size[k])
+            cut.append(own[_first_met(x[own], int(key[head[k]]), radius, width, segments)] if size[k] <= MANY else own)
     return np.concatenate(out), np.concatenate(cut)
 
 
@@ -185,14 +222,14 @@ _FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "a0", "a1
 
 
 def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGMENTS, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
-    """Distinct candidates ``(a0, a1, b0, b1)`` between fingerprints ``(f0, f1, ...)``, which must be distinct, and the members ``(key, f0, f1)`` of entries that gave a forest."""
+    """Distinct candidates ``(a0, a1, b0, b1)`` between fingerprints ``(f0, f1, ...)``, which must be distinct, and the members ``(key, f0, f1)`` of entries that gave a forest which have a candidate that they meet there first."""
     dealt = _index(prints, width, segments).repartition("key").sortWithinPartitions("key", "f0", "f1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # what waits for more rows; its last entry may go on in the next batch
 
         def out(key, x):
-            pairs, cut = near_pairs(key, x, radius)
+            pairs, cut = near_pairs(key, x, radius, width, segments)
             ends = np.concatenate([x[pairs[:, 0]], x[pairs[:, 1]]], axis=1).view(np.int64)
             ends = np.unique(ends, axis=0) if len(ends) else ends
             own, none = x[cut].view(np.int64), pa.nulls(len(cut), pa.int64())
@@ -221,24 +258,6 @@ def candidate_pairs(prints: DataFrame, width: int = WIDTH, segments: int = SEGME
     return found.where("key is null").drop("key").distinct(), found.where("key is not null").selectExpr("key", "a0 AS f0", "a1 AS f1")
 
 
-def _first_keys(a: np.ndarray, b: np.ndarray, width: int, segments: int) -> np.ndarray:
-    """The first key that each pair of prints shares, -1 if none of the segments in their first 128 bits is alike."""
-    out = np.full(len(a), -1, np.int64)
-    for s in reversed(range(min(segments, 128 // width))):
-        word, at = divmod(s * width, 64)
-
-        def value(x):
-            v = x[:, word] >> np.uint64(at)  # noqa: B023
-            return (v | x[:, word + 1] << np.uint64(64 - at) if at + width > 64 else v) & np.uint64((1 << width) - 1)  # noqa: B023
-
-        u = value(a)
-        differ = u ^ value(b)
-        one = np.maximum(differ, np.uint64(1))  # equal segments share the keys of all bits, that of the lowest first
-        key = (s * width + np.bitwise_count(one - np.uint64(1)).astype(np.int64) << width) | (u & ~one).astype(np.int64)
-        out = np.where(np.bitwise_count(differ) <= 1, key, out)
-    return out
-
-
 _UNIT = ("key", "i", "j")
 
 
