@@ -2,9 +2,10 @@
 
 Sets whose similarity reaches the threshold share ``k`` shingles among the rarest of each: of ``n`` shingles the ``n - ceil(0.85 n) + k`` that one order
 of all shingles puts first. Sets are dealt to groups by those, ``k`` being a tenth of ``n`` and one; sets that share fewer with all others together are out. The order is by counts over the
-whole corpus, in a fixed number of counters; it decides only how large groups get. Equal sets count as one, groups with the same members too.
+whole corpus, in a fixed number of counters; it decides only how large groups get. Equal sets count as one, groups with the same members too, and a set stays only in those
+groups in one of which any similar set is still met.
 
-The sets of a group are stored in a trie, the shingles that most of them hold first, so that sets of near copies share long paths. Other sets walk
+Up to 1,024 sets have all their overlaps counted at once. The sets of a larger group are stored in a trie, the shingles that most of them hold first, so that sets of near copies share long paths. Other sets walk
 down it; the overlap with a path is counted once for all sets below it, and a subtree is left as soon as the overlap so far with the lesser of what
 remains of the walking set and the longest rest below cannot reach what the sizes ask for. Only links that join two components are
 given, so a group of ``m`` copies gives ``m - 1`` at most.
@@ -24,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm._common import map_texts, materialize, slices
+from tidewright.llm._common import materialize, slices
 from tidewright.llm.components import connected_components
 from tidewright.llm.sketches import counted_bits, counters_for, may_count, merged_counts
 
@@ -38,23 +39,18 @@ PERCENT = 85
 #: Shingles in a block of a group, about: what a task holds of it at once, twice.
 BLOCK = 1 << 19
 _WALKERS = 64
+#: Sets of which all overlaps are counted at once, without a trie, at most, and pairs that are counted at a time.
+_FEW = 1024
+_PAIRS = 1 << 20
 
 
-_TABLE = np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64)] * 2
-#: Bytes of a text whose words are hashed together, about.
-_PIECE = 1 << 20
-
-
-def _power(of: int, n: int) -> np.ndarray:
-    if len(_powers[of]) < n:
-        x = np.full(max(n, 1 << 14), (_BASE, _INVERSE)[of], np.uint64)
-        x[0] = 1
-        _powers[of] = np.cumprod(x)
-    return _powers[of][:n]
+#: What is left of eight bytes of a word that has so few.
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of a word that is hashed eight bytes at a time, at most.
+_WORD = 256
+#: Bytes of texts whose shingles are made together, about; a longer text goes alone.
+_TEXTS = 1 << 18
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,33 +59,83 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that follow each other in ``data``, text ``k`` from ``edges[k]`` to ``edges[k + 1]``, and how many words each text has."""
+    import xxhash
+
+    padded = np.zeros(len(data) + 8, np.uint8)
+    np.add(data, (data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5), out=padded[: len(data)])
+    there = (data != 32) & (data - np.uint8(9) > 4)
+    begin, end = there.copy(), there.copy()
+    begin[1:] &= ~there[:-1]
+    end[:-1] &= ~there[1:]
+    full = edges[:-1] < edges[1:]
+    first, last = edges[:-1][full], edges[1:][full] - 1
+    begin[first], end[last] = there[first], there[last]
+    starts = np.flatnonzero(begin)
+    size = np.flatnonzero(end) + 1 - starts
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    h = _mix((eight[starts] & _MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(_BASE))
+    at, rest = 8, np.flatnonzero((size > 8) & (size <= _WORD))
+    while len(rest):
+        h[rest] = _mix(h[rest] * np.uint64(_BASE) + (eight[starts[rest] + at] & _MASK[np.minimum(size[rest] - at, 8)]))
+        at += 8
+        rest = rest[size[rest] > at]
+    for k in np.flatnonzero(size > _WORD).tolist():
+        h[k] = xxhash.xxh64_intdigest(padded[starts[k] : starts[k] + size[k]])
+    return h, np.diff(np.searchsorted(starts, edges))
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word, A to Z in lower case: polynomials over the bytes' random numbers, all words of a piece at once."""
-    data = np.frombuffer((text or "").encode("utf-8").lower(), np.uint8)
-    blank = np.concatenate(([True], _BLANK[data], [True]))
-    edge = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, ends = edge[::2], edge[1::2]
-    out, at = [], 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE, "right")))
-        first, last = int(starts[at]), int(ends[to - 1])
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data[first:last]] * _power(1, last - first), dtype=np.uint64)))
-        a, b = starts[at:to] - first, ends[at:to] - first
-        out.append(_mix((sums[b] - sums[a]) * _power(0, last - first)[a] + (b - a).astype(np.uint64)))
+    """A 64-bit hash of each word, A to Z in lower case, from eight bytes at a time of all words at once."""
+    data = np.frombuffer((text or "").encode("utf-8"), np.uint8)
+    return _words(data, np.array([0, len(data)]))[0]
+
+
+def _shingles(h: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of ``k`` words of each text, one of the whole text where it has fewer words, and where each text's begin."""
+    at, cuts = (np.concatenate(([0], np.cumsum(c))) for c in (words, np.where(words >= k, words - k + 1, words > 0)))
+    out = np.empty(cuts[-1], np.uint64)
+    if (words >= k).any():
+        made = np.full(len(h) - k + 1, k, np.uint64)
+        for j in range(k):
+            made = made * np.uint64(_BASE) + h[j : len(h) - k + 1 + j]
+        inside = (np.repeat(at[1:], words) - np.arange(len(h)) >= k)[: len(made)]
+        out[np.repeat(words >= k, np.diff(cuts))] = made[inside]
+    for n in range(1, k):
+        few = np.flatnonzero(words == n)
+        made = np.full(len(few), n, np.uint64)
+        for j in range(n):
+            made = made * np.uint64(_BASE) + h[at[few] + j]
+        out[cuts[few]] = made
+    return out, cuts
+
+
+def shingles_of(texts: pa.Array, shingle: int = SHINGLE, distinct: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the word shingles of some texts after the other, and where each text's begin: sorted and distinct ones, or all as they come. Nulls have none."""
+    texts = texts.fill_null("")
+    _, offsets, data = texts.buffers()
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    edges = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + _TEXTS, "right")) - 1)
+        made, cuts = _shingles(*_words(data[edges[at] : edges[to]], edges[at : to + 1] - edges[at]), shingle)
+        if distinct:
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                made[a:b].sort()
+            new = np.ones(len(made), bool)
+            new[1:] = made[1:] != made[:-1]
+            new[cuts[:-1][cuts[:-1] < cuts[1:]]] = True
+            made, cuts = made[new], np.concatenate(([0], np.cumsum(new)))[cuts]
+        yield made, cuts
         at = to
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; one of the whole sequence where there are fewer words, none without words."""
-    h = word_hashes(text)
-    k = min(shingle, len(h))
-    if not k:
-        return h
-    made = np.full(len(h) - k + 1, k, np.uint64)
-    for j in range(k):
-        made = made * np.uint64(_BASE) + h[j : len(h) - k + 1 + j]
-    return np.unique(made)
+    return next(shingles_of(pa.array([text], pa.large_string()), shingle))[0]
 
 
 def set_number(hashes: np.ndarray) -> int:
@@ -105,13 +151,13 @@ def asked(n: int) -> int:
 
 
 def prefix(hashes: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The rarest shingles, of which two similar sets share ``asked`` of the smaller one; ``common`` gives the order, equal ones follow their hash."""
+    """The rarest of the sorted shingles, of which two similar sets share ``asked`` of the smaller one; ``common`` gives the order, equal ones follow their hash."""
     n = len(hashes)
     most = n + (-percent * n // 100) + asked(n)  # n - ceil(percent n / 100) + asked
     if most >= n:
         return hashes
     tier = common[(hashes & np.uint64(len(common) - 1)).astype(np.int64)]
-    return hashes[np.lexsort((hashes, tier))[:most]]
+    return hashes[np.argsort(tier, kind="stable")[:most]]
 
 
 def commonness(slim: DataFrame, shingle: int = SHINGLE, most: int = 1 << 22) -> np.ndarray:
@@ -119,7 +165,7 @@ def commonness(slim: DataFrame, shingle: int = SHINGLE, most: int = 1 << 22) ->
     counters = counters_for(slim.count(), 256, most=most)
 
     def places(b: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([shingle_set(t.as_py(), shingle) & np.uint64(counters - 1) for t in b.column(0)] or [np.zeros(0, np.uint64)])
+        return np.concatenate([made & np.uint64(counters - 1) for made, _ in shingles_of(b.column(0), shingle, distinct=False)] or [np.zeros(0, np.uint64)])
 
     code = merged_counts(slim.select("text"), places, counters, lambda n: np.round(4 * np.log2(n + 1)).astype(np.uint8))
     mean = np.exp2(code / 4).mean()
@@ -191,6 +237,43 @@ class _Trie:
             todo += [(x, y, to, alive, overlap, last) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray | None:
+    """How many members each two of the sets share, or none where there are many sets or many pairs to count.
+
+    Members of many sets are columns of a product of matrices, those of few sets are counted pair by pair.
+    """
+    m, flat = len(sets), np.concatenate(sets)
+    if m > _FEW:
+        return None
+    order = np.argsort(flat)
+    flat = flat[order]
+    first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    times = np.diff(np.append(first, len(flat)))
+    who = np.repeat(np.arange(m), [len(s) for s in sets])[order]
+    many = times >= (2 if m <= 64 else m // 16)
+    kept = np.repeat(many, times)
+    held = np.zeros((m, int(many.sum())), np.float32)
+    held[who[kept], np.repeat(np.cumsum(many) - 1, times)[kept]] = 1
+    both = np.rint(held @ held.T).astype(np.int64)
+    few = (times > 1) & ~many
+    if not few.any():
+        return both
+    who = who[np.repeat(few, times)]
+    times = times[few]
+    start, each = np.repeat(np.cumsum(times) - times, times), np.repeat(times, times)
+    upto = np.concatenate(([0], np.cumsum(each)))
+    if upto[-1] > _PAIRS << 3:
+        return None
+    at = 0
+    while at < len(who):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + _PAIRS, "right")) - 1)
+        one = np.repeat(np.arange(at, to), each[at:to])
+        other = start[one] + np.arange(upto[to] - upto[at]) - (upto[one] - upto[at])
+        both += np.bincount(who[one] * m + who[other], minlength=m * m).reshape(m, m)
+        at = to
+    return both
+
+
 def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: list[bool], main: list[bool], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that join all components that links between walking and stored sets join.
 
@@ -200,8 +283,12 @@ def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: li
     roots, m = _Roots(comp), len(sets)
     if len({roots.find(i) for i in range(m)}) < 2 or not (any(walks) and any(stored)):
         return []
-    trie = _Trie(sets, np.array([len(s) for s in sets], np.int64), stored)
+    sizes = np.array([len(s) for s in sets], np.int64)
     needed = lambda own, other: -(-percent * (own + other) // (100 + percent))
+    if (both := _overlaps(sets)) is not None:
+        found = (both >= needed(sizes[:, None], sizes)) & np.array(walks)[:, None] & np.array(stored)
+        return [(i, j) for i, j in np.argwhere(found).tolist() if i != j and roots.join(i, j)]
+    trie = _Trie(sets, sizes, stored)
     out: list[tuple[int, int]] = []
     anchor = next((i for i in range(m) if main[i]), None)
     waiting = [i for i in range(m) if walks[i]]
@@ -222,8 +309,12 @@ def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: l
     if not (any(walks) and any(stored)):
         return []
     size, numbers = np.array(sizes, np.int64), np.unique(np.array(comp, np.int64), return_inverse=True)[1]
-    trie = _Trie(rare, size, stored)
     needed = lambda own, other: np.minimum(asked(own), asked(other))
+    if (both := _overlaps(rare)) is not None:
+        a, b = size[:, None], size
+        found = (both >= needed(a, b)) & (numbers[:, None] != numbers) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & np.array(walks)[:, None] & np.array(stored)
+        return np.flatnonzero(found.any(axis=1) | found.any(axis=0)).tolist()
+    trie = _Trie(rare, size, stored)
     good, walking = np.zeros(len(rare), bool), np.flatnonzero(walks)
     for k in range(0, len(walking), trie.at_once):
         for found, j in trie.walk(walking[k : k + trie.at_once], needed):
@@ -234,6 +325,13 @@ def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: l
     return np.flatnonzero(good).tolist()
 
 
+#: Shingles in a range, about, and bits of a shingle that are kept inside it.
+_RANGE = 1 << 20
+_BITS = 40
+
+#: Edges whose components the driver finds, at most: 4 MB.
+_EDGES = 1 << 18
+
 _UNIT = ("token", "i", "j")
 
 
@@ -338,51 +436,144 @@ def _last_deal(placed: DataFrame) -> DataFrame:
 def _hashes_of(wanted: DataFrame, slim: DataFrame, shingle: int) -> DataFrame:
     """``(set, n, hashes)`` of ``wanted`` ``(set, doc_id)``; texts that are not wanted are mostly dropped where they are read, by 16 MB of bits at most."""
     bits = slim.sparkSession.sparkContext.broadcast(counted_bits(wanted.select(F.xxhash64("doc_id")), wanted.count(), 1))
-    schema = T.StructType([T.StructField("doc_id", slim.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
+    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("n", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(may_count(b.column(2).to_numpy(zero_copy_only=False), bits.value))).select(["doc_id", "text"])
+            held = b.filter(pa.array(may_count(b.column(1).to_numpy(zero_copy_only=False), bits.value)))
+            for flat, cuts in shingles_of(held.column(0), shingle):
+                made = [flat[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if y > x]
+                arrays = [pa.array([set_number(m) for m in made], pa.int64()), pa.array([len(m) for m in made], pa.int64()), pa.array([m.view(np.int64) for m in made], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    def start():
-        def work(texts):
-            made = [shingle_set(t, shingle) for t in texts]
-            return {"made": [set_number(m) for m in made], "hashes": [m.view(np.int64) for m in made]}
+    found = slim.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(near, schema)
+    return found.join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"])  # an id may have other texts too
 
-        return work
 
-    near_texts = slim.withColumn("h", F.xxhash64("doc_id")).mapInArrow(near, schema)
-    added = T.StructType([T.StructField("made", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
-    found = map_texts(near_texts.join(wanted, "doc_id").select("set", "text"), start, added)
-    return found.where("set = made").select("set", F.size("hashes").cast("long").alias("n"), "hashes").dropDuplicates(["set"])  # an id may have other texts too
+def _prints(slim: DataFrame, common, shingle: int, percent: int) -> DataFrame:
+    """``(doc_id, n_shingles, set, rare)`` of each row of ``slim``; ``rare`` has the bytes of its rarest shingles."""
+    schema = T.StructType([slim.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set", T.LongType()), T.StructField("rare", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            made: list[tuple] = []
+            for flat, cuts in shingles_of(b.column(1), shingle):
+                for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    own = flat[x:y]
+                    made.append((y - x, set_number(own) if y > x else None, prefix(own, common.value, percent).tobytes()))
+            n, number, rare = zip(*made, strict=True) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(number, pa.int64()), pa.array(rare, pa.binary())], names=schema.names)
 
+    return slim.select("doc_id", "text").mapInArrow(run, schema)
 
-def _shared(prints: DataFrame) -> DataFrame:
-    """``(set, token)`` for the rarest shingles that some other set has among its own.
 
-    A sketch of counts, 16 MB of bits at most, drops those that surely come once before the others are shuffled and counted; with very many shingles it lets more through.
+def _shared(prints: DataFrame, told: int) -> DataFrame:
+    """``(set, token)`` for the rarest shingles that some other set has among its own; ``told`` is how many there are, about.
+
+    A task packs its shingles by ranges of their hash, a set that it meets again once; each range is sorted as one, in a task of its own, so a shingle is shuffled once whatever the
+    size of the table, and only those of several sets become rows. A token is the hash cut to its range and ``_BITS`` bits.
     """
-    told = prints.agg(F.sum(F.size("rare"))).first()[0] or 0
-    bits = prints.sparkSession.sparkContext.broadcast(counted_bits(prints.select(F.explode("rare")), told, 2, places=2))
-    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("rare", T.ArrayType(T.LongType()))])
+    bits = min(14, max(4, (told // _RANGE).bit_length()))
+    packed = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("tokens", T.BinaryType()), T.StructField("sets", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def out():
+            h, number = (np.concatenate(c) for c in zip(*held, strict=True))
+            h = _mix(h)
+            part = (h >> np.uint64(64 - bits)).astype(np.uint16)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange((1 << bits) + 1))
+            h, number = (h >> np.uint64(64 - bits - _BITS))[order] & np.uint64((1 << _BITS) - 1), number[order]
+            low, high = h.astype("<u4"), (h >> np.uint64(32)).astype(np.uint8)
+            there = np.flatnonzero(np.diff(cuts)).tolist()
+            tokens = [low[cuts[r] : cuts[r + 1]].tobytes() + high[cuts[r] : cuts[r + 1]].tobytes() for r in there]
+            sets = [number[cuts[r] : cuts[r + 1]].tobytes() for r in there]
+            return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(tokens, pa.binary()), pa.array(sets, pa.binary())], names=packed.names)
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cuts = b.column(1).offsets.to_numpy()
-            token = b.column(1).values.to_numpy(zero_copy_only=False)[cuts[0] : cuts[-1]]
-            good = may_count(token, bits.value, 2)
-            kept = np.concatenate(([0], np.cumsum(good)))[cuts - cuts[0]]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(token[good]))], names=schema.names)
+            if len(met) > 1 << 20:
+                met.clear()
+            for number, rare in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if number in met:
+                    continue
+                met.add(number)
+                h = np.frombuffer(rare.as_buffer(), np.uint64)
+                held.append((h, np.full(len(h), number, np.int64)))
+                size += len(h)
+                if size >= _RANGE:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("token", T.LongType())])
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    few = prints.select("set", "rare").mapInArrow(near, schema)
-    rows = materialize(few.groupBy("set").agg(F.any_value("rare").alias("rare")).select("set", F.explode("rare").alias("token")), "rare-shingles")
-    return rows.join(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "token")
+        def out():
+            token, number = (np.concatenate(c) for c in zip(*held, strict=True))
+            place = 64 - _BITS
+            if len(token) < 1 << place:
+                key = (token << np.uint64(place)) | np.arange(len(token), dtype=np.uint64)
+                key.sort()
+                order, token = (key & np.uint64((1 << place) - 1)).astype(np.int64), key >> np.uint64(place)
+            else:
+                order = np.argsort(token, kind="stable")
+                token = token[order]
+            same = token[1:] == token[:-1]
+            kept = np.concatenate((same, [False])) | np.concatenate(([False], same))
+            token, number = token[kept], number[order[kept]]
+            order = np.lexsort((number, token))
+            token, number = token[order], number[order]
+            new = np.concatenate(([True], (token[1:] != token[:-1]) | (number[1:] != number[:-1])))[: len(token)]
+            token, number = token[new], number[new]  # each set of a token once
+            same = token[1:] == token[:-1]
+            kept = (np.concatenate((same, [False])) | np.concatenate(([False], same)))[: len(token)]
+            token, number = (token[kept] | np.uint64(now << _BITS)).view(np.int64), number[kept]
+            for k in range(0, len(token), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(number[k : k + (1 << 16)]), pa.array(token[k : k + (1 << 16)])], names=schema.names)
+
+        for b in batches:
+            for part, tokens, sets in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if part != now:
+                    if held:
+                        yield from out()
+                    now, held = part, []
+                raw, number = tokens.as_buffer(), np.frombuffer(sets.as_buffer(), np.int64)
+                low, high = np.frombuffer(raw, "<u4", len(number)), np.frombuffer(raw, np.uint8, len(number), 4 * len(number))
+                held.append((low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), number.copy()))
+        if held:
+            yield from out()
+
+    dealt = prints.select("set", "rare").mapInArrow(pack, packed).repartitionById(1 << bits, "range").sortWithinPartitions("range")
+    return dealt.mapInArrow(several, schema)
+
+
+def _kept_groups(rows: DataFrame) -> DataFrame:
+    """``(token, m, set, n)``: for rows ``(set, n, least, token)`` groups of sets that share a shingle, such that similar sets, which share ``least`` of each, still meet in one.
+
+    Groups of the same sets count once, with a weight. In one order of all shingles, those of heavy groups first, similar sets meet before the last ``least - 1`` of each, so a set
+    leaves the groups that hold only those: mostly chance meetings and the many small parts of a family.
+    """
+    held = rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("set")).alias("who")).where("m > 1")
+    groups = held.groupBy("m", "who").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    each = rows.join(groups.select("token", "weight"), "token")
+    order = Window.partitionBy("set").orderBy(F.desc("weight"), "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.withColumn("upto", F.sum("weight").over(order)).withColumn("all", F.sum("weight").over(Window.partitionBy("set")))
+    kept = materialize(each.where(F.col("upto") - F.col("weight") <= F.col("all") - F.col("least")).select("token", "set", "n"), "kept-members")
+    return kept.join(kept.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "token").select("token", "m", "set", "n")
 
 
 def _clustered(last: DataFrame) -> DataFrame:
     """The deal by families: sets that meet in some unit are sent once, to a unit of their own, unless a family is larger than a block; those keep their units."""
     edges = last.join(last.groupBy(*_UNIT).agg(F.min("set").alias("b")), list(_UNIT)).select(F.col("set").alias("a"), "b")
-    family = connected_components(edges).select(F.col("node").alias("set"), F.col("root").alias("family"))
+    family = connected_components(edges, _EDGES).select(F.col("node").alias("set"), F.col("root").alias("family"))
     each = last.select("set", "comp", "n").distinct().join(family, "set")
     small = each.groupBy("family").agg(F.sum("n").alias("all")).where(F.col("all") <= BLOCK).select("family")
     own = each.join(small, "family").select(F.col("family").alias("token"), F.lit(0).alias("i"), F.lit(0).alias("j"), "set", "comp", *_all())
@@ -401,41 +592,32 @@ def ngram_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, pe
     slim = docs.select("doc_id", F.col(text).alias("text"))
     common = spark.sparkContext.broadcast(commonness(slim, shingle))  # 4 MB at most
 
-    def start():
-        def work(texts):
-            made = [shingle_set(t, shingle) for t in texts]
-            return {"n_shingles": [len(m) for m in made], "set": [set_number(m) if len(m) else None for m in made], "rare": [prefix(m, common.value, percent).view(np.int64) for m in made]}
-
-        return work
-
-    added = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("set", T.LongType()), T.StructField("rare", T.ArrayType(T.LongType()))])
-    prints = materialize(map_texts(slim, start, added), "shingle-prefixes")
+    prints = materialize(_prints(slim, common, shingle, percent), "shingle-prefixes")
     there = prints.where("set is not null and doc_id is not null")
     own = materialize(there.groupBy("set").agg(F.min("doc_id").alias("low"), F.max("n_shingles").alias("n")), "distinct-sets")
-    rows = _shared(there)
+    told = there.agg(F.sum(F.col("n_shingles") * (110 - percent) / 100)).first()[0] or 0
     least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1  # of what a similar set, which may be smaller, asks for
-    able = rows.groupBy("set").agg(F.count("*").alias("shared")).join(own.select("set", "n"), "set").where(F.col("shared") >= least).select("set", "n")
-    rows = materialize(rows.join(able, "set"), "able-sets")
-    held = rows.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("set")).alias("who")).where("m > 1")
-    groups = held.groupBy("m", "who").agg(F.min("token").alias("token"))  # groups of the same sets count once
-    members = materialize(rows.join(groups.select("token", "m"), "token").select("token", "m", "set", "n"), "members")
+    shared = _shared(there, int(told)).groupBy("set").agg(F.collect_list("token").alias("tokens"))
+    able = materialize(shared.join(own.select("set", "n"), "set").where(F.size("tokens") >= least), "able-sets")
+    rows = able.select("set", "n", least.alias("least"), F.explode("tokens").alias("token"))
+    members = materialize(_kept_groups(rows), "members")
     wanted = own.join(members, "set", "left_semi").select("set", F.col("low").alias("doc_id"))
     sets = materialize(_hashes_of(wanted, slim, shingle), "sets")
 
     first = materialize(_first_deal(members), "first-deal")
     done = first.where("whole").select("token").distinct()
     links = materialize(_searched(first.drop("whole"), sets, percent), "links")
-    roots = connected_components(links)
+    roots = connected_components(links, _EDGES)
     placed = materialize(_open_groups(members, roots, done), "open-groups")
     second = materialize(_second_deal(placed), "second-deal")
     if not second.isEmpty():
         links = materialize(_searched(second, sets, percent).union(roots.select("node", "root")), "links")
-        roots = connected_components(links)
+        roots = connected_components(links, _EDGES)
         placed = materialize(_open_groups(members, roots, done), "open-groups")
-    rare = rows.join(placed.select("set").distinct(), "set", "left_semi").groupBy("set", "n").agg(F.collect_list("token").alias("hashes"))  # those of one text
+    rare = able.join(placed.select("set").distinct(), "set", "left_semi").select("set", "n", F.col("tokens").alias("hashes"))
     last = materialize(_promising(_last_deal(placed), rare, percent).join(own.select("set", "n"), "set"), "last-deal")
     links = _searched(_clustered(last), sets, percent).union(roots.select("node", "root"))
-    roots = connected_components(links)
+    roots = connected_components(links, _EDGES)
 
     rooted = materialize(own.select("set", "low").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")), "roots")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -38,24 +38,31 @@ def merged_counts(df: DataFrame, places: Callable[[pa.RecordBatch], np.ndarray],
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def out():
-            place, n = np.unique(np.concatenate(held), return_counts=True)
+        def out(place, n):
             chunk = place // CHUNK
             cut = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1], [True])))
             at = [zlib.compress(np.diff(place[a:b] % CHUNK, prepend=0).astype("<u2").tobytes(), 1) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             many = [zlib.compress(n[a:b].astype("<u4").tobytes(), 1) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(chunk[cut[:-1]], pa.int32()), pa.array(at, pa.binary()), pa.array(many, pa.binary())], names=packed.names)
 
-        size = 0
+        size, total = 0, np.zeros(0, np.int64)  # few counters are added up over the whole task
         for b in batches:
             if len(found := places(b)):
                 held.append(found.astype(np.int64))
                 size += len(found)
             if size >= _HELD:
-                yield out()
+                if counters <= 2 * _HELD:
+                    made = np.bincount(np.concatenate(held), minlength=counters)
+                    total = made + total if len(total) else made
+                else:
+                    yield out(*np.unique(np.concatenate(held), return_counts=True))
                 held, size = [], 0
-        if held:
-            yield out()
+        if len(total):
+            if held:
+                total += np.bincount(np.concatenate(held), minlength=counters)
+            yield out(place := np.flatnonzero(total), total[place])
+        elif held:
+            yield out(*np.unique(np.concatenate(held), return_counts=True))
 
     merged = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("made", T.BinaryType())])
 
