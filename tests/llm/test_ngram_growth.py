@@ -85,3 +85,14 @@ def test_few_edges_have_the_components_of_many(spark):
     want = sorted(map(tuple, connected_components(df).collect()))
     assert sorted(map(tuple, connected_components(df, 1000).collect())) == want == sorted(map(tuple, connected_components(df, 10).collect()))
     assert connected_components(df.where("a > 1000"), 10).count() == 0
+
+
+@pytest.mark.parametrize("few", [1024, 1])
+def test_partners_of_a_group_have_one_head(monkeypatch, few):
+    monkeypatch.setattr(ngram_join, "_FEW", few)  # 1: by tries
+    rng = random.Random(few)
+    rare = [np.array(sorted(rng.sample(range(100 * f, 100 * f + 40), 34)), np.uint64) for f in (0, 1, 2) for _ in range(6)] + [np.array([7, 107, 207, 5000], np.uint64)]
+    m = len(rare)
+    got = ngram_join.trie_partners(rare, [100] * m, list(range(m)), [True] * m, [True] * m)
+    assert [i for i, _ in got] == list(range(m - 1))  # the last one shares a shingle with each family, no more
+    assert [h // 6 for _, h in got] == [i // 6 for i in range(m - 1)] and len({h for _, h in got}) == 3

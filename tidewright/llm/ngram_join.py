@@ -304,8 +304,20 @@ def trie_links(sets: list[np.ndarray], comp: list, walks: list[bool], stored: li
     return out
 
 
-def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: list[bool], stored: list[bool], percent: int = PERCENT) -> list[int]:
-    """The sets that share as many of their rarest shingles with a set of another component as similar sets do, and may be similar by their sizes."""
+def _heads(near: np.ndarray) -> list[tuple[int, int]]:
+    """Each of the sets that is near to another one, and the first set that near ones lead it to."""
+    near, head = near | near.T, np.full(len(near), -1)
+    for k in np.flatnonzero(near.any(axis=1)).tolist():
+        now = np.array([k] if head[k] < 0 else [], int)
+        head[now] = k
+        while len(now):
+            now = np.flatnonzero(near[now].any(axis=0) & (head < 0))
+            head[now] = k
+    return [(i, int(head[i])) for i in np.flatnonzero(head >= 0).tolist()]
+
+
+def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: list[bool], stored: list[bool], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """The sets that share as many of their rarest shingles with a set of another component as similar sets do, and may be similar by their sizes; such sets have one head."""
     if not (any(walks) and any(stored)):
         return []
     size, numbers = np.array(sizes, np.int64), np.unique(np.array(comp, np.int64), return_inverse=True)[1]
@@ -313,16 +325,18 @@ def trie_partners(rare: list[np.ndarray], sizes: list[int], comp: list, walks: l
     if (both := _overlaps(rare)) is not None:
         a, b = size[:, None], size
         found = (both >= needed(a, b)) & (numbers[:, None] != numbers) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & np.array(walks)[:, None] & np.array(stored)
-        return np.flatnonzero(found.any(axis=1) | found.any(axis=0)).tolist()
+        return _heads(found)
     trie = _Trie(rare, size, stored)
-    good, walking = np.zeros(len(rare), bool), np.flatnonzero(walks)
+    roots, good, walking = _Roots(list(range(len(rare)))), np.zeros(len(rare), bool), np.flatnonzero(walks)
     for k in range(0, len(walking), trie.at_once):
         for found, j in trie.walk(walking[k : k + trie.at_once], needed):
             other = size[found]
             found = found[(numbers[found] != numbers[j]) & (100 * np.minimum(other, size[j]) >= percent * np.maximum(other, size[j]))]
             good[found] = True
             good[j] |= len(found) > 0
-    return np.flatnonzero(good).tolist()
+            for i in found.tolist():
+                roots.join(i, j)
+    return [(i, roots.find(i)) for i in np.flatnonzero(good).tolist()]
 
 
 #: Shingles in a range, about, and bits of a shingle that are kept inside it.
@@ -373,13 +387,14 @@ def _searched(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _promising(dealt: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``dealt`` whose set has a partner in the unit by its rarest shingles, which are a sixth of a set or so."""
-    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("set", T.LongType())])
+    """The rows of ``dealt`` whose set has a partner in the unit by its rarest shingles, which are a sixth of a set or so; partners have one ``head``."""
+    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("set", T.LongType()), T.StructField("head", T.LongType())])
 
     def solve(unit, number, comp, walks, stored, main, n, hashes):
-        return [(*unit, number[i]) for i in trie_partners(hashes, n, comp, walks, stored, percent)]
+        return [(*unit, number[i], number[k]) for i, k in trie_partners(hashes, n, comp, walks, stored, percent)]
 
-    return dealt.join(_by_unit(dealt, rare, solve, schema).distinct(), [*_UNIT, "set"], "left_semi")
+    found = _by_unit(dealt, rare, solve, schema).distinct()  # no semi-join, which would be done for each part of the union apart
+    return dealt.join(found, [*_UNIT, "set"])
 
 
 def _blocks(total) -> F.Column:
@@ -571,8 +586,8 @@ def _kept_groups(rows: DataFrame) -> DataFrame:
 
 
 def _clustered(last: DataFrame) -> DataFrame:
-    """The deal by families: sets that meet in some unit are sent once, to a unit of their own, unless a family is larger than a block; those keep their units."""
-    edges = last.join(last.groupBy(*_UNIT).agg(F.min("set").alias("b")), list(_UNIT)).select(F.col("set").alias("a"), "b")
+    """The deal by families: sets that partners lead to are sent once, to a unit of their own, unless a family is larger than a block; those keep their units."""
+    edges = last.select(F.col("set").alias("a"), F.col("head").alias("b"))
     family = connected_components(edges, _EDGES).select(F.col("node").alias("set"), F.col("root").alias("family"))
     each = last.select("set", "comp", "n").distinct().join(family, "set")
     small = each.groupBy("family").agg(F.sum("n").alias("all")).where(F.col("all") <= BLOCK).select("family")
